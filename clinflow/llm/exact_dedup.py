@@ -123,7 +123,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = groups.select("h", "sha", F.when(F.col("texts") == 1, F.col("n")).otherwise(F.raise_error(F.lit("two texts have one SHA-256"))).alias("n"))
     members = cut(again.select("id", "h", F.sha2("t", 256).alias("sha"), F.monotonically_increasing_id().alias("rid")))
     best = members.groupBy("h", "sha").agg(F.max(F.struct("id", "rid")).alias("best"))
-    stays = best.join(groups, ["h", "sha"])
+    stays = measured(cut(best.join(groups, ["h", "sha"])))
     copies = members.join(stays, ["h", "sha"]).select(
         F.col("id").alias(id_col),
         F.col("best.id").alias("keep_id"),

@@ -5,14 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinflow.llm import bpe, exact_dedup, secrets, sharding, warc
+from clinflow.llm import bpe, contamination, exact_dedup, near_dedup, secrets, sharding, warc
 from clinflow.llm.common import scratch, table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -31,8 +39,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_secrets, op6_byte_bpe, op7_warc, op9_exact_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op4_secrets, op5_near_dedup, op6_byte_bpe, op7_warc, op9_exact_dedup, op10_sharding)}
 ORACLES = {
+    "op1_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+        bw AS (SELECT DISTINCT item_id, n, array_to_string(ws[i + 1:i + n], ' ') AS w
+               FROM (SELECT *, least(len(ws), 13) AS n FROM b WHERE len(ws) > 0), unnest(range(0, len(ws) - n + 1)) AS u(i)),
+        dw AS (SELECT doc_id, i, n, array_to_string(ws[i + 1:i + n], ' ') AS w
+               FROM d, (SELECT DISTINCT n FROM bw), unnest(range(0, greatest(len(ws) - n + 1, 0))) AS u(i)),
+        h AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (w, n)),
+        p AS (SELECT doc_id, count(DISTINCT i + j) AS n_hit FROM (SELECT DISTINCT doc_id, i, n FROM h), unnest(range(0, n)) AS u(j) GROUP BY doc_id),
+        q AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+              FROM (SELECT DISTINCT doc_id, item_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+        SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+        FROM d LEFT JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)""",
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
                count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,

@@ -162,14 +162,12 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-_MODELS: dict[tuple[str, str], PrefixBpe] = {}
+def model(path: str, pattern: str) -> tuple[PrefixBpe, dict]:
+    """The model of a vocabulary and its digests of pieces; kept with the worker process, which serves one task after another."""
+    import sys
 
-
-def model(path: str, pattern: str) -> PrefixBpe:
-    """One model for each worker process and vocabulary."""
-    if (path, pattern) not in _MODELS:
-        _MODELS[path, pattern] = PrefixBpe(load_ranks(path), pattern)
-    return _MODELS[path, pattern]
+    own = sys.modules.setdefault("__bpe_models", type(sys)("__bpe_models")).__dict__
+    return own.get((path, pattern)) or own.setdefault((path, pattern), (PrefixBpe(load_ranks(path), pattern), {}))
 
 
 def _digests(bpe: PrefixBpe, text: str, kept: dict[str, tuple[int, str, bytes]]) -> tuple[int, str, str]:
@@ -193,11 +191,7 @@ def _digests(bpe: PrefixBpe, text: str, kept: dict[str, tuple[int, str, bytes]])
 
 def _encode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import sys
-
-        # kept with the worker process, which serves one task after another
-        own = sys.modules.setdefault("__bpe_models", type(sys)("__bpe_models")).__dict__
-        bpe, kept = own.get((path, pattern)) or own.setdefault((path, pattern), (PrefixBpe(load_ranks(path), pattern), {}))
+        bpe, kept = model(path, pattern)
         for batch in batches:
             counts, shas, back = [], [], []
             for k in range(batch.num_rows):
@@ -222,7 +216,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     @F.pandas_udf(ArrayType(IntegerType()))
     def ids(texts: pd.Series) -> pd.Series:
-        return texts.map(model(path, pattern).encode)
+        return texts.map(model(path, pattern)[0].encode)
 
     return docs.withColumn("ids", ids(text_or_empty()))
 
@@ -232,6 +226,6 @@ def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
 
     @F.pandas_udf("string")
     def texts(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: model(path, pattern).decode(list(x)).decode("utf-8", "replace"))
+        return ids.map(lambda x: model(path, pattern)[0].decode(list(x)).decode("utf-8", "replace"))
 
     return tokens.withColumn("decoded", texts("ids"))

@@ -1,5 +1,6 @@
 """All queries of the library, by name."""
 
+from clinflow.queries import parsing, routes  # noqa: F401
 from clinflow.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -92,12 +92,14 @@ WINDOWS = (("DOB", 20, 1), ("D.O.B.", 20, 1), ("AGE/SX", 18, 1), ("AGE", 10, 1),
 
 def keyword_window(text: Column, windows: tuple[tuple[str, int, int], ...] = WINDOWS) -> Column:
     """Cut the characters from a keyword on, wherever they occur; nothing where the text is too short."""
-    for word, n, times in windows:
-        for _ in range(times):
-            at = F.instr(text, word)
-            piece = F.substring(text, at, F.lit(n))
-            text = F.when((at > 0) & (at + n - 1 <= F.length(text)), F.replace(text, piece, F.lit(""))).otherwise(text)
-    return text
+    rules = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(n).alias("n")) for w, n, times in windows for _ in range(times)])
+
+    def cut(t: Column, rule: Column) -> Column:
+        at = F.position(rule["word"], t)
+        fits = (at > 0) & (at + rule["n"] - 1 <= F.length(t))
+        return F.when(fits, F.replace(t, F.substring(t, at, rule["n"]), F.lit(""))).otherwise(t)
+
+    return F.aggregate(rules, text, cut)
 
 
 def facility_names(text: Column, names: list[str], stop: list[str]) -> Column:

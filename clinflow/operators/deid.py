@@ -86,8 +86,11 @@ def file_by_crosswalk(df: DataFrame, crosswalk: DataFrame, key: str, fields: lis
 
 def leak_scan(df: DataFrame, ident: str, text: str) -> DataFrame:
     """(id, kind, match) of everything that looks like an address or a number of a person."""
-    found = [F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), lambda m, k=k: F.struct(F.lit(k).alias("kind"), m.alias("match"))) for k, p in scrub.LEAKS.items()]
-    return df.select(ident, F.inline(F.concat(*found)))
+
+    def matches(kind: str, pattern: str) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("match")))
+
+    return df.select(ident, F.inline(F.concat(*[matches(k, p) for k, p in scrub.LEAKS.items()])))
 
 
 def message(df: DataFrame, key: str, policy: dict[str, str], ids: list[str], text: str, salt: str, ts: str) -> dict[str, DataFrame]:

@@ -94,10 +94,10 @@ def _metrics(spark, d):
     return counts.withColumn("day", F.lit("2024-06-01").cast("date")), counts
 
 
-@query("met_merge_snapshots", sql(f"SELECT DATE '2024-06-01' AS day, *, 2 * count(*) AS n FROM ({_ST}) GROUP BY ALL"))
+@query("met_merge_snapshots", sql(f"SELECT '2024-06-01' AS day, *, 2 * count(*) AS n FROM ({_ST}) GROUP BY ALL"))
 def met_merge_snapshots(spark, d):
     totals, new = _metrics(spark, d)
-    return audit.merge_snapshots(totals.select("day", "type", "segment", "state", "n"), new, "2024-06-01")
+    return audit.merge_snapshots(totals.select("day", "type", "segment", "state", "n"), new, "2024-06-01").withColumn("day", F.col("day").cast("string"))
 
 
 @query("met_daily_report", sql(f"SELECT *, count(*) AS n FROM ({_ST}) GROUP BY ALL"))
@@ -372,10 +372,10 @@ def ros_forward_job(spark, d):
 # --- warehouse --------------------------------------------------------------------------------------------------------
 
 
-@query("wh_daily_distinct_load", sql("SELECT DISTINCT typ || trig AS trig, t7, typ AS message_type, strptime(t7[1:8], '%Y%m%d')::DATE AS message_date, 'now' AS insert_time FROM m"))
+@query("wh_daily_distinct_load", sql("SELECT DISTINCT typ || trig AS trig, t7, typ AS message_type, t7[1:4] || '-' || t7[5:6] || '-' || t7[7:8] AS message_date, 'now' AS insert_time FROM m"))
 def wh_daily_distinct_load(spark, d):
     rows = headers(spark, d).select(F.replace("type9", F.lit("^"), F.lit("")).alias("trig"), "t7")
-    return feeds.daily_distinct_load(rows.unionByName(rows), "trig", "t7", "now")
+    return feeds.daily_distinct_load(rows.unionByName(rows), "trig", "t7", "now").withColumn("message_date", F.col("message_date").cast("string"))
 
 
 def _staged(spark, d):
@@ -387,9 +387,9 @@ def wh_incremental_staging(spark, d):
     return feeds.incremental_staging(_staged(spark, d), "19950101", "199503", ["F01"], ["cls"]).select("msg_id")
 
 
-@query("wh_watermark_dates", sql("SELECT msg_id, strptime(t7[1:8], '%Y%m%d')::DATE - 3 AS since FROM m"))
+@query("wh_watermark_dates", sql("SELECT msg_id, strftime(strptime(t7[1:8], '%Y%m%d') - INTERVAL 3 DAY, '%Y-%m-%d') AS since FROM m"))
 def wh_watermark_dates(spark, d):
-    return headers(spark, d).select("msg_id", feeds.watermark_date(F.col("t7")).alias("since"))
+    return headers(spark, d).select("msg_id", feeds.watermark_date(F.col("t7")).cast("string").alias("since"))
 
 
 @query("wh_control_offset", sql("SELECT typ AS job, CASE WHEN typ = 'ADT' THEN '99999999' ELSE max(t7) END AS offset, CASE WHEN typ = 'ADT' THEN 'DELAYED' ELSE 'DONE' END AS status FROM m GROUP BY 1"))
@@ -416,7 +416,7 @@ def wh_facility_reference(spark, d):
     return feeds.facility_reference(fac, loc).drop("active")
 
 
-@query("wh_schema_from_templates", "SELECT p_brand AS seg, string_agg(path, '^' ORDER BY at) AS model FROM (SELECT p_brand, CASE WHEN p_size = 1 THEN '_' ELSE '' END || p_size AS path, min(p_partkey) AS at FROM part WHERE p_size <> 2 GROUP BY p_brand, p_size) WHERE p_brand <> 'Brand#11' GROUP BY 1")
+@query("wh_schema_from_templates", "SELECT p_brand AS seg, string_agg(path, '^' ORDER BY ord) AS model FROM (SELECT p_brand, CASE WHEN p_size = 1 THEN '_' ELSE '' END || p_size AS path, min(p_partkey) AS ord FROM part WHERE p_size <> 2 GROUP BY p_brand, p_size) WHERE p_brand <> 'Brand#11' GROUP BY 1")
 def wh_schema_from_templates(spark, d):
     rows = table(spark, d, "part").select(F.lit("STD").alias("tpl"), F.col("p_partkey").alias("pos"), F.col("p_brand").alias("seg"), F.col("p_size").cast("string").alias("field"), F.lit("").alias("comp"))
     return feeds.schema_from_templates(rows, local(spark, [("STD", 0)], "tpl string, tpl_pos int"), ["Brand#11"], ["2"], ["1"])

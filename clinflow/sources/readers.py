@@ -65,7 +65,7 @@ def reference_table(spark: SparkSession, path: str, kind: str) -> DataFrame:
     parts = F.split("value", ",", -1)
     if kind == "set":
         return lines.select("pos", F.trim(F.get(parts, F.lit(0))).alias("key"), F.trim(F.coalesce(F.get(parts, F.lit(1)), F.lit(""))).alias("value"))
-    return lines.select(F.trim(F.get(parts, F.lit(0))).alias("key"), F.transform(F.slice(parts, 2, F.size(parts)), F.trim).alias("names"))
+    return lines.select(F.trim(F.get(parts, F.lit(0))).alias("key"), F.transform(F.slice(parts, 2, F.size(parts)), lambda x: F.trim(x)).alias("names"))
 
 
 def template_tables(spark: SparkSession, index: dict[str, str]) -> DataFrame:

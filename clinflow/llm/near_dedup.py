@@ -4,10 +4,11 @@ Two collections of M half keys (T minima each) are computed for a text, 2 M T mi
 the first and one of the second collection is the key of one of M x M tables. Texts with similarity s share a table with
 probability (1 - (1 - s^T)^M)^2: with M = 9 and T = 2 that is 0.9998 at 0.8.
 
-Texts with equal shingle sets are one node. In a table's bucket nodes are held against the bucket's leader on their full
-sets; what is linked becomes one component, and in the next rounds only buckets with several components are looked at.
-At last all pairs of nodes of a bucket that are of different components are verified, so no pair that shares a bucket and
-could join two components is left out. Components are found by contraction in Spark joins.
+Texts with equal shingle sets are one node. The leader of a bucket is the node that meets most nodes in all tables; a
+leader's canopy is the nodes of the buckets that it leads, so two nodes of a bucket have a canopy in common. Canopies
+are cut into blocks, and each pair of blocks is a task of bounded size: there nodes are held against each other on their
+full sets, except those that are linked already through others, and only what links them goes on. Components are found
+by contraction in Spark joins.
 
 Texts without words have no shingle and are linked with nothing. Null text is such a text. A null id takes part in links;
 a component's id is its smallest id (null if it has none). Rows that repeat, or share a shingle set, are in one
@@ -28,7 +29,9 @@ from clinflow.llm.shingles import MinHash, Shingler
 
 by_value(__name__)
 
-M, T, ROUNDS = 9, 2, 3
+M, T = 9, 2
+#: Nodes of a canopy in a block.
+BLOCK = 192
 #: Rows (two longs each) that a broadcast side may have here.
 KEYS = 2_000_000
 
@@ -73,102 +76,78 @@ def _keys(m: int) -> Column:
     return F.flatten(F.transform(first, lambda i: F.transform(second, lambda j: F.xxhash64(i, j, F.element_at("halves", i), F.element_at("halves", j)))))
 
 
-def similar(n: Column, n2: Column, common: Column, percent: int) -> Column:
-    return 100 * common >= percent * (n + n2 - common)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(x, y) to (node, label): each node of an edge with the smallest node that it is connected with."""
     edges = cut(edges.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
-    labels = None
+    labels = edges.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("label", F.col("node"))
     while not edges.isEmpty():
-        # every node points at its smallest neighbour, if that is smaller; then pointers are followed
+        # every node points at its smallest neighbour, if that is smaller; pointers are followed once, and edges move to where they lead
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        to = both.groupBy("x").agg(F.min("y").alias("p")).select("x", F.least("x", "p").alias("p"))
-        for _ in range(2):
-            to = cut(to)
-            up = to.select(F.col("x").alias("p"), F.col("p").alias("q"))
-            to = to.join(up, "p", "left").select("x", F.coalesce("q", "p").alias("p"))
-        to = cut(to)
-        if labels is None:
-            labels = to.select(F.col("x").alias("node"), F.col("p").alias("label"))
-        else:
-            step = to.select(F.col("x").alias("label"), "p")
-            labels = cut(labels.join(step, "label", "left").select("node", F.coalesce("p", "label").alias("label")))
+        to = cut(both.groupBy("x").agg(F.min("y").alias("p")).select("x", F.least("x", "p").alias("p")))
+        up = to.select(F.col("x").alias("p"), F.col("p").alias("q"))
+        to = cut(to.join(up, "p").select("x", F.col("q").alias("p")))
+        labels = cut(labels.join(to.select(F.col("x").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")))
         a, b = to.select("x", F.col("p").alias("px")), to.select(F.col("x").alias("y"), F.col("p").alias("py"))
         moved = edges.join(a, "x").join(b, "y").select(F.greatest("px", "py").alias("x"), F.least("px", "py").alias("y"))
         edges = cut(moved.filter("x <> y").distinct())
-    return labels if labels is not None else edges.select(F.col("x").alias("node"), F.col("y").alias("label"))
-
-
-class _Links:
-    """The links found so far, the components they make, and the pairs that were held against each other."""
-
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent = sets, percent
-        self.edges: DataFrame | None = None
-        self.tried: DataFrame | None = None
-        self.labels: DataFrame | None = None
-
-    def verify(self, pairs: DataFrame) -> None:
-        """Hold pairs (x > y) against each other on their full sets; link those that are similar."""
-        if self.tried is not None:
-            pairs = pairs.join(self.tried, ["x", "y"], "left_anti")
-        pairs = cut(pairs)
-        a = self.sets.select(F.col("node").alias("x"), F.col("n").alias("nx"), F.col("set").alias("sx"))
-        b = self.sets.select(F.col("node").alias("y"), F.col("n").alias("ny"), F.col("set").alias("sy"))
-        common = F.size(F.array_intersect("sx", "sy"))
-        found = pairs.join(b, "y").join(a, "x").filter(similar(F.col("nx"), F.col("ny"), common, self.percent)).select("x", "y")
-        found = cut(found)
-        self.tried = pairs if self.tried is None else self.tried.unionByName(pairs)
-        if self.edges is None:
-            self.edges, self.labels = found, components(found)
-        elif not found.isEmpty():
-            self.edges = self.edges.unionByName(found)
-            self.labels = components(self.edges)
-
-    def labelled(self, buckets: DataFrame) -> DataFrame:
-        """Rows (key, node, n, label) of the buckets that hold several components."""
-        if self.labels is None:
-            return buckets.withColumn("label", F.col("node"))
-        rows = buckets.join(self.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        several = rows.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l <> h").select("key")
-        return rows.join(several, "key", "left_semi")
+    return labels
+
+
+def _links(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """(node, smallest node of its component) of what is linked; every pair of different components has been held against each other."""
+    size = np.array([len(x) for x in sets])
+    label = np.arange(len(nodes))
+    waiting = np.ones(len(nodes), bool)
+    for p in range(len(nodes)):
+        waiting[p] = False
+        others = np.flatnonzero(waiting & (label != label[p]) & (100 * np.minimum(size, size[p]) >= percent * np.maximum(size, size[p])))
+        if not len(others):
+            continue
+        flat = np.concatenate([sets[i] for i in others])
+        at = np.minimum(np.searchsorted(sets[p], flat), size[p] - 1)
+        common = np.add.reduceat(sets[p][at] == flat, np.cumsum([0, *size[others[:-1]]]), dtype=np.int64)
+        near = others[100 * common >= percent * (size[others] + size[p] - common)]
+        if len(near):
+            label[np.isin(label, label[near])] = label[p]
+    least = {k: int(nodes[label == k].min()) for k in np.unique(label).tolist()}
+    return [(int(x), least[k]) for x, k in zip(nodes, label.tolist(), strict=True) if least[k] != x]
+
+
+def _verify(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        nodes = group.column("node").to_numpy()
+        sets = [x.values.to_numpy().view(np.uint64) for x in group.column("set")]  # sorted as unsigned numbers
+        found = _links(nodes, sets, percent)
+        return pa.table({"x": pa.array([a for a, _ in found], pa.int64()), "y": pa.array([b for _, b in found], pa.int64())})
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2, percent: int = 80, m: int = M, t: int = T) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, kept."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed = cut(texts.mapInArrow(_signatures(width, m, t), "doc_id long, n long, k1 long, k2 long, halves array<long>"))
-    nodes = signed.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("halves").alias("halves"))
+    nodes = signed.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves"))
     nodes = cut(nodes).withColumn("node", F.monotonically_increasing_id())
     rows = nodes.select("node", F.explode(_keys(m)).alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    buckets = cut(rows.join(measured(cut(shared), KEYS), "key", "left_semi"))
-    inside = cut(buckets.select("node").distinct().join(nodes.select("node", "id", "k1", "k2", "n"), "node"))
-    buckets = cut(buckets.join(inside.select("node", F.col("n")), "node"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    buckets = cut(rows.join(measured(cut(shared), KEYS), "key"))
+    meets = buckets.groupBy("node").agg(F.sum("c").alias("meets"))
+    leads = buckets.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("lead"))
+    canopies = cut(buckets.join(leads, "key").select("lead", "node").distinct())
     # full sets of the nodes that share a bucket, from the text of a document each
+    inside = cut(canopies.select("node").distinct().join(nodes.select("node", "id", "k1", "k2"), "node"))
     wanted = measured(inside.select(F.col("id").alias("doc_id")))
     raw = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text").mapInArrow(_full_sets(width), "k1 long, k2 long, set array<long>")
-    sets = cut(raw.join(inside, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "n", "set"))
-    links = _Links(sets, percent)
-    enough = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)  # noqa: E731  else no sets of these sizes are similar
-    for k in range(ROUNDS):
-        live = links.labelled(buckets)
-        first = live.groupBy("key").agg(F.min(F.struct("label", "node", "n")).alias("lead"))
-        pairs = live.join(first, "key").filter((F.col("label") != F.col("lead.label")) & enough(F.col("n"), F.col("lead.n")))
-        pairs = pairs.select(F.greatest("node", "lead.node").alias("x"), F.least("node", "lead.node").alias("y"), "node")
-        if links.tried is not None:
-            pairs = pairs.join(links.tried, ["x", "y"], "left_anti")
-        # one leader a round for each node: that which it meets in most buckets
-        pairs = pairs.groupBy("node", "x", "y").agg(F.count(F.lit(1)).alias("c")).groupBy("node").agg(F.max(F.struct("c", "x", "y")).alias("best"))
-        links.verify(pairs.select("best.x", "best.y").distinct())
-    live = cut(links.labelled(buckets))
-    a, b = live.select("key", F.col("node").alias("x"), F.col("label").alias("lx"), F.col("n").alias("nx")), live.select("key", F.col("node").alias("y"), F.col("label").alias("ly"), F.col("n").alias("ny"))
-    rest = a.join(b, "key").filter((F.col("x") > F.col("y")) & (F.col("lx") != F.col("ly")) & enough(F.col("nx"), F.col("ny")))
-    links.verify(rest.select("x", "y").distinct())
-    named = nodes.select("node", "id", "k1", "k2").join(links.labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = cut(named)
+    sets = cut(raw.join(inside, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "set"))
+    blocks = canopies.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.hash("node"), F.col("blocks"))
+    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("own")))
+    placed = canopies.join(blocks, "lead").withColumn("own", own).select("lead", "node", "own", F.explode(other).alias("other"))
+    placed = placed.select("lead", "node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+    edges = placed.join(sets, "node").groupBy("lead", "a", "b").applyInArrow(_verify(percent), "x long, y long")
+    named = nodes.select("node", "id", "k1", "k2").join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = cut(named.select("label", "id", "k1", "k2"))
     heads = named.groupBy("label").agg(F.min("id").alias("component_id"))
     by_set = named.join(heads, "label").select("k1", "k2", "component_id")
     full = signed.filter("n > 0").select("doc_id", "n", "k1", "k2").join(by_set, ["k1", "k2"])

@@ -58,13 +58,13 @@ SETS = 64
 
 
 def _and(a, b):
-    return b if a is True else a if b is True else ("and", a, b)
+    return b if a is True else a if b is True or a == b else ("and", a, b)
 
 
 def _or(parts: list):
     if any(x is True for x in parts):
         return True
-    return parts[0] if len(set(parts)) == 1 else ("or", *dict.fromkeys(parts))
+    return parts[0] if len(set(parts)) == 1 else ("or", *sorted(set(parts), key=str))
 
 
 def _strings(found: set[str]):

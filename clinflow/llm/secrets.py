@@ -18,6 +18,7 @@ import re._parser as parser
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -195,8 +196,6 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = l
 
 def redacted(docs: DataFrame, mark: str = "<SECRET>", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; a null text stays null."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
         finds = [(r, re.compile(r.pattern).finditer) for r in rules]

@@ -261,7 +261,11 @@ def did_file_by_crosswalk(spark, d):
 
 
 @query("did_leak_scan", """SELECT doc_id, kind, match FROM (SELECT doc_id, 'email' AS kind, unnest(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,6}')) AS match FROM documents
-  UNION ALL SELECT doc_id, 'phone_paren', unnest(regexp_extract_all(text, '\\([0-9]{3}\\) ?[0-9]{3}-[0-9]{4}')) FROM documents)""")
+  UNION ALL SELECT doc_id, 'phone_paren', unnest(regexp_extract_all(text, '\\([0-9]{3}\\) ?[0-9]{3}-[0-9]{4}')) FROM documents
+  UNION ALL SELECT doc_id, CASE WHEN regexp_full_match(run, '[0-9]{3}-[0-9]{2}-[0-9]{4}') THEN 'ssn_dash' ELSE 'phone_dash' END, run FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9-]+')) AS run FROM documents) WHERE regexp_full_match(run, '[0-9]{3}-([0-9]{2}|[0-9]{3})-[0-9]{4}')
+  UNION ALL SELECT doc_id, 'phone_dot', run FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9.]+')) AS run FROM documents) WHERE regexp_full_match(run, '[0-9]{3}\\.[0-9]{3}\\.[0-9]{4}')
+  UNION ALL SELECT doc_id, 'phone_plain', run FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9]+')) AS run FROM documents) WHERE strlen(run) = 10
+  UNION ALL SELECT doc_id, 'ssn_blank', run[1:11] FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[0-9 ]+')) AS run FROM documents) WHERE regexp_matches(run, '^[0-9]{3} [0-9]{2} [0-9]{4}( |$)'))""")
 def did_leak_scan(spark, d):
     return deid.leak_scan(table(spark, d, "documents"), "doc_id", "text")
 

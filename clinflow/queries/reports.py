@@ -130,6 +130,15 @@ def did_field_policy(spark, d):
     return deid.field_policy(table(spark, d, "customer").select(F.col("c_mktsegment").alias("field"), asked.alias("operation")).distinct())
 
 
+def _keyed(below: int, *values: str, salt: str = "salt") -> str:
+    """SQL of a number below ``below`` from a salted SHA-256."""
+    return f"(('0x' || sha256({' || chr(31) || '.join([repr(salt), *values])})[1:12])::BIGINT % {below})"
+
+
+def _identifier(c: str) -> str:
+    return f"array_to_string([CASE WHEN regexp_matches({c}[i + 1], '[0-9]') THEN {c}[i + 1] ELSE {_keyed(10, c, 'i')}::VARCHAR END FOR i IN range(0, length({c}))], '')"
+
+
 def _walk(spark, d):
     return table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("row_key"), F.upper("c_mktsegment").alias("prio"), F.when(F.expr("c_custkey % 4 = 0"), "").otherwise("Z").alias("status"))
 
@@ -143,7 +152,11 @@ def did_crosswalk_lookup(spark, d):
     return deid.crosswalk_lookup(_orders(spark, d), _walk(spark, d), ["o_custkey"], ["prio", "status"]).select("o_orderkey", "new_prio", "new_status")
 
 
-@query("did_random_donor")
+_DONOR = f"""SELECT c_custkey, o.n_name AS name, CASE WHEN a.n_name <> o.n_name THEN a.n_name WHEN b.n_name <> o.n_name THEN b.n_name ELSE {_identifier("o.n_name")} END AS new_name
+  FROM customer JOIN nation o ON o.n_nationkey = c_nationkey LEFT JOIN nation a ON a.n_nationkey = {_keyed(25, "c_custkey", "'name'")} LEFT JOIN nation b ON b.n_nationkey = {_keyed(25, "c_custkey", "'name'", salt="salt+")}"""
+
+
+@query("did_random_donor", _DONOR)
 def did_random_donor(spark, d):
     donors = table(spark, d, "nation").select(F.col("n_nationkey").alias("pos"), F.col("n_name").alias("name"))
     rows = table(spark, d, "customer").join(donors.withColumnRenamed("pos", "c_nationkey"), "c_nationkey").select("c_custkey", "name")
@@ -155,12 +168,15 @@ def did_anonymize(spark, d):
     return deid.anonymize(table(spark, d, "customer").select("c_custkey", "c_name"), ["c_name"])
 
 
-@query("did_identifier")
+@query("did_identifier", sql(f"SELECT msg_id, mrn, {_identifier('mrn')} AS new_mrn FROM m"))
 def did_identifier(spark, d):
     return headers(spark, d).select("msg_id", "mrn", scrub.identifier(F.col("mrn"), "salt").alias("new_mrn"))
 
 
-@query("did_ssn_jitter")
+_JITTER = f"CASE WHEN try_cast(ssn[i + 1] AS INT) + {_keyed(9, 'ssn', 'i')} < 10 THEN (ssn[i + 1]::INT + {_keyed(9, 'ssn', 'i')})::VARCHAR ELSE ssn[i + 1] END"
+
+
+@query("did_ssn_jitter", sql(f"SELECT msg_id, ssn, array_to_string([{_JITTER} FOR i IN range(0, length(ssn))], '') AS new_ssn FROM m"))
 def did_ssn_jitter(spark, d):
     return headers(spark, d).select("msg_id", "ssn", scrub.ssn_jitter(F.col("ssn"), "salt").alias("new_ssn"))
 
@@ -188,7 +204,10 @@ def did_date_shift(spark, d):
     return table(spark, d, "events").select("event_id", shift("yyyyMMddHHmmss", "s14"), shift("yyyyMMddHHmm", "s12"), shift("yyyyMMdd", "s8"), scrub.date_shift(F.lit("20240230")).alias("bad"))
 
 
-@query("did_birth_date")
+_BORN = f"greatest(o_orderdate::DATE, DATE '1935-06-01') - to_months({_keyed(12, 'o_custkey', chr(39) + 'm' + chr(39))}::INT) - to_days({_keyed(28, 'o_custkey', chr(39) + 'd' + chr(39))}::INT)"
+
+
+@query("did_birth_date", f"SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS born, o_custkey::VARCHAR AS k, strftime({_BORN}, '%Y%m%d') AS moved FROM orders")
 def did_birth_date(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("born"), F.col("o_custkey").cast("string").alias("k"))
     return rows.withColumn("moved", scrub.birth_date(F.col("born"), F.col("k"), "salt", F.lit("2024-06-01").cast("date")))
@@ -270,7 +289,7 @@ def did_leak_scan(spark, d):
     return deid.leak_scan(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query("did_message")
+@query("did_message", sql(f"SELECT msg_id, {_identifier('mrn')} AS mrn, '' AS ssn, strftime(strptime(t7, '%Y%m%d%H%M') {_MOVED}, '%Y%m%d%H%M') AS t7, prio, 'seen  today' AS note FROM m"))
 def did_message(spark, d):
     rows = headers(spark, d).withColumns({"note": F.concat(F.lit("seen "), "ssn", F.lit(" today")), "ts": F.struct("t7", "msg_id")})
     policy = {"mrn": "DE_ID", "ssn": "ANONYMIZE", "t7": "DATE", "prio": "NONE"}
@@ -426,7 +445,10 @@ def wh_schema_from_templates(spark, d):
     return feeds.schema_from_templates(rows, local(spark, [("STD", 0)], "tpl string, tpl_pos int"), ["Brand#11"], ["2"], ["1"])
 
 
-@query("wh_table_ddl")
+_COLUMNS = "['etl_firstinsert_datetime', 'field_seq_num', 'sending_facility', 'message_control_id', 'medical_record_num', 'medical_record_urn', 'patient_account_num', 'a_b', 'c', 'message_type', 'transaction_date']"
+
+
+@query("wh_table_ddl", f"SELECT seg, (generate_subscripts({_COLUMNS}, 1) - 1)::INT AS pos, unnest({_COLUMNS}) AS \"column\" FROM (SELECT DISTINCT p_brand AS seg FROM part)")
 def wh_table_ddl(spark, d):
     models = table(spark, d, "part").select("p_brand").distinct().select(F.col("p_brand").alias("seg"), F.lit("a|b^c").alias("model"))
     columns = feeds.table_ddl({"X": "a|b^c"})["X"]
@@ -447,7 +469,7 @@ def _pair(spark, d):
     return c.withColumn("c_name", F.when(F.expr("c_custkey % 5 = 0"), "changed").otherwise(F.col("c_name"))), c.filter("c_custkey % 7 <> 0").drop("c_mktsegment")
 
 
-@query("cmp_tables")
+@query("cmp_tables", "SELECT v.*, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('cand_extra', NULL, 'NO_TABLE'), ('cand_orders', 'ref_orders', 'FOUND')) v(candidate, reference, status)")
 def cmp_tables(spark, d):
     a = {"cand_orders": table(spark, d, "orders"), "cand_extra": table(spark, d, "nation")}
     found = feeds.cmp_tables(a, {"ref_orders": table(spark, d, "orders")})

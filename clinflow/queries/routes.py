@@ -60,7 +60,7 @@ def family_pairs(spark, d):
     return readers.family_pairs(store, ["c_name"], ["c_mktsegment"]).select("row_key", F.col("original.c_name").alias("original"), F.col("replacement.c_mktsegment").alias("replacement"))
 
 
-@query("src_random_donors")
+@query("src_random_donors", "SELECT c_custkey::VARCHAR AS row_key, c_name, c_mktsegment FROM customer ORDER BY sha256('7' || chr(31) || c_custkey), row_key LIMIT 100")
 def random_donors(spark, d):
     store = table(spark, d, "customer").withColumn("row_key", F.col("c_custkey").cast("string"))
     return readers.random_donors(store, 100, 7).select("row_key", "c_name", "c_mktsegment")

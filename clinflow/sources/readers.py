@@ -136,7 +136,7 @@ def family_pairs(store: DataFrame, first: list[str], second: list[str]) -> DataF
 
 def random_donors(store: DataFrame, n: int, seed: int) -> DataFrame:
     """``n`` rows, the same for the same seed."""
-    return store.orderBy(F.xxhash64("row_key", F.lit(seed)), "row_key").limit(n)
+    return store.orderBy(F.sha2(F.concat_ws("\x1f", F.lit(str(seed)), "row_key"), 256), "row_key").limit(n)
 
 
 def roster(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinflow.operators.routing import keyed_upsert
+from clinflow.sources.readers import positional
 
 ZONE = ["landing_zone", "message_type", "transaction_date"]
 
@@ -37,6 +38,11 @@ def parquet_dynamic(df: DataFrame, path: str, parts: list[str]) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").partitionBy(*parts).parquet(path)
 
 
+def replace_staging(spark: SparkSession, export: str, target: str, cols: list[str]) -> None:
+    """A staging table becomes what a pipe-delimited export holds; what it held before goes."""
+    positional(spark.read.text(export), cols).write.mode("overwrite").parquet(target)
+
+
 def upsert_stream(stream: DataFrame, path: str, checkpoint: str, keys: list[str], attrs: list[str], ts: str, buckets: int = 16) -> StreamingQuery:
     """A keyed store as parquet, one writer: each batch rewrites the buckets of keys that it touches."""
 

@@ -10,6 +10,8 @@ windows are formed; where they are too many for a broadcast, the join is a shuff
 Null text has no words; an item without words has no window; an item with a null id can't be named and is left out.
 Items of one id count once. Rows that repeat give a row each. An empty table of documents gives an empty result, one of
 items gives no hit. Columns other than id and text are not read.
+
+What is found leaves with its document (drop_contaminated) or is taken out of it (remove_spans).
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ WIDTH, GRAM = 13, 4
 GRAMS, WINDOWS = 50_000, 300_000
 #: Fixed value: a word.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A to Z are lowered.
+CASED = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
@@ -98,3 +102,37 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) ->
     judged = docs.select(F.sha2(text, 256).alias("doc_id"), F.col("text"))
     bad = cut(hits(judged, items, width).withColumn("n_hit", covered(F.col("spans"))).filter("n_hit > 0 and 20 * n_hit >= n_words").select(F.col("doc_id").alias("__sha")).distinct())
     return docs.withColumn("__sha", F.sha2(text, 256)).join(measured(bad, WINDOWS), "__sha", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def merged(spans: Column) -> Column:
+    """array of (a, b): spans sorted by start as ranges of words, b exclusive; those that touch or overlap are one."""
+    begin = F.array().cast("array<struct<a:int,b:int>>")
+
+    def add(done: Column, x: Column) -> Column:
+        last, end = F.try_element_at(done, F.lit(-1)), x["at"] + x["size"]
+        longer = F.struct(last["a"].alias("a"), F.greatest(last["b"], end).alias("b"))
+        grown = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))
+        return F.when(F.coalesce(last["b"] >= x["at"], F.lit(False)), grown).otherwise(F.concat(done, F.array(F.struct(x["at"].alias("a"), end.alias("b")))))
+
+    return F.aggregate(spans, begin, add)
+
+
+def without(text: Column, ranges: Column) -> Column:
+    """``text`` without the words in sorted ranges that don't touch; what stands before such a word goes with it."""
+    words, gaps = F.regexp_extract_all(text, F.lit(CASED), F.lit(0)), F.split(text, CASED, -1)
+    units = F.zip_with(F.slice(gaps, F.lit(1), F.size(words)), words, lambda gap, word: F.concat(gap, word))
+    starts = F.concat(F.array(F.lit(0)), F.transform(ranges, lambda r: r["b"]))
+    ends = F.concat(F.transform(ranges, lambda r: r["a"]), F.array(F.size(words)))
+    kept = F.zip_with(starts, ends, lambda a, b: F.array_join(F.slice(units, a + 1, b - a), ""))
+    return F.concat(F.array_join(kept, ""), F.element_at(gaps, -1))
+
+
+def remove_spans(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` with the words inside windows of test items taken out of ``text``; same rows and columns, a null text stays null."""
+    text = text_or_empty()
+    judged = docs.select(F.sha2(text, 256).alias("doc_id"), F.col("text"))
+    found = hits(judged, items, width).filter("size(spans) > 0").select(F.col("doc_id").alias("__sha"), merged(F.col("spans")).alias("__ranges"))
+    found = cut(found.groupBy("__sha").agg(F.first("__ranges").alias("__ranges")))  # equal texts have equal ranges
+    rows = docs.withColumn("__sha", F.sha2(text, 256)).join(measured(found, WINDOWS), "__sha", "left")
+    clean = F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(without(F.col("text"), F.col("__ranges"))).alias("text")
+    return rows.select(*[clean if c == "text" else F.col(f"`{c}`") for c in docs.columns])

@@ -223,3 +223,21 @@ def test_unknown_names(spark):
     named = naming.name_elements(el, spark.createDataFrame([("STD", "MSH.4.1", ["fac"])], "tpl string, elem_key string, names array<string>"), src)
     assert "ZZZ.1.1" in naming.unknown_mapping(named).first().missing_keys
     assert {r.name for r in named.filter("seg = 'MSH' and field = 4").collect()} == {"fac"}
+
+
+def test_jdbc_round_trip(spark, tmp_path):
+    # one JVM holds both the database and the tasks here
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    rows = synth.table(spark, SF, "customer").select("c_custkey", "c_acctbal")
+    for part in (rows.filter("c_custkey % 2 = 0"), rows.filter("c_custkey % 2 = 1")):  # the second load is added to the first
+        sinks.jdbc_batch(part, url, "customers", 10, driver="org.apache.derby.jdbc.EmbeddedDriver")
+    got = readers.jdbc_query(spark, url, 'SELECT "c_custkey", "c_acctbal" FROM customers', driver="org.apache.derby.jdbc.EmbeddedDriver")
+    assert got.count() == rows.count() and got.exceptAll(rows).isEmpty()
+
+
+def test_replace_staging(spark, tmp_path):
+    target, export = f"file://{tmp_path}/target", f"file://{tmp_path}/export"
+    spark.createDataFrame([("old", "x")], "a string, b string").write.parquet(target)
+    spark.createDataFrame([("1|",), ("2|y",), ("",)], "value string").write.text(export)
+    sinks.replace_staging(spark, export, target, ["a", "b"])
+    assert sorted((r.a, r.b) for r in spark.read.parquet(target).collect()) == [("", ""), ("1", ""), ("2", "y")]

@@ -113,7 +113,8 @@ def extract_requests(lines: list[str]) -> list[ExtractSpec]:
 
 
 def hive_tables(spark: SparkSession, db: str) -> dict[str, DataFrame]:
-    return {t.name: spark.table(f"{db}.{t.name}") for t in spark.catalog.listTables(db)}
+    """The tables of a database by name; the catalog also lists the session's temporary views, which are in no database."""
+    return {t.name: spark.table(f"{db}.{t.name}") for t in spark.catalog.listTables(db) if not t.isTemporary}
 
 
 def jdbc_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:

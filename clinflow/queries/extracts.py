@@ -238,24 +238,24 @@ def _placed(spark, d):
     return headers(spark, d).select("msg_id", F.col("fac").alias("facility"), F.col("cls").alias("location"))
 
 
-_FAC = "nation ON fac = 'F' || lpad(n_nationkey::VARCHAR, 2, '0') AND n_nationkey % 5 <> 4"
+_FAC = "nation ON fac = 'F' || lpad(n_nationkey::VARCHAR, 2, '0') AND n_regionkey <> 4"
 
 
 @query("enr_facility", sql(f"SELECT msg_id, fac AS facility, cls AS location, 'C' || n_nationkey AS coid, 'R' || n_regionkey AS network, n_name AS description FROM m LEFT JOIN {_FAC}"))
 def enr_facility(spark, d):
-    return enrich.facility(_placed(spark, d), _reference(spark, d).filter("pos % 5 <> 4"))
+    return enrich.facility(_placed(spark, d), _reference(spark, d).filter("network <> 'R4'"))
 
 
 @query("enr_facility_crossref", sql(f"SELECT msg_id, CASE WHEN fac = 'F03' AND cls = 'I' THEN 'F99' ELSE fac END AS facility, cls AS location, CASE WHEN fac = 'F03' AND cls = 'I' THEN 'C99' ELSE 'C' || n_nationkey END AS coid, CASE WHEN fac = 'F03' AND cls = 'I' THEN 'R9' ELSE 'R' || n_regionkey END AS network, n_name AS description FROM m LEFT JOIN {_FAC}"))
 def enr_facility_crossref(spark, d):
     cross = local(spark, [("F03", "I", "C99", "F99", "R9")], "facility string, location string, new_coid string, new_facility string, new_network string")
-    return enrich.facility_crossref(enrich.facility(_placed(spark, d), _reference(spark, d).filter("pos % 5 <> 4")), cross)
+    return enrich.facility_crossref(enrich.facility(_placed(spark, d), _reference(spark, d).filter("network <> 'R4'")), cross)
 
 
-@query("enr_patient_fill", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND c_custkey % 2 = 0 THEN c_mktsegment WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END AS status FROM orders JOIN customer ON o_custkey = c_custkey")
+@query("enr_patient_fill", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' AND c_acctbal > 0 THEN c_mktsegment WHEN o_orderstatus = 'P' THEN '' ELSE o_orderstatus END AS status FROM orders JOIN customer ON o_custkey = c_custkey")
 def enr_patient_fill(spark, d):
     rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "P", "").otherwise(F.col("o_orderstatus")).alias("status"))
-    store = table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("row_key"), "c_mktsegment")
+    store = table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("row_key"), "c_mktsegment")
     return enrich.patient_fill(rows, store, "o_custkey", {"status": "c_mktsegment"}).select("o_orderkey", "status")
 
 

@@ -41,7 +41,7 @@ def aud_meta(spark, d):
 
 
 def _rejects(spark, d):
-    rows = meta(spark, d).filter("msg_id % 101 = 0").withColumns({"reject_reason": F.lit("blank control id"), "raw": F.col("facility")})
+    rows = meta(spark, d).filter(F.col("control_id") == parse.NO_CONTROL).withColumns({"reject_reason": F.lit("blank control id"), "raw": F.col("facility")})
     return audit.rejects(rows, "RAW", as_of())
 
 
@@ -140,14 +140,14 @@ def _identifier(c: str) -> str:
 
 
 def _walk(spark, d):
-    return table(spark, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("row_key"), F.upper("c_mktsegment").alias("prio"), F.when(F.expr("c_custkey % 4 = 0"), "").otherwise("Z").alias("status"))
+    return table(spark, d, "customer").filter("c_acctbal > 0").select(F.col("c_custkey").cast("string").alias("row_key"), F.upper("c_mktsegment").alias("prio"), F.when(F.expr("c_custkey % 4 = 0"), "").otherwise("Z").alias("status"))
 
 
 def _orders(spark, d):
     return table(spark, d, "orders").select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("prio"), F.col("o_orderstatus").alias("status"))
 
 
-@query("did_crosswalk_lookup", "SELECT o_orderkey, CASE WHEN o_custkey % 2 = 0 THEN upper(c_mktsegment) END AS new_prio, CASE WHEN o_custkey % 4 = 2 THEN 'Z' END AS new_status FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
+@query("did_crosswalk_lookup", "SELECT o_orderkey, CASE WHEN c_acctbal > 0 THEN upper(c_mktsegment) END AS new_prio, CASE WHEN c_acctbal > 0 AND o_custkey % 4 <> 0 THEN 'Z' END AS new_status FROM orders LEFT JOIN customer ON o_custkey = c_custkey")
 def did_crosswalk_lookup(spark, d):
     return deid.crosswalk_lookup(_orders(spark, d), _walk(spark, d), ["o_custkey"], ["prio", "status"]).select("o_orderkey", "new_prio", "new_status")
 
@@ -274,7 +274,7 @@ def did_id_map(spark, d):
     return deid.id_map(headers(spark, d).withColumn("ssn", F.substring("ssn", 1, 3)), "fac", "ssn", "salt")
 
 
-@query("did_file_by_crosswalk", "SELECT o_orderkey, o_custkey, upper(c_mktsegment) AS prio, CASE WHEN o_custkey % 4 = 0 THEN o_orderstatus ELSE 'Z' END AS status FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_custkey % 2 = 0")
+@query("did_file_by_crosswalk", "SELECT o_orderkey, o_custkey, upper(c_mktsegment) AS prio, CASE WHEN o_custkey % 4 = 0 THEN o_orderstatus ELSE 'Z' END AS status FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0")
 def did_file_by_crosswalk(spark, d):
     return deid.file_by_crosswalk(_orders(spark, d), _walk(spark, d), "o_custkey", ["prio", "status"])
 
@@ -432,10 +432,10 @@ def wh_backfill_passthrough(spark, d):
     return feeds.backfill_passthrough(headers(spark, d), {"patient": "mrn"}, {"network": ""})
 
 
-@query("wh_facility_reference", "SELECT n_nationkey AS facility, s_name AS location FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_suppkey % 7 = 0 WHERE n_regionkey <> 2")
+@query("wh_facility_reference", "SELECT n_nationkey AS facility, s_name AS location FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 WHERE n_regionkey <> 2")
 def wh_facility_reference(spark, d):
     fac = table(spark, d, "nation").select(F.col("n_nationkey").alias("facility"), (F.col("n_regionkey") != 2).alias("active"))
-    loc = table(spark, d, "supplier").filter("s_suppkey % 7 = 0").select(F.col("s_nationkey").alias("facility"), F.col("s_name").alias("location"))
+    loc = table(spark, d, "supplier").filter("s_acctbal > 5000").select(F.col("s_nationkey").alias("facility"), F.col("s_name").alias("location"))
     return feeds.facility_reference(fac, loc).drop("active")
 
 
@@ -465,8 +465,9 @@ def wh_add_columns(spark, d):
 
 
 def _pair(spark, d):
-    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    return c.withColumn("c_name", F.when(F.expr("c_custkey % 5 = 0"), "changed").otherwise(F.col("c_name"))), c.filter("c_custkey % 7 <> 0").drop("c_mktsegment")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    reference = c.filter("c_acctbal > 0").drop("c_mktsegment", "c_acctbal")
+    return c.drop("c_acctbal").withColumn("c_name", F.when(F.expr("c_custkey % 5 = 0"), "changed").otherwise(F.col("c_name"))), reference
 
 
 @query("cmp_tables", "SELECT v.*, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('cand_extra', NULL, 'NO_TABLE'), ('cand_orders', 'ref_orders', 'FOUND')) v(candidate, reference, status)")
@@ -476,12 +477,12 @@ def cmp_tables(spark, d):
     return local(spark, found, "candidate string, reference string, status string").join(a["cand_orders"].agg(F.count(F.lit(1)).alias("rows")), F.lit(True))
 
 
-@query("cmp_rows", "SELECT c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'NO_DATA' ELSE 'MATCH' END AS status FROM customer")
+@query("cmp_rows", "SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'MATCH' ELSE 'NO_DATA' END AS status FROM customer")
 def cmp_rows(spark, d):
     return feeds.cmp_rows(*_pair(spark, d), "c_custkey")
 
 
-_CELLS = "SELECT c_custkey, 'c_name' AS \"column\", 'changed' AS got, c_name AS expected FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 7 <> 0 UNION ALL SELECT c_custkey, 'c_mktsegment', c_mktsegment, NULL FROM customer WHERE c_custkey % 7 <> 0"
+_CELLS = "SELECT c_custkey, 'c_name' AS \"column\", 'changed' AS got, c_name AS expected FROM customer WHERE c_custkey % 5 = 0 AND c_acctbal > 0 UNION ALL SELECT c_custkey, 'c_mktsegment', c_mktsegment, NULL FROM customer WHERE c_acctbal > 0"
 
 
 @query("cmp_columns", _CELLS)
@@ -489,7 +490,7 @@ def cmp_columns(spark, d):
     return feeds.cmp_columns(*_pair(spark, d), "c_custkey", [])
 
 
-@query("cmp_report", f"SELECT CASE WHEN c_custkey % 7 = 0 THEN 'NO_DATA' ELSE 'MATCH' END AS status, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT 'MISMATCH', count(*) FROM ({_CELLS})")
+@query("cmp_report", f"SELECT CASE WHEN c_acctbal > 0 THEN 'MATCH' ELSE 'NO_DATA' END AS status, count(*) AS n FROM customer GROUP BY 1 UNION ALL SELECT 'MISMATCH', count(*) FROM ({_CELLS})")
 def cmp_report(spark, d):
     a, b = _pair(spark, d)
     return feeds.cmp_report(feeds.cmp_rows(a, b, "c_custkey"), feeds.cmp_columns(a, b, "c_custkey", []))

@@ -48,9 +48,9 @@ def segment_models(spark, d):
     return readers.segment_models(every.unionByName(local(spark, [("ORU,OBX,v",)], "value string")), local(spark, [("ADT",), ("ORU",)], "type string"))
 
 
-@query("src_keyed_lookup", "SELECT o_orderkey, c_name AS found_c_name, c_mktsegment AS found_c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_custkey % 3 <> 0")
+@query("src_keyed_lookup", "SELECT o_orderkey, c_name AS found_c_name, c_mktsegment AS found_c_mktsegment FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0")
 def keyed_lookup(spark, d):
-    store = table(spark, d, "customer").filter("c_custkey % 3 <> 0").withColumn("row_key", F.col("c_custkey").cast("string"))
+    store = table(spark, d, "customer").filter("c_acctbal > 0").withColumn("row_key", F.col("c_custkey").cast("string"))
     return readers.keyed_lookup(table(spark, d, "orders"), store, ["o_custkey"], ["c_name", "c_mktsegment"]).select("o_orderkey", "found_c_name", "found_c_mktsegment")
 
 

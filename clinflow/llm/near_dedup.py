@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, cut, measured
+from clinflow.llm.common import by_value, cut, measured, text_or_empty
 from clinflow.llm.shingles import MinHash, Shingler
 
 by_value(__name__)
@@ -49,7 +49,8 @@ def _signatures(width: int, m: int, t: int):
                     k1[full], k2[full] = MinHash.names([sets[i] for i in full])
                     keys[full] = minhash.halves([sets[i] for i in full])
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).ravel()), 2 * m).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array([len(x) for x in sets], np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists], names=["doc_id", "n", "k1", "k2", "halves"])
+                further = batch.schema.names[2:]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array([len(x) for x in sets], np.int64)), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64)), lists, *batch.columns[2:]], names=["doc_id", "n", "k1", "k2", "halves", *further])
 
     return run
 
@@ -123,10 +124,9 @@ def _verify(percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2, percent: int = 80, m: int = M, t: int = T) -> DataFrame:
-    """One row for each row of ``docs``: id, n_shingles, component_id, kept."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = cut(texts.mapInArrow(_signatures(width, m, t), "doc_id long, n long, k1 long, k2 long, halves array<long>"))
+def _labelled(texts: DataFrame, width: int, percent: int, m: int, t: int, further: str = "") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, k1, k2 and the further columns, for each row of ``texts``; label, id, k1, k2 of each shingle set: its component and its smallest id)."""
+    signed = cut(texts.mapInArrow(_signatures(width, m, t), f"doc_id long, n long, k1 long, k2 long, halves array<long>{further}"))
     nodes = signed.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves"))
     nodes = cut(nodes).withColumn("node", F.monotonically_increasing_id())
     rows = nodes.select("node", F.explode(_keys(m)).alias("key"))
@@ -147,10 +147,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = placed.select("lead", "node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
     edges = placed.join(sets, "node").groupBy("lead", "a", "b").applyInArrow(_verify(percent), "x long, y long")
     named = nodes.select("node", "id", "k1", "k2").join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
-    named = cut(named.select("label", "id", "k1", "k2"))
+    return signed, cut(named.select("label", "id", "k1", "k2"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 2, percent: int = 80, m: int = M, t: int = T) -> DataFrame:
+    """One row for each row of ``docs``: id, n_shingles, component_id, kept."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    signed, named = _labelled(texts, width, percent, m, t)
     heads = named.groupBy("label").agg(F.min("id").alias("component_id"))
     by_set = named.join(heads, "label").select("k1", "k2", "component_id")
     full = signed.filter("n > 0").select("doc_id", "n", "k1", "k2").join(by_set, ["k1", "k2"])
     none = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     out = full.select("doc_id", "n", "component_id").unionByName(none)
     return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame, width: int = 2, percent: int = 80, m: int = M, t: int = T) -> DataFrame:
+    """``docs`` with one row of each component, and all rows without shingles; same columns.
+
+    The row with the smallest id stays, a null id being the last; of equal ids the text with the smallest SHA-256. Ids may
+    repeat or be null, so the decision travels by a digest of the text; of rows with the text that stays, one is chosen.
+    """
+    sha = F.sha2(text_or_empty(), 256)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), sha.alias("sha"))
+    signed, named = _labelled(texts, width, percent, m, t, ", sha string")
+    rows = cut(signed.filter("n > 0").select("doc_id", "sha", "k1", "k2").join(named.select("label", "k1", "k2"), ["k1", "k2"]).select("label", "sha", "doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sha"))["sha"]
+    groups = cut(rows.groupBy("label").agg(first.alias("stays"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
+    found = rows.join(measured(groups.select("label", "stays")), "label").groupBy(F.col("sha").alias("__sha")).agg(F.max(F.col("sha") != F.col("stays")).alias("__lost"), F.count(F.lit(1)).alias("c"))
+    found = cut(found.filter("__lost or c > 1").select("__sha", "__lost"))
+    flagged = docs.withColumn("__sha", sha).join(measured(found), "__sha", "left")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    alone = flagged.filter("__lost is null").select(*names)
+    if found.filter("not __lost").isEmpty():
+        return alone
+    best = flagged.filter("not __lost").groupBy("__sha").agg(F.min_by(F.struct(*names), F.struct(F.col("doc_id").isNull(), "doc_id")).alias("row"))
+    return alone.unionByName(best.select("row.*"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clinflow.llm import bpe, contamination, exact_dedup, near_dedup, quality
-from clinflow.llm.common import cut, measured, scratch, table
+from clinflow.llm.common import scratch, table
 
 #: Word shingles of the near-duplicate stage.
 NEAR_WORDS = 5
@@ -26,11 +26,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    found = near_dedup.near_duplicates(docs, width=NEAR_WORDS)
-    dropped = cut(found.filter("not kept").select(F.col("doc_id").alias("__id")).distinct())
-    dropped = measured(dropped)
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    """Of each group of near duplicates the document with the smallest id (null is the last), of equal ids the text with the smallest SHA-256."""
+    return near_dedup.drop_near_copies(docs, width=NEAR_WORDS)
 
 
 def without_contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

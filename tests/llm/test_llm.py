@@ -298,3 +298,31 @@ def test_pipeline(spark):
             assert out.columns == docs.columns and out.select("doc_id").distinct().count() == rows
         docs = out
     assert docs.filter("n_tokens > 0").count() > 0
+
+
+def test_pipeline_near_copies_with_null_and_repeated_ids(spark):
+    import corpus_pipeline as p
+
+    r = random.Random(11)
+    fresh = lambda: [f"w{r.randint(0, 10**9)}" for _ in range(80)]
+    groups = [[" ".join([*base, *(f"end{k}" for k in range(j))]) for j in range(4)] for base in (fresh(), fresh(), fresh(), fresh())]
+    rows = [(1, groups[0][0]), (None, groups[0][1])]  # a null id that is not the smallest
+    rows += [(None, groups[1][0]), (None, groups[1][1])]  # null ids alone
+    rows += [(2, groups[2][0]), (2, groups[2][1]), (None, groups[2][2])]  # the smallest id repeats
+    rows += [(3, groups[3][0]), (7, groups[3][1]), (3, groups[3][0])]  # the text that stays repeats
+    clean = [(None, " ".join(fresh())), (None, " ".join(fresh())), (7, " ".join(fresh())), (2, " ".join(fresh())), (None, None), (None, " "), (8, " ")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows + clean)], "doc_id long, text string, n long")
+
+    def sets(text):
+        w = text.split()
+        return {tuple(w[k : k + p.NEAR_WORDS]) for k in range(len(w) - p.NEAR_WORDS + 1)}
+
+    want = list(clean)
+    left = list(rows)
+    while left:  # each group is a clique
+        near = [x for x in left if 100 * len(sets(x[1]) & sets(left[0][1])) >= 80 * len(sets(x[1]) | sets(left[0][1]))]
+        left = [x for x in left if x not in near]
+        want.append(min(near, key=lambda x: (x[0] is None, x[0] or 0, hashlib.sha256(x[1].encode()).hexdigest())))
+    out = p.without_near_copies(spark, docs, SF)
+    assert out.columns == docs.columns
+    assert collections.Counter((x.doc_id, x.text) for x in out.collect()) == collections.Counter(want)

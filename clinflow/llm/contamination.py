@@ -7,8 +7,8 @@ words, so only windows that start shortly before a place that was found are form
 the set: each hit is verified by equality. Where the items are too many for the hashes to go with the plan (GRAMS), all
 windows are formed; where they are too many for a broadcast, the join is a shuffle join. Results are the same.
 
-Null text has no words; an item without words has no window; an item with a null id can't be named and is left out.
-Items of one id count once. Rows that repeat give a row each. An empty table of documents gives an empty result, one of
+Null text has no words; an item without words has no window. The windows of an item with a null id count as hits, but it
+can't be named and is not among the items found. Items of one id count once. Rows that repeat give a row each. An empty table of documents gives an empty result, one of
 items gives no hit. Columns other than id and text are not read.
 
 What is found leaves with its document (drop_contaminated) or is taken out of it (remove_spans).
@@ -35,8 +35,8 @@ def words_of(text: Column) -> Column:
 
 
 def item_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(w, size, items): each window as words joined by a space, its number of words, and the ids (strings) of its items."""
-    rows = items.filter("item_id is not null").select(F.col("item_id").cast("string").alias("item"), words_of(text_or_empty()).alias("ws"))
+    """(w, size, items): each window as words joined by a space, its number of words, and the ids (strings, none that is null) of its items."""
+    rows = items.select(F.col("item_id").cast("string").alias("item"), words_of(text_or_empty()).alias("ws"))
     rows = rows.filter(F.size("ws") > 0).withColumn("size", F.least(F.size("ws"), F.lit(width)))
     starts = F.sequence(F.lit(1), F.size("ws") - F.col("size") + 1)
     rows = rows.select("item", "size", F.explode(F.transform(starts, lambda i: F.array_join(F.slice("ws", i, F.col("size")), " "))).alias("w"))

@@ -326,3 +326,22 @@ def test_pipeline_near_copies_with_null_and_repeated_ids(spark):
     out = p.without_near_copies(spark, docs, SF)
     assert out.columns == docs.columns
     assert collections.Counter((x.doc_id, x.text) for x in out.collect()) == collections.Counter(want)
+
+
+def test_contamination_by_items_with_a_null_id(spark):
+    import duckdb
+
+    from clinflow.llm.queries import ORACLES
+
+    item = " ".join(f"w{i}" for i in range(20))
+    items = spark.createDataFrame([(None, item), (None, "Short one"), (3, "short one"), (4, None)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a " + item), (2, "a short one"), (3, "else"), (None, item), (5, " ".join(["a"] * 900) + " " + item)], "doc_id long, text string")
+    got = contamination.contamination(docs.filter("doc_id is not null"), items)
+    con = duckdb.connect()
+    for name, df in (("documents", docs.filter("doc_id is not null")), ("benchmark", items)):
+        con.register(name, df.toArrow())
+    want = con.sql(ORACLES["op1_decontamination"])
+    assert sorted(got.select(*want.columns).toArrow().to_pylist(), key=str) == sorted((dict(zip(want.columns, x, strict=True)) for x in want.fetchall()), key=str)
+    found = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in contamination.contamination(docs, items).collect()}
+    assert found == {1: (20, 0, True), 2: (2, 1, True), 3: (0, 0, False), None: (20, 0, True), 5: (20, 0, False)}
+    assert sorted(r.doc_id for r in contamination.drop_contaminated(docs, items).collect()) == [3, 5]

@@ -51,33 +51,34 @@ def segments_with(raw: Column, prefix: str) -> Column:
     return F.filter(parse.lines(raw), lambda s: s.startswith(prefix))
 
 
-def get_field(segments: Column, n: int) -> Column:
+def get_field(segments: Column, n: int, own: Column | None = None) -> Column:
     """The n-th part of the first segment, or ''."""
-    return F.coalesce(parse.part(F.get(segments, F.lit(0)), n), F.lit(""))
+    return F.coalesce(parse.part(F.get(segments, F.lit(0)), n, own), F.lit(""))
 
 
 def event_type_in(raw: DataFrame, events: list[str]) -> DataFrame:
-    return raw.filter(parse.component(parse.part(F.get(parse.lines(F.col("raw")), F.lit(0)), 8), 2).isin(events))
+    own = parse.separators(F.col("raw"))
+    return raw.filter(parse.component(parse.part(F.get(parse.lines(F.col("raw")), F.lit(0)), 8, own), 2, own).isin(events))
 
 
 def field_in_roster(raw: DataFrame, prefix: str, n: int, roster: DataFrame) -> DataFrame:
     """A semi join; Spark chooses broadcast or shuffle by the roster's size."""
     side = roster.select(F.col("value").alias("_roster")).distinct()
-    return raw.withColumn("_roster", get_field(segments_with(F.col("raw"), prefix), n)).join(side, "_roster", "left_semi").drop("_roster")
+    return raw.withColumn("_roster", get_field(segments_with(F.col("raw"), prefix), n, parse.separators(F.col("raw")))).join(side, "_roster", "left_semi").drop("_roster")
 
 
 def contains_any(raw: DataFrame, prefix: str, places: list[int], words: list[str]) -> DataFrame:
     segs = segments_with(F.col("raw"), prefix)
-    fields = F.array(*[F.upper(get_field(segs, n)) for n in places])
+    fields = F.array(*[F.upper(get_field(segs, n, parse.separators(F.col("raw")))) for n in places])
     return raw.filter(F.exists(fields, lambda f: F.exists(F.array(*[F.lit(w.upper()) for w in words]), lambda w: F.contains(f, w))))
 
 
-def remove_field(segments: Column, prefix: str, n: int) -> Column:
+def remove_field(segments: Column, prefix: str, n: int, own: Column | None = None) -> Column:
     """Blank the n-th part of every segment that starts with ``prefix``."""
 
     def one(s: Column) -> Column:
-        parts = F.split(s, r"\|", -1)
-        return F.when(s.startswith(prefix), F.array_join(F.transform(parts, lambda v, i: F.when(i == n, "").otherwise(v)), "|")).otherwise(s)
+        parts = parse.cut(s, "field", own)
+        return F.when(s.startswith(prefix), F.call_function("array_join", F.transform(parts, lambda v, i: F.when(i == n, "").otherwise(v)), parse.separator("field", own))).otherwise(s)
 
     return F.transform(segments, one)
 
@@ -92,8 +93,9 @@ def forward_job(raw: DataFrame, events: list[str], facilities: DataFrame, words:
     rows = event_type_in(raw, events)
     rows = field_in_roster(rows, "MSH", 3, facilities)
     rows = contains_any(rows, "OBR", [4], words)
-    segs = remove_field(remove_field(parse.lines(F.col("raw")), "PID", 19), "GT1", 12)
-    ssn = parse.component(F.get(F.split(get_field(segments_with(F.col("raw"), "PID"), 3), "~", -1), F.lit(1)), 1)
+    own = parse.separators(F.col("raw"))
+    segs = remove_field(remove_field(parse.lines(F.col("raw")), "PID", 19, own), "GT1", 12, own)
+    ssn = parse.component(F.get(parse.cut(get_field(segments_with(F.col("raw"), "PID"), 3, own), "rep", own), F.lit(1)), 1, own)
     return rows.select("msg_id", mllp(scrub_and_join(segs, ssn)).alias("payload"))
 
 

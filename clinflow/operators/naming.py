@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.operators.parse import component, first_line, lines, part, second_if_any
+from clinflow.operators.parse import component, first_line, first_repetition, lines, part, second_if_any, separators
 
 #: (control id prefix, source); the first that fits is the source.
 SOURCES = (("MT6_", "MT6"), ("MT_", "MT"), ("EPIC_", "EPIC"), ("ECW_", "ECW"), ("NG_", "NG"), ("IP_", "IP"))
@@ -20,11 +20,12 @@ def element_key() -> Column:
 def source_system(raw: DataFrame, supported: DataFrame) -> DataFrame:
     """(msg_id, src, ver, fac, tpl); ``supported`` (src, ver, tpl) is a small config table. An unsupported version has no template."""
     msh = F.get(lines(F.col("raw")), F.lit(0))
-    ctrl = part(msh, 9)
+    own = separators(F.col("raw"))
+    ctrl = part(msh, 9, own)
     src = F.lit(None).cast("string")
     for prefix, name in reversed(SOURCES):
         src = F.when(ctrl.startswith(prefix), name).otherwise(src)
-    rows = raw.select("msg_id", src.alias("src"), part(msh, 11).alias("ver"), second_if_any(part(msh, 3)).alias("fac"))
+    rows = raw.select("msg_id", src.alias("src"), part(msh, 11, own).alias("ver"), second_if_any(part(msh, 3, own), own).alias("fac"))
     return rows.join(F.broadcast(supported), ["src", "ver"], "left").select("msg_id", "src", "ver", "fac", "tpl")
 
 
@@ -136,6 +137,7 @@ def to_json(named: DataFrame, always_lists: bool = False) -> DataFrame:
 def header_ids(raw: DataFrame) -> DataFrame:
     """The common ids straight from the text, where only they are needed."""
     msh, pid = F.get(lines(F.col("raw")), F.lit(0)), first_line(F.col("raw"), "PID")
-    ids = F.get(F.split(part(pid, 3), "~", -1), F.lit(0))
+    own = separators(F.col("raw"))
+    ids = first_repetition(part(pid, 3, own), own)
     clean = lambda c: F.coalesce(c, F.lit(""))
-    return raw.select("msg_id", clean(second_if_any(part(msh, 3))).alias("sending_facility"), clean(part(msh, 9)).alias("message_control_id"), clean(component(ids, 1)).alias("medical_record_num"), clean(component(part(pid, 4), 1)).alias("medical_record_urn"), clean(second_if_any(part(pid, 18))).alias("patient_account_num"))
+    return raw.select("msg_id", clean(second_if_any(part(msh, 3, own), own)).alias("sending_facility"), clean(part(msh, 9, own)).alias("message_control_id"), clean(component(ids, 1, own)).alias("medical_record_num"), clean(component(part(pid, 4, own), 1, own)).alias("medical_record_urn"), clean(second_if_any(part(pid, 18, own), own)).alias("patient_account_num"))

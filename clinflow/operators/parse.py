@@ -1,7 +1,9 @@
 """Message text to elements: generators over the whole table, without a shuffle.
 
 ``elements(msg_id, seg_seq, seg, field, rep, comp, sub, value)`` has a row for each part of each message; an empty part
-has the value NULL. The separators are the usual set; ``delimiters`` reads a message's own, and ``fields`` takes them.
+has the value NULL. Each message is cut at the separators that its own MSH names: ``split_segments`` puts them into the
+column ``own``, which the splits carry. It is NULL for the usual set, which is cut by literal patterns, and for a text
+that doesn't begin with MSH and all separators. The escape and truncation characters cut nothing.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NO_CONTROL = "no message control ID"
+USUAL = {"field": "|", "comp": "^", "rep": "~", "sub": "&"}
 
 
 def lines(raw: Column) -> Column:
@@ -21,9 +24,16 @@ def normalize_newlines(raw: Column) -> Column:
     return F.regexp_replace(raw, "[\r\n]+", "\r\n")
 
 
+def separators(raw: Column) -> Column:
+    """A message's own separators (field, comp, rep, sub); NULL if they are the usual ones or not all there."""
+    at = {"field": 4, "comp": 5, "rep": 6, "sub": 8}
+    usual = (F.substring(raw, 4, 3) == "|^~") & (F.substring(raw, 8, 1) == "&")
+    return F.when(raw.startswith("MSH") & (F.length(raw) >= 8) & ~usual, F.struct(*[F.substring(raw, n, 1).alias(k) for k, n in at.items()]))
+
+
 def split_segments(raw: DataFrame) -> DataFrame:
-    rows = raw.select("msg_id", F.posexplode(lines(F.col("raw"))).alias("pos", "line"))
-    return rows.filter("line <> ''").select("msg_id", (F.col("pos") + 1).alias("seg_seq"), F.substring("line", 1, 3).alias("seg"), "line")
+    rows = raw.select("msg_id", separators(F.col("raw")).alias("own"), F.posexplode(lines(F.col("raw"))).alias("pos", "line"))
+    return rows.filter("line <> ''").select("msg_id", (F.col("pos") + 1).alias("seg_seq"), F.substring("line", 1, 3).alias("seg"), "line", "own")
 
 
 def delimiters(raw: DataFrame) -> DataFrame:
@@ -37,17 +47,43 @@ def _quoted(d: Column) -> Column:
     return F.concat(F.lit("\\Q"), d, F.lit("\\E"))
 
 
-def split_fields(segments: DataFrame, sep: str | Column = "|") -> DataFrame:
-    """Trailing empty fields are dropped; field 1 of MSH is the separator itself."""
-    if isinstance(sep, str):
+def separator(kind: str, own: Column | None) -> Column:
+    usual = F.lit(USUAL[kind])
+    return usual if own is None else F.coalesce(own[kind], usual)
+
+
+def cut(text: Column, kind: str, own: Column | None) -> Column:
+    """``text`` cut at a separator; by a literal pattern where it is the usual one."""
+    usual = F.split(text, rf"\Q{USUAL[kind]}\E", -1)
+    return usual if own is None else F.when(own.isNull(), usual).otherwise(F.split(text, _quoted(own[kind]), -1))
+
+
+def _own(rows: DataFrame) -> Column | None:
+    """The separators that ``rows`` carry; without them the usual ones are meant."""
+    return F.col("own") if "own" in rows.columns else None
+
+
+def _carried(rows: DataFrame) -> list[str]:
+    return ["own"] if "own" in rows.columns else []
+
+
+def split_fields(segments: DataFrame, sep: str | Column | None = None) -> DataFrame:
+    """Trailing empty fields are dropped; field 1 of MSH is the separator itself. ``sep``: in place of each message's own."""
+    trimmed_by = lambda d: F.regexp_replace("line", F.concat(F.lit("(?:"), _quoted(d), F.lit(")+$")), F.lit(""))
+    if sep is None:
+        own = _own(segments)
+        trimmed = F.regexp_replace("line", r"\Q|\E+$", "")
+        if own is not None:
+            trimmed = F.when(own.isNull(), trimmed).otherwise(trimmed_by(own["field"]))
+        parts, sep = cut(trimmed, "field", own), separator("field", own)
+    elif isinstance(sep, str):
         parts, sep = F.split(F.regexp_replace("line", rf"\Q{sep}\E+$", ""), rf"\Q{sep}\E", -1), F.lit(sep)
     else:
-        trimmed = F.regexp_replace("line", F.concat(F.lit("(?:"), _quoted(sep), F.lit(")+$")), F.lit(""))
-        parts = F.split(trimmed, _quoted(sep), -1)
+        parts = F.split(trimmed_by(sep), _quoted(sep), -1)
     msh = F.col("seg") == "MSH"
     texts = F.when(msh, F.concat(F.array(sep), F.slice(parts, 2, F.size(parts)))).otherwise(F.slice(parts, 2, F.size(parts)))
-    rows = segments.select("msg_id", "seg_seq", "seg", F.posexplode(texts).alias("pos", "text"))
-    return rows.select("msg_id", "seg_seq", "seg", (F.col("pos") + 1).alias("field"), "text")
+    rows = segments.select("msg_id", "seg_seq", "seg", *_carried(segments), F.posexplode(texts).alias("pos", "text"))
+    return rows.select("msg_id", "seg_seq", "seg", (F.col("pos") + 1).alias("field"), "text", *_carried(segments))
 
 
 def whole_field() -> Column:
@@ -55,25 +91,31 @@ def whole_field() -> Column:
     return (F.col("seg") == "MSH") & F.col("field").isin(1, 2)
 
 
+def _structured(fields: DataFrame) -> Column:
+    """The items of a repeated field that have components."""
+    own = _own(fields)
+    comp = separator("comp", own)
+    return F.filter(cut(F.col("text"), "rep", own), lambda x: F.contains(x, comp))
+
+
 def split_repetitions(fields: DataFrame) -> DataFrame:
     """A repeated field whose items have no components keeps its text as one value; if some have, only they remain."""
-    items = F.split("text", "~", -1)
-    having = F.filter(items, lambda x: F.contains(x, F.lit("^")))
+    having = _structured(fields)
     observed = (F.col("seg") == "OBX") & (F.col("field") == 5)
-    one = whole_field() | observed | ~F.contains("text", F.lit("~")) | (F.size(having) == 0)
-    rows = fields.select("msg_id", "seg_seq", "seg", "field", F.posexplode(F.when(one, F.array("text")).otherwise(having)).alias("pos", "text"))
-    return rows.select("msg_id", "seg_seq", "seg", "field", (F.col("pos") + 1).alias("rep"), "text")
+    one = whole_field() | observed | ~F.contains("text", separator("rep", _own(fields))) | (F.size(having) == 0)
+    rows = fields.select("msg_id", "seg_seq", "seg", "field", *_carried(fields), F.posexplode(F.when(one, F.array("text")).otherwise(having)).alias("pos", "text"))
+    return rows.select("msg_id", "seg_seq", "seg", "field", (F.col("pos") + 1).alias("rep"), "text", *_carried(fields))
 
 
 def split_components(reps: DataFrame) -> DataFrame:
-    parts = F.when(whole_field(), F.array("text")).otherwise(F.split("text", r"\^", -1))
-    rows = reps.select("msg_id", "seg_seq", "seg", "field", "rep", F.size(parts).alias("n_comp"), F.posexplode(parts).alias("pos", "text"))
-    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "n_comp", (F.col("pos") + 1).alias("comp"), "text")
+    parts = F.when(whole_field(), F.array("text")).otherwise(cut(F.col("text"), "comp", _own(reps)))
+    rows = reps.select("msg_id", "seg_seq", "seg", "field", "rep", *_carried(reps), F.size(parts).alias("n_comp"), F.posexplode(parts).alias("pos", "text"))
+    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "n_comp", (F.col("pos") + 1).alias("comp"), "text", *_carried(reps))
 
 
 def split_subcomponents(comps: DataFrame) -> DataFrame:
     """Cut at & only where the field has two components or more."""
-    parts = F.when(F.col("n_comp") > 1, F.split("text", "&", -1)).otherwise(F.array("text"))
+    parts = F.when(F.col("n_comp") > 1, cut(F.col("text"), "sub", _own(comps))).otherwise(F.array("text"))
     rows = comps.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", F.posexplode(parts).alias("pos", "text"))
     value = F.when(F.col("text") != "", F.col("text"))
     return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", (F.col("pos") + 1).alias("sub"), value.alias("value"))
@@ -89,44 +131,48 @@ def elements(raw: DataFrame, segs: tuple[str, ...] | None = None) -> DataFrame:
 
 def simple_repeats(fields: DataFrame) -> DataFrame:
     """(…, text, kept): what the rule for repeated fields leaves of each."""
-    items = F.split("text", "~", -1)
-    having = F.filter(items, lambda x: F.contains(x, F.lit("^")))
+    having = _structured(fields)
     return fields.withColumn("kept", F.when(F.size(having) == 0, F.array("text")).otherwise(having))
 
 
 # --- header facts without the element table ---------------------------------------------------------------------------
 
 
-def part(line: Column, n: int) -> Column:
-    """The n-th pipe-separated part, counted from 0; NULL if there is none."""
-    return F.get(F.split(line, r"\|", -1), F.lit(n))
+def part(line: Column, n: int, own: Column | None = None) -> Column:
+    """The n-th part between field separators, counted from 0; NULL if there is none. ``own``: the message's ``separators``."""
+    return F.get(cut(line, "field", own), F.lit(n))
+
+
+def component(text: Column, n: int, own: Column | None = None) -> Column:
+    return F.get(cut(text, "comp", own), F.lit(n - 1))
 
 
-def component(text: Column, n: int) -> Column:
-    return F.get(F.split(text, r"\^", -1), F.lit(n - 1))
+def first_repetition(text: Column, own: Column | None = None) -> Column:
+    return F.get(cut(text, "rep", own), F.lit(0))
 
 
 def first_line(raw: Column, seg: str) -> Column:
     return F.get(F.filter(lines(raw), lambda x: x.startswith(seg)), F.lit(0))
 
 
-def second_if_any(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit("^")), component(text, 2)).otherwise(text)
+def second_if_any(text: Column, own: Column | None = None) -> Column:
+    return F.when(F.contains(text, separator("comp", own)), component(text, 2, own)).otherwise(text)
 
 
 def meta_fast(raw: DataFrame) -> DataFrame:
     """``raw`` and its metadata, from the MSH line and the first PID line alone."""
     msh, pid = F.get(lines(F.col("raw")), F.lit(0)), first_line(F.col("raw"), "PID")
+    own = separators(F.col("raw"))
     none = lambda c: F.coalesce(F.nullif(c, F.lit("")), F.lit(NO_CONTROL))
-    ids = F.get(F.split(part(pid, 3), "~", -1), F.lit(0))
+    ids = first_repetition(part(pid, 3, own), own)
     out = {
-        "control_id": none(part(msh, 9)),
-        "create_time": none(part(msh, 6)),
-        "mrn": none(component(ids, 1)),
-        "urn": none(component(part(pid, 4), 1)),
-        "account": none(second_if_any(part(pid, 18))),
-        "facility": none(second_if_any(part(msh, 3))),
-        "trigger": none(component(part(msh, 8), 2)),
+        "control_id": none(part(msh, 9, own)),
+        "create_time": none(part(msh, 6, own)),
+        "mrn": none(component(ids, 1, own)),
+        "urn": none(component(part(pid, 4, own), 1, own)),
+        "account": none(second_if_any(part(pid, 18, own), own)),
+        "facility": none(second_if_any(part(msh, 3, own), own)),
+        "trigger": none(component(part(msh, 8, own), 2, own)),
     }
     return raw.select("*", *[v.alias(k) for k, v in out.items()])
 
@@ -140,8 +186,9 @@ def type_from_key(raw: DataFrame, types: DataFrame) -> DataFrame:
 
 def type_from_body(raw: DataFrame, types: DataFrame) -> DataFrame:
     msh = F.get(lines(F.col("raw")), F.lit(0))
-    code = component(part(msh, 8), 1)
-    code = F.when((code == "ORU") & part(msh, 9).startswith("IP"), "IPLORU").otherwise(code)
+    own = separators(F.col("raw"))
+    code = component(part(msh, 8, own), 1, own)
+    code = F.when((code == "ORU") & part(msh, 9, own).startswith("IP"), "IPLORU").otherwise(code)
     named = raw.withColumn("code", code)
     known = F.broadcast(types.select(F.col("type").alias("code"), F.lit(True).alias("known")))
     found = named.join(known, "code", "left")
@@ -151,7 +198,7 @@ def type_from_body(raw: DataFrame, types: DataFrame) -> DataFrame:
 
 def reject_malformed(raw: DataFrame) -> DataFrame:
     msh = F.get(lines(F.col("raw")), F.lit(0))
-    reason = F.when(F.coalesce(F.col("raw"), F.lit("")) == "", "empty message").when(~F.col("raw").startswith("MSH"), "message does not start with MSH").when(F.coalesce(part(msh, 9), F.lit("")) == "", "blank control id")
+    reason = F.when(F.coalesce(F.col("raw"), F.lit("")) == "", "empty message").when(~F.col("raw").startswith("MSH"), "message does not start with MSH").when(F.coalesce(part(msh, 9, separators(F.col("raw"))), F.lit("")) == "", "blank control id")
     return raw.withColumn("reject_reason", reason)
 
 

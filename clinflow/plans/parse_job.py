@@ -12,7 +12,8 @@ def parse_job(raw: DataFrame, templates: DataFrame, supported: DataFrame) -> dic
     """``status`` (msg_id, type, state, reject_reason), ``named`` elements of accepted messages, ``missing`` mappings. Nothing stops the batch."""
     checked = parse.reject_malformed(raw).withColumnRenamed("reject_reason", "malformed")
     checked = checked.withColumn("reject_reason", F.coalesce("malformed", F.when(F.size(F.filter(parse.lines(F.col("raw")), lambda x: x.startswith("MSH"))) > 1, "more than one MSH segment")))
-    kind = parse.component(parse.part(F.get(parse.lines(F.col("raw")), F.lit(0)), 8), 1)
+    own = parse.separators(F.col("raw"))
+    kind = parse.component(parse.part(F.get(parse.lines(F.col("raw")), F.lit(0)), 8, own), 1, own)
     status = checked.select("msg_id", kind.alias("type"), F.when(F.col("reject_reason").isNull(), "PROCESSED").otherwise("REJECTED").alias("state"), "reject_reason")
     good = checked.filter("reject_reason is null").select(*raw.columns)
     named = naming.name_elements(parse.elements(good), templates, naming.source_system(good, supported))

@@ -244,3 +244,23 @@ def test_replace_staging(spark, tmp_path):
     spark.createDataFrame([("1|",), ("2|y",), ("",)], "value string").write.text(export)
     sinks.replace_staging(spark, export, target, ["a", "b"])
     assert sorted((r.a, r.b) for r in spark.read.parquet(target).collect()) == [("", ""), ("1", ""), ("2", "y")]
+
+
+@pytest.mark.parametrize("own", ["#*~\\&", "|^;\\:", "(*+\\?", "\\^~/&"])
+def test_own_delimiters_from_text_to_elements(spark, own):
+    usual = "MSH|^~\\&|S|F^G|C|D|2024||ADT^A01|EPIC_1|P|2.3\nPID|1||M1^^^^MRN~U2^^^^SS|U^x|a&b|F^G&H~I|J&K||p~q|||\nOBX|1|TX|||a~b^c&d\nGT1|1|2|3|4|5|6|7|8|9|10|11|secret|13"
+    to = str.maketrans("|^~\\&", own)
+    both = spark.createDataFrame([(0, usual, "k"), (1, usual.translate(to), "k"), (2, usual, "k")], "msg_id long, raw string, key string")
+    rows = {n: {(r.seg, r.field, r.rep, r.comp, r.sub): r.value for r in parse.elements(both).filter(f"msg_id = {n}").collect()} for n in range(3)}
+    assert rows[0] == rows[2] and rows[0]["PID", 6, 1, 2, 2] == "H" and rows[0]["PID", 3, 2, 1, 1] == "U2" and rows[0]["PID", 5, 1, 1, 1] == "a&b"
+    # what is not cut keeps its characters, so the texts are the translated ones
+    assert rows[1] == {k: v if v is None else v.translate(to) for k, v in rows[0].items()}
+    for facts in (parse.meta_fast(both), parse.reject_malformed(both), naming.header_ids(both), parse.type_from_body(both, spark.createDataFrame([("ADT",)], "type string"))):
+        a, b = ([v for c, v in sorted(r.asDict().items()) if c not in ("msg_id", "raw")] for r in facts.orderBy("msg_id").collect()[:2])
+        assert a == b
+    assert {(r.mrn, r.control_id, r.trigger) for r in parse.meta_fast(both).collect()} == {("M1", "EPIC_1", "A01")}
+    supported = spark.createDataFrame([("EPIC", "2.3", "E")], "src string, ver string, tpl string")
+    assert len({(r.src, r.ver, r.fac, r.tpl) for r in naming.source_system(both, supported).collect()}) == 1
+    assert feeds.event_type_in(both, ["A01"]).count() == 3
+    segs = feeds.remove_field(parse.lines(F.col("raw")), "GT1", 12, parse.separators(F.col("raw")))
+    assert all("secret" not in "".join(r.x) for r in both.select(segs.alias("x")).collect())

@@ -9,9 +9,10 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: A join side is broadcast up to this many rows (two or three narrow columns each: under about 64 MB); beyond it Spark joins by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: A join side is broadcast up to this many rows and bytes; beyond either Spark joins by shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 
 def by_value(module: str) -> None:
@@ -46,6 +47,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spare(df: DataFrame, *stems: str) -> list[str]:
+    """A name for each stem that no column of ``df`` has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        name = f"__{stem}"
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of ``df``, quoted so that dots and backticks in names are no paths."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -55,9 +74,22 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def measured(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (already cut), marked for broadcast if it is small enough; else as it is, for a shuffle join that AQE can split."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """About the bytes of a value in a row of Spark's."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(8) + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        return F.lit(24) + F.coalesce(F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _bytes(x, kind.elementType)), F.lit(0))
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(16))
+    return F.lit(8)
+
+
+def measured(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (already cut), marked for broadcast if its rows and bytes are few enough; else as it is, for a shuffle join that AQE can split."""
+    each = sum((_bytes(F.col(f.name), f.dataType) for f in df.schema.fields), F.lit(8)).cast("long")
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(each).alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= rows and (found["bytes"] or 0) <= size else df
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

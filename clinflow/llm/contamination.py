@@ -8,8 +8,10 @@ the set: each hit is verified by equality. Where the items are too many for the
 windows are formed; where they are too many for a broadcast, the join is a shuffle join. Results are the same.
 
 Null text has no words; an item without words has no window. The windows of an item with a null id count as hits, but it
-can't be named and is not among the items found. Items of one id count once. Rows that repeat give a row each. An empty table of documents gives an empty result, one of
-items gives no hit. Columns other than id and text are not read.
+can't be named and is not among the items found. Items of one id count once. Rows that repeat give a row each. An empty
+table of documents gives an empty result, one of items gives no hit. Texts of any length are taken whole: places that no
+item's hash names cost one hash each. Columns other than id and text are not read; what drops or cleans documents hands
+them on, whatever their names.
 
 What is found leaves with its document (drop_contaminated) or is taken out of it (remove_spans).
 """
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import ascii_lower, cut, measured, text_or_empty
+from clinflow.llm.common import ascii_lower, cut, measured, own_columns, spare, text_or_empty
 
 WIDTH, GRAM = 13, 4
 #: Hashes of word sequences that go with the plan, and windows that are broadcast (about 100 bytes each), at most.
@@ -100,8 +102,9 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH) ->
     text = text_or_empty()
     # word-for-word equal texts are judged alike, so the decision travels by a digest of the text
     judged = docs.select(F.sha2(text, 256).alias("doc_id"), F.col("text"))
-    bad = cut(hits(judged, items, width).withColumn("n_hit", covered(F.col("spans"))).filter("n_hit > 0 and 20 * n_hit >= n_words").select(F.col("doc_id").alias("__sha")).distinct())
-    return docs.withColumn("__sha", F.sha2(text, 256)).join(measured(bad, WINDOWS), "__sha", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (sha,) = spare(docs, "sha")
+    bad = cut(hits(judged, items, width).withColumn("n_hit", covered(F.col("spans"))).filter("n_hit > 0 and 20 * n_hit >= n_words").select(F.col("doc_id").alias(sha)).distinct())
+    return docs.withColumn(sha, F.sha2(text, 256)).join(measured(bad, WINDOWS), sha, "left_anti").select(*own_columns(docs))
 
 
 def merged(spans: Column) -> Column:
@@ -131,8 +134,9 @@ def remove_spans(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataF
     """``docs`` with the words inside windows of test items taken out of ``text``; same rows and columns, a null text stays null."""
     text = text_or_empty()
     judged = docs.select(F.sha2(text, 256).alias("doc_id"), F.col("text"))
-    found = hits(judged, items, width).filter("size(spans) > 0").select(F.col("doc_id").alias("__sha"), merged(F.col("spans")).alias("__ranges"))
-    found = cut(found.groupBy("__sha").agg(F.first("__ranges").alias("__ranges")))  # equal texts have equal ranges
-    rows = docs.withColumn("__sha", F.sha2(text, 256)).join(measured(found, WINDOWS), "__sha", "left")
-    clean = F.when(F.col("__ranges").isNull(), F.col("text")).otherwise(without(F.col("text"), F.col("__ranges"))).alias("text")
-    return rows.select(*[clean if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    sha, ranges = spare(docs, "sha", "ranges")
+    found = hits(judged, items, width).filter("size(spans) > 0").select(F.col("doc_id").alias(sha), merged(F.col("spans")).alias(ranges))
+    found = cut(found.groupBy(sha).agg(F.first(ranges).alias(ranges)))  # equal texts have equal ranges
+    rows = docs.withColumn(sha, F.sha2(text, 256)).join(measured(found, WINDOWS), sha, "left")
+    clean = F.when(F.col(ranges).isNull(), F.col("text")).otherwise(without(F.col("text"), F.col(ranges))).alias("text")
+    return rows.select(*[clean if c == "text" else x for c, x in zip(docs.columns, own_columns(docs), strict=True)])

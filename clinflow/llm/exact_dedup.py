@@ -7,7 +7,8 @@
 3. The partitions read the bitmaps; only texts whose bit is set (suspects) are shuffled, and compared byte by byte.
 
 Of equal texts the row with the largest id stays. Null text counts as empty; a null id is the smallest; of rows that
-are equal in id and text one stays. An empty table gives an empty result. Other columns are not read.
+are equal in id and text one stays. Texts of any length are hashed and compared whole. An empty table gives an empty
+result. Other columns are not read; drop_copies hands them on, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, cut, measured, shuffle_partitions, text_or_empty
+from clinflow.llm.common import by_value, cut, measured, own_columns, shuffle_partitions, spare, text_or_empty
 
 by_value(__name__)
 
@@ -140,11 +141,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that exact_duplicates drops; same columns."""
     keys = docs.select(F.xxhash64(text_or_empty()).alias("h"))
-    suspects = measured(cut(suspect_fingerprints(keys, docs.count())).select(F.col("h").alias("__h"), F.lit(True).alias("__again")))
-    flagged = docs.withColumn("__h", F.xxhash64(text_or_empty())).join(suspects, "__h", "left")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    alone = flagged.filter("__again is null").select(*names)
+    h, again = spare(docs, "h", "again")
+    suspects = measured(cut(suspect_fingerprints(keys, docs.count())).select(F.col("h").alias(h), F.lit(True).alias(again)))
+    flagged = docs.withColumn(h, F.xxhash64(text_or_empty())).join(suspects, h, "left")
+    names = own_columns(docs)
+    alone = flagged.filter(F.col(again).isNull()).select(*names)
     # max_by over whole rows needs no join: of equal texts, the row with the largest id comes through
     row = F.struct(F.col("doc_id").alias("id"), F.struct(*names).alias("row"))
-    best = flagged.filter("__again").groupBy("__h", text_or_empty().alias("__t")).agg(F.max_by(row, F.struct(F.col("doc_id"))).alias("best"))
+    best = flagged.filter(F.col(again)).select(F.col(h).alias("h"), text_or_empty().alias("t"), row.alias("r")).groupBy("h", "t").agg(F.max_by("r", F.struct("r.id")).alias("best"))
     return alone.unionByName(best.select("best.row.*"))

@@ -5,12 +5,13 @@ page with a smaller id has becomes a revisit of that page. Records longer than S
 segment and continuation records. Spark's text writer makes the files (a record a row; the blank lines between records
 are the line separator), so they are in any store that Spark writes.
 
-Reading: files are read whole (WRITE_ROWS records of at most about SEGMENT bytes each), records are found by their
-Content-Length, segments are grouped by origin id and put in order, the total length is verified, and the chunked
-framing is decoded.
+Reading: a file (WRITE_ROWS records of at most about SEGMENT bytes each where this module wrote it) is unpacked in parts,
+whatever the number of its gzip members, records are found by their Content-Length and go on one by one, segments are
+grouped by origin id and put in order, the total length is verified, and the chunked framing is decoded. A body is one
+value of a row, as in the input; nothing is copied more than a few times, however many members or segments there are.
 
 Null html is an empty body. Of pages with equal bodies the smallest id is the response, null ids last; of rows equal in
-id and body one is the response. Bodies of fewer than ``min_revisit_bytes`` bytes are all responses. An empty table
+id and body one is the response. A revisit of a response with a null id refers to null. Bodies of fewer than ``min_revisit_bytes`` bytes are all responses. An empty table
 gives no record. Other columns than id, url and html are not read.
 """
 
@@ -69,12 +70,12 @@ def dechunked(framed: bytes) -> bytes:
         at = end + 4 + n
 
 
-def records_of(page_id, url: str, body: bytes, refers_to, serial: str, segment: int = SEGMENT) -> list[str]:
-    """The WARC records of a page, without the blank lines that end them."""
+def records_of(page_id, url: str, body: bytes, revisit: bool, refers_to, serial: str, segment: int = SEGMENT) -> list[str]:
+    """The WARC records of a page, without the blank lines that end them; a null ``refers_to`` of a revisit is an empty id."""
     name = f"<urn:x-page:{'' if page_id is None else page_id}:{serial}>"
-    head = [("WARC-Type", "response" if refers_to is None else "revisit"), ("WARC-Record-ID", name), ("WARC-Target-URI", re.sub(r"[\s\x00]+", "%20", url)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha1:{digest_of(body)}")]
-    if refers_to is not None:
-        head += [("WARC-Refers-To", f"<urn:x-page:{refers_to}:>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
+    head = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", name), ("WARC-Target-URI", re.sub(r"[\s\x00]+", "%20", url)), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha1:{digest_of(body)}")]
+    if revisit:
+        head += [("WARC-Refers-To", f"<urn:x-page:{'' if refers_to is None else refers_to}:>"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")]
         blocks = [f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n".encode()]
     else:
         whole = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(body)
@@ -94,8 +95,8 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             out: list[str] = []
-            for page, url, html, refers in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
-                out += records_of(page, url or "", html.encode("utf-8", "replace"), refers, f"{part}-{serial}")
+            for page, url, html, again, refers in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns), strict=True):
+                out += records_of(page, url or "", html.encode("utf-8", "replace"), again, refers, f"{part}-{serial}")
                 serial += 1
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
@@ -110,8 +111,8 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_c
     groups = keyed.filter(again).select(*key, order.alias("o")).groupBy("g").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("n"))
     groups = measured(cut(groups.filter("n > 1").select("g", F.col("o.id").alias("first"), F.col("o.rid").alias("first_rid"))))
     joined = keyed.withColumn("g", F.when(again, key[0])).join(groups, "g", "left")
-    refers = F.when(F.col("first_rid").isNotNull() & (F.col("rid") != F.col("first_rid")), F.coalesce("first", F.lit(-1).cast("long")))
-    value = joined.select("id", "url", "body", refers.alias("refers")).mapInArrow(_write, "value string")
+    revisit = F.coalesce(F.col("rid") != F.col("first_rid"), F.lit(False))
+    value = joined.select("id", "url", "body", revisit.alias("revisit"), F.when(revisit, F.col("first")).alias("refers")).mapInArrow(_write, "value string")
     value.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", WRITE_ROWS).text(path)
 
 
@@ -119,18 +120,53 @@ _FIELD = re.compile(rb"([^\r\n:]+): ([^\r\n]*)\r\n")
 _PAGE = re.compile(r"<urn:x-page:(-?\d*):")
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of an uncompressed archive, by Content-Length."""
-    at = 0
+def unpacked(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+    """The contents of a gzip file in parts, whatever the number of its members; each byte is fed once."""
+    member, at = zlib.decompressobj(31), 0
     while at < len(data):
+        fed = data[at : at + step]
+        yield member.decompress(fed)
+        at += len(fed) - len(member.unused_data)
+        if member.eof:
+            member = zlib.decompressobj(31)
+
+
+def parse_records(parts: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of each record of an uncompressed archive that comes in parts, by Content-Length."""
+    parts = iter(parts)
+    data, at = bytearray(), 0
+
+    def more() -> bool:
+        nonlocal data, at
+        part = next(parts, None)
+        if part is None:
+            return False
+        if at > len(data) // 2:  # what was read goes, and each byte moves a few times at most
+            del data[:at]
+            at = 0
+        data += part
+        return True
+
+    while at < len(data) or more():
+        if at == len(data):
+            continue
+        seen = at
+        while (end := data.find(b"\r\n\r\n", seen)) < 0:
+            behind = len(data) - at
+            if not more():
+                raise ValueError("an archive ends inside a record's head")
+            seen = at + max(0, behind - 3)
         if not data.startswith(b"WARC/1.", at):
-            raise ValueError(f"no record at byte {at}")
-        end = data.index(b"\r\n\r\n", at)
-        fields = {a.decode(): b.decode() for a, b in _FIELD.findall(data[at : end + 2])}
+            raise ValueError("no record where one should begin")
+        fields = {a.decode(): b.decode() for a, b in _FIELD.findall(data, at, end + 2)}
         n = int(fields["Content-Length"])
+        head = end - at
+        while len(data) < at + head + 8 + n and more():
+            pass
+        end = at + head
         if data[end + 4 + n : end + 8 + n] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} does not end where it says")
-        yield fields, data[end + 4 : end + 4 + n]
+            raise ValueError("a record does not end where it says")
+        yield fields, bytes(data[end + 4 : end + 4 + n])
         at = end + 8 + n
 
 
@@ -144,21 +180,18 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["page_id", "kind", "refers_to", "digest", "length", "origin", "segment", "total", "block"]
     for batch in batches:
         for i in range(batch.num_rows):
-            data = batch.column(0)[i].as_py()
-            unpacked = zlib.decompressobj(31)
-            whole = unpacked.decompress(data)
-            while unpacked.unused_data:  # a gzip member after another
-                rest, unpacked = unpacked.unused_data, zlib.decompressobj(31)
-                whole += unpacked.decompress(rest)
             rows = []
-            for f, block in parse_records(whole):
+            for f, block in parse_records(unpacked(batch.column(0)[i].as_py())):
                 kind, total = f["WARC-Type"], f.get("WARC-Segment-Total-Length")
                 origin = f.get("WARC-Segment-Origin-ID") or f["WARC-Record-ID"]
                 refers = _page(f["WARC-Refers-To"]) if kind == "revisit" else None
                 length = int(re.search(rb"Content-Length: (\d+)", block)[1]) if kind == "revisit" else None
                 rows.append((_page(origin), kind, refers, f.get("WARC-Payload-Digest", "sha1:")[5:], length, origin, int(f.get("WARC-Segment-Number", 0)), int(total) if total else None, block))
-            for k in range(0, len(rows), 64):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64], strict=True), types, strict=True)], names=names)
+                if len(rows) == 64:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -167,6 +200,18 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(_read, RECORD)
 
 
+def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of segments, in order, as one block."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            one = batch.slice(i, 1)
+            origin, total, parts = (one.column(k)[0].as_py() for k in (3, 4, 5))
+            block = b"".join(x["block"] for x in parts)
+            if [x["segment"] for x in parts] != list(range(1, len(parts) + 1)) or len(block) != total:
+                raise ValueError(f"segments are missing or of a wrong length: {origin}")
+            yield pa.RecordBatch.from_arrays([*one.columns[:3], pa.array([block], pa.binary())], names=["page_id", "kind", "digest", "block"])
+
+
 def reassembled(records: DataFrame) -> DataFrame:
     """Records with their segments together: page_id, kind, refers_to, digest, length, block."""
     whole = records.filter("segment = 0").select("page_id", "kind", "refers_to", "digest", "length", "block")
@@ -175,23 +220,18 @@ def reassembled(records: DataFrame) -> DataFrame:
         F.min_by("kind", "segment").alias("kind"),
         F.min_by("digest", "segment").alias("digest"),
         F.max("total").alias("total"),
-        F.max("segment").alias("last"),
-        F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("blocks"),
     )
-    block = F.aggregate("blocks", F.lit(b""), lambda a, x: F.concat(a, x["block"]))
-    parts = parts.withColumn("block", block)
-    right = (F.col("n") == F.col("last")) & (F.octet_length("block") == F.col("total"))
-    block = F.when(right, F.col("block")).otherwise(F.raise_error(F.concat(F.lit("segments are missing or of a wrong length: "), F.col("origin"))).cast("binary"))
+    parts = parts.select("page_id", "kind", "digest", "origin", "total", "blocks").mapInArrow(_join, "page_id long, kind string, digest string, block binary")
     none = F.lit(None).cast("long")
-    return whole.unionByName(parts.select("page_id", "kind", none.alias("refers_to"), "digest", none.alias("length"), block.alias("block")))
+    return whole.unionByName(parts.select("page_id", "kind", none.alias("refers_to"), "digest", none.alias("length"), "block"))
 
 
 def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Decode the blocks of responses and hold the digests against the payloads."""
     for batch in batches:
         lengths, digests = [], []
-        for kind, said, length, block in zip(*(batch.column(k).to_pylist() for k in range(3, 7)), strict=True):
+        for kind, said, length, block in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4, 5)), strict=True):
             if kind == "response":
                 body = dechunked(block[block.index(b"\r\n\r\n") + 4 :])
                 length = len(body)
@@ -204,6 +244,5 @@ def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def page_records(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of the archives under ``path``."""
-    found = reassembled(read_archives(spark, path)).withColumn("kind2", F.col("kind"))
-    found = found.select("page_id", F.col("kind").alias("record_type"), "refers_to", F.col("kind2").alias("kind"), "digest", "length", "block")
+    found = reassembled(read_archives(spark, path)).select("page_id", "kind", "refers_to", "digest", "length", "block")
     return found.mapInArrow(payloads, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")

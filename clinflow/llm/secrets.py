@@ -1,9 +1,10 @@
 """Secret scans with a trigram index.
 
 For each rule a Boolean query over trigrams is derived from its regular expression: trigrams that every match must hold,
-joined by AND, with OR over alternatives. The index is split by documents: for each block of rows it has, for every
-trigram that some rule asks for, the posting list of the rows that hold it. Postings are intersected and united as the
-query says, and only the rows that are left are searched. A rule without a mandatory trigram is searched in all rows.
+joined by AND, with OR over alternatives. The index is split by documents, so that no trigram's postings meet in one
+place: for each block of rows every text's trigrams are emitted once and grouped by trigram into posting lists, one index
+for all rules (of the trigrams that some rule asks for). Postings are intersected and united as the query says, and only
+the rows that are left are searched. A rule without a mandatory trigram is searched in all rows.
 
 Null text is empty and has no spans. Offsets count code points, the end is exclusive. Whole texts are searched, whatever
 their length. Rows are independent: repeated rows repeat, an empty table gives an empty result, other columns are not read.
@@ -17,9 +18,12 @@ import re._constants as sre
 import re._parser as parser
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +42,7 @@ class Rule:
 
 #: The base kinds, in their order.
 BASE = (
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
+    Rule("assign", r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, 2),
     Rule("access", r"AKIA[A-Z0-9]+", 16),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{32,}"),
 )
@@ -56,6 +60,8 @@ RULES = BASE + MORE
 
 #: Strings that one part of a pattern may stand for, at most; beyond it the part counts as anything.
 SETS = 64
+#: Characters of the texts that a block of the index is made of, about.
+BLOCK = 1 << 20
 
 
 def _and(a, b):
@@ -135,13 +141,48 @@ def _leaves(query) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*map(_leaves, query[1:]))
 
 
-def _rows(query, postings: dict[str, set[int]], everything: set[int]) -> set[int]:
-    if query is True:
-        return everything
-    if isinstance(query, str):
-        return postings[query]
-    found = [_rows(x, postings, everything) for x in query[1:]]
-    return set.intersection(*found) if query[0] == "and" else set.union(*found)
+#: Characters that case-insensitive matching takes for an ASCII letter.
+_ALIKE = str.maketrans({"\u0130": "i", "\u0131": "i", "\u017f": "s", "\u212a": "k"})
+
+
+class Postings:
+    """The inverted index of a block of texts: for each trigram of the folded bytes that the rules ask for, the texts that hold it, in order."""
+
+    def __init__(self, asked: set[str]):
+        codes = sorted(int.from_bytes(x.encode(), "big") for x in asked if x.isascii())
+        self.codes = np.array(codes, np.uint32)
+        self.number = np.zeros(1 << 24, np.uint8 if len(codes) < 255 else np.uint32)  # 0: not asked for
+        self.number[self.codes] = np.arange(1, len(codes) + 1)
+
+    def build(self, texts: list[str]) -> None:
+        """Each text's trigrams are emitted once, as (trigram, text), and grouped by trigram."""
+        raw = [x.translate(_ALIKE).lower().encode() if not x.isascii() else x.lower().encode() for x in texts]
+        data = np.frombuffer(b"\xff\xff".join(raw), np.uint8).astype(np.uint32)  # no trigram goes over the end of a text
+        starts = np.cumsum([0, *(len(x) + 2 for x in raw[:-1])])
+        trigrams = (data[:-2] << 16) | (data[1:-1] << 8) | data[2:] if len(data) > 2 else np.zeros(0, np.uint32)
+        numbers = self.number[trigrams]
+        at = np.flatnonzero(numbers)
+        rows = np.searchsorted(starts, at, side="right") - 1
+        pairs = np.unique(numbers[at].astype(np.int64) * len(texts) + rows)
+        self.rows = pairs % max(1, len(texts))
+        self.ends = np.searchsorted(pairs, np.arange(1, len(self.codes) + 2, dtype=np.int64) * len(texts))
+        self.n = len(texts)
+
+    def of(self, trigram: str) -> np.ndarray:
+        if not trigram.isascii():
+            return np.arange(self.n)  # not in the index; the rule itself decides
+        k = int(np.searchsorted(self.codes, int.from_bytes(trigram.encode(), "big")))
+        return self.rows[self.ends[k] : self.ends[k + 1]]
+
+    def matching(self, query) -> np.ndarray:
+        """The texts that a Boolean query leaves, by intersecting and uniting postings."""
+        if query is True:
+            return np.arange(self.n)
+        if isinstance(query, str):
+            return self.of(query)
+        found = [self.matching(x) for x in query[1:]]
+        both = np.intersect1d if query[0] == "and" else np.union1d
+        return reduce(lambda a, b: both(a, b) if len(a) or query[0] == "or" else a, sorted(found, key=len))
 
 
 def spans_of(text: str, rule: Rule, find) -> list[tuple[int, int]]:
@@ -149,40 +190,41 @@ def spans_of(text: str, rule: Rule, find) -> list[tuple[int, int]]:
     return [m.span() for m in find(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
 
 
-def _lower(text: str) -> str:
-    # characters that case-insensitive matching takes for ASCII letters: the long s and the Kelvin sign
-    return text.lower().replace("\u017f", "s")
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of BLOCK characters or a little more; a longer text is a part of its own."""
+    for batch in batches:
+        ends, lo = np.cumsum(pc.utf8_length(batch.column(1)).to_numpy(zero_copy_only=False)), 0
+        while lo < batch.num_rows:
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + BLOCK)) + 1
+            yield batch.slice(lo, hi - lo)
+            lo = hi
 
 
 def _scan(rules: tuple[Rule, ...], base: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finds = [re.compile(r.pattern).finditer for r in rules]
         queries = [trigram_query(r.pattern) for r in rules]
-        asked = sorted(set().union(*map(_leaves, queries)))
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):  # a block of the index
-                batch = whole.slice(at, 512)
-                texts = batch.column(1).to_pylist()
-                lowered = [_lower(x) for x in texts]
-                postings = {t: {i for i, x in enumerate(lowered) if t in x} for t in asked}
-                everything = set(range(len(texts)))
-                found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-                for k, (rule, find, query) in enumerate(zip(rules, finds, queries, strict=True)):
-                    for i in _rows(query, postings, everything):
-                        found[i] += [(a, k, b) for a, b in spans_of(texts[i], rule, find)]
-                counts: list[list[int]] = [[] for _ in range(base)]
-                shas, spans = [], []
-                for own in found:
-                    own.sort()
-                    for k in range(base):
-                        counts[k].append(sum(x[1] == k for x in own))
-                    said = [f"{rules[k].kind}:{a}:{b}" for a, k, b in own]
-                    shas.append(hashlib.sha256(",".join(s for s, x in zip(said, own, strict=True) if x[1] < base).encode()).hexdigest())
-                    spans.append(",".join(said))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas, pa.string()), pa.array(spans, pa.string())],
-                    names=["doc_id", *(f"n_{r.kind}" for r in rules[:base]), "base_sha256", "spans"],
-                )
+        index = Postings(set().union(*map(_leaves, queries)))
+        for batch in _blocks(batches):
+            texts = batch.column(1).to_pylist()
+            index.build(texts)
+            found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+            for k, (rule, find, query) in enumerate(zip(rules, finds, queries, strict=True)):
+                for i in index.matching(query).tolist():
+                    found[i] += [(a, k, b) for a, b in spans_of(texts[i], rule, find)]
+            counts: list[list[int]] = [[] for _ in range(base)]
+            shas, spans = [], []
+            for own in found:
+                own.sort()
+                for k in range(base):
+                    counts[k].append(sum(x[1] == k for x in own))
+                said = [f"{rules[k].kind}:{a}:{b}" for a, k, b in own]
+                shas.append(hashlib.sha256(",".join(s for s, x in zip(said, own, strict=True) if x[1] < base).encode()).hexdigest())
+                spans.append(",".join(said))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas, pa.string()), pa.array(spans, pa.string())],
+                names=["doc_id", *(f"n_{r.kind}" for r in rules[:base]), "base_sha256", "spans"],
+            )
 
     return run
 

@@ -5,14 +5,20 @@ the first and one of the second collection is the key of one of M x M tables. Te
 probability (1 - (1 - s^T)^M)^2: with M = 9 and T = 2 that is 0.9998 at 0.8.
 
 Texts with equal shingle sets are one node. The leader of a bucket is the node that meets most nodes in all tables; a
-leader's canopy is the nodes of the buckets that it leads, so two nodes of a bucket have a canopy in common. Canopies
-are cut into blocks, and each pair of blocks is a task of bounded size: there nodes are held against each other on their
-full sets, except those that are linked already through others, and only what links them goes on. Components are found
-by contraction in Spark joins.
-
-Texts without words have no shingle and are linked with nothing. Null text is such a text. A null id takes part in links;
-a component's id is its smallest id (null if it has none). Rows that repeat, or share a shingle set, are in one
-component. An empty table gives an empty result; other columns are not read.
+leader's canopy is the nodes of the buckets that it leads, so two nodes of a bucket have a canopy in common. A canopy is
+dealt into parts of bounded size, each with the leader: there nodes are held against each other on their full sets, except
+those that are linked already through others, and only what links them goes on. Components are found by contraction in
+Spark joins. Where a canopy's parts lie in several components then, the nodes outside its largest component meet every
+part, so no pair of different components is left out. A family of near copies above the threshold costs its size; only a
+family that is mostly below it costs the square of the nodes that no link connects, in tasks of bounded memory.
+
+Words and shingles are compared by 64-bit hashes (a word's bytes count by a hash of byte and place, so no rolling sum that
+texts could be made to collide in), sets by 128 bits.
+
+Texts without words have no shingle and are linked with nothing. Null text is such a text. Texts of any length are taken
+whole. A null id takes part in links; a component's id is its smallest id (null if it has none). Rows that repeat, or
+share a shingle set, are in one component. An empty table gives an empty result; other columns are not read, and
+drop_near_copies hands them on, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,14 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, cut, measured, text_or_empty
+from clinflow.llm.common import by_value, cut, measured, own_columns, spare, text_or_empty
 from clinflow.llm.shingles import MinHash, Shingler
 
 by_value(__name__)
 
 M, T = 9, 2
-#: Nodes of a canopy in a block.
-BLOCK = 192
+#: Nodes of a canopy in a part, and their shingles (8 bytes each), about; a larger set is a part with few others.
+BLOCK, SHINGLES = 192, 1 << 20
 #: Rows (two longs each) that a broadcast side may have here.
 KEYS = 2_000_000
 
@@ -78,15 +84,22 @@ def _keys(m: int) -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(x, y) to (node, label): each node of an edge with the smallest node that it is connected with."""
+    """(x, y) to (node, label): each node of an edge with one node, the label, of what it is connected with.
+
+    In a round every node points at its smallest neighbour, if that is smaller; pointers are doubled until each leads to a
+    root, and what hangs on a root becomes one node. A chain of n nodes in order needs log2(n) doublings of one round.
+    """
     edges = cut(edges.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
     labels = edges.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("label", F.col("node"))
     while not edges.isEmpty():
-        # every node points at its smallest neighbour, if that is smaller; pointers are followed once, and edges move to where they lead
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
         to = cut(both.groupBy("x").agg(F.min("y").alias("p")).select("x", F.least("x", "p").alias("p")))
-        up = to.select(F.col("x").alias("p"), F.col("p").alias("q"))
-        to = cut(to.join(up, "p").select("x", F.col("q").alias("p")))
+        moving = True
+        while moving:
+            up = to.select(F.col("x").alias("p"), F.col("p").alias("q"))
+            further = cut(to.join(up, "p").select("x", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
+            moving = not further.filter("moved").isEmpty()
+            to = further.select("x", "p")
         labels = cut(labels.join(to.select(F.col("x").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")))
         a, b = to.select("x", F.col("p").alias("px")), to.select(F.col("x").alias("y"), F.col("p").alias("py"))
         moved = edges.join(a, "x").join(b, "y").select(F.greatest("px", "py").alias("x"), F.least("px", "py").alias("y"))
@@ -94,14 +107,16 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _links(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """(node, smallest node of its component) of what is linked; every pair of different components has been held against each other."""
+def _links(nodes: np.ndarray, sets: list[np.ndarray], percent: int, label: np.ndarray, first: np.ndarray, second: np.ndarray) -> list[tuple[int, int]]:
+    """(node, smallest node of its component) of what is linked, where every pair of one in ``first`` and one in ``second``
+    (both may be the same) with different labels has been held against each other."""
     size = np.array([len(x) for x in sets])
-    label = np.arange(len(nodes))
-    waiting = np.ones(len(nodes), bool)
-    for p in range(len(nodes)):
-        waiting[p] = False
-        others = np.flatnonzero(waiting & (label != label[p]) & (100 * np.minimum(size, size[p]) >= percent * np.maximum(size, size[p])))
+    start = label.copy()
+    label = label.copy()
+    for p in np.flatnonzero(first):
+        others = np.flatnonzero(second & (label != label[p]) & (100 * np.minimum(size, size[p]) >= percent * np.maximum(size, size[p])))
+        if first is second:
+            others = others[others > p]
         if not len(others):
             continue
         flat = np.concatenate([sets[i] for i in others])
@@ -110,42 +125,94 @@ def _links(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tupl
         near = others[100 * common >= percent * (size[others] + size[p] - common)]
         if len(near):
             label[np.isin(label, label[near])] = label[p]
-    least = {k: int(nodes[label == k].min()) for k in np.unique(label).tolist()}
-    return [(int(x), least[k]) for x, k in zip(nodes, label.tolist(), strict=True) if least[k] != x]
+    least = {k: int(nodes[label == k].min()) for k in np.unique(label[label != start]).tolist()}
+    return [(int(x), least[k]) for x, k in zip(nodes, label.tolist(), strict=True) if k in least and least[k] != x]
 
 
 def _verify(percent: int):
+    """Links inside a part of a canopy."""
+
     def run(group: pa.Table) -> pa.Table:
         nodes = group.column("node").to_numpy()
         sets = [x.values.to_numpy().view(np.uint64) for x in group.column("set")]  # sorted as unsigned numbers
-        found = _links(nodes, sets, percent)
+        every = np.ones(len(nodes), bool)
+        # the leader comes first: what is like it is linked at once, and only the others are held against each other
+        order = np.argsort(nodes != group.column("lead")[0].as_py(), kind="stable")
+        found = _links(nodes[order], [sets[i] for i in order], percent, np.arange(len(nodes)), every, every)
+        return pa.table({"x": pa.array([a for a, _ in found], pa.int64()), "y": pa.array([b for _, b in found], pa.int64())})
+
+    return run
+
+
+def _verify_across(percent: int):
+    """Links between some nodes of a canopy and those of a part of it."""
+
+    def run(group: pa.Table) -> pa.Table:
+        nodes, roamer = group.column("node").to_numpy(), group.column("roams").to_numpy(zero_copy_only=False)
+        sets = [x.values.to_numpy().view(np.uint64) for x in group.column("set")]
+        _, label = np.unique(group.column("label").to_numpy(), return_inverse=True)
+        found = _links(nodes, sets, percent, label, roamer, ~roamer)
         return pa.table({"x": pa.array([a for a, _ in found], pa.int64()), "y": pa.array([b for _, b in found], pa.int64())})
 
     return run
 
 
+def _parts(n: Column, size: Column) -> Column:
+    """Parts of about BLOCK nodes and SHINGLES shingles."""
+    return F.greatest(F.ceil(n / BLOCK), F.ceil(size / SHINGLES), F.lit(1)).cast("int")
+
+
+def _canopy_links(canopies: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(x, y): links that connect what is connected in each canopy; ``canopies``: lead, node, n; ``sets``: node, set.
+
+    Canopies are dealt into parts of bounded size, each with the leader, and verified inside the parts. Where a canopy's
+    parts then still lie in several components, the nodes outside its largest one (in blocks) meet every part.
+    """
+    one = F.count(F.lit(1))
+    sizes = canopies.groupBy("lead").agg(_parts(one, F.sum("n")).alias("parts")).filter("parts > 1")
+    many = measured(cut(sizes))  # canopies of one part need no row here, so this side is short and no leader is a join key of many rows
+    dealt = canopies.join(many, "lead", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = F.pmod(F.hash("node"), F.col("parts"))
+    everywhere = F.when(F.col("node") == F.col("lead"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))
+    placed = dealt.select("lead", "node", F.explode(everywhere).alias("part"))
+    inside = cut(placed.join(sets, "node").groupBy("lead", "part").applyInArrow(_verify(percent), "x long, y long"))
+    if many.isEmpty():
+        return inside
+    # what the parts have linked
+    labels = components(inside)
+    large = canopies.join(many, "lead").join(labels, "node", "left").select("lead", "node", "n", "parts", F.coalesce("label", "node").alias("label"))
+    found = cut(large.groupBy("lead", "label").agg(one.alias("c"), F.sum("n").alias("n"), F.first("parts").alias("parts")))
+    most = found.groupBy("lead").agg(F.max_by("label", F.struct("c", "label")).alias("most"), one.alias("labels")).filter("labels > 1")
+    roaming = found.join(most, "lead").filter("label <> most").groupBy("lead").agg(_parts(F.sum("c"), F.sum("n")).alias("blocks"), F.first("most").alias("most"))
+    roaming = measured(cut(roaming))
+    if roaming.isEmpty():
+        return inside
+    large = cut(large.join(roaming, "lead"))
+    block = F.pmod(F.hash("node", F.lit(1)), F.col("blocks"))
+    stay = large.select("lead", "node", "label", F.lit(False).alias("roams"), F.pmod(F.hash("node"), F.col("parts")).alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    roam = large.filter("label <> most").select("lead", "node", "label", F.lit(True).alias("roams"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), block.alias("block"))
+    across = stay.unionByName(roam.select(*stay.columns)).join(sets, "node").groupBy("lead", "part", "block").applyInArrow(_verify_across(percent), "x long, y long")
+    return inside.unionByName(cut(across))
+
+
 def _labelled(texts: DataFrame, width: int, percent: int, m: int, t: int, further: str = "") -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, k1, k2 and the further columns, for each row of ``texts``; label, id, k1, k2 of each shingle set: its component and its smallest id)."""
     signed = cut(texts.mapInArrow(_signatures(width, m, t), f"doc_id long, n long, k1 long, k2 long, halves array<long>{further}"))
-    nodes = signed.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves"))
+    nodes = signed.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("halves").alias("halves"))
     nodes = cut(nodes).withColumn("node", F.monotonically_increasing_id())
     rows = nodes.select("node", F.explode(_keys(m)).alias("key"))
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     buckets = cut(rows.join(measured(cut(shared), KEYS), "key"))
     meets = buckets.groupBy("node").agg(F.sum("c").alias("meets"))
     leads = buckets.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("lead"))
-    canopies = cut(buckets.join(leads, "key").select("lead", "node").distinct())
+    canopies = buckets.join(measured(cut(leads), KEYS), "key").select("lead", "node").distinct().join(nodes.select("node", "n"), "node")
+    canopies = cut(canopies.select("lead", "node", "n"))
     # full sets of the nodes that share a bucket, from the text of a document each
     inside = cut(canopies.select("node").distinct().join(nodes.select("node", "id", "k1", "k2"), "node"))
     wanted = measured(inside.select(F.col("id").alias("doc_id")))
     raw = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text").mapInArrow(_full_sets(width), "k1 long, k2 long, set array<long>")
     sets = cut(raw.join(inside, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "set"))
-    blocks = canopies.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.hash("node"), F.col("blocks"))
-    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("own")))
-    placed = canopies.join(blocks, "lead").withColumn("own", own).select("lead", "node", "own", F.explode(other).alias("other"))
-    placed = placed.select("lead", "node", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-    edges = placed.join(sets, "node").groupBy("lead", "a", "b").applyInArrow(_verify(percent), "x long, y long")
+    edges = _canopy_links(canopies, sets, percent)
     named = nodes.select("node", "id", "k1", "k2").join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
     return signed, cut(named.select("label", "id", "k1", "k2"))
 
@@ -174,12 +241,13 @@ def drop_near_copies(docs: DataFrame, width: int = 2, percent: int = 80, m: int
     rows = cut(signed.filter("n > 0").select("doc_id", "sha", "k1", "k2").join(named.select("label", "k1", "k2"), ["k1", "k2"]).select("label", "sha", "doc_id"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sha"))["sha"]
     groups = cut(rows.groupBy("label").agg(first.alias("stays"), F.count(F.lit(1)).alias("c")).filter("c > 1"))
-    found = rows.join(measured(groups.select("label", "stays")), "label").groupBy(F.col("sha").alias("__sha")).agg(F.max(F.col("sha") != F.col("stays")).alias("__lost"), F.count(F.lit(1)).alias("c"))
-    found = cut(found.filter("__lost or c > 1").select("__sha", "__lost"))
-    flagged = docs.withColumn("__sha", sha).join(measured(found), "__sha", "left")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    alone = flagged.filter("__lost is null").select(*names)
-    if found.filter("not __lost").isEmpty():
+    key, lost = spare(docs, "sha", "lost")
+    found = rows.join(measured(groups.select("label", "stays")), "label").groupBy(F.col("sha").alias(key)).agg(F.max(F.col("sha") != F.col("stays")).alias(lost), F.count(F.lit(1)).alias("c"))
+    found = cut(found.filter(F.col(lost) | (F.col("c") > 1)).select(key, lost))
+    flagged = docs.withColumn(key, sha).join(measured(found), key, "left")
+    names = own_columns(docs)
+    alone = flagged.filter(F.col(lost).isNull()).select(*names)
+    if found.filter(~F.col(lost)).isEmpty():
         return alone
-    best = flagged.filter("not __lost").groupBy("__sha").agg(F.min_by(F.struct(*names), F.struct(F.col("doc_id").isNull(), "doc_id")).alias("row"))
-    return alone.unionByName(best.select("row.*"))
+    best = flagged.filter(~F.col(lost)).select(F.col(key).alias("key"), F.struct(*names).alias("row"), F.struct(F.col("doc_id").isNull(), "doc_id").alias("o"))
+    return alone.unionByName(best.groupBy("key").agg(F.min_by("row", "o").alias("row")).select("row.*"))

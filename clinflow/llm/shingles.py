@@ -32,26 +32,20 @@ class Shingler:
         self.of_byte[65:91] = self.of_byte[97:123]
         self.space = np.zeros(256, bool)
         self.space[[9, 10, 11, 12, 13, 32]] = True
-        self._powers(1 << 12)
-
-    def _powers(self, n: int) -> None:
-        base = 0x5851F42D4C957F2D
-        self.power = np.cumprod(np.full(n, base, _U), dtype=_U)
-        self.back = np.cumprod(np.full(n, pow(base, -1, 2**64), _U), dtype=_U)
 
     def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the words in some bytes, and where the words start."""
+        """Hashes of the words in some bytes, and where the words start. A byte counts by a hash of itself and its place in the word."""
         n = len(data)
-        if len(self.power) < n:
-            self._powers(max(n, 2 * len(self.power)))
         inside = ~self.space[data]
         edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         if not len(starts):
             return np.zeros(0, _U), starts
-        sums = np.zeros(n + 1, _U)
-        np.cumsum(self.of_byte[data] * self.power[:n], out=sums[1:], dtype=_U)
-        return mix((sums[ends] - sums[starts]) * self.back[starts] + (ends - starts).astype(_U)), starts
+        first = np.zeros(n, np.int64)
+        first[starts] = np.diff(starts, prepend=0)
+        place = (np.arange(n) - np.cumsum(first)).astype(_U)
+        sums = np.add.reduceat(mix(self.of_byte[data] + place * _U(0x5851F42D4C957F2D)) * inside, starts, dtype=_U)
+        return mix(sums + (ends - starts).astype(_U)), starts
 
     def _long(self, raw: bytes) -> np.ndarray:
         out, at = [], 0
@@ -81,27 +75,32 @@ class Shingler:
 
     def sets(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """For each text its distinct shingles, sorted; a text of fewer words is one shingle, one of none has none."""
+        for words in self.words_of(texts):
+            yield self._set(words)
+
+    def words_of(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """For each text the hashes of its words, in order."""
         group: list[bytes] = []
         size = 0
         for text in texts:
             raw = (text or "").encode()
             if size + len(raw) > PART and group:
-                yield from self._sets(group)
+                yield from self._words(group)
                 group, size = [], 0
             group.append(raw)
             size += len(raw) + 1
         if group:
-            yield from self._sets(group)
+            yield from self._words(group)
 
-    def _sets(self, group: list[bytes]) -> Iterator[np.ndarray]:
+    def _words(self, group: list[bytes]) -> Iterator[np.ndarray]:
         if len(group) == 1:
-            yield self._set(self._long(group[0]))
+            yield self._long(group[0])
             return
         hashes, starts = self.words(np.frombuffer(b"\n".join(group), np.uint8))
         ends = np.cumsum([len(x) + 1 for x in group])
         at = np.searchsorted(starts, ends)
         for lo, hi in zip([0, *at[:-1]], at, strict=True):
-            yield self._set(hashes[lo:hi])
+            yield hashes[lo:hi]
 
 
 class MinHash:

@@ -1,10 +1,13 @@
 """License scans: winnowed fingerprints pick candidates, banded alignment measures them.
 
-Templates are taken as words; K words in a row are hashed and of every W hashes the least is a fingerprint, so any
-K + W - 1 words in a row that a text shares with a template give a common one. The inverted index has for each
-fingerprint its places in the templates. A text's fingerprints are looked up in it; hits of a template near one diagonal
-are a candidate, which is aligned word by word in a band around that diagonal (match 2, mismatch -1, gap -1). What
-covers ``least`` of the template's words or more is reported with its span.
+Templates are whole license texts (the files of license_texts), notices and one-line statements of versions and variants,
+taken as words; K words in a row are hashed and of every W hashes the least is a fingerprint, so any K + W - 1 words in a
+row that a text shares with a template hold one. The inverted index has for each fingerprint its places in the templates.
+All hashes of K words of a text are looked up in it at once; hits of a template near one diagonal are a piece, which is
+aligned word by word in a band around that diagonal (match 2, mismatch -1, gap -1). Pieces of a template that follow each
+other in text and template, with GAP words or fewer between them, are a chain. A chain whose matched words are ``least`` of
+the template's or more is reported with its span; in short statements the words that tell versions and variants apart
+must all match. Of overlapping spans the one that matches most stays.
 
 The templates are a fixed, small table, sent with the job. Null text is empty and has no license. Offsets count code
 points, the end is exclusive. Texts are read whole. Rows are independent: repeated rows repeat, an empty table gives an
@@ -13,9 +16,9 @@ empty result, other columns are not read.
 
 from __future__ import annotations
 
-import re
-from collections import defaultdict
+import math
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,142 +26,286 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.llm.common import by_value, text_or_empty
+from clinflow.llm.shingles import PART, Shingler, mix
 
 by_value(__name__)
 
 K, W, BAND, LEAST = 3, 2, 8, 0.75
+#: Words between two pieces of a chain, at most; words beside a piece's hits that its alignment looks at; words that a statement has, at most.
+GAP, BESIDE, STATEMENT = 64, 32, 40
+#: Shares of a template's fingerprints that a text, and a piece, must hit (one at least); a chain of LEAST has far more.
+HIT, PIECE = 0.1, 0.04
 
 #: Statements and notices of public licenses.
-TEMPLATES = {
+NOTICES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "apache-2.0-notice": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
         with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable
         law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
-        CONDITIONS OF ANY KIND, either express or implied.""",
+        CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations
+        under the License.""",
     "mit": "Released under the MIT License.",
-    "mit-permission": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
         documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use,
         copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
         is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included
-        in all copies or substantial portions of the Software.""",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
-        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.""",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "bsd-conditions": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
-        following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the
-        following disclaimer.""",
-    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
-        provided that the above copyright notice and this permission notice appear in all copies.""",
+        in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+        IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO
+        EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT,
+        TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "isc-text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE
+        AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO
+        EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+        LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION
+        WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+    "bsd-2-text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and
+        the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+        the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    "mpl-2.0-notice": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0 1.0 Universal.",
 }
+#: Versions of the GNU licenses, and the variants of the Creative Commons licenses of version 4.0.
+GNU = (("gpl", "", "2"), ("gpl", "", "3"), ("lgpl", "Lesser ", "2.1"), ("lgpl", "Lesser ", "3"), ("agpl", "Affero ", "3"))
+COMMONS = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nd": "Attribution-NoDerivatives", "by-nc": "Attribution-NonCommercial", "by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+#: Words that tell variants apart; words with a digit do too.
+VARIANTS = {"lesser", "affero", "by", "sa", "nd", "nc", "sharealike", "noderivatives", "noncommercial", "mit", "apache", "gnu", "cc0"}
 
-_WORD = re.compile(r"[a-z0-9]+")
 
+def _templates() -> dict[str, str]:
+    out = dict(NOTICES)
+    for name, word, version in GNU:
+        full = version if "." in version else f"{version}.0"
+        out[f"{name}-{full}"] = f"This work is licensed under the GNU {word}General Public License, version {version}."
+        out[f"{name}-{full}-notice"] = f"""This program is free software: you can redistribute it and/or modify it under the terms of the GNU {word}General
+            Public License as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."""
+    for name, words in COMMONS.items():
+        out[f"cc-{name}-4.0"] = f"Licensed under CC {name.upper()} 4.0."
+        out[f"cc-{name}-4.0-notice"] = f"This work is licensed under a Creative Commons {words} 4.0 International License."
+    for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        out[f"{file.stem.lower()}-text"] = file.read_text(encoding="utf-8")
+    return out
 
-def _folded(text: str) -> str:
-    """Lower case of A to Z alone, so that offsets stay."""
-    return text.translate(_LOWER)
 
+TEMPLATES = _templates()
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 
+class Words(Shingler):
+    """Hashes of words of ASCII letters and digits, A to Z lowered, with their places in the bytes."""
 
-def winnow(words: list[int], k: int = K, w: int = W) -> list[tuple[int, int]]:
-    """(hash, place) of the fingerprints of some words: the least of every ``w`` hashes in a row, the last of equal ones."""
-    hashes = []
-    for i in range(len(words) - k + 1):
-        h = 0
-        for x in words[i : i + k]:
-            h = (h * 1_000_003 + x * 0x9E3779B1 + 12345) & 0xFFFFFFFFFFFF
-        hashes.append(h ^ (h >> 23))
+    def __init__(self):
+        super().__init__(1)
+        self.space = np.ones(256, bool)
+        self.space[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+
+    def placed(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and starts, in parts of PART bytes or a word more."""
+        data, at = np.frombuffer(raw, np.uint8), 0
+        out, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        while at < len(data):
+            end = min(len(data), at + PART)
+            while end < len(data) and not self.space[data[end]]:
+                end += 1
+            h, starts = self.words(data[at:end])
+            out.append(h)
+            places.append(starts + at)
+            at = end
+        return np.concatenate(out), np.concatenate(places)
+
+
+def hashes_of(words: np.ndarray) -> np.ndarray:
+    """The hash of every K words in a row."""
+    n = len(words) - K + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    h = np.full(n, K, np.uint64)
+    for k in range(K):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
+    return h
+
+
+def winnow(hashes: np.ndarray, w: int = W) -> np.ndarray:
+    """Places of the fingerprints: the least of every ``w`` hashes in a row, the last of equal ones."""
+    if not len(hashes):
+        return np.zeros(0, np.int64)
     w = min(w, len(hashes))
-    chosen = {min(range(i, i + w), key=lambda j: (hashes[j], -j)) for i in range(len(hashes) - w + 1)} if hashes else set()
-    return [(hashes[i], i) for i in sorted(chosen)]
+    windows = np.lib.stride_tricks.sliding_window_view(hashes, w)
+    return np.unique(np.arange(len(windows)) + w - 1 - np.argmin(windows[:, ::-1], axis=1))
 
 
-def align(text: list[int], template: list[int], diagonal: int, band: int = BAND) -> tuple[int, int, int, int]:
-    """(score, matched words, first, last + 1) of the best local alignment within ``band`` of the diagonal (text place less template place)."""
-    best = (0, 0, 0, 0)
-    above: dict[int, tuple[int, int, int]] = {}
+def align(text: list[int], template: list[int], diagonal: int, band: int = BAND, must: dict[int, int] | None = None) -> tuple[int, int, int, int, int, int, int]:
+    """(score, matched words, first and last + 1 in the text, first and last + 1 in the template, bits of ``must`` that matched) of the best
+    local alignment within ``band`` of the diagonal (text place less template place). ``must``: template place to bit."""
+    best = (0, 0, 0, 0, 0, 0, 0)
+    must = must or {}
+    above: dict[int, tuple[int, int, int, int, int]] = {}
     for j, word in enumerate(template):
-        row: dict[int, tuple[int, int, int]] = {}
+        row: dict[int, tuple[int, int, int, int, int]] = {}
+        bit = must.get(j, 0)
         for i in range(max(0, j + diagonal - band), min(len(text), j + diagonal + band + 1)):
-            score, matched, first = above.get(i - 1, (0, 0, i))
-            if score <= 0:
-                score, matched, first = 0, 0, i
+            score, matched, i0, j0, bits = above.get(i - 1, (0, 0, i, j, 0))
             same = text[i] == word
-            cell = (score + (2 if same else -1), matched + same, first)
+            cell = (score + 2, matched + 1, i0, j0, bits | bit) if same else (score - 1, matched, i0, j0, bits)
             for other in (above.get(i), row.get(i - 1)):
                 if other and (other[0] - 1, other[1]) > cell[:2]:
                     cell = (other[0] - 1, *other[1:])
             if cell[0] > 0:
                 row[i] = cell
-                if (cell[0], cell[1]) > best[:2] and same:
-                    best = (*cell, i + 1)
+                if same and cell[:2] > best[:2]:
+                    best = (cell[0], cell[1], cell[2], i + 1, cell[3], j + 1, cell[4])
         above = row
     return best
 
 
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float):
-        self.least, self.names = least, list(templates)
-        self.vocabulary: dict[str, int] = {}
-        number = lambda x: self.vocabulary.setdefault(x, len(self.vocabulary) + 1)
-        self.templates = [[number(x) for x in _WORD.findall(_folded(t))] for t in templates.values()]
-        self.index: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for t, words in enumerate(self.templates):
-            for h, at in winnow(words):
-                self.index[h].append((t, at))
-
-    def candidates(self, ids: np.ndarray) -> list[tuple[int, int, int]]:
-        """(template, diagonal, text place) of each place where hits of a template begin."""
-        known = np.flatnonzero(np.diff((ids > 0).astype(np.int8), prepend=0, append=0))
-        hits = set()
-        for lo, hi in zip(known[::2], known[1::2], strict=True):  # runs of words that templates have; only they can hold fingerprints of templates
-            if hi - lo >= K:
-                for h, at in winnow(ids[lo:hi].tolist()):
-                    hits |= {(t, int(lo) + at - place, int(lo) + at) for t, place in self.index.get(h, ())}
-        out: list[tuple[int, int, int]] = []
-        for t, diagonal, at in sorted(hits):
-            if not out or out[-1][0] != t or diagonal - out[-1][1] > BAND // 2:
-                out.append((t, diagonal, at))
-        return out
+        self.least, self.names, self.words = least, list(templates), Words()
+        self.templates = [self.words.placed(t.encode())[0] for t in templates.values()]
+        self.must: list[dict[int, int]] = []
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for t, (text, words) in enumerate(zip(templates.values(), self.templates, strict=True)):
+            said = "".join(c.lower() if c.isascii() and c.isalnum() else " " for c in text).split()
+            telling = [j for j, x in enumerate(said) if x in VARIANTS or any(c.isdigit() for c in x)] if len(words) <= STATEMENT else []
+            self.must.append({j: 1 << k for k, j in enumerate(telling)})
+            hashes = hashes_of(words)
+            places = winnow(hashes)
+            found.append((hashes[places], np.full(len(places), t), places))
+        keys, of, places = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.of, self.places = keys[order], of[order], places[order]
+        self.size = np.bincount(of, minlength=len(self.templates))  # fingerprints of each template
+
+    def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text place, template, template place) of every hash of the words that is a fingerprint of a template."""
+        hashes = hashes_of(words)
+        lo, hi = np.searchsorted(self.keys, hashes, "left"), np.searchsorted(self.keys, hashes, "right")
+        n = hi - lo
+        at = np.repeat(np.arange(len(hashes)), n)
+        entry = np.repeat(lo, n) + np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        return at, self.of[entry], self.places[entry]
 
-    def scan(self, text: str) -> list[tuple[int, int, str, int, int]]:
+    def pieces(self, at: np.ndarray, places: np.ndarray, t: int) -> list[tuple[int, int, int]]:
+        """(diagonal, first and last template place) of the runs of hits near one diagonal."""
+        diagonal = at - places
+        order = np.lexsort((places, diagonal))
+        least = max(1, math.ceil(PIECE * self.size[t]))
+        out, group = [], []
+        for d, j in zip(diagonal[order].tolist(), places[order].tolist(), strict=True):
+            if group and d - group[0][0] > BAND // 2:
+                out.append(group)
+                group = []
+            group.append((d, j))
+        if group:
+            out.append(group)
+        return [(g[len(g) // 2][0], min(j for _, j in g), max(j for _, j in g)) for g in out if len(g) >= least]
+
+    def scan(self, raw: bytes) -> list[tuple[int, int, str, int, int]]:
         """(start, end, template, matched words, words of the template), by place; of overlapping spans the one that matches most stays."""
-        folded = _folded(text)
-        get = self.vocabulary.get
-        ids = np.fromiter((get(x, 0) for x in _WORD.findall(folded)), np.int32)
-        candidates = self.candidates(ids)
-        if not candidates:
+        words, starts = self.words.placed(raw)
+        return self.judged(raw, words, starts, *self.hits(words))
+
+    def judged(self, raw: bytes, words: np.ndarray, starts: np.ndarray, at: np.ndarray, of: np.ndarray, places: np.ndarray) -> list[tuple[int, int, str, int, int]]:
+        found: list[tuple[int, int, int, int]] = []
+        for t in np.unique(of).tolist():
+            own = of == t
+            if len(np.unique(places[own])) < max(1, math.ceil(HIT * self.size[t])):
+                continue
+            found += self._chains(words, t, self.pieces(at[own], places[own], t))
+        if not found:
             return []
-        places = [m.span() for m in _WORD.finditer(folded)]
-        found = set()
-        for t, diagonal, _ in candidates:
-            template = self.templates[t]
-            lo = max(0, diagonal - BAND)
-            hi = min(len(ids), diagonal + len(template) + BAND)
-            score, matched, first, last = align(ids[lo:hi].tolist(), template, diagonal - lo)
-            if score > 0 and matched >= self.least * len(template):
-                found.add((places[lo + first][0], places[lo + last - 1][1], t, matched))
-        kept: list[tuple[int, int, int, int]] = []  # by place; of overlapping spans the one that matches most
-        for x in sorted(found, key=lambda x: (x[0], -x[3], x)):
+        kept: list[tuple[int, int, int, int]] = []
+        for x in sorted(found, key=lambda x: (x[0], -x[3], x)):  # by place
             if not kept or x[0] >= kept[-1][1]:
                 kept.append(x)
             elif x[3] > kept[-1][3]:
                 kept[-1] = x
-        return sorted((a, b, self.names[t], m, len(self.templates[t])) for a, b, t, m in kept)
+        data = np.frombuffer(raw, np.uint8)
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # code points before a byte
+        inside = ~self.words.space[data]
+        out = []
+        for a, b, t, m in kept:
+            end = int(starts[b - 1])
+            while end < len(data) and inside[end]:
+                end += 1
+            out.append((int(points[starts[a]]), int(points[end]), self.names[t], m, len(self.templates[t])))
+        return out
+
+    def _chains(self, words: np.ndarray, t: int, pieces: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+        """(first word, last + 1, template, matched) of what covers enough of a template."""
+        template, must = self.templates[t], self.must[t]
+        aligned = set()
+        for diagonal, a, b in pieces:
+            j0, j1 = max(0, a - BESIDE), min(len(template), b + K + BESIDE)
+            i0 = max(0, j0 + diagonal - BAND)
+            i1 = min(len(words), j1 + diagonal + BAND)
+            _, matched, x, y, u, v, bits = align(words[i0:i1].tolist(), template[j0:j1].tolist(), diagonal + j0 - i0, BAND, {j - j0: k for j, k in must.items()})
+            if matched:
+                aligned.add((i0 + x, i0 + y, j0 + u, j0 + v, matched, bits))
+        rows = sorted(aligned)
+        best: list[tuple[int, int, int]] = []  # matched and bits of the best chain that ends in a piece, and its piece before
+        for k, (x, _, u, _, matched, bits) in enumerate(rows):
+            own = (matched, bits, -1)
+            for p in range(k - 1, -1, -1):
+                if x - rows[p][0] > GAP + len(template) + BAND:
+                    break
+                if 0 <= x - rows[p][1] <= GAP and u >= rows[p][3] and best[p][0] + matched > own[0]:
+                    own = (best[p][0] + matched, best[p][1] | bits, p)
+            best.append(own)
+        every, used, out = sum(must.values()), set(), []
+        for k in sorted(range(len(rows)), key=lambda k: -best[k][0]):
+            if best[k][0] < self.least * len(template):
+                break
+            chain = [k]
+            while best[chain[-1]][2] >= 0:
+                chain.append(best[chain[-1]][2])
+            if best[k][1] == every and not used & set(chain):
+                used |= set(chain)
+                out.append((rows[chain[-1]][0], rows[k][1], t, best[k][0]))
+        return out
+
+    def scan_all(self, texts: list[bytes]) -> Iterator[list[tuple[int, int, str, int, int]]]:
+        """As ``scan`` for each text; short texts are hashed and looked up together."""
+        group: list[bytes] = []
+        size = 0
+        for raw in texts:
+            if group and size + len(raw) > PART:
+                yield from self._together(group)
+                group, size = [], 0
+            group.append(raw)
+            size += len(raw) + 1
+        if group:
+            yield from self._together(group)
+
+    def _together(self, group: list[bytes]) -> Iterator[list[tuple[int, int, str, int, int]]]:
+        words, starts = self.words.placed(b"\n".join(group))
+        first = np.cumsum([0, *(len(x) + 1 for x in group[:-1])])
+        begin = np.searchsorted(starts, first)
+        end = np.append(begin[1:], len(words))
+        at, of, places = self.hits(words)
+        text = np.searchsorted(begin, at, side="right") - 1
+        inside = at + K <= end[text]  # K words of one text
+        at, of, places, text = at[inside], of[inside], places[inside], text[inside]
+        edges = np.searchsorted(text, np.arange(len(group) + 1))
+        for k, raw in enumerate(group):
+            lo, hi = edges[k], edges[k + 1]
+            if lo == hi:
+                yield []
+            else:
+                yield self.judged(raw, words[begin[k] : end[k]], starts[begin[k] : end[k]] - first[k], at[lo:hi] - begin[k], of[lo:hi], places[lo:hi])
 
 
 def _scan(templates: dict[str, str], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, least)
-        for batch in batches:
-            found = [scanner.scan(batch.column(1)[i].as_py()) for i in range(batch.num_rows)]
-            spans = [",".join(f"{name}:{a}:{b}:{m}/{n}" for a, b, name, m, n in x) for x in found]
-            best = [max((round(m / n, 4) for *_, m, n in x), default=0.0) for x in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(best, pa.float64()), pa.array(spans, pa.string())], names=["doc_id", "n_licenses", "best_coverage", "licenses"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                found = list(scanner.scan_all([x.encode() for x in batch.column(1).to_pylist()]))
+                spans = [",".join(f"{name}:{a}:{b}:{m}/{n}" for a, b, name, m, n in x) for x in found]
+                best = [max((round(m / n, 4) for *_, m, n in x), default=0.0) for x in found]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in found], pa.int64()), pa.array(best, pa.float64()), pa.array(spans, pa.string())], names=["doc_id", "n_licenses", "best_coverage", "licenses"])
 
     return run
 

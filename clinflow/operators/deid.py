@@ -26,10 +26,11 @@ def crosswalk_lookup(df: DataFrame, crosswalk: DataFrame, keys: list[str], field
 
 
 def random_donor(df: DataFrame, donors: DataFrame, key: str, fields: list[str], salt: str, n: int) -> DataFrame:
-    """``new_f``: the field of a donor picked by a keyed hash; never the row's own value. ``donors`` (pos 0..n-1, fields)."""
+    """``new_f``: the field of a donor picked by a keyed hash; never the row's own value. ``donors`` (pos 0..n-1, fields) may grow
+    with the patients, so Spark chooses the join by their size."""
     for f in fields:
         first, second = scrub.keyed(salt, F.col(key), F.lit(f), below=n), scrub.keyed(salt + "+", F.col(key), F.lit(f), below=n)
-        side = F.broadcast(donors.filter(F.trim(F.coalesce(f, F.lit(""))) != "").select("pos", F.col(f).alias("_v")))
+        side = donors.filter(F.trim(F.coalesce(f, F.lit(""))) != "").select("pos", F.col(f).alias("_v"))
         one = side.select(F.col("pos").alias("_p1"), F.col("_v").alias("_v1"))
         two = side.select(F.col("pos").alias("_p2"), F.col("_v").alias("_v2"))
         rows = df.withColumns({"_p1": first, "_p2": second}).join(one, "_p1", "left").join(two, "_p2", "left")

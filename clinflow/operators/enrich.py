@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.functions import filters as flt
-from clinflow.operators.routing import delimited_row, keyed_upsert
+from clinflow.operators.config import config, config_hint
+from clinflow.operators.routing import keyed_upsert
 from clinflow.operators.segments import etl_timestamp, join_repeats
 
 
@@ -20,15 +21,16 @@ def blank(c: str) -> Column:
 def facility(df: DataFrame, reference: DataFrame) -> DataFrame:
     """coid, network and description by (facility, location); without the location, the facility's first entry. ``reference`` (pos, facility, location, coid, network, description) is a reference table of some thousand rows."""
     value = F.struct("coid", "network", "description")
-    exact = F.broadcast(reference.groupBy("facility", "location").agg(F.min_by(value, "pos").alias("exact")))
-    first = F.broadcast(reference.groupBy("facility").agg(F.min_by(value, "pos").alias("first")))
+    small = config_hint(reference)
+    exact = small(reference.groupBy("facility", "location").agg(F.min_by(value, "pos").alias("exact")))
+    first = small(reference.groupBy("facility").agg(F.min_by(value, "pos").alias("first")))
     rows = df.join(exact, ["facility", "location"], "left").join(first, "facility", "left").withColumn("found", F.coalesce("exact", "first"))
     return rows.select(*df.columns, "found.coid", "found.network", "found.description")
 
 
 def facility_crossref(df: DataFrame, crossref: DataFrame) -> DataFrame:
     """A cross-reference of (facility, location) replaces facility, coid and network."""
-    side = F.broadcast(crossref.select("facility", "location", "new_coid", "new_facility", "new_network"))
+    side = config(crossref.select("facility", "location", "new_coid", "new_facility", "new_network"))
     rows = df.join(side, ["facility", "location"], "left")
     hit = F.col("new_facility").isNotNull()
     new = {"facility": "new_facility", "coid": "new_coid", "network": "new_network"}
@@ -69,22 +71,26 @@ def extract_project(named: DataFrame, names: list[str]) -> DataFrame:
     return rows.groupBy("msg_id").agg(*[join_repeats(F.transform(ordered(n), lambda x: x["value"])).alias(n) for n in names])
 
 
-def payload(df: DataFrame, cols: list[str], fmt: str, as_of: Column, raw: str = "raw") -> DataFrame:
-    """(msg_id, payload) in one of four formats; the first two end with the load time."""
-    stamped = df.withColumn("etl_firstinsert_datetime", etl_timestamp(as_of))
-    names = [*cols, "etl_firstinsert_datetime"]
-    json = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
+def _payloads(cols: list[str], fmt: str, as_of: Column, raw: str) -> Column:
+    """The payloads of a row, one or two, in one of four formats; the first two end with the load time."""
+    stamp = etl_timestamp(as_of)
+    json = F.to_json(F.struct(*cols, stamp.alias("etl_firstinsert_datetime")), {"ignoreNullFields": "false"})
     if fmt == "JSON":
-        return stamped.select("msg_id", json.alias("payload"))
+        return F.array(json)
     if fmt == "DELIMITED":
-        return stamped.select("msg_id", delimited_row(names).alias("payload"))
+        return F.array(F.array_join(F.array(*[F.col(c).cast("string") for c in cols], stamp), "|", ""))
     if fmt == "RAWDATA":
-        return df.select("msg_id", F.col(raw).alias("payload"))
+        return F.array(F.col(raw))
     if fmt == "RAWDATA_JSON":
-        return stamped.select("msg_id", F.explode(F.array(F.col(raw), json)).alias("payload"))
+        return F.array(F.col(raw), json)
     raise ValueError(f"unknown format {fmt}")
 
 
+def payload(df: DataFrame, cols: list[str], fmt: str, as_of: Column, raw: str = "raw") -> DataFrame:
+    """(msg_id, payload)."""
+    return df.select("msg_id", F.explode(_payloads(cols, fmt, as_of, raw)).alias("payload"))
+
+
 SYSTEMS = {"JSON": "KAFKA", "DELIMITED": "KAFKA", "RAWDATA": "WSMQ", "RAWDATA_JSON": "HBASE"}
 
 
@@ -92,9 +98,29 @@ def route(df: DataFrame, system: str, destination: str) -> DataFrame:
     return df.withColumns({"dest_system": F.lit(system), "dest_route": F.lit(destination)})
 
 
-def extract(named: DataFrame, spec_filters: list[flt.Filter], names: list[str], fmt: str, system: str, destination: str, as_of: Column) -> dict[str, DataFrame]:
-    """One extract: ``payload`` rows with their route, and ``filtered`` messages."""
-    judged = flt.apply(named, spec_filters)
-    passed = named.join(judged.filter("passed").select("msg_id"), "msg_id", "left_semi")
-    rows = extract_project(passed, names)
-    return {"payload": route(payload(rows, names, fmt, as_of), system, destination), "filtered": judged.filter("not passed").select("msg_id", F.lit("FILTERED").alias("state"))}
+def extract_rows(named: DataFrame, filters: list[flt.Filter], names: list[str]) -> DataFrame:
+    """(msg_id, passed, the names' values over all segments joined by ^): filters and projection of a message from one grouping."""
+    at = ["seg_seq", "field", "rep", "comp", "sub"]
+    aggs = [F.array_sort(F.collect_list(F.when(F.col("name") == n, F.struct(*at, F.coalesce("value", F.lit("")).alias("value"))))).alias(f"p{k}") for k, n in enumerate(names)]
+    wanted = sorted({(f.segment, f.path) for f in filters})
+    tested = lambda s, p: (F.col("seg") == s) & (F.col("name") == p) & F.col("value").isNotNull()
+    aggs += [F.array_sort(F.collect_list(F.when(tested(s, p), F.struct("seg_seq", F.struct("rep", "comp", "sub").alias("at"), "value")))).alias(f"v{k}") for k, (s, p) in enumerate(wanted)]
+    rows = named.groupBy("msg_id").agg(*aggs)
+
+    def found(f: flt.Filter) -> Column:
+        """Of each segment the last repetition counts; any segment that fits is enough."""
+        values = F.col(f"v{wanted.index((f.segment, f.path))}")
+        last = F.filter(values, lambda x, i: F.coalesce(F.get(values, i + 1)["seg_seq"] != x["seg_seq"], F.lit(True)))
+        return F.exists(last, lambda x: flt.condition(f, x["value"]))
+
+    passed = flt.expression(filters, [found(f) for f in filters])
+    return rows.select("msg_id", passed.alias("passed"), *[join_repeats(F.transform(f"p{k}", lambda x: x["value"])).alias(n) for k, n in enumerate(names)])
+
+
+def extract(named: DataFrame, spec_filters: list[flt.Filter], names: list[str], fmt: str, system: str, destination: str, as_of: Column, raw: str = "raw") -> DataFrame:
+    """One extract: (msg_id, payload, dest_system, dest_route) of the messages that pass, and state FILTERED of the others."""
+    rows = extract_rows(named, spec_filters, names)
+    out = F.when(F.col("passed"), _payloads(names, fmt, as_of, raw)).otherwise(F.array(F.lit(None).cast("string")))
+    rows = rows.select("msg_id", "passed", F.explode(out).alias("payload"))
+    kept = lambda v, name: F.when(F.col("passed"), F.lit(v)).alias(name)
+    return rows.select("msg_id", "payload", kept(system, "dest_system"), kept(destination, "dest_route"), F.when(~F.col("passed"), "FILTERED").alias("state"))

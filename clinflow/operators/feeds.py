@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clinflow.operators import parse
+from clinflow.operators.config import config
 from clinflow.operators.routing import mllp
 
 # --- result feed ------------------------------------------------------------------------------------------------------
@@ -146,12 +147,13 @@ def schema_from_templates(templates: DataFrame, order: DataFrame, skip: list[str
 
     ``templates`` (tpl, pos, seg, field, comp), ``order`` (tpl, tpl_pos), both config."""
     path = F.concat_ws("|", F.when(F.col("field").isin(clash), F.concat(F.lit("_"), "field")).otherwise(F.col("field")), F.nullif("comp", F.lit("")))
-    rows = templates.filter(~F.col("seg").isin(skip) & ~F.col("field").isin(static)).join(F.broadcast(order), "tpl")
+    rows = templates.filter(~F.col("seg").isin(skip) & ~F.col("field").isin(static)).join(config(order), "tpl")
     first = rows.groupBy("seg", path.alias("path")).agg(F.min(F.struct("tpl_pos", "pos")).alias("at"))
     ordered = F.array_sort(F.collect_list(F.struct("at", "path")))
     return first.groupBy("seg").agg(F.array_join(F.transform(ordered, lambda x: x["path"]), "^").alias("model"))
 
 
+#: The columns before a segment's own, as outputs must have them.
 COMMON = ["etl_firstinsert_datetime", "field_seq_num", "sending_facility", "message_control_id", "medical_record_num", "medical_record_urn", "patient_account_num"]
 
 

@@ -5,28 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.operators.config import config, config_hint
 from clinflow.operators.parse import component, first_line, first_repetition, lines, part, second_if_any, separators
 
+#: What naming reads of an element's message.
+SOURCE = ("src", "fac", "tpl")
 #: (control id prefix, source); the first that fits is the source.
 SOURCES = (("MT6_", "MT6"), ("MT_", "MT"), ("EPIC_", "EPIC"), ("ECW_", "ECW"), ("NG_", "NG"), ("IP_", "IP"))
 
 
-def element_key() -> Column:
-    """SEG.f, SEG.f.c or SEG.f.c.s: as deep as the element is structured."""
-    deep = F.when(F.col("n_sub") > 1, F.concat(F.lit("."), "comp", F.lit("."), "sub")).when(F.col("n_comp") > 1, F.concat(F.lit("."), "comp")).otherwise("")
-    return F.concat("seg", F.lit("."), "field", deep)
+def with_source(raw: DataFrame, supported: DataFrame) -> DataFrame:
+    """``raw`` and src, ver, fac, tpl; ``supported`` (src, ver, tpl) is a small config table. An unsupported version has no template.
 
-
-def source_system(raw: DataFrame, supported: DataFrame) -> DataFrame:
-    """(msg_id, src, ver, fac, tpl); ``supported`` (src, ver, tpl) is a small config table. An unsupported version has no template."""
+    They are facts of a message's first line, so they are read before the message is taken apart, and its elements keep them."""
     msh = F.get(lines(F.col("raw")), F.lit(0))
     own = separators(F.col("raw"))
     ctrl = part(msh, 9, own)
     src = F.lit(None).cast("string")
     for prefix, name in reversed(SOURCES):
         src = F.when(ctrl.startswith(prefix), name).otherwise(src)
-    rows = raw.select("msg_id", src.alias("src"), part(msh, 11, own).alias("ver"), second_if_any(part(msh, 3, own), own).alias("fac"))
-    return rows.join(F.broadcast(supported), ["src", "ver"], "left").select("msg_id", "src", "ver", "fac", "tpl")
+    rows = raw.select("*", src.alias("src"), part(msh, 11, own).alias("ver"), second_if_any(part(msh, 3, own), own).alias("fac"))
+    return rows.join(config(supported), ["src", "ver"], "left").select(*raw.columns, "src", "ver", "fac", "tpl")
+
+
+def source_system(raw: DataFrame, supported: DataFrame) -> DataFrame:
+    return with_source(raw, supported).select("msg_id", "src", "ver", "fac", "tpl")
 
 
 def deepest(names: Column) -> Column:
@@ -34,22 +37,23 @@ def deepest(names: Column) -> Column:
     return F.try_element_at(F.filter(names, lambda x: x != ""), F.lit(-1))
 
 
-def name_elements(elements: DataFrame, templates: DataFrame, sources: DataFrame) -> DataFrame:
+def name_elements(elements: DataFrame, templates: DataFrame) -> DataFrame:
     """elements with elem_key, name, name_source. Precedence: realignment, facility, source, standard.
 
-    ``templates`` (tpl, elem_key, names): tpl is STD, a source template, FAC:<facility> or ALIGN:<source>. It is a config
-    table of a few thousand rows and broadcast; each lookup is one left join on the key.
+    ``elements`` keep src, fac and tpl of their message (``with_source``). ``templates`` (tpl, elem_key, names): tpl is STD, a
+    source template, FAC:<facility> or ALIGN:<source>. It is a config table of a few thousand rows; all that it says of an
+    element's key is one row here, so one join finds it.
     """
-    keyed = elements.join(sources, "msg_id", "left").withColumn("elem_key", F.concat("seg", F.lit("."), "field", F.lit("."), "comp"))
+    entry = F.struct("tpl", deepest(F.col("names")).alias("name"))
+    said = config_hint(templates)(templates.groupBy("elem_key").agg(F.map_from_entries(F.collect_list(entry)).alias("said")))
+    keyed = elements.withColumn("elem_key", F.concat("seg", F.lit("."), "field", F.lit("."), "comp")).join(said, "elem_key", "left")
     lookups = {"realignment": F.concat(F.lit("ALIGN:"), "src"), "facility": F.concat(F.lit("FAC:"), "fac"), "source": F.col("tpl"), "standard": F.lit("STD")}
-    for kind, tpl in lookups.items():
-        side = F.broadcast(templates.select(F.col("tpl").alias("_tpl"), "elem_key", deepest(F.col("names")).alias(f"_{kind}")))
-        keyed = keyed.withColumn("_tpl", tpl).join(side, ["_tpl", "elem_key"], "left").drop("_tpl")
-    name = F.coalesce(*[F.col(f"_{k}") for k in lookups])
-    source = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), k) for k in lookups])
+    found = {k: F.try_element_at("said", tpl) for k, tpl in lookups.items()}
+    name = F.coalesce(*found.values())
+    source = F.coalesce(*[F.when(v.isNotNull(), k) for k, v in found.items()])
     unknown = name.isNull() | (name == "") | F.contains(name, F.lit(".")) | (F.split_part(name, F.lit("_"), F.lit(-1)) == F.split_part("elem_key", F.lit("."), F.lit(-1)))
     out = keyed.withColumns({"name": F.when(unknown, "unknown").otherwise(name), "name_source": F.when(unknown, "unknown").otherwise(source)})
-    return out.select(*elements.columns, "elem_key", "name", "name_source")
+    return out.select(*[c for c in elements.columns if c not in SOURCE], "elem_key", "name", "name_source")
 
 
 def unknown_mapping(named: DataFrame) -> DataFrame:
@@ -65,7 +69,7 @@ def unknown_values(named: DataFrame) -> DataFrame:
 
 def realign_move(elements: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Components of a field become sub-components of component ``to_comp``; ``crosswalk`` (seg, field, to_field, to_comp) is config."""
-    rules = F.broadcast(crosswalk.select("seg", "field", "to_field", "to_comp"))
+    rules = config(crosswalk.select("seg", "field", "to_field", "to_comp"))
     rows = elements.join(rules, ["seg", "field"], "left")
     moved = F.col("to_field").isNotNull()
     keep = lambda a, b: F.when(moved, a).otherwise(b)
@@ -74,7 +78,7 @@ def realign_move(elements: DataFrame, crosswalk: DataFrame) -> DataFrame:
 
 def realign_merge(elements: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Component values of a field joined into one, in order; only fields with a rule."""
-    rules = F.broadcast(crosswalk.select("seg", "field"))
+    rules = config(crosswalk.select("seg", "field"))
     rows = elements.join(rules, ["seg", "field"], "left_semi").filter("value is not null").groupBy("msg_id", "seg_seq", "seg", "field", "rep")
     ordered = F.array_sort(F.collect_list(F.struct("comp", "sub", "value")))
     return rows.agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "").alias("value"))
@@ -83,7 +87,7 @@ def realign_merge(elements: DataFrame, crosswalk: DataFrame) -> DataFrame:
 def path_lookup(elements: DataFrame, rules: DataFrame) -> DataFrame:
     """First value that is not empty, by rule order. ``rules`` (target, rule, seg, field, want_comp, code_comp, code); a rule with
     a code takes the repetition whose component ``code_comp`` has it, and holds for any where the message has no such component."""
-    rules = F.broadcast(rules)
+    rules = config(rules)
     values = elements.filter("value is not null").join(rules, ["seg", "field"])
     item = ["msg_id", "seg_seq", "field", "rep", "target", "rule"]
     picked = values.groupBy(*item).agg(
@@ -113,8 +117,10 @@ def strip_nulls(elements: DataFrame) -> DataFrame:
 
 
 def _segment_json(named: DataFrame) -> DataFrame:
-    """(msg_id, seg_seq, seg, body): each segment as a JSON object of names to values (repeats as a list)."""
-    values = named.groupBy("msg_id", "seg_seq", "seg", "name").agg(F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "value"))).alias("v"))
+    """(msg_id, seg_seq, seg, body): each segment as a JSON object of names to values (repeats as a list).
+
+    All groupings from here to the message keep its rows together, so the one exchange by message serves them all."""
+    values = named.repartition("msg_id").groupBy("msg_id", "seg_seq", "seg", "name").agg(F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "value"))).alias("v"))
     texts = F.transform("v", lambda x: x["value"])
     one = F.when(F.size(texts) == 1, F.to_json(F.struct(F.get(texts, F.lit(0)).alias("v")), {"ignoreNullFields": "false"})).otherwise(F.to_json(F.struct(texts.alias("v")), {"ignoreNullFields": "false"}))
     values = values.withColumn("j", F.regexp_extract(one, r'^\{"v":(?s:(.*))\}$', 1)).withColumn("at", F.get("v", F.lit(0))["field"])

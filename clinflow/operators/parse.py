@@ -11,8 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.operators.config import config
+
 NO_CONTROL = "no message control ID"
 USUAL = {"field": "|", "comp": "^", "rep": "~", "sub": "&"}
+#: The columns that the splits make and read themselves; what else their input has, they hand on.
+PLACES = ("msg_id", "seg_seq", "seg", "line", "field", "text", "rep", "comp", "n_comp", "sub", "value")
 
 
 def lines(raw: Column) -> Column:
@@ -31,9 +35,10 @@ def separators(raw: Column) -> Column:
     return F.when(raw.startswith("MSH") & (F.length(raw) >= 8) & ~usual, F.struct(*[F.substring(raw, n, 1).alias(k) for k, n in at.items()]))
 
 
-def split_segments(raw: DataFrame) -> DataFrame:
-    rows = raw.select("msg_id", separators(F.col("raw")).alias("own"), F.posexplode(lines(F.col("raw"))).alias("pos", "line"))
-    return rows.filter("line <> ''").select("msg_id", (F.col("pos") + 1).alias("seg_seq"), F.substring("line", 1, 3).alias("seg"), "line", "own")
+def split_segments(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep``: columns of a message that its segments, and what they are cut into, hand on, so that no join by message brings them back."""
+    rows = raw.select("msg_id", separators(F.col("raw")).alias("own"), *keep, F.posexplode(lines(F.col("raw"))).alias("pos", "line"))
+    return rows.filter("line <> ''").select("msg_id", (F.col("pos") + 1).alias("seg_seq"), F.substring("line", 1, 3).alias("seg"), "line", "own", *keep)
 
 
 def delimiters(raw: DataFrame) -> DataFrame:
@@ -64,7 +69,7 @@ def _own(rows: DataFrame) -> Column | None:
 
 
 def _carried(rows: DataFrame) -> list[str]:
-    return ["own"] if "own" in rows.columns else []
+    return [c for c in rows.columns if c not in PLACES]
 
 
 def split_fields(segments: DataFrame, sep: str | Column | None = None) -> DataFrame:
@@ -116,14 +121,14 @@ def split_components(reps: DataFrame) -> DataFrame:
 def split_subcomponents(comps: DataFrame) -> DataFrame:
     """Cut at & only where the field has two components or more."""
     parts = F.when(F.col("n_comp") > 1, cut(F.col("text"), "sub", _own(comps))).otherwise(F.array("text"))
-    rows = comps.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", F.posexplode(parts).alias("pos", "text"))
+    rows = comps.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", *_carried(comps), F.posexplode(parts).alias("pos", "text"))
     value = F.when(F.col("text") != "", F.col("text"))
-    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", (F.col("pos") + 1).alias("sub"), value.alias("value"))
+    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", (F.col("pos") + 1).alias("sub"), value.alias("value"), *[c for c in _carried(comps) if c != "own"])
 
 
-def elements(raw: DataFrame, segs: tuple[str, ...] | None = None) -> DataFrame:
-    """``segs``: only these segments are taken apart, before the rows multiply."""
-    rows = split_segments(raw)
+def elements(raw: DataFrame, segs: tuple[str, ...] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``segs``: only these segments are taken apart, before the rows multiply. ``keep``: columns of the message that elements have too."""
+    rows = split_segments(raw, keep)
     if segs:
         rows = rows.filter(F.col("seg").isin(*segs))
     return split_subcomponents(split_components(split_repetitions(split_fields(rows))))
@@ -180,7 +185,7 @@ def meta_fast(raw: DataFrame) -> DataFrame:
 def type_from_key(raw: DataFrame, types: DataFrame) -> DataFrame:
     """Message type from the key's first part, NULL if it is not in ``types`` (column type; a fixed, small list)."""
     named = raw.withColumn("type", F.split_part("key", F.lit(":"), F.lit(1)))
-    known = F.broadcast(types.select(F.col("type"), F.lit(True).alias("known")))
+    known = config(types.select(F.col("type"), F.lit(True).alias("known")))
     return named.join(known, "type", "left").withColumn("type", F.when(F.col("known"), F.col("type"))).drop("known")
 
 
@@ -190,7 +195,7 @@ def type_from_body(raw: DataFrame, types: DataFrame) -> DataFrame:
     code = component(part(msh, 8, own), 1, own)
     code = F.when((code == "ORU") & part(msh, 9, own).startswith("IP"), "IPLORU").otherwise(code)
     named = raw.withColumn("code", code)
-    known = F.broadcast(types.select(F.col("type").alias("code"), F.lit(True).alias("known")))
+    known = config(types.select(F.col("type").alias("code"), F.lit(True).alias("known")))
     found = named.join(known, "code", "left")
     reason = F.when(F.col("known").isNull(), "UnknownMessageType")
     return found.withColumns({"type": F.when(F.col("known"), F.col("code")), "reject_reason": reason}).drop("known", "code")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.operators.config import config
+
 LIMIT = 4_194_304  # fixed value: characters of a record that a topic takes
 
 
@@ -83,6 +85,6 @@ def mllp(message: Column) -> Column:
 
 def map_queue_to_type(df: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``mapping`` (source, type, topic) is config. (known rows with type and topic, rejects with a reason)."""
-    rows = df.join(F.broadcast(mapping), "source", "left")
+    rows = df.join(config(mapping), "source", "left")
     bad = rows.filter("type is null").withColumn("reject_reason", F.concat(F.lit("Cannot Deal with HL7 messages of "), F.coalesce("source", F.lit(""))))
     return rows.filter("type is not null"), bad.drop("type", "topic")

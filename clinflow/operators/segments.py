@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.operators.config import config_hint
+
 #: Types whose messages carry another code in their header.
 FREE_TYPES = ("IPLORU", "ORMORDERS", "IPLORDERS", "VENTORU")
 ETL, SEQ = "etl_firstinsert_datetime", "field_seq_num"
@@ -26,12 +28,13 @@ def element_path(with_component: Column | None = None) -> Column:
 
 def parent_fallback(elements: DataFrame, models: DataFrame) -> DataFrame:
     """``path``: the element's own path if it is modelled, else its field's if that has several modelled children."""
-    own = F.broadcast(models.select("seg", F.col("path").alias("p1")).distinct().withColumn("exact", F.col("p1")))
+    small = config_hint(models)
+    own = small(models.select("seg", F.col("path").alias("p1")).distinct().withColumn("exact", F.col("p1")))
     field = F.split_part("path", F.lit("|"), F.lit(1))
     many = models.filter(F.contains("path", F.lit("|"))).groupBy("seg", field.alias("p2")).agg(F.countDistinct("path").alias("k")).filter("k > 1")
-    many = F.broadcast(many.select("seg", "p2", F.col("p2").alias("parent")))
+    many = small(many.select("seg", "p2", F.col("p2").alias("parent")))
     keyed = elements.withColumns({"p1": F.concat("field", F.lit("|"), "comp"), "p2": F.col("field").cast("string")})
-    single = F.broadcast(models.filter(~F.contains("path", F.lit("|"))).select("seg", F.col("path").alias("p2"), F.col("path").alias("whole")).distinct())
+    single = small(models.filter(~F.contains("path", F.lit("|"))).select("seg", F.col("path").alias("p2"), F.col("path").alias("whole")).distinct())
     rows = keyed.join(own, ["seg", "p1"], "left").join(single, ["seg", "p2"], "left").join(many, ["seg", "p2"], "left")
     whole = F.when(F.col("comp") == 1, F.col("whole"))
     return rows.withColumn("path", F.coalesce("exact", whole, "parent")).select(*elements.columns, "path")
@@ -65,7 +68,7 @@ def skipped(segments: DataFrame, rows: DataFrame) -> DataFrame:
 
 def not_applicable(messages: DataFrame, segments: DataFrame, models: DataFrame) -> DataFrame:
     """How many messages of a type lack a segment that the type has a model for; counts only, no pair of message and model."""
-    wanted = F.broadcast(models.select("type", "seg").distinct())
+    wanted = config_hint(models)(models.select("type", "seg").distinct())
     totals = messages.groupBy("type").agg(F.count(F.lit(1)).alias("messages"))
     having = segments.select("msg_id", "seg").distinct().join(messages.select("msg_id", "type"), "msg_id").groupBy("type", "seg").agg(F.count(F.lit(1)).alias("having"))
     rows = wanted.join(totals, "type").join(having, ["type", "seg"], "left")
@@ -85,7 +88,7 @@ def dedupe_rows(rows: DataFrame) -> DataFrame:
 def fan_out(elements: DataFrame, models: DataFrame) -> DataFrame:
     """(hl7_segment, msg_id, seg_seq, row): rows of all modelled segments at once, by one grouping, each as delimited text."""
     rows = parent_fallback(elements, models).filter("path is not null")
-    places = F.broadcast(models.groupBy("seg").agg(F.array_sort(F.collect_set(F.struct("pos", "path"))).alias("paths")))
+    places = config_hint(models)(models.groupBy("seg").agg(F.array_sort(F.collect_set(F.struct("pos", "path"))).alias("paths")))
     values = rows.groupBy("seg", "msg_id", "seg_seq").agg(F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "path", F.coalesce("value", F.lit("")).alias("value")))).alias("v"))
     cell = lambda p: join_repeats(F.transform(F.filter("v", lambda x: x["path"] == p["path"]), lambda x: x["value"]))
     return values.join(places, "seg").select(F.col("seg").alias("hl7_segment"), "msg_id", "seg_seq", F.array_join(F.transform("paths", cell), "|").alias("row"))

@@ -304,9 +304,6 @@ def ext_route(spark, d):
 
 @query("ext_run", sql(f"SELECT msg_id, CASE WHEN passed THEN id || '|' || class || '|' || flag || '|' || {STAMP} END AS payload, CASE WHEN passed THEN 'T.ADHOC' END AS dest_route, CASE WHEN NOT passed THEN 'FILTERED' END AS state FROM ({_PASS}) JOIN ({_EXT}) USING (msg_id)", "x"))
 def ext_run(spark, d):
-    out = enrich.extract(named(spark, d), FILTERS, ["id", "class", "flag"], "DELIMITED", "KAFKA", "T.ADHOC", as_of())
-    good = out["payload"].select("msg_id", "payload", "dest_route", F.lit(None).cast("string").alias("state"))
-    none = F.lit(None).cast("string")
-    return good.unionByName(out["filtered"].select("msg_id", none.alias("payload"), none.alias("dest_route"), "state"))
+    return enrich.extract(named(spark, d), FILTERS, ["id", "class", "flag"], "DELIMITED", "KAFKA", "T.ADHOC", as_of()).drop("dest_system")
 
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from clinflow.operators.config import config as held
 from clinflow.operators.routing import topic_records
 from clinflow.queries.base import local, sql
 from clinflow.queries.reports import _NINE, _REJ, _rejects
@@ -92,7 +93,7 @@ def extract_requests(spark, d):
     asked = [f"{k},ADHOC:app{k[:1]}:JSON&k.txt:OUT&KAFKA:f.txt:a&b:true:T,{k[2:]}^x|y" for k in kinds]
     specs = [(s.type, s.name, s.format, s.keys, s.destination, s.system, s.ack, list(s.paths)) for s in readers.extract_requests(asked)]
     config = local(spark, specs, "o_orderpriority string, name string, format string, keys string, destination string, system string, ack boolean, paths array<string>")
-    joined = orders.select("o_orderkey", "o_orderpriority").join(F.broadcast(config), "o_orderpriority")
+    joined = orders.select("o_orderkey", "o_orderpriority").join(held(config), "o_orderpriority")
     return joined.select("o_orderkey", "name", "format", "keys", "destination", "system", "ack", F.explode("paths").alias("path"))
 
 

@@ -132,7 +132,8 @@ TEMPLATES = [
 
 def named(spark, d, segs=None):
     templates = local(spark, TEMPLATES, "tpl string, elem_key string, names array<string>")
-    return naming.name_elements(parse.elements(messages(spark, d), segs), templates, sources(spark, d))
+    raw = naming.with_source(messages(spark, d), local(spark, SUPPORTED, "src string, ver string, tpl string"))
+    return naming.name_elements(parse.elements(raw, segs, naming.SOURCE), templates)
 
 
 _KEY = "seg || '.' || field || '.' || comp"
@@ -232,12 +233,15 @@ def to_json(spark, d):
 
 
 def _short(spark, d):
-    rows = parse.elements(messages(spark, d), ("PV1", "OBX"))
+    pv1 = parse.first_line(F.col("raw"), "PV1")
+    unclassed = F.coalesce(parse.part(pv1, 2, parse.separators(F.col("raw"))), F.lit("")) == ""  # a trailing empty field is no element
+    rows = parse.elements(messages(spark, d).withColumn("unclassed", unclassed), ("PV1", "OBX"), ("unclassed",))
     name = F.expr("case when seg = 'PV1' and field = 1 then 'set' when seg = 'PV1' and field = 2 then 'class' when seg = 'OBX' and field = 5 then 'value' when seg = 'OBX' and field = 6 then 'units' end")
-    short = rows.withColumn("name", name).filter("name is not null")
-    blank = messages(spark, d).join(short.filter("name = 'class'"), "msg_id", "left_anti")  # a trailing empty field is no element
-    none = blank.select("msg_id", *[F.lit(v).cast(t).alias(k) for k, v, t in (("seg_seq", 3, "int"), ("seg", "PV1", "string"), ("field", 2, "int"), ("rep", 1, "int"), ("comp", 1, "int"), ("sub", 1, "int"), ("value", None, "string"), ("name", "class", "string"))])
-    return short.unionByName(none)
+    short = rows.withColumn("name", name).filter("name is not null and (name <> 'class' or not unclassed)")
+    one = F.struct("field", "value", "name")
+    none = F.struct(F.lit(2).alias("field"), F.lit(None).cast("string").alias("value"), F.lit("class").alias("name"))
+    both = F.when((F.col("name") == "set") & F.col("unclassed"), F.array(one, none)).otherwise(F.array(one))
+    return short.select("msg_id", "seg_seq", "seg", "rep", "comp", "sub", F.inline(both))
 
 
 @query(
@@ -259,5 +263,4 @@ def parse_job(spark, d):
     from clinflow.plans.parse_job import parse_job as job
 
     out = job(messages(spark, d), local(spark, TEMPLATES, "tpl string, elem_key string, names array<string>"), local(spark, SUPPORTED, "src string, ver string, tpl string"))
-    rows = out["status"].join(out["missing"].select("msg_id", F.lit(1).alias("k")), "msg_id", "left")
-    return rows.groupBy("state", "type").agg(F.count(F.lit(1)).alias("n"), F.count("k").alias("unknown_mapping"))
+    return out.groupBy("state", "type").agg(F.count(F.lit(1)).alias("n"), F.count("missing_keys").alias("unknown_mapping"))

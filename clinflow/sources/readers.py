@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinflow.operators.config import config_hint
+
 
 def message_stream(spark: SparkSession, fmt: str, options: dict[str, str], schema: str | None = None, path: str | None = None) -> DataFrame:
     """(key, value, topic) from Kafka, or from a folder of text or parquet files."""
@@ -81,7 +83,7 @@ def segment_models(lines: DataFrame, types: DataFrame) -> DataFrame:
     """(type, seg, pos, path) of lines ``TYPE,SEGMENT,path^path``; those of ALL hold for every type in ``types``, a small config list."""
     parts = F.split("value", ",", 3)
     rows = lines.select(F.get(parts, F.lit(0)).alias("type"), F.get(parts, F.lit(1)).alias("seg"), F.posexplode(F.split(F.get(parts, F.lit(2)), r"\^")).alias("pos", "path"))
-    every = F.broadcast(types.select(F.collect_set("type").alias("types")))
+    every = config_hint(types)(types.select(F.collect_set("type").alias("types")))
     shared = rows.filter("type = 'ALL'").drop("type").withColumn("one", F.lit(1)).join(every.withColumn("one", F.lit(1)), "one").select(F.explode("types").alias("type"), "seg", "pos", "path")
     return rows.filter("type <> 'ALL'").unionByName(shared)
 

@@ -221,9 +221,8 @@ def test_scrub_and_join_guards_empty_ssn(spark):
 
 
 def test_unknown_names(spark):
-    el = parse.elements(raw(spark, "MSH|^~\\&|A|F|C|D|t||ADT^A01|EPIC_1|P|2.3\nZZZ|q"))
-    src = naming.source_system(raw(spark, "MSH|^~\\&|A|F|C|D|t||ADT^A01|EPIC_1|P|2.3\nZZZ|q"), spark.createDataFrame([("EPIC", "2.3", "E")], "src string, ver string, tpl string"))
-    named = naming.name_elements(el, spark.createDataFrame([("STD", "MSH.4.1", ["fac"])], "tpl string, elem_key string, names array<string>"), src)
+    told = naming.with_source(raw(spark, "MSH|^~\\&|A|F|C|D|t||ADT^A01|EPIC_1|P|2.3\nZZZ|q"), spark.createDataFrame([("EPIC", "2.3", "E")], "src string, ver string, tpl string"))
+    named = naming.name_elements(parse.elements(told, keep=naming.SOURCE), spark.createDataFrame([("STD", "MSH.4.1", ["fac"])], "tpl string, elem_key string, names array<string>"))
     assert "ZZZ.1.1" in naming.unknown_mapping(named).first().missing_keys
     assert {r.name for r in named.filter("seg = 'MSH' and field = 4").collect()} == {"fac"}
 

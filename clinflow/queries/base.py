@@ -21,7 +21,7 @@ X = """x AS (SELECT l_orderkey AS msg_id, row_number() OVER (PARTITION BY l_orde
 
 #: Every element that is not empty.
 E = r"""e AS (SELECT * FROM (
-  SELECT msg_id, 1 AS seg_seq, 'MSH' AS seg, unnest([{'field':1,'rep':1,'comp':1,'value':'|'},{'field':2,'rep':1,'comp':1,'value':'^~\&'},{'field':3,'rep':1,'comp':1,'value':'CLIN'},{'field':4,'rep':1,'comp':1,'value':fac},
+  SELECT msg_id, 1 AS seg_seq, 'MSH' AS seg, unnest([{'field':1,'rep':1,'comp':1,'value':CASE WHEN msg_id % 5 = 0 THEN '$' ELSE '|' END},{'field':2,'rep':1,'comp':1,'value':CASE WHEN msg_id % 5 = 0 THEN '*!\@' ELSE '^~\&' END},{'field':3,'rep':1,'comp':1,'value':'CLIN'},{'field':4,'rep':1,'comp':1,'value':fac},
    {'field':5,'rep':1,'comp':1,'value':'RCV'},{'field':6,'rep':1,'comp':1,'value':'HUB'},{'field':7,'rep':1,'comp':1,'value':t7},{'field':9,'rep':1,'comp':1,'value':typ},{'field':9,'rep':1,'comp':2,'value':trig},
    {'field':10,'rep':1,'comp':1,'value':ctrl},{'field':11,'rep':1,'comp':1,'value':'P'},{'field':12,'rep':1,'comp':1,'value':ver}], recursive := true) FROM m
   UNION ALL SELECT msg_id, 2, 'PID', unnest([{'field':1,'rep':1,'comp':1,'value':'1'},{'field':3,'rep':1,'comp':1,'value':mrn},{'field':3,'rep':1,'comp':4,'value':fac},{'field':3,'rep':1,'comp':5,'value':'MRN'},
@@ -33,6 +33,11 @@ E = r"""e AS (SELECT * FROM (
  ) WHERE value <> '')"""
 
 
+def own(text: str) -> str:
+    """SQL of a piece of a message's text: every fifth message has separators of its own."""
+    return f"CASE WHEN msg_id % 5 = 0 THEN translate({text}, '|^~&', '$*!@') ELSE {text} END"
+
+
 def sql(body: str, *parts: str) -> str:
     """SQL over m, and over x and e where they are named; further parts come before the body."""
     out = [M]

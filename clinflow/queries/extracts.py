@@ -123,12 +123,24 @@ _flt("flt_contains", "prio LIKE '%IG%'", lambda v: flt.contains(v, "IG"))
 _flt("flt_startswith", "starts_with(prio, '3')", lambda v: flt.starts_with(v, "3"))
 _flt("flt_compare", "prio = '2-HIGH'", lambda v: flt.CONDITIONS["COMPARE"](v, "2-HIGH"))
 _flt("flt_equal_ignorecase", "lower(prio) = '2-high'", lambda v: flt.equal_ignore_case(v, "2-hIGH"))
-_flt("flt_gt", "prio > '2-HIGH'", lambda v: flt.gt(v, "2-HIGH"))
-_flt("flt_lt", "prio < '2-HIGH'", lambda v: flt.lt(v, "2-HIGH"))
-_flt("flt_gte", "prio >= '2-HIGH'", lambda v: flt.gte(v, "2-HIGH"))
-_flt("flt_lte", "prio >= '2-HIGH'", lambda v: flt.lte(v, "2-HIGH", compat=True))
 _flt("flt_in", "prio IN ('1-URGENT', '2-HIGH')", lambda v: flt.is_in(v, "1-URGENT:2-HIGH"))
-_flt("flt_between", "prio > '1-URGENT' AND prio < '4'", lambda v: flt.between(v, "1-URGENT", "4"))
+
+
+def _ordered(name: str, where: str, older: str, test):
+    """Both forms of an order test: as it reads, and the older one with its sides changed."""
+
+    def run(spark, d):
+        rows = headers(spark, d).select("msg_id", "prio", F.explode(F.array(F.lit(False), F.lit(True))).alias("compat"))
+        return rows.filter(F.when(F.col("compat"), test(F.col("prio"), True)).otherwise(test(F.col("prio"), False)))
+
+    query(name, sql(f"SELECT msg_id, prio, false AS compat FROM m WHERE {where} UNION ALL SELECT msg_id, prio, true FROM m WHERE {older}"))(run)
+
+
+_ordered("flt_gt", "prio > '2-HIGH'", "'2-HIGH' > prio", lambda v, compat: flt.gt(v, "2-HIGH", compat))
+_ordered("flt_lt", "prio < '2-HIGH'", "'2-HIGH' < prio", lambda v, compat: flt.lt(v, "2-HIGH", compat))
+_ordered("flt_gte", "prio >= '2-HIGH'", "'2-HIGH' >= prio", lambda v, compat: flt.gte(v, "2-HIGH", compat))
+_ordered("flt_lte", "prio <= '2-HIGH'", "'2-HIGH' <= prio", lambda v, compat: flt.lte(v, "2-HIGH", compat))
+_ordered("flt_between", "prio > '1-URGENT' AND prio < '4'", "'1-URGENT' > prio AND '4' < prio", lambda v, compat: flt.between(v, "1-URGENT", "4", compat))
 
 
 
@@ -297,9 +309,12 @@ _fmt("ext_format_raw", "RAWDATA", "SELECT msg_id, ctrl AS payload FROM m")
 _fmt("ext_format_raw_json", "RAWDATA_JSON", f"SELECT msg_id, ctrl AS payload FROM m UNION ALL SELECT msg_id, {_JSON} FROM m")
 
 
-@query("ext_route", sql("SELECT msg_id, 'KAFKA' AS dest_system, 'T.ADHOC' AS dest_route FROM m"))
+@query("ext_route", sql("SELECT msg_id, CASE typ WHEN 'ADT' THEN 'KAFKA' WHEN 'ORU' THEN 'WSMQ' ELSE 'HBASE' END AS dest_system, 'T.' || typ AS dest_route FROM m WHERE typ <> 'ORM'"))
 def ext_route(spark, d):
-    return enrich.route(headers(spark, d).select("msg_id"), "KAFKA", "T.ADHOC")
+    rows = headers(spark, d).select("msg_id", F.substring("type9", 1, 3).alias("type"))
+    asked = {"ADT": "JSON", "ORU": "RAWDATA", "MDM": "RAWDATA_JSON"}
+    routed = [enrich.route(rows.filter(F.col("type") == kind).drop("type"), enrich.SYSTEMS[fmt], f"T.{kind}") for kind, fmt in asked.items()]
+    return routed[0].unionByName(routed[1]).unionByName(routed[2])
 
 
 @query("ext_run", sql(f"SELECT msg_id, CASE WHEN passed THEN id || '|' || class || '|' || flag || '|' || {STAMP} END AS payload, CASE WHEN passed THEN 'T.ADHOC' END AS dest_route, CASE WHEN NOT passed THEN 'FILTERED' END AS state FROM ({_PASS}) JOIN ({_EXT}) USING (msg_id)", "x"))

@@ -17,6 +17,8 @@ from clinflow.sources.synth import headers, messages, table
 from clinflow.streaming import jobs
 
 RECORD = "key string, value string, topic string"
+#: Files that a stream of messages is made of here, and the rate that its limited reading is given.
+FILES, RATE = 12, 4
 
 
 def shared(spark, name: str) -> str:
@@ -29,23 +31,27 @@ def _topics(spark, d, options):
     """Messages as records in files, streamed until the input is done: (topic, key, n)."""
     path = shared(spark, "records")
     records = messages(spark, d).select("key", F.col("raw").alias("value"), F.concat(F.lit("T."), F.split_part("key", F.lit(":"), F.lit(1))).alias("topic"))
-    records.write.parquet(f"{path}/in")
+    records.repartition(FILES).write.parquet(f"{path}/in")
     stream = readers.message_stream(spark, "parquet", options, RECORD, f"{path}/in")
-    jobs.run_until_done(stream, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return spark.read.schema(RECORD).parquet(f"{path}/out").groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"))
+    run = jobs.run_until_done(stream, f"{path}/out", f"{path}/checkpoint")
+    run.awaitTermination()
+    batches = sum(p["numInputRows"] > 0 for p in run.recentProgress)
+    rows = spark.read.schema(RECORD).parquet(f"{path}/out").groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("batches", F.lit(batches).cast("long"))
 
 
-_TOPICS = sql("SELECT 'T.' || typ AS topic, typ || ':RAW:' || t7 || ':' || fac AS key, count(*) AS n FROM m GROUP BY ALL")
+def _counts(batches: int) -> str:
+    return sql(f"SELECT 'T.' || typ AS topic, typ || ':RAW:' || t7 || ':' || fac AS key, count(*) AS n, {batches}::BIGINT AS batches FROM m GROUP BY ALL")
 
 
-@query("src_message_stream", _TOPICS)
+@query("src_message_stream", _counts(1))
 def message_stream(spark, d):
     return _topics(spark, d, {})
 
 
-@query("src_rate_limit", _TOPICS)
+@query("src_rate_limit", _counts(-(-FILES // (RATE + RATE // 8))))
 def rate_limit(spark, d):
-    return _topics(spark, d, readers.rate_limit("parquet", 4))
+    return _topics(spark, d, readers.rate_limit("parquet", RATE))
 
 
 @query("src_sequence_file", sql("SELECT ctrl || '#' || msg_id AS key, mrn || '|' || urn || '|' || acct AS value FROM m"))
@@ -110,6 +116,13 @@ def hive_tables(spark, d):
     return counts[0].unionByName(counts[1])
 
 
+@query("src_roster", "SELECT value, count(*) AS n FROM (SELECT trim(unnest(string_split(text, chr(10))), ' ') AS value FROM documents) WHERE value <> '' GROUP BY 1")
+def roster(spark, d):
+    path = shared(spark, "roster")
+    table(spark, d, "documents").filter("text is not null").select("text").write.text(path)
+    return readers.roster(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("src_lines_to_topic", "SELECT 'T.LINES' AS topic, c_custkey || '|' || c_name AS value FROM customer")
 def lines_to_topic(spark, d):
     path = shared(spark, "lines")

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clinflow.operators import naming, parse
-from clinflow.queries.base import local, sql, types
+from clinflow.queries.base import local, own, sql, types
 from clinflow.registry import query
-from clinflow.sources.synth import messages
+from clinflow.sources.synth import messages, table
 
 BY = ["seg", "field", "rep", "comp"]
 
@@ -38,12 +38,12 @@ def split_segments(spark, d):
     return parse.split_segments(messages(spark, d)).groupBy("seg", "seg_seq").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("msg_delimiters", sql(r"SELECT '|' AS d_field, '^' AS d_comp, '~' AS d_rep, '\' AS d_escape, '&' AS d_sub, '//' AS d_trunc, count(*) AS n FROM m"))
+@query("msg_delimiters", sql(rf"SELECT {own(chr(39) + '|' + chr(39))} AS d_field, {own(chr(39) + '^' + chr(39))} AS d_comp, {own(chr(39) + '~' + chr(39))} AS d_rep, '\' AS d_escape, {own(chr(39) + '&' + chr(39))} AS d_sub, '//' AS d_trunc, count(*) AS n FROM m GROUP BY ALL"))
 def delimiters(spark, d):
     return parse.delimiters(messages(spark, d)).groupBy("d_field", "d_comp", "d_rep", "d_escape", "d_sub", "d_trunc").agg(F.count(F.lit(1)).alias("n"))
 
 
-_FIELDS = """f AS (SELECT seg, field, string_agg(v, '~' ORDER BY rep) AS text FROM (
+_FIELDS = f"""f AS (SELECT seg, field, {own("string_agg(v, '~' ORDER BY rep)")} AS text FROM (
   SELECT msg_id, seg_seq, seg, field, rep, CASE WHEN seg = 'PID' AND field = 3 AND rep = 1 THEN max(value) FILTER (comp = 1) || '^^^' || max(value) FILTER (comp = 4) || '^MRN'
     WHEN seg = 'PID' AND field = 3 THEN max(value) FILTER (comp = 1) || '^^^^SS' ELSE string_agg(value, '^' ORDER BY comp) END AS v FROM e GROUP BY msg_id, seg_seq, seg, field, rep) GROUP BY msg_id, seg_seq, seg, field)"""
 
@@ -76,11 +76,16 @@ def elements(spark, d):
     return rows.groupBy("msg_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("seg_seq").alias("segments"), F.sum(F.length("value")).alias("chars"))
 
 
-@query("msg_simple_repeat_rule", sql("SELECT 'A~B' AS text, 'A~B' AS kept, count(*) AS n FROM m UNION ALL SELECT 'C^D~E', 'C^D', count(*) FROM m UNION ALL SELECT 'F^G~H^I', 'F^G,H^I', count(*) FROM m"))
+_REPEATED = """SELECT p_partkey, unnest([{'text': p_brand || '~' || p_type, 'kept': p_brand || '~' || p_type}, {'text': p_brand || '^' || p_size || '~' || p_type, 'kept': p_brand || '^' || p_size},
+  {'text': p_brand || '~' || p_type || '^' || p_size || '~' || p_name || '^', 'kept': p_type || '^' || p_size || ',' || p_name || '^'}], recursive := true) FROM part"""
+
+
+@query("msg_simple_repeat_rule", _REPEATED)
 def simple_repeats(spark, d):
-    cases = F.explode(F.array(F.lit("A~B"), F.lit("C^D~E"), F.lit("F^G~H^I"))).alias("text")
-    rows = parse.simple_repeats(messages(spark, d).select("msg_id", cases))
-    return rows.groupBy("text", F.array_join("kept", ",").alias("kept")).agg(F.count(F.lit(1)).alias("n"))
+    join = lambda *x: F.concat(*[F.lit(v) if v in "~^" else F.col(v) for v in x])
+    cases = F.array(join("p_brand", "~", "p_type"), join("p_brand", "^", "p_size", "~", "p_type"), join("p_brand", "~", "p_type", "^", "p_size", "~", "p_name", "^"))
+    rows = parse.simple_repeats(table(spark, d, "part").select("p_partkey", F.explode(cases).alias("text")))
+    return rows.select("p_partkey", "text", F.array_join("kept", ",").alias("kept"))
 
 
 @query("msg_type_from_key", sql("SELECT typ AS found, CASE WHEN typ <> 'ORM' THEN typ END AS type, count(*) AS n FROM m GROUP BY ALL"))

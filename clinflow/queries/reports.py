@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clinflow.functions import scrub
 from clinflow.operators import audit, deid, feeds, parse
-from clinflow.queries.base import local, sql
+from clinflow.queries.base import local, own, sql
 from clinflow.queries.parsing import _META, common
 from clinflow.queries.routes import meta
 from clinflow.registry import query
@@ -220,33 +220,46 @@ def did_scrub_values(spark, d):
     return rows.select("msg_id", scrub.scrub_values(F.col("note"), parts, "*").alias("note"))
 
 
-@query("did_name_case_variants", sql("SELECT msg_id, 'saw *, *; ' || '*.' AS note FROM m"))
+@query("did_name_case_variants", """SELECT c_custkey, 'saw ' || CASE WHEN c_custkey % 3 = 0 THEN lower(c_mktsegment) ELSE '*' END || ', *; * or ' || n_name || '.' AS note FROM customer JOIN nation ON n_nationkey = c_nationkey""")
 def did_name_case_variants(spark, d):
-    first, last = F.lit("Ann"), F.concat(F.lit("B"), F.col("msg_id").cast("string"), F.lit("x"))
-    note = F.concat(F.lit("saw "), F.concat_ws(" ", first, last), F.lit(", "), F.upper(F.concat_ws(" ", last, first)), F.lit("; "), F.lower(F.concat_ws(", ", last, first)), F.lit("."))
-    return headers(spark, d).select("msg_id", scrub.name_variants(note, first, last, "*").alias("note"))
+    rows = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    first, last = F.initcap("c_mktsegment"), F.concat(F.lit("Mc"), F.substring("c_name", 1, 1), F.col("c_custkey").cast("string"), F.lit("x"))
+    half = F.when(F.expr("c_custkey % 3 = 0"), F.lower("c_mktsegment")).otherwise(F.concat_ws(" ", first, last))  # a first name alone stays
+    note = F.concat(F.lit("saw "), half, F.lit(", "), F.upper(F.concat_ws(" ", last, first)), F.lit("; "), F.lower(F.concat_ws(", ", last, first)), F.lit(" or "), "n_name", F.lit("."))
+    return rows.select("c_custkey", scrub.name_variants(note, first, last, "*").alias("note"))
 
 
-@query("did_keyword_window", "SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'pre ' || ' tail ' || o_orderkey ELSE 'short AGE' END AS note FROM orders")
+def _cut(note: str, word: str, n: int) -> str:
+    """SQL of a window: the characters from a keyword on go, where there are enough."""
+    at = f"instr({note}, '{word}')"
+    return f"CASE WHEN {at} > 0 AND {at} + {n - 1} <= length({note}) THEN replace({note}, substr({note}, {at}, {n}), '') ELSE {note} END"
+
+
+@query("did_keyword_window", f"""WITH a AS (SELECT o_orderkey, o_orderpriority || CASE WHEN o_orderkey % 3 = 0 THEN ' DOB ' ELSE ' AGE ' END || strftime(o_orderdate, '%Y-%m-%d') || repeat(o_orderstatus, (o_orderkey % 14)::INT) || CASE WHEN o_orderkey % 4 = 0 THEN ' SEX ' ELSE ' - ' END || o_custkey AS t0 FROM orders),
+  b AS (SELECT o_orderkey, {_cut("t0", "DOB", 20)} AS t1 FROM a), c AS (SELECT o_orderkey, {_cut("t1", "AGE", 10)} AS t2 FROM b) SELECT o_orderkey, {_cut("t2", "SEX", 10)} AS note FROM c""")
 def did_keyword_window(spark, d):
-    note = F.when(F.expr("o_orderkey % 2 = 0"), F.concat(F.lit("pre DOB 1980-01-01 45678 tail "), F.col("o_orderkey").cast("string"))).otherwise("short AGE")
+    note = F.expr("concat(o_orderpriority, if(o_orderkey % 3 = 0, ' DOB ', ' AGE '), date_format(o_orderdate, 'yyyy-MM-dd'), repeat(o_orderstatus, cast(o_orderkey % 14 as int)), if(o_orderkey % 4 = 0, ' SEX ', ' - '), o_custkey)")
     return table(spark, d, "orders").select("o_orderkey", scrub.keyword_window(note).alias("note"))
 
 
-@query("did_facility_names", "SELECT o_orderkey, 'at  and  or MercyX, the ' AS note FROM orders")
+@query("did_facility_names", "SELECT c_custkey, 'at ' || CASE WHEN c_nationkey < 20 THEN '' ELSE n_name END || ', x' || n_name || ' or ' || c_mktsegment || ' the ' AS note FROM customer JOIN nation ON n_nationkey = c_nationkey")
 def did_facility_names(spark, d):
-    note = F.lit("at Mercy General and General or MercyX, the Hospital")
-    return table(spark, d, "orders").select("o_orderkey", scrub.facility_names(note, ["Mercy General", "East Hospital"], ["East"]).alias("note"))
+    nation = table(spark, d, "nation")
+    names = [r[0] for r in nation.filter("n_nationkey < 20").select("n_name").orderBy("n_nationkey").collect()]  # a config list
+    rows = table(spark, d, "customer").join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+    note = F.concat(F.lit("at "), "n_name", F.lit(", x"), "n_name", F.lit(" or "), "c_mktsegment", F.lit(" the Hospital"))
+    return rows.select("c_custkey", scrub.facility_names(note, [*names, "East Hospital"], ["East"]).alias("note"))
 
 
-@query("did_remove_email_ssn", "SELECT doc_id, sha256(regexp_replace(regexp_replace(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,6}', '', 'g'), '\\s[0-9]{3}-[0-9]{2}-[0-9]{4}\\s', ' ', 'g')) AS sha FROM documents")
+@query("did_remove_email_ssn", "SELECT doc_id, sha256(regexp_replace(regexp_replace(coalesce(text, ''), '[a-zA-Z0-9.-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z0-9.-]+', '', 'g'), '\\s[0-9]{3}-[0-9]{2}-[0-9]{4}\\s', ' ', 'g')) AS sha FROM documents")
 def did_remove_email_ssn(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(scrub.remove_email_ssn(F.coalesce("text", F.lit(""))), 256).alias("sha"))
 
 
-@query("did_blank_phones", sql("SELECT msg_id, '' AS phone, 'call  now' AS note FROM m"))
+@query("did_blank_phones", sql("SELECT msg_id, '' AS phone, prio || ': call ' || CASE WHEN msg_id % 2 = 0 THEN '' ELSE urn END || ' of ' || fac AS note FROM m"))
 def did_blank_phones(spark, d):
-    rows = headers(spark, d).select("msg_id", F.col("ssn").alias("phone"), F.concat(F.lit("call "), "ssn", F.lit(" now")).alias("note"))
+    said = F.when(F.expr("msg_id % 2 = 0"), F.col("ssn")).otherwise(F.col("urn"))
+    rows = headers(spark, d).select("msg_id", F.col("ssn").alias("phone"), F.concat("prio", F.lit(": call "), said, F.lit(" of "), "fac").alias("note"))
     return deid.blank_phones(rows, ["phone"], ["note"])
 
 
@@ -363,33 +376,35 @@ def ros_contains_any(spark, d):
     return feeds.contains_any(messages(spark, d), "OBR", [4], ["urg", "Low"]).select("msg_id")
 
 
-@query("ros_segment_by_prefix", sql("SELECT msg_id, 'OBR|1|||' || prio || '^text' AS seg FROM m"))
+@query("ros_segment_by_prefix", sql(f"SELECT msg_id, {own("'OBR|1|||' || prio || '^text'")} AS seg FROM m"))
 def ros_segment_by_prefix(spark, d):
-    return messages(spark, d).select("msg_id", F.array_join(feeds.segments_with(F.col("raw"), "OBR|1|"), "\n").alias("seg"))
+    return messages(spark, d).select("msg_id", F.array_join(feeds.segments_with(F.col("raw"), "OBR"), "\n").alias("seg"))
 
 
 @query("ros_get_field", sql("SELECT msg_id, cls, '' AS none FROM m"))
 def ros_get_field(spark, d):
     pv1 = feeds.segments_with(F.col("raw"), "PV1")
-    return messages(spark, d).select("msg_id", feeds.get_field(pv1, 2).alias("cls"), feeds.get_field(pv1, 9).alias("none"))
+    seps = parse.separators(F.col("raw"))
+    return messages(spark, d).select("msg_id", feeds.get_field(pv1, 2, seps).alias("cls"), feeds.get_field(pv1, 9, seps).alias("none"))
 
 
-@query("ros_remove_field", sql("SELECT msg_id, 'PID|1||' || mrn || '^^^' || fac || '^MRN~' || ssn || '^^^^SS||' || n1 || '^' || n2 || repeat('|', 13) || acct AS pid FROM m"))
+@query("ros_remove_field", sql(f"SELECT msg_id, {own("'PID|1||' || mrn || '^^^' || fac || '^MRN~' || ssn || '^^^^SS||' || n1 || '^' || n2 || repeat('|', 13) || acct")} AS pid FROM m"))
 def ros_remove_field(spark, d):
-    segs = feeds.remove_field(feeds.segments_with(F.col("raw"), "PID"), "PID", 4)
+    segs = feeds.remove_field(feeds.segments_with(F.col("raw"), "PID"), "PID", 4, parse.separators(F.col("raw")))
     return messages(spark, d).select("msg_id", F.get(segs, F.lit(0)).alias("pid"))
 
 
-@query("ros_scrub_and_join", sql("SELECT msg_id, 'PID|1||' || mrn || '^^^' || fac || '^MRN~^^^^SS|' || urn || '|' || n1 || '^' || n2 || repeat('|', 13) || acct || chr(13) || 'PV1|1|' || cls AS v FROM m"))
+@query("ros_scrub_and_join", sql(f"SELECT msg_id, {own("'PID|1||' || mrn || '^^^' || fac || '^MRN~^^^^SS|' || urn || '|' || n1 || '^' || n2 || repeat('|', 13) || acct || chr(13) || 'PV1|1|' || cls")} AS v FROM m"))
 def ros_scrub_and_join(spark, d):
     rows = messages(spark, d).join(headers(spark, d).select("msg_id", "ssn"), "msg_id")
     segs = F.concat(feeds.segments_with(F.col("raw"), "PID"), feeds.segments_with(F.col("raw"), "PV1"))
     return rows.select("msg_id", feeds.scrub_and_join(segs, F.col("ssn")).alias("v"))
 
 
-@query("ros_forward_job", sql(f"SELECT msg_id FROM m WHERE trig IN ('A04', 'R01') AND {_IN} AND prio ILIKE '%i%'"))
+@query("ros_forward_job", sql(f"SELECT msg_id, {own("'PID|1||' || mrn || '^^^' || fac || '^MRN~^^^^SS|' || urn || '|' || n1 || '^' || n2 || repeat('|', 13) || acct")} AS pid FROM m WHERE trig IN ('A04', 'R01') AND {_IN} AND prio ILIKE '%i%'"))
 def ros_forward_job(spark, d):
-    return feeds.forward_job(messages(spark, d), ["A04", "R01"], _roster(spark, d), ["i"]).filter("payload not like '%-%-%^^^^SS%'").select("msg_id")
+    sent = feeds.forward_job(messages(spark, d), ["A04", "R01"], _roster(spark, d), ["i"])
+    return sent.select("msg_id", F.get(F.filter(F.split("payload", "\r"), lambda x: x.startswith("PID")), F.lit(0)).alias("pid"))
 
 
 # --- warehouse --------------------------------------------------------------------------------------------------------
@@ -445,14 +460,16 @@ def wh_schema_from_templates(spark, d):
     return feeds.schema_from_templates(rows, local(spark, [("STD", 0)], "tpl string, tpl_pos int"), ["Brand#11"], ["2"], ["1"])
 
 
-_COLUMNS = "['etl_firstinsert_datetime', 'field_seq_num', 'sending_facility', 'message_control_id', 'medical_record_num', 'medical_record_urn', 'patient_account_num', 'a_b', 'c', 'message_type', 'transaction_date']"
+_DDL = """SELECT p_brand AS seg, list_concat(['etl_firstinsert_datetime', 'field_seq_num', 'sending_facility', 'message_control_id', 'medical_record_num', 'medical_record_urn', 'patient_account_num'],
+  list(DISTINCT p_size || '_' || p_type ORDER BY p_size || '_' || p_type), ['message_type', 'transaction_date']) AS c FROM part GROUP BY 1"""
 
 
-@query("wh_table_ddl", f"SELECT seg, (generate_subscripts({_COLUMNS}, 1) - 1)::INT AS pos, unnest({_COLUMNS}) AS \"column\" FROM (SELECT DISTINCT p_brand AS seg FROM part)")
+@query("wh_table_ddl", f"SELECT seg, (generate_subscripts(c, 1) - 1)::INT AS pos, unnest(c) AS \"column\" FROM ({_DDL})")
 def wh_table_ddl(spark, d):
-    models = table(spark, d, "part").select("p_brand").distinct().select(F.col("p_brand").alias("seg"), F.lit("a|b^c").alias("model"))
-    columns = feeds.table_ddl({"X": "a|b^c"})["X"]
-    return models.select("seg", F.posexplode(F.array(*[F.lit(f.name) for f in columns])).alias("pos", "column"))
+    path = F.concat_ws("|", "p_size", "p_type")
+    models = table(spark, d, "part").groupBy(F.col("p_brand").alias("seg")).agg(F.array_join(F.array_sort(F.collect_set(path)), "^").alias("model"))
+    tables = feeds.table_ddl({r["seg"]: r["model"] for r in models.collect()})  # a model a segment kind: config
+    return local(spark, [(seg, pos, f.name) for seg, columns in tables.items() for pos, f in enumerate(columns)], "seg string, pos int, column string")
 
 
 @query("wh_add_columns", "SELECT c_custkey, c_name, NULL::VARCHAR AS extra FROM customer")
@@ -470,11 +487,13 @@ def _pair(spark, d):
     return c.drop("c_acctbal").withColumn("c_name", F.when(F.expr("c_custkey % 5 = 0"), "changed").otherwise(F.col("c_name"))), reference
 
 
-@query("cmp_tables", "SELECT v.*, (SELECT count(*) FROM orders) AS rows FROM (VALUES ('cand_extra', NULL, 'NO_TABLE'), ('cand_orders', 'ref_orders', 'FOUND')) v(candidate, reference, status)")
+@query("cmp_tables", "SELECT 'cand_' || p_brand AS candidate, CASE WHEN min(p_size) < 5 THEN 'ref_' || p_brand END AS reference, CASE WHEN min(p_size) < 5 THEN 'FOUND' ELSE 'NO_TABLE' END AS status FROM part GROUP BY p_brand")
 def cmp_tables(spark, d):
-    a = {"cand_orders": table(spark, d, "orders"), "cand_extra": table(spark, d, "nation")}
-    found = feeds.cmp_tables(a, {"ref_orders": table(spark, d, "orders")})
-    return local(spark, found, "candidate string, reference string, status string").join(a["cand_orders"].agg(F.count(F.lit(1)).alias("rows")), F.lit(True))
+    part = table(spark, d, "part")
+    brands = part.groupBy("p_brand").agg((F.min("p_size") < 5).alias("there")).collect()  # a table each: config
+    of = lambda r: part.filter(F.col("p_brand") == r["p_brand"])
+    found = feeds.cmp_tables({f"cand_{r['p_brand']}": of(r) for r in brands}, {f"ref_{r['p_brand']}": of(r) for r in brands if r["there"]})
+    return local(spark, found, "candidate string, reference string, status string")
 
 
 @query("cmp_rows", "SELECT c_custkey, CASE WHEN c_acctbal > 0 THEN 'MATCH' ELSE 'NO_DATA' END AS status FROM customer")

@@ -66,12 +66,6 @@ def random_donors(spark, d):
     return readers.random_donors(store, 100, 7).select("row_key", "c_name", "c_mktsegment")
 
 
-@query("src_roster", "SELECT * FROM (SELECT doc_id, trim(unnest(string_split(text, chr(10))), ' ') AS value FROM documents) WHERE value <> ''")
-def roster(spark, d):
-    lines = table(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("value"))
-    return lines.select("doc_id", F.trim("value").alias("value")).filter("value <> ''")
-
-
 @query("src_delimited_positional", "SELECT c_custkey::VARCHAR AS id, c_name AS name, c_mktsegment AS segment, '' AS missing FROM customer")
 def positional(spark, d):
     rows = table(spark, d, "customer").select(routing.delimited_row(["c_custkey", "c_name", "c_mktsegment"]).alias("value"))

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clinflow.operators import parse
 from clinflow.operators.config import config_hint
 
 
@@ -49,7 +50,7 @@ def replay_partitions(df: DataFrame, spec: str, col: str, as_of: str) -> DataFra
 def replay_batches(df: DataFrame) -> DataFrame:
     """(batch_ts, raw): the archive's first column as text, by the header's time; a batch holds a message once."""
     raw = F.col(df.columns[0]).cast("string")
-    rows = df.select(raw.alias("raw")).select(F.get(F.split("raw", r"\|", 12), F.lit(6)).alias("batch_ts"), "raw")
+    rows = df.select(raw.alias("raw")).select(parse.part(F.get(parse.lines(F.col("raw")), F.lit(0)), 6, parse.separators(F.col("raw"))).alias("batch_ts"), "raw")
     return rows.dropDuplicates(["batch_ts", "raw"])
 
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 TYPES = ("ADT^A04", "ORU^R01", "MDM^T02", "ORM^O01")
 PREFIXES = ("MT6_", "MT_", "EPIC_", "ECW_", "NG_", "IP_")
+#: The usual separators, and those of every fifth message.
+OWN = ("|^~&", "$*!@")
 VERSIONS = ("2.4", "2.5", "2.3", "2.3.1", "2.3", "2.5")
 
 
@@ -67,4 +69,6 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = F.concat(F.array(msh, pid, pv1, obr), F.coalesce("obx", F.array().cast("array<string>")))
     key = F.concat_ws(":", F.substring("type9", 1, 3), F.lit("RAW"), "t7", "fac")
     ts = F.to_timestamp("t7", "yyyyMMddHHmm")
-    return h.select("msg_id", F.concat(F.lit("Q."), F.substring("type9", 1, 3)).alias("source"), key.alias("key"), F.array_join(lines, "\r\n").alias("raw"), ts.alias("ingest_ts"))
+    usual = F.array_join(lines, "\r\n")
+    raw = F.when(F.col("msg_id") % 5 == 0, F.translate(usual, *OWN)).otherwise(usual)  # every fifth message has separators of its own
+    return h.select("msg_id", F.concat(F.lit("Q."), F.substring("type9", 1, 3)).alias("source"), key.alias("key"), raw.alias("raw"), ts.alias("ingest_ts"))

@@ -4,12 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clinflow.functions.filters import Filter
 from clinflow.operators.config import config as held
 from clinflow.operators.routing import topic_records
-from clinflow.queries.base import local, sql
+from clinflow.plans.main_job import OUTPUTS, Config, Extract, main_job
+from clinflow.queries.base import local, own, sql, types
+from clinflow.queries.extracts import AS_OF, MODELS
+from clinflow.queries.extracts import STAMP as _STAMP
+from clinflow.queries.parsing import _SRC, SUPPORTED, TEMPLATES
 from clinflow.queries.reports import _NINE, _REJ, _rejects
 from clinflow.registry import query
 from clinflow.sources import readers, sinks
@@ -178,3 +185,43 @@ def replace_staging(spark, d):
     rows.select(F.concat_ws("|", "c_custkey", F.upper("segment"))).write.text(f"{path}/export")
     sinks.replace_staging(spark, f"{path}/export", f"{path}/target", rows.columns)
     return spark.read.schema(rows.schema).parquet(f"{path}/target")
+
+
+# --- the main job -----------------------------------------------------------------------------------------------------
+
+#: The main job's extract: observations with status F or inpatients.
+ASKED = Extract("ORU", "adhoc", (Filter("OBX", "units", "F", "EQUAL", "OR"), Filter("PV1", "patient_class", "I", "EQUAL")), ("id_number", "patient_class", "units"), "DELIMITED", "KAFKA", "T.ADHOC")
+MODELLED = [m for m in MODELS if m[1] != "ZZZ"]
+
+
+def main_config(spark):
+    of = lambda rows, schema: local(spark, rows, schema)
+    return Config(of(TEMPLATES, "tpl string, elem_key string, names array<string>"), of(SUPPORTED, "src string, ver string, tpl string"), types(spark), of(MODELLED, "type string, seg string, pos int, path string"), (ASKED,))
+
+
+_VALUE = "CASE WHEN fac = 'F03' THEN 'local_value' WHEN tpl = 'MT6_2.4' THEN 'obsv_value' ELSE 'observation_value' END"
+_MAIN = f"""SELECT 'json' AS output, msg_id, typ || ':JSON:' || t7 || ':' || fac AS key, '{{"MSH":{{"sending_facility":"' || fac || '","message_code":"' || typ || '","trigger_event":"' || trig || '","message_control_id":"' || ctrl
+    || '"}},"PID":{{"id_code":["MRN","SS"],"id_number":["' || mrn || '","' || ssn || '"],"record_urn":"' || urn || '","' || CASE WHEN src = 'EPIC' THEN 'visit_account' ELSE 'account' END || '":"' || acct || '"}}'
+    || CASE WHEN cls = '' THEN '' ELSE ',"PV1":{{"' || CASE WHEN src = 'EPIC' THEN 'class_code' ELSE 'patient_class' END || '":"' || cls || '"}}' END || coalesce(',"OBX":' || o, '') || '}}' AS value
+  FROM g LEFT JOIN (SELECT msg_id, CASE WHEN count(*) > 1 THEN '[' ELSE '' END || string_agg('{{"obsv_id":"' || part || '","' || {_VALUE} || '":"' || qty || '","units":"' || st || '"}}', ',' ORDER BY n) || CASE WHEN count(*) > 1 THEN ']' ELSE '' END AS o FROM x JOIN g USING (msg_id) GROUP BY 1) USING (msg_id)
+  UNION ALL SELECT 'segment', msg_id, 'SEGMENTS&OBX:' || lpad((4 + n)::VARCHAR, 4, '0'), part || '|' || flag || '|' || qty || '|' || st FROM x JOIN g USING (msg_id) WHERE typ = 'ORU'
+  UNION ALL SELECT 'segment', msg_id, 'SEGMENTS&PID:0002', mrn || '^' || ssn || '|MRN^SS|' || fac FROM g WHERE typ = 'ORU'
+  UNION ALL SELECT 'segment', msg_id, 'SEGMENTS&PV1:0003', cls FROM g WHERE typ = 'ORU' AND cls <> ''
+  UNION ALL SELECT 'extract', msg_id, CASE WHEN passed THEN 'adhoc:T.ADHOC' ELSE 'adhoc:FILTERED' END, CASE WHEN passed THEN mrn || '^' || ssn || '|' || CASE WHEN src = 'EPIC' THEN '' ELSE cls END || '|' || units || '|' || {_STAMP} ELSE '' END
+    FROM (SELECT g.*, coalesce(units, '') AS units, coalesce(finals, false) OR (cls = 'I' AND src <> 'EPIC') AS passed FROM g LEFT JOIN (SELECT msg_id, string_agg(st, '^' ORDER BY n) AS units, bool_or(st = 'F') AS finals FROM x GROUP BY 1) USING (msg_id) WHERE typ = 'ORU')
+  UNION ALL SELECT 'audit', msg_id, typ || ':AUDIT', concat_ws('|', typ || '-JSON', ctrl, t7, mrn, urn, acct, {_STAMP}) FROM g
+  UNION ALL SELECT 'ack', msg_id, 'ACK', concat_ws('|', 'TO', 'FROM', kind, trig, fac, id, t7, CASE WHEN reason IS NULL THEN 'AA' ELSE 'AR' END, {_STAMP}) FROM j
+  UNION ALL SELECT 'reject', msg_id, 'REJECT', concat_ws('|', kind || '-JSON', id, t7, mrn, urn, acct, {_STAMP}, reason, msh) FROM j WHERE reason IS NOT NULL
+  UNION ALL SELECT 'metric', NULL, kind || ':' || CASE WHEN reason IS NULL THEN 'PROCESSED' ELSE 'REJECTED' END, count(*)::VARCHAR FROM j GROUP BY ALL"""
+_JUDGED = f"""j AS (SELECT m.*, CASE WHEN typ = 'ORM' THEN 'UNKNOWN' ELSE typ END AS kind, coalesce(nullif(ctrl, ''), 'no message control ID') AS id, CASE WHEN ctrl = '' THEN 'blank control id' WHEN typ = 'ORM' THEN 'UnknownMessageType' END AS reason,
+  {own("'MSH|^~' || chr(92) || '&|CLIN|' || fac || '|RCV|HUB|' || t7 || '||' || typ || '^' || trig || '|' || ctrl || '|P|' || ver")} AS msh FROM m),
+g AS (SELECT j.*, src, tpl FROM j JOIN t USING (msg_id) WHERE reason IS NULL)"""
+
+
+@query("plan_main_job", sql(f"SELECT output, coalesce(msg_id::VARCHAR, '') AS message, key, value FROM ({_MAIN})", "x", _SRC, _JUDGED))
+def plan_main_job(spark, d):
+    out = main_job(messages(spark, d), main_config(spark), shared(spark, "main"), F.lit(AS_OF).cast("timestamp"))
+    # of a reject's text the first line is enough to hold against SQL
+    out["reject"] = out["reject"].withColumn("value", F.split_part("value", F.lit("\r"), F.lit(1)))
+    rows = [out[name].select(F.lit(name).alias("output"), F.coalesce(F.col("msg_id").cast("string"), F.lit("")).alias("message"), "key", "value") for name in OUTPUTS]
+    return reduce(DataFrame.unionByName, rows)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinflow.operators import parse
 from clinflow.operators.audit import batch_volume
 from clinflow.operators.routing import parse_routing_key
+from clinflow.plans.main_job import Config, main_job
 
 
 def parsed_stream(records: DataFrame) -> DataFrame:
@@ -29,3 +30,15 @@ def volume_stream(events: DataFrame, interval: str, late: str, ts: str = "ts", t
 def run_until_done(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Write a stream as parquet until its input is done (a bounded run that stops by itself)."""
     return stream.writeStream.outputMode(mode).format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def main_stream(raw: DataFrame, config: Config, path: str, checkpoint: str, as_of: Column) -> StreamingQuery:
+    """The main job on each batch of a stream of messages until the input is done.
+
+    A batch's outputs are folders of its number, written anew if the batch is run again, so none is there twice."""
+
+    def put(batch: DataFrame, number: int) -> None:
+        for name, rows in main_job(batch, config, f"{path}/staging/batch={number}", as_of).items():
+            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={number}")
+
+    return raw.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

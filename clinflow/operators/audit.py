@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,11 @@ def parsed_meta(named: DataFrame, ids: DataFrame) -> DataFrame:
 REJECT = ["process_name", "message_control_id", "msg_create_date_time", "patient_mrn", "patient_urn", "patient_account_number", "reject_reason", "rejected_message_data", "etl_firstinsert_datetime"]
 
 
+def reject_schema() -> str:
+    """The Avro schema of a reject: nine strings."""
+    return json.dumps({"type": "record", "name": "Reject", "fields": [{"name": n, "type": "string"} for n in REJECT]})
+
+
 def rejects(meta: DataFrame, stage: str, as_of: Column) -> DataFrame:
     """The nine strings of a reject; ``meta`` has reject_reason and raw."""
     cols = [F.concat("type", F.lit(f"-{stage}")), *map(F.col, IDS), F.col("reject_reason"), F.col("raw"), etl_timestamp(as_of)]
@@ -97,8 +104,8 @@ def no_data(volume: DataFrame, expected: DataFrame, interval: str, patience: int
     A slow topic is reported only from its ``patience``-th empty window in a row; the level rises with the run's length."""
     from pyspark.sql import Window
 
-    span = volume.agg(F.min("start").alias("a"), F.max("start").alias("b"))
-    grid = span.select(F.explode(F.sequence("a", "b", F.expr(f"interval {interval}"))).alias("start")).select("start", F.explode(F.array(*[F.struct(F.lit(r["topic"]).alias("topic"), F.lit(r["slow"]).alias("slow")) for r in expected.collect()])).alias("t")).select("start", "t.*")
+    first, last = volume.agg(F.min("start"), F.max("start")).first()
+    grid = expected.select("topic", "slow", F.explode(F.sequence(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"), F.expr(f"interval {interval}"))).alias("start"))
     rows = grid.join(volume, ["start", "topic"], "left").withColumn("empty", F.col("n").isNull())
     w = Window.partitionBy("topic").orderBy("start")
     rows = rows.withColumn("block", F.sum((~F.col("empty")).cast("int")).over(w))

@@ -29,8 +29,12 @@ FILES, RATE = 12, 4
 
 
 def shared(spark, name: str) -> str:
-    """A new folder below spark.checkpoint.dir; below a local one where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+    """A new folder below spark.checkpoint.dir; below a local one where that is unset on one machine, as in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        base = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 

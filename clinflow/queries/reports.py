@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from clinflow.functions import scrub
 from clinflow.operators import audit, deid, feeds, parse
+from clinflow.plans.validation import validation_job
 from clinflow.queries.base import local, own, sql
 from clinflow.queries.parsing import _META, common
 from clinflow.queries.routes import meta
@@ -513,3 +514,21 @@ def cmp_columns(spark, d):
 def cmp_report(spark, d):
     a, b = _pair(spark, d)
     return feeds.cmp_report(feeds.cmp_rows(a, b, "c_custkey"), feeds.cmp_columns(a, b, "c_custkey", []))
+
+
+_SIDES = """c AS (SELECT * FROM (SELECT o_orderkey % 500 AS id, o_orderpriority AS prio, o_orderstatus AS status, o_orderkey AS at, row_number() OVER (PARTITION BY o_orderkey % 500 ORDER BY o_orderkey DESC) AS k FROM orders) WHERE k = 1),
+  o AS (SELECT 'cand_orders' AS "table", c.id::VARCHAR AS key, r.id IS NOT NULL AS there, unnest([{'column': 'prio', 'got': c.prio, 'expected': r.prio}, {'column': 'status', 'got': c.status, 'expected': NULL}], recursive := true)
+    FROM c LEFT JOIN (SELECT id, CASE WHEN id % 7 = 0 THEN 'other' ELSE prio END AS prio FROM c WHERE id % 11 <> 0) r USING (id)),
+  p AS (SELECT 'cand_part' AS "table", p_partkey::VARCHAR AS key, CASE WHEN p_size > 10 THEN 'MATCH' ELSE 'NO_DATA' END AS status FROM part)"""
+
+
+@query("plan_segment_validation", f"""WITH {_SIDES} SELECT "table", key, 'MISMATCH' AS status, "column", got, expected FROM o WHERE there AND got IS DISTINCT FROM expected
+  UNION ALL SELECT DISTINCT "table", key, 'NO_DATA', NULL, NULL, NULL FROM o WHERE NOT there UNION ALL SELECT "table", key, status, NULL, NULL, NULL FROM p
+  UNION ALL SELECT 'cand_nation', NULL, 'NO_TABLE', NULL, NULL, NULL""")
+def plan_segment_validation(spark, d):
+    orders = table(spark, d, "orders").select((F.col("o_orderkey") % 500).alias("id"), F.col("o_orderpriority").alias("prio"), F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("at"))
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_partkey").alias("at"))
+    nation = table(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_nationkey").alias("at"))
+    changed = orders.filter("id % 11 <> 0").select("id", F.when(F.expr("id % 7 = 0"), "other").otherwise(F.col("prio")).alias("prio"), "at")
+    kept = part.join(table(spark, d, "part").filter("p_size > 10").select(F.col("p_partkey").alias("id")), "id", "left_semi")
+    return validation_job({"cand_orders": orders, "cand_part": part, "cand_nation": nation}, {"ref_orders": changed, "ref_part": kept}, "id", "at", ["at"])

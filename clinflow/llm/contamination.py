@@ -4,8 +4,9 @@ The normalised word windows of the test items (``width`` words; an item of fewer
 Before it, a document is looked at only every ``stride`` words: the ``gram`` words from there are hashed and held against
 the hashes of the items' word sequences. A window that occurs in a document has such a place among its first ``stride``
 words, so only windows that start shortly before a place that was found are formed and joined, as whole strings, with
-the set: each hit is verified by equality. Where the items are too many for the hashes to go with the plan (GRAMS), all
-windows are formed; where they are too many for a broadcast, the join is a shuffle join. Results are the same.
+the set: each hit is verified by equality. Where the items are too many for the hashes to go with the plan (GRAMS), the
+places' hashes are joined with the items' and what was found is joined back to the texts; where a side is too large for
+a broadcast, the join is a shuffle join. Results are the same.
 
 Null text has no words; an item without words has no window. The windows of an item with a null id count as hits, but it
 can't be named and is not among the items found. Items of one id count once. Rows that repeat give a row each. An empty
@@ -56,10 +57,17 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
         gram = min(GRAM, sizes[0])
         stride = sizes[0] - gram + 1
         parts = F.explode(F.transform(F.sequence(F.lit(0), F.col("size") - gram), lambda i: F.array_join(F.slice(F.split("w", " "), i + 1, gram), " "))).alias("g")
-        known = windows.select("size", "w", parts).select(F.xxhash64(F.split("g", " ")).alias("h")).distinct().limit(GRAMS + 1)
-        known = [r["h"] for r in known.collect()]  # GRAMS at most
+        hashes = windows.select("size", "w", parts).select(F.xxhash64(F.split("g", " ")).alias("h")).distinct()
+        known = [r["h"] for r in hashes.limit(GRAMS + 1).collect()]  # a row more than GRAMS at most
         places = f"sequence(0, n_words - {gram}, {stride})"
-        if len(known) <= GRAMS:
+        if len(known) > GRAMS:
+            # the places go to the hashes: a long for each, ten words apart, and back come those of the places that were found
+            rows = rows.withColumn("key", F.sha2(F.array_join("ws", " "), 256))
+            looked = rows.select("key", F.explode(F.expr(f"if(n_words >= {gram}, transform({places}, p -> struct(p, xxhash64(slice(ws, cast(p + 1 as int), {gram})) as h)), null)")).alias("x"))
+            near = looked.select("key", "x.p", "x.h").join(measured(cut(hashes)), "h", "left_semi").groupBy("key").agg(F.collect_set("p").alias("near"))
+            rows = rows.join(measured(cut(near)), "key", "left")
+            places = "coalesce(near, cast(array() as array<bigint>))"
+        else:
             places = f"filter({places}, p -> xxhash64(slice(ws, cast(p + 1 as int), {gram})) in ({', '.join(f'{h}L' if h != -(2**63) else 'bigint(-9223372036854775808)' for h in known)}))"
         own = [f"if(s + {n} <= n_words, struct(cast(s as int) as at, {n} as size, array_join(slice(ws, cast(s + 1 as int), {n}), ' ') as w), null)" for n in sizes]
         near = f"flatten(transform({places}, p -> flatten(transform(sequence(greatest(p - {stride - 1}, 0), p), s -> array({', '.join(own)})))))"

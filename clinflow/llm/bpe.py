@@ -54,9 +54,6 @@ class PrefixBpe:
         for raw, token in ranks.items():
             self.entries.add_word(raw.decode("latin-1"), (token, len(raw)))
         self.entries.make_automaton()
-        self.longest = max(map(len, ranks))
-        self.find_any = regex.compile(pattern).findall
-        self.find = self._find if pattern == _USUAL else self.find_any
         #: Every beginning of an entry, with the entry's token if it is one itself.
         self.starts: dict[bytes, int | None] = {x[:n]: ranks.get(x[:n]) for x in ranks for n in range(1, len(x) + 1)}
         self.pairs: dict[tuple[int, int], bool] = {}

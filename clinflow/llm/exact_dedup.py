@@ -25,8 +25,8 @@ from clinflow.llm.common import by_value, cut, measured, own_columns, shuffle_pa
 
 by_value(__name__)
 
-#: Fingerprints that one owner is to hold, about; there are at least as many owners as shuffle partitions.
-PER_OWNER = 1 << 20
+#: Fingerprints that one owner is to hold, about; there are at least as many owners as shuffle partitions, and no more senders than owners.
+PER_OWNER = 1 << 22
 
 
 def golomb_encode(values: np.ndarray) -> bytes:
@@ -103,10 +103,12 @@ def _suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def suspect_fingerprints(hashes: DataFrame, rows: int) -> DataFrame:
-    """Distinct fingerprints that occur more than once in column ``h``, by the exchange; ``rows``: how many there are, about."""
+    """Distinct fingerprints that occur more than once in column ``h``, by the exchange; ``rows``: how many there are, about.
+
+    Small partitions are taken together, so that there are owners * owners messages at most, not one for each owner and file part."""
     owners = max(shuffle_partitions(hashes.sparkSession), math.ceil(rows / PER_OWNER))
     messages = cut(
-        hashes.select(F.spark_partition_id().cast("long").alias("src"), "h").mapInArrow(_send(owners), "owner long, src long, blob binary, twice binary")
+        hashes.coalesce(owners).select(F.spark_partition_id().cast("long").alias("src"), "h").mapInArrow(_send(owners), "owner long, src long, blob binary, twice binary")
     )
     bitmaps = messages.groupBy("owner").applyInArrow(_answer, "owner long, src long, bitmap binary")
     return messages.join(bitmaps, ["owner", "src"]).select("blob", "bitmap").mapInArrow(_suspect, "h long").distinct()

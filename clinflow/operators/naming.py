@@ -44,13 +44,14 @@ def name_elements(elements: DataFrame, templates: DataFrame) -> DataFrame:
     source template, FAC:<facility> or ALIGN:<source>. It is a config table of a few thousand rows; all that it says of an
     element's key is one row here, so one join finds it.
     """
-    entry = F.struct("tpl", deepest(F.col("names")).alias("name"))
-    said = config_hint(templates)(templates.groupBy("elem_key").agg(F.map_from_entries(F.collect_list(entry)).alias("said")))
+    entries = templates.filter("tpl is not null").groupBy("elem_key", "tpl").agg(F.min(deepest(F.col("names"))).alias("name"))  # of repeated lines one
+    said = config_hint(templates)(entries.groupBy("elem_key").agg(F.map_from_entries(F.collect_list(F.struct("tpl", "name"))).alias("said")))
     keyed = elements.withColumn("elem_key", F.concat("seg", F.lit("."), "field", F.lit("."), "comp")).join(said, "elem_key", "left")
     lookups = {"realignment": F.concat(F.lit("ALIGN:"), "src"), "facility": F.concat(F.lit("FAC:"), "fac"), "source": F.col("tpl"), "standard": F.lit("STD")}
-    found = {k: F.try_element_at("said", tpl) for k, tpl in lookups.items()}
-    name = F.coalesce(*found.values())
-    source = F.coalesce(*[F.when(v.isNotNull(), k) for k, v in found.items()])
+    # columns of their own, so that each lookup is made once however often its result is read
+    keyed = keyed.withColumns({f"_{k}": F.try_element_at("said", tpl) for k, tpl in lookups.items()})
+    name = F.coalesce(*[F.col(f"_{k}") for k in lookups])
+    source = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), k) for k in lookups])
     unknown = name.isNull() | (name == "") | F.contains(name, F.lit(".")) | (F.split_part(name, F.lit("_"), F.lit(-1)) == F.split_part("elem_key", F.lit("."), F.lit(-1)))
     out = keyed.withColumns({"name": F.when(unknown, "unknown").otherwise(name), "name_source": F.when(unknown, "unknown").otherwise(source)})
     return out.select(*[c for c in elements.columns if c not in SOURCE], "elem_key", "name", "name_source")

@@ -23,6 +23,7 @@ drop_near_copies hands them on, whatever their names.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,8 @@ by_value(__name__)
 M, T = 9, 2
 #: Nodes of a canopy in a part, and their shingles (8 bytes each), about; a larger set is a part with few others.
 BLOCK, SHINGLES = 192, 1 << 20
-#: Rows (two longs each) that a broadcast side may have here.
-KEYS = 2_000_000
+#: Rows (two longs each) that a broadcast side may have here, and edges that a task works on, about.
+KEYS, EDGES = 2_000_000, 250_000
 
 
 def _signatures(width: int, m: int, t: int):
@@ -90,20 +91,24 @@ def components(edges: DataFrame) -> DataFrame:
     root, and what hangs on a root becomes one node. A chain of n nodes in order needs log2(n) doublings of one round.
     """
     edges = cut(edges.filter("x <> y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
-    labels = edges.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("label", F.col("node"))
+    n = edges.count()
+    # tasks by the number of edges, which is small against the documents: a short list is not dealt to every partition
+    tight = lambda df: cut(df.coalesce(max(8, math.ceil(n / EDGES))))
+    labels = tight(edges.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("label", F.col("node")))
+    edges = tight(edges)
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-        to = cut(both.groupBy("x").agg(F.min("y").alias("p")).select("x", F.least("x", "p").alias("p")))
+        to = tight(both.groupBy("x").agg(F.min("y").alias("p")).select("x", F.least("x", "p").alias("p")))
         moving = True
         while moving:
             up = to.select(F.col("x").alias("p"), F.col("p").alias("q"))
-            further = cut(to.join(up, "p").select("x", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
+            further = tight(to.join(up, "p").select("x", F.col("q").alias("p"), (F.col("p") != F.col("q")).alias("moved")))
             moving = not further.filter("moved").isEmpty()
             to = further.select("x", "p")
-        labels = cut(labels.join(to.select(F.col("x").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")))
+        labels = tight(labels.join(to.select(F.col("x").alias("label"), "p"), "label", "left").select("node", F.coalesce("p", "label").alias("label")))
         a, b = to.select("x", F.col("p").alias("px")), to.select(F.col("x").alias("y"), F.col("p").alias("py"))
         moved = edges.join(a, "x").join(b, "y").select(F.greatest("px", "py").alias("x"), F.least("px", "py").alias("y"))
-        edges = cut(moved.filter("x <> y").distinct())
+        edges = tight(moved.filter("x <> y").distinct())
     return labels
 
 
@@ -162,8 +167,8 @@ def _parts(n: Column, size: Column) -> Column:
     return F.greatest(F.ceil(n / BLOCK), F.ceil(size / SHINGLES), F.lit(1)).cast("int")
 
 
-def _canopy_links(canopies: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(x, y): links that connect what is connected in each canopy; ``canopies``: lead, node, n; ``sets``: node, set.
+def _linked(canopies: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, label) of the nodes with a link, by component; ``canopies``: lead, node, n; ``sets``: node, set.
 
     Canopies are dealt into parts of bounded size, each with the leader, and verified inside the parts. Where a canopy's
     parts then still lie in several components, the nodes outside its largest one (in blocks) meet every part.
@@ -176,23 +181,29 @@ def _canopy_links(canopies: DataFrame, sets: DataFrame, percent: int) -> DataFra
     everywhere = F.when(F.col("node") == F.col("lead"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))
     placed = dealt.select("lead", "node", F.explode(everywhere).alias("part"))
     inside = cut(placed.join(sets, "node").groupBy("lead", "part").applyInArrow(_verify(percent), "x long, y long"))
-    if many.isEmpty():
-        return inside
-    # what the parts have linked
     labels = components(inside)
+    if many.isEmpty():
+        return labels
     large = canopies.join(many, "lead").join(labels, "node", "left").select("lead", "node", "n", "parts", F.coalesce("label", "node").alias("label"))
     found = cut(large.groupBy("lead", "label").agg(one.alias("c"), F.sum("n").alias("n"), F.first("parts").alias("parts")))
     most = found.groupBy("lead").agg(F.max_by("label", F.struct("c", "label")).alias("most"), one.alias("labels")).filter("labels > 1")
+    most = measured(cut(most))  # a row for a canopy of several parts: no canopy's labels meet in one task
     roaming = found.join(most, "lead").filter("label <> most").groupBy("lead").agg(_parts(F.sum("c"), F.sum("n")).alias("blocks"), F.first("most").alias("most"))
     roaming = measured(cut(roaming))
     if roaming.isEmpty():
-        return inside
+        return labels
     large = cut(large.join(roaming, "lead"))
     block = F.pmod(F.hash("node", F.lit(1)), F.col("blocks"))
     stay = large.select("lead", "node", "label", F.lit(False).alias("roams"), F.pmod(F.hash("node"), F.col("parts")).alias("part"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
     roam = large.filter("label <> most").select("lead", "node", "label", F.lit(True).alias("roams"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), block.alias("block"))
     across = stay.unionByName(roam.select(*stay.columns)).join(sets, "node").groupBy("lead", "part", "block").applyInArrow(_verify_across(percent), "x long, y long")
-    return inside.unionByName(cut(across))
+    # links across parts connect components of links inside them
+    label_of = lambda end, name: labels.select(F.col("node").alias(end), F.col("label").alias(name))
+    across = cut(across).join(label_of("x", "lx"), "x", "left").join(label_of("y", "ly"), "y", "left")
+    above = components(across.select(F.coalesce("lx", "x").alias("x"), F.coalesce("ly", "y").alias("y")))
+    alone = above.select(F.col("node"), "label").join(labels.select("node"), "node", "left_anti")
+    lifted = labels.join(above.select(F.col("node").alias("label"), F.col("label").alias("higher")), "label", "left").select("node", F.coalesce("higher", "label").alias("label"))
+    return lifted.unionByName(alone)
 
 
 def _labelled(texts: DataFrame, width: int, percent: int, m: int, t: int, further: str = "") -> tuple[DataFrame, DataFrame]:
@@ -205,15 +216,14 @@ def _labelled(texts: DataFrame, width: int, percent: int, m: int, t: int, furthe
     buckets = cut(rows.join(measured(cut(shared), KEYS), "key"))
     meets = buckets.groupBy("node").agg(F.sum("c").alias("meets"))
     leads = buckets.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("lead"))
-    canopies = buckets.join(measured(cut(leads), KEYS), "key").select("lead", "node").distinct().join(nodes.select("node", "n"), "node")
+    canopies = buckets.join(leads, "key").select("lead", "node").distinct().join(nodes.select("node", "n"), "node")
     canopies = cut(canopies.select("lead", "node", "n"))
     # full sets of the nodes that share a bucket, from the text of a document each
     inside = cut(canopies.select("node").distinct().join(nodes.select("node", "id", "k1", "k2"), "node"))
     wanted = measured(inside.select(F.col("id").alias("doc_id")))
     raw = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi").select("text").mapInArrow(_full_sets(width), "k1 long, k2 long, set array<long>")
     sets = cut(raw.join(inside, ["k1", "k2"]).dropDuplicates(["node"]).select("node", "set"))
-    edges = _canopy_links(canopies, sets, percent)
-    named = nodes.select("node", "id", "k1", "k2").join(components(edges), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = nodes.select("node", "id", "k1", "k2").join(_linked(canopies, sets, percent), "node", "left").withColumn("label", F.coalesce("label", "node"))
     return signed, cut(named.select("label", "id", "k1", "k2"))
 
 
@@ -221,8 +231,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row for each row of ``docs``: id, n_shingles, component_id, kept."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     signed, named = _labelled(texts, width, percent, m, t)
-    heads = named.groupBy("label").agg(F.min("id").alias("component_id"))
-    by_set = named.join(heads, "label").select("k1", "k2", "component_id")
+    # components of several sets, so that most sets, and a large component's, are in no join by label
+    heads = named.groupBy("label").agg(F.min("id").alias("component_id"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("label", "component_id")
+    by_set = named.join(measured(cut(heads)), "label", "left").select("k1", "k2", F.coalesce("component_id", "id").alias("component_id"))
     full = signed.filter("n > 0").select("doc_id", "n", "k1", "k2").join(by_set, ["k1", "k2"])
     none = signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     out = full.select("doc_id", "n", "component_id").unionByName(none)

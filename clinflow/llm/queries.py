@@ -67,6 +67,15 @@ ORACLES = {
         SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
         FROM d LEFT JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)""",
+    "op5_near_dedup": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+          s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) = 1 THEN ws[1] ELSE ws[i] || ' ' || ws[i + 1] END AS g FROM d, unnest(range(1, greatest(len(ws), 2))) AS u(i) WHERE len(ws) > 0),
+          n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+          c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+          l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * k >= 80 * (p.n + q.n - k)),
+          e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+          r AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT a, y FROM r JOIN e ON b = x)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.id AS component_id, d.doc_id = c.id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS id FROM r GROUP BY 1) c USING (doc_id)""",
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id,
                count(*) OVER (PARTITION BY coalesce(text, '')) AS group_size,

@@ -48,6 +48,18 @@ def test_no_link_is_lost_in_the_given_documents(spark, width):
     assert got == want and links > 100
 
 
+def test_sql_gives_the_same(spark):
+    import duckdb
+
+    from clinflow.llm.queries import ORACLES, QUERIES
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    want = con.sql(ORACLES["op5_near_dedup"]).df().sort_values("doc_id")
+    got = QUERIES["op5_near_dedup"](spark, "/root/testdata/sf0.001").toPandas().sort_values("doc_id")
+    assert got[list(want.columns)].to_numpy().tolist() == want.to_numpy().tolist()
+
+
 @pytest.mark.parametrize("block", [3, 5])
 def test_canopies_of_many_parts(spark, monkeypatch, block):
     """Families around the threshold, cut into parts of a few nodes, so that links across parts matter."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, text_or_empty
+from clinflow.llm.common import by_value, lean, text_or_empty
 
 by_value(__name__)
 
@@ -203,7 +203,7 @@ def _encode(path: str, pattern: str):
 
 def token_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256. ``path``: a vocabulary of ranks that workers can read."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(_encode(path, pattern), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
@@ -215,7 +215,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def ids(texts: pd.Series) -> pd.Series:
         return texts.map(model(path, pattern)[0].encode)
 
-    return docs.withColumn("ids", ids(text_or_empty()))
+    return lean(docs).withColumn("ids", ids(text_or_empty()))
 
 
 def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:

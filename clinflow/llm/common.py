@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 #: A join side is broadcast up to this many rows and bytes; beyond either Spark joins by shuffle.
 BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+#: Rows that go to Python at once where they hold whole texts, at most.
+BATCH_ROWS = 1_000
 
 
 def by_value(module: str) -> None:
@@ -49,6 +51,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def lean(df: DataFrame) -> DataFrame:
+    """``df``, whose whole texts go to Python in short batches: the session's batch size is lowered if it is more than BATCH_ROWS.
+
+    A batch stands in the JVM and in the worker several times over, so its size is what a task's memory beside the heap grows with."""
+    name, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def spare(df: DataFrame, *stems: str) -> list[str]:
     """A name for each stem that no column of ``df`` has, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}

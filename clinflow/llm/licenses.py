@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, text_or_empty
+from clinflow.llm.common import by_value, lean, text_or_empty
 from clinflow.llm.shingles import PART, Shingler, mix
 
 by_value(__name__)
@@ -312,5 +312,5 @@ def _scan(templates: dict[str, str], least: float):
 
 def license_spans(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
     """doc_id, n_licenses, best_coverage, licenses ("template:start:end:matched/words", comma-joined, by start)."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(_scan(templates or TEMPLATES, least), "doc_id long, n_licenses long, best_coverage double, licenses string")

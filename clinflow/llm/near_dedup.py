@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, cut, measured, own_columns, spare, text_or_empty
+from clinflow.llm.common import by_value, cut, lean, measured, own_columns, spare, text_or_empty
 from clinflow.llm.shingles import MinHash, Shingler
 
 by_value(__name__)
@@ -208,7 +208,7 @@ def _linked(canopies: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _labelled(texts: DataFrame, width: int, percent: int, m: int, t: int, further: str = "") -> tuple[DataFrame, DataFrame]:
     """(doc_id, n, k1, k2 and the further columns, for each row of ``texts``; label, id, k1, k2 of each shingle set: its component and its smallest id)."""
-    signed = cut(texts.mapInArrow(_signatures(width, m, t), f"doc_id long, n long, k1 long, k2 long, halves array<long>{further}"))
+    signed = cut(lean(texts).mapInArrow(_signatures(width, m, t), f"doc_id long, n long, k1 long, k2 long, halves array<long>{further}"))
     nodes = signed.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("halves").alias("halves"))
     nodes = cut(nodes).withColumn("node", F.monotonically_increasing_id())
     rows = nodes.select("node", F.explode(_keys(m)).alias("key"))

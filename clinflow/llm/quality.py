@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, cut, measured, own_columns, scratch, spare, text_or_empty
+from clinflow.llm.common import by_value, cut, lean, measured, own_columns, scratch, spare, text_or_empty
 from clinflow.llm.shingles import Shingler
 
 by_value(__name__)
@@ -160,7 +160,7 @@ def _judged(rows: DataFrame, names: list[str], known: bool, threshold: float) ->
 
 def _named(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, Column], list[str], bool]:
     """Columns of site, path and p for ``docs``, their names and four more that ``docs`` doesn't have, and whether there is a classifier."""
-    model = fit(docs, labels)
+    model = fit(lean(docs), labels)
     names = spare(docs, "site", "path", "p", "s", "n", "s_site", "n_site")
     own = lambda name: F.coalesce(F.col(name).cast("string"), F.lit("\x00"))
     return dict(zip(names[:3], (own("source"), own("lang"), evidence(text_or_empty(), model)), strict=True)), names, model is not None

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.llm.common import by_value, text_or_empty
+from clinflow.llm.common import by_value, lean, text_or_empty
 
 by_value(__name__)
 
@@ -231,7 +231,7 @@ def _scan(rules: tuple[Rule, ...], base: int):
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE)) -> DataFrame:
     """doc_id, a count for each base kind, base_sha256 and spans; the first ``base`` rules are the base kinds."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = lean(docs).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     counts = "".join(f"n_{r.kind} long, " for r in rules[:base])
     return rows.mapInArrow(_scan(rules, base), f"doc_id long, {counts}base_sha256 string, spans string")
 

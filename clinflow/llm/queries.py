@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinflow.llm import bpe, contamination, exact_dedup, licenses, near_dedup, pii, quality, secrets, sharding, warc
+from clinflow.llm import bpe, contamination, exact_dedup, licenses, near_dedup, periodic_runs, pii, quality, secrets, sharding, warc
 from clinflow.llm.common import scratch, table
 
 
@@ -51,7 +51,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_quality, op3_licenses, op4_secrets, op5_near_dedup, op6_byte_bpe, op7_warc, op8_pii, op9_exact_dedup, op10_sharding)}
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
+NUMBERED = (op1_decontamination, op2_quality, op3_licenses, op4_secrets, op5_near_dedup, op6_byte_bpe, op7_warc, op8_pii, op9_exact_dedup, op10_sharding, op13_periodic_runs)
+QUERIES = {f.__name__: f for f in NUMBERED}
 ORACLES = {
     "op1_decontamination": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),

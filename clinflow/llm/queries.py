@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinflow.llm import bpe, contamination, exact_dedup, licenses, near_dedup, periodic_runs, pii, quality, secrets, sharding, warc
+from clinflow.llm import bpe, contamination, divergence, exact_dedup, licenses, near_dedup, periodic_runs, pii, quality, secrets, sharding, warc
 from clinflow.llm.common import scratch, table
 
 
@@ -51,11 +51,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
 
-NUMBERED = (op1_decontamination, op2_quality, op3_licenses, op4_secrets, op5_near_dedup, op6_byte_bpe, op7_warc, op8_pii, op9_exact_dedup, op10_sharding, op13_periodic_runs)
+NUMBERED = (op1_decontamination, op2_quality, op3_licenses, op4_secrets, op5_near_dedup, op6_byte_bpe, op7_warc, op8_pii, op9_exact_dedup, op10_sharding, op11_source_divergence, op13_periodic_runs)
 QUERIES = {f.__name__: f for f in NUMBERED}
 ORACLES = {
     "op1_decontamination": r"""
@@ -87,6 +91,24 @@ ORACLES = {
                doc_id = max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS kept,
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents""",
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+          g AS (SELECT DISTINCT lang, source FROM d),
+          t AS (SELECT id, lang, source, term FROM d, unnest(ws) AS u(term)),
+          k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 10),
+          a AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM k GROUP BY 1),
+          c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+          s AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM c GROUP BY ALL),
+          f AS (SELECT g.lang, g.source, term, coalesce(c.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(s.total, 0) + 2 * a.v))::BIGINT AS p,
+                       (1 + 1000000000::HUGEINT * (k.n + 2) // (a.total + 2 * a.v))::BIGINT AS q
+                FROM g JOIN k USING (lang) JOIN a USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN s USING (lang, source)),
+          x AS (SELECT l.lang, l.source, r.source AS item, sum((l.p - r.p) * (l.p - r.p) // (l.p + r.p)) AS value FROM f l JOIN f r ON l.lang = r.lang AND l.term = r.term AND l.source <> r.source GROUP BY ALL),
+          y AS (SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(value, 0)::BIGINT AS value
+                FROM g JOIN (SELECT lang, source FROM g) o USING (lang) LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.item = o.source WHERE g.source <> o.source
+                UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM f WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM y)
+        WHERE part = 'pair' OR rank <= 10""",
     "op7_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
              b AS (SELECT *, unhex(sha1(body))::BIT::VARCHAR AS bits FROM p)

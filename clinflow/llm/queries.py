@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clinflow.llm import bpe, contamination, divergence, exact_dedup, licenses, near_dedup, periodic_runs, pii, quality, secrets, sharding, warc
+from clinflow.llm import bpe, contamination, divergence, exact_dedup, language, licenses, near_dedup, periodic_runs, pii, quality, secrets, sharding, warc
 from clinflow.llm.common import scratch, table
 
 
@@ -55,11 +55,15 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(table(spark, sf_dir, "documents"))
 
 
-NUMBERED = (op1_decontamination, op2_quality, op3_licenses, op4_secrets, op5_near_dedup, op6_byte_bpe, op7_warc, op8_pii, op9_exact_dedup, op10_sharding, op11_source_divergence, op13_periodic_runs)
+NUMBERED = (op1_decontamination, op2_quality, op3_licenses, op4_secrets, op5_near_dedup, op6_byte_bpe, op7_warc, op8_pii, op9_exact_dedup, op10_sharding, op11_source_divergence, op12_language_id, op13_periodic_runs)
 QUERIES = {f.__name__: f for f in NUMBERED}
 ORACLES = {
     "op1_decontamination": r"""

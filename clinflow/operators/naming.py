@@ -44,17 +44,18 @@ def name_elements(elements: DataFrame, templates: DataFrame) -> DataFrame:
     source template, FAC:<facility> or ALIGN:<source>. It is a config table of a few thousand rows; all that it says of an
     element's key is one row here, so one join finds it.
     """
-    entries = templates.filter("tpl is not null").groupBy("elem_key", "tpl").agg(F.min(deepest(F.col("names"))).alias("name"))  # of repeated lines one
+    # of repeated lines one; whether a name is a name is judged here, once for each line, not for each element
+    entries = templates.filter("tpl is not null").groupBy("elem_key", "tpl").agg(F.min(deepest(F.col("names"))).alias("name"))
+    bad = F.contains("name", F.lit(".")) | (F.split_part("name", F.lit("_"), F.lit(-1)) == F.split_part("elem_key", F.lit("."), F.lit(-1)))
+    entries = entries.filter("name is not null").withColumn("name", F.when(bad, "unknown").otherwise(F.col("name")))
     said = config_hint(templates)(entries.groupBy("elem_key").agg(F.map_from_entries(F.collect_list(F.struct("tpl", "name"))).alias("said")))
     keyed = elements.withColumn("elem_key", F.concat("seg", F.lit("."), "field", F.lit("."), "comp")).join(said, "elem_key", "left")
     lookups = {"realignment": F.concat(F.lit("ALIGN:"), "src"), "facility": F.concat(F.lit("FAC:"), "fac"), "source": F.col("tpl"), "standard": F.lit("STD")}
     # columns of their own, so that each lookup is made once however often its result is read
     keyed = keyed.withColumns({f"_{k}": F.try_element_at("said", tpl) for k, tpl in lookups.items()})
-    name = F.coalesce(*[F.col(f"_{k}") for k in lookups])
+    keyed = keyed.withColumn("name", F.coalesce(*[F.col(f"_{k}") for k in lookups], F.lit("unknown")))
     source = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), k) for k in lookups])
-    unknown = name.isNull() | (name == "") | F.contains(name, F.lit(".")) | (F.split_part(name, F.lit("_"), F.lit(-1)) == F.split_part("elem_key", F.lit("."), F.lit(-1)))
-    out = keyed.withColumns({"name": F.when(unknown, "unknown").otherwise(name), "name_source": F.when(unknown, "unknown").otherwise(source)})
-    return out.select(*[c for c in elements.columns if c not in SOURCE], "elem_key", "name", "name_source")
+    return keyed.select(*[c for c in elements.columns if c not in SOURCE], "elem_key", "name", F.when(F.col("name") == "unknown", "unknown").otherwise(source).alias("name_source"))
 
 
 def unknown_mapping(named: DataFrame) -> DataFrame:
@@ -120,8 +121,8 @@ def strip_nulls(elements: DataFrame) -> DataFrame:
 def _segment_json(named: DataFrame) -> DataFrame:
     """(msg_id, seg_seq, seg, body): each segment as a JSON object of names to values (repeats as a list).
 
-    All groupings from here to the message keep its rows together, so the one exchange by message serves them all."""
-    values = named.repartition("msg_id").groupBy("msg_id", "seg_seq", "seg", "name").agg(F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "value"))).alias("v"))
+    Elements lie by message, and all groupings from here to the message keep its rows together."""
+    values = named.groupBy("msg_id", "seg_seq", "seg", "name").agg(F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "value"))).alias("v"))
     texts = F.transform("v", lambda x: x["value"])
     one = F.when(F.size(texts) == 1, F.to_json(F.struct(F.get(texts, F.lit(0)).alias("v")), {"ignoreNullFields": "false"})).otherwise(F.to_json(F.struct(texts.alias("v")), {"ignoreNullFields": "false"}))
     values = values.withColumn("j", F.regexp_extract(one, r'^\{"v":(?s:(.*))\}$', 1)).withColumn("at", F.get("v", F.lit(0))["field"])

@@ -1,9 +1,12 @@
-"""Message text to elements: generators over the whole table, without a shuffle.
+"""Message text to elements: generators over the whole table, after one shuffle of the raw text.
 
 ``elements(msg_id, seg_seq, seg, field, rep, comp, sub, value)`` has a row for each part of each message; an empty part
-has the value NULL. Each message is cut at the separators that its own MSH names: ``split_segments`` puts them into the
-column ``own``, which the splits carry. It is NULL for the usual set, which is cut by literal patterns, and for a text
-that doesn't begin with MSH and all separators. The escape and truncation characters cut nothing.
+has the value NULL. Each message is cut at the separators that its own MSH names: ``split_segments`` puts into the
+column ``own``, which the splits carry, how they differ from the usual ones (``exchange``). It is NULL for the usual set, and for a text that doesn't begin with MSH and four
+different separators. The escape and truncation characters cut nothing.
+
+A line with separators of its own is cut in the usual ones' terms: ``split_fields`` exchanges the characters of the two
+sets (``as_usual``), so that one plain pattern serves every row, and ``as_sent`` gives a text its characters back.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import functions as F
 from clinflow.operators.config import config
 
 NO_CONTROL = "no message control ID"
+#: In the order of MSH, where the escape character stands before the last.
 USUAL = {"field": "|", "comp": "^", "rep": "~", "sub": "&"}
 #: The columns that the splits make and read themselves; what else their input has, they hand on.
 PLACES = ("msg_id", "seg_seq", "seg", "line", "field", "text", "rep", "comp", "n_comp", "sub", "value")
@@ -35,9 +39,35 @@ def separators(raw: Column) -> Column:
     return F.when(raw.startswith("MSH") & (F.length(raw) >= 8) & ~usual, F.struct(*[F.substring(raw, n, 1).alias(k) for k, n in at.items()]))
 
 
-def split_segments(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``keep``: columns of a message that its segments, and what they are cut into, hand on, so that no join by message brings them back."""
-    rows = raw.select("msg_id", separators(F.col("raw")).alias("own"), *keep, F.posexplode(lines(F.col("raw"))).alias("pos", "line"))
+def exchange(raw: Column) -> Column:
+    """The characters to exchange, ``sent`` for ``usual``, so that a message has the usual separators; NULL if it has them, or not four different ones."""
+    four, usual = F.concat(F.substring(raw, 4, 3), F.substring(raw, 8, 1)), F.lit("".join(USUAL.values()))
+    different = F.size(F.array_distinct(F.split(four, ""))) == len(USUAL)
+    without = lambda a, b: F.call_function("translate", a, b, F.lit(""))
+    pair = F.struct(F.concat(four, without(usual, four)).alias("sent"), F.concat(usual, without(four, usual)).alias("usual"))
+    return F.when(raw.startswith("MSH") & (F.length(raw) >= 8) & (four != usual) & different, pair)
+
+
+def as_usual(text: Column, own: Column) -> Column:
+    """``text`` with the usual separators in place of its message's own, and these in place of those: nothing is lost."""
+    return F.when(own.isNull(), text).otherwise(F.call_function("translate", text, own["sent"], own["usual"]))
+
+
+def as_sent(text: Column, own: Column) -> Column:
+    return F.when(own.isNull(), text).otherwise(F.call_function("translate", text, own["usual"], own["sent"]))
+
+
+def split_segments(raw: DataFrame, keep: tuple[str, ...] = (), segs: tuple[str, ...] | None = None, deal: bool = False) -> DataFrame:
+    """``keep``: columns of a message that its segments, and what they are cut into, hand on, so that no join by message brings them
+    back. ``segs``: only these segments. ``deal``: messages are first dealt by msg_id, so that few large files or a join that Spark runs
+    by broadcast don't leave the work to few tasks, and what follows groups by message without a shuffle of its many more parts."""
+    cut_at = lines(F.col("raw"))
+    if segs:  # the others go before anything is shuffled; their places stay
+        cut_at = F.transform(cut_at, lambda x: F.when(F.substring(x, 1, 3).isin(*segs), x).otherwise(""))
+    rows = raw.select("msg_id", exchange(F.col("raw")).alias("own"), *keep, cut_at.alias("lines"))
+    if deal:
+        rows = rows.repartition("msg_id")
+    rows = rows.select("msg_id", "own", *keep, F.posexplode("lines").alias("pos", "line"))
     return rows.filter("line <> ''").select("msg_id", (F.col("pos") + 1).alias("seg_seq"), F.substring("line", 1, 3).alias("seg"), "line", "own", *keep)
 
 
@@ -59,7 +89,7 @@ def separator(kind: str, own: Column | None) -> Column:
 
 def cut(text: Column, kind: str, own: Column | None) -> Column:
     """``text`` cut at a separator; by a literal pattern where it is the usual one."""
-    usual = F.split(text, rf"\Q{USUAL[kind]}\E", -1)
+    usual = F.split(text, f"\\{USUAL[kind]}", -1)  # an escaped character is cut at without a pattern
     return usual if own is None else F.when(own.isNull(), usual).otherwise(F.split(text, _quoted(own[kind]), -1))
 
 
@@ -72,23 +102,18 @@ def _carried(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c not in PLACES]
 
 
-def split_fields(segments: DataFrame, sep: str | Column | None = None) -> DataFrame:
-    """Trailing empty fields are dropped; field 1 of MSH is the separator itself. ``sep``: in place of each message's own."""
-    trimmed_by = lambda d: F.regexp_replace("line", F.concat(F.lit("(?:"), _quoted(d), F.lit(")+$")), F.lit(""))
+def split_fields(segments: DataFrame, sep: Column | None = None) -> DataFrame:
+    """Trailing empty fields are dropped; field 1 of MSH is the separator itself. ``sep``: in place of each message's own. ``text`` has the usual separators."""
+    own, line = _own(segments), F.col("line")
     if sep is None:
-        own = _own(segments)
-        trimmed = F.regexp_replace("line", r"\Q|\E+$", "")
-        if own is not None:
-            trimmed = F.when(own.isNull(), trimmed).otherwise(trimmed_by(own["field"]))
-        parts, sep = cut(trimmed, "field", own), separator("field", own)
-    elif isinstance(sep, str):
-        parts, sep = F.split(F.regexp_replace("line", rf"\Q{sep}\E+$", ""), rf"\Q{sep}\E", -1), F.lit(sep)
+        line, sep = line if own is None else as_usual(line, own), F.lit(USUAL["field"])
+        parts = cut(F.rtrim(line, sep), "field", None)
     else:
-        parts = F.split(trimmed_by(sep), _quoted(sep), -1)
+        parts = F.split(F.rtrim(line, sep), _quoted(sep), -1)
+    rows = segments.select("msg_id", "seg_seq", "seg", *_carried(segments), F.posexplode(parts).alias("pos", "text"))
     msh = F.col("seg") == "MSH"
-    texts = F.when(msh, F.concat(F.array(sep), F.slice(parts, 2, F.size(parts)))).otherwise(F.slice(parts, 2, F.size(parts)))
-    rows = segments.select("msg_id", "seg_seq", "seg", *_carried(segments), F.posexplode(texts).alias("pos", "text"))
-    return rows.select("msg_id", "seg_seq", "seg", (F.col("pos") + 1).alias("field"), "text", *_carried(segments))
+    rows = rows.filter((F.col("pos") > 0) | msh)  # the segment's name is no field; in MSH the separator takes its place
+    return rows.select("msg_id", "seg_seq", "seg", (F.col("pos") + msh.cast("int")).alias("field"), F.when(F.col("pos") == 0, sep).otherwise(F.col("text")).alias("text"), *_carried(segments))
 
 
 def whole_field() -> Column:
@@ -96,47 +121,43 @@ def whole_field() -> Column:
     return (F.col("seg") == "MSH") & F.col("field").isin(1, 2)
 
 
-def _structured(fields: DataFrame) -> Column:
+def _structured(text: Column) -> Column:
     """The items of a repeated field that have components."""
-    own = _own(fields)
-    comp = separator("comp", own)
-    return F.filter(cut(F.col("text"), "rep", own), lambda x: F.contains(x, comp))
+    return F.filter(cut(text, "rep", None), lambda x: F.contains(x, F.lit(USUAL["comp"])))
 
 
 def split_repetitions(fields: DataFrame) -> DataFrame:
     """A repeated field whose items have no components keeps its text as one value; if some have, only they remain."""
-    having = _structured(fields)
     observed = (F.col("seg") == "OBX") & (F.col("field") == 5)
-    one = whole_field() | observed | ~F.contains("text", separator("rep", _own(fields))) | (F.size(having) == 0)
-    rows = fields.select("msg_id", "seg_seq", "seg", "field", *_carried(fields), F.posexplode(F.when(one, F.array("text")).otherwise(having)).alias("pos", "text"))
+    several = F.contains("text", F.lit(USUAL["rep"])) & ~whole_field() & ~observed
+    rows = fields.withColumn("having", F.when(several, _structured(F.col("text"))))
+    rows = rows.select("msg_id", "seg_seq", "seg", "field", *_carried(fields), F.posexplode(F.when(F.size("having") > 0, F.col("having")).otherwise(F.array("text"))).alias("pos", "text"))
     return rows.select("msg_id", "seg_seq", "seg", "field", (F.col("pos") + 1).alias("rep"), "text", *_carried(fields))
 
 
 def split_components(reps: DataFrame) -> DataFrame:
-    parts = F.when(whole_field(), F.array("text")).otherwise(cut(F.col("text"), "comp", _own(reps)))
-    rows = reps.select("msg_id", "seg_seq", "seg", "field", "rep", *_carried(reps), F.size(parts).alias("n_comp"), F.posexplode(parts).alias("pos", "text"))
+    rows = reps.withColumn("parts", F.when(whole_field(), F.array("text")).otherwise(cut(F.col("text"), "comp", None)))
+    rows = rows.select("msg_id", "seg_seq", "seg", "field", "rep", *_carried(reps), F.size("parts").alias("n_comp"), F.posexplode("parts").alias("pos", "text"))
     return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "n_comp", (F.col("pos") + 1).alias("comp"), "text", *_carried(reps))
 
 
 def split_subcomponents(comps: DataFrame) -> DataFrame:
-    """Cut at & only where the field has two components or more."""
-    parts = F.when(F.col("n_comp") > 1, cut(F.col("text"), "sub", _own(comps))).otherwise(F.array("text"))
+    """Cut at & only where the field has two components or more. The value has the characters that were sent."""
+    parts = F.when(F.col("n_comp") > 1, cut(F.col("text"), "sub", None)).otherwise(F.array("text"))
+    own = _own(comps)
     rows = comps.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", *_carried(comps), F.posexplode(parts).alias("pos", "text"))
-    value = F.when(F.col("text") != "", F.col("text"))
-    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", (F.col("pos") + 1).alias("sub"), value.alias("value"), *[c for c in _carried(comps) if c != "own"])
+    text = F.col("text") if own is None else as_sent(F.col("text"), own)
+    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", (F.col("pos") + 1).alias("sub"), F.when(F.col("text") != "", text).alias("value"), *[c for c in _carried(comps) if c != "own"])
 
 
-def elements(raw: DataFrame, segs: tuple[str, ...] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``segs``: only these segments are taken apart, before the rows multiply. ``keep``: columns of the message that elements have too."""
-    rows = split_segments(raw, keep)
-    if segs:
-        rows = rows.filter(F.col("seg").isin(*segs))
-    return split_subcomponents(split_components(split_repetitions(split_fields(rows))))
+def elements(raw: DataFrame, segs: tuple[str, ...] | None = None, keep: tuple[str, ...] = (), deal: bool = True) -> DataFrame:
+    """``segs``: only these segments are taken apart. ``keep``: columns of the message that elements have too. The rows lie by msg_id (``deal``)."""
+    return split_subcomponents(split_components(split_repetitions(split_fields(split_segments(raw, keep, segs, deal)))))
 
 
 def simple_repeats(fields: DataFrame) -> DataFrame:
     """(…, text, kept): what the rule for repeated fields leaves of each."""
-    having = _structured(fields)
+    having = _structured(F.col("text"))
     return fields.withColumn("kept", F.when(F.size(having) == 0, F.array("text")).otherwise(having))
 
 

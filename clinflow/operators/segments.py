@@ -27,17 +27,18 @@ def element_path(with_component: Column | None = None) -> Column:
 
 
 def parent_fallback(elements: DataFrame, models: DataFrame) -> DataFrame:
-    """``path``: the element's own path if it is modelled, else its field's if that has several modelled children."""
-    small = config_hint(models)
-    own = small(models.select("seg", F.col("path").alias("p1")).distinct().withColumn("exact", F.col("p1")))
-    field = F.split_part("path", F.lit("|"), F.lit(1))
-    many = models.filter(F.contains("path", F.lit("|"))).groupBy("seg", field.alias("p2")).agg(F.countDistinct("path").alias("k")).filter("k > 1")
-    many = small(many.select("seg", "p2", F.col("p2").alias("parent")))
-    keyed = elements.withColumns({"p1": F.concat("field", F.lit("|"), "comp"), "p2": F.col("field").cast("string")})
-    single = small(models.filter(~F.contains("path", F.lit("|"))).select("seg", F.col("path").alias("p2"), F.col("path").alias("whole")).distinct())
-    rows = keyed.join(own, ["seg", "p1"], "left").join(single, ["seg", "p2"], "left").join(many, ["seg", "p2"], "left")
-    whole = F.when(F.col("comp") == 1, F.col("whole"))
-    return rows.withColumn("path", F.coalesce("exact", whole, "parent")).select(*elements.columns, "path")
+    """``path``: the element's own path if it is modelled, else its field's if that has several modelled children.
+
+    All that the models say of a segment's field is one row, found by one join (by type too where both sides have one)."""
+    by = ["type", "seg"] if "type" in elements.columns and "type" in models.columns else ["seg"]
+    field, below = F.split_part("path", F.lit("|"), F.lit(1)), F.regexp_replace("path", r"^[^|]*\|?", "")
+    deep = F.contains("path", F.lit("|"))
+    said = models.groupBy(*by, field.alias("said_field")).agg(F.collect_set(F.when(deep, below)).alias("said_comps"), F.max(~deep).alias("said_whole"))
+    keyed = elements.withColumn("said_field", F.col("field").cast("string")).join(config_hint(models)(said), [*by, "said_field"], "left")
+    comp = F.col("comp").cast("string")
+    path = F.when(F.array_contains("said_comps", comp), F.concat("said_field", F.lit("|"), comp))
+    path = path.when((F.col("comp") == 1) & F.col("said_whole"), F.col("said_field")).when(F.size("said_comps") > 1, F.col("said_field"))
+    return keyed.select(*[F.col(c) for c in elements.columns], path.alias("path"))
 
 
 def project(elements: DataFrame, models: DataFrame, seg: str, paths: list[str]) -> DataFrame:
@@ -86,12 +87,15 @@ def dedupe_rows(rows: DataFrame) -> DataFrame:
 
 
 def fan_out(elements: DataFrame, models: DataFrame) -> DataFrame:
-    """(hl7_segment, msg_id, seg_seq, row): rows of all modelled segments at once, by one grouping, each as delimited text."""
+    """(hl7_segment, msg_id, seg_seq, row): rows of all modelled segments at once, by one grouping, each as delimited text.
+
+    Where elements have a type, each is held against its type's models: all types in the same pass."""
+    by = ["type", "seg"] if "type" in elements.columns and "type" in models.columns else ["seg"]
     rows = parent_fallback(elements, models).filter("path is not null")
-    places = config_hint(models)(models.groupBy("seg").agg(F.array_sort(F.collect_set(F.struct("pos", "path"))).alias("paths")))
-    values = rows.groupBy("seg", "msg_id", "seg_seq").agg(F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "path", F.coalesce("value", F.lit("")).alias("value")))).alias("v"))
+    places = config_hint(models)(models.groupBy(*by).agg(F.array_sort(F.collect_set(F.struct("pos", "path"))).alias("paths")))
+    values = rows.groupBy(*by, "msg_id", "seg_seq").agg(F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "path", F.coalesce("value", F.lit("")).alias("value")))).alias("v"))
     cell = lambda p: join_repeats(F.transform(F.filter("v", lambda x: x["path"] == p["path"]), lambda x: x["value"]))
-    return values.join(places, "seg").select(F.col("seg").alias("hl7_segment"), "msg_id", "seg_seq", F.array_join(F.transform("paths", cell), "|").alias("row"))
+    return values.join(places, by).select(F.col("seg").alias("hl7_segment"), "msg_id", "seg_seq", F.array_join(F.transform("paths", cell), "|").alias("row"))
 
 
 def segment_view(df: DataFrame, seg: str, name: str) -> DataFrame:

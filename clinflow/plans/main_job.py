@@ -70,10 +70,7 @@ def outputs(rows: DataFrame, config: Config, as_of: Column) -> dict[str, DataFra
     told = rows.filter("held is null and seg <> 'REJ' and value is not null")
     known = told.filter("name <> 'unknown'")
     keys = lambda stage, seg=None: routing_key(good, stage, seg).select("msg_id", "key")
-    fanned = None
-    for kind in [r["type"] for r in config.models.select("type").distinct().orderBy("type").collect()]:  # types with a model: config
-        part = segments.fan_out(told.filter(F.col("type") == kind).drop("type"), config.models.filter(F.col("type") == kind))
-        fanned = part if fanned is None else fanned.unionByName(part)
+    fanned = segments.fan_out(told, config.models)
     routed = None
     for x in config.extracts:
         part = enrich.extract(known.filter(F.col("type") == x.type), list(x.filters), list(x.names), x.format, x.system, x.destination, as_of)
@@ -92,8 +89,7 @@ def outputs(rows: DataFrame, config: Config, as_of: Column) -> dict[str, DataFra
         "reject": rejected.select("msg_id", F.lit("REJECT").alias("key"), F.col("row").alias("value")),
         "metric": counts.select(F.lit(None).cast("long").alias("msg_id"), F.concat_ws(":", "type", "state").alias("key"), F.col("n").cast("string").alias("value")),
     }
-    if fanned is not None:
-        out["segment"] = fanned.select("msg_id", F.concat(F.lit("SEGMENTS&"), "hl7_segment", F.lit(":"), F.lpad(F.col("seg_seq").cast("string"), 4, "0")).alias("key"), F.col("row").alias("value"))
+    out["segment"] = fanned.select("msg_id", F.concat(F.lit("SEGMENTS&"), "hl7_segment", F.lit(":"), F.lpad(F.col("seg_seq").cast("string"), 4, "0")).alias("key"), F.col("row").alias("value"))
     if routed is not None:
         out["extract"] = routed
     return out
@@ -102,5 +98,5 @@ def outputs(rows: DataFrame, config: Config, as_of: Column) -> dict[str, DataFra
 def main_job(raw: DataFrame, config: Config, staging: str, as_of: Column) -> dict[str, DataFrame]:
     """All outputs of a batch; its elements are written to ``staging`` first."""
     rows = parsed(raw, config)
-    rows.write.mode("overwrite").parquet(staging)
+    rows.write.mode("overwrite").partitionBy("type").parquet(staging)  # an extract reads its type alone
     return outputs(raw.sparkSession.read.schema(rows.schema).parquet(staging), config, as_of)

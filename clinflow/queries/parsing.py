@@ -50,7 +50,8 @@ _FIELDS = f"""f AS (SELECT seg, field, {own("string_agg(v, '~' ORDER BY rep)")}
 
 @query("msg_split_fields", sql("SELECT seg, field, count(*) AS n, min(text) AS least, max(text) AS most FROM f GROUP BY ALL", "e", _FIELDS))
 def split_fields(spark, d):
-    return _summary(parse.split_fields(parse.split_segments(messages(spark, d))).filter("text <> ''"), ["seg", "field"], "text")
+    rows = parse.split_fields(parse.split_segments(messages(spark, d))).filter("text <> ''")
+    return _summary(rows.withColumn("text", parse.as_sent(F.col("text"), F.col("own"))), ["seg", "field"], "text")
 
 
 @query("msg_split_repetitions", sql("SELECT seg, field, rep, count(*) AS n FROM (SELECT DISTINCT msg_id, seg_seq, seg, field, rep FROM e) GROUP BY ALL", "e"))
@@ -62,7 +63,7 @@ def split_repetitions(spark, d):
 @query("msg_split_components", sql("SELECT seg, field, rep, comp, count(*) AS n, min(value) AS least, max(value) AS most FROM e GROUP BY ALL", "e"))
 def split_components(spark, d):
     rows = parse.split_components(parse.split_repetitions(parse.split_fields(parse.split_segments(messages(spark, d)))))
-    return _summary(rows.filter("text <> ''"), BY, "text")
+    return _summary(rows.filter("text <> ''").withColumn("text", parse.as_sent(F.col("text"), F.col("own"))), BY, "text")
 
 
 @query("msg_split_subcomponents", sql("SELECT seg, field, rep, comp, 1 AS sub, count(*) AS n, min(value) AS least, max(value) AS most FROM e GROUP BY ALL", "e"))

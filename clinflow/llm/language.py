@@ -34,8 +34,8 @@ from clinflow.llm.common import by_value
 
 by_value(__name__)
 
-#: The fit's sample, for each language: windows, words of one, letters of a word.
-WINDOWS, WINDOW, LONGEST = 2_000, 16, 64
+#: The fit's sample, for each language: windows, words of one, letters of a word; windows that are compared for it, as a multiple (copies come once).
+WINDOWS, WINDOW, LONGEST, SPARE = 2_000, 16, 64, 8
 #: Labels that are learned at most; cells of the lexicon and of the weights, for all languages together.
 CLASSES, CELLS = 1_000, 1 << 20
 #: Steps of the fit, their size, and what holds weights near 0.
@@ -161,12 +161,12 @@ def marginals(emit: np.ndarray, sizes: np.ndarray, move: np.ndarray, begin: np.n
     return unit(forward * backward)[there], moves
 
 
-def _windows(langs: list[str], count: int):
-    """(lang, h, window): a task's ``count`` different windows with the smallest hashes, for each language."""
+def _windows(below: dict[str, int], count: int):
+    """(lang, h, window): of a task's windows with a hash of less than ``below`` of their language the ``count`` different ones with the smallest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[str, list] = {lang: [] for lang in langs}
-        inside: dict[str, set] = {lang: set() for lang in langs}
+        best: dict[str, list] = {lang: [] for lang in below}
+        inside: dict[str, set] = {lang: set() for lang in below}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 heap = best.get(lang)
@@ -176,7 +176,7 @@ def _windows(langs: list[str], count: int):
                 for b in range(0, len(own), WINDOW):
                     piece = " ".join(own[b : b + WINDOW])
                     item = (-zlib.crc32(piece.encode("utf-8", "surrogatepass")), piece)
-                    if (len(heap) < count or item > heap[0]) and piece not in inside[lang]:
+                    if -item[0] < below[lang] and (len(heap) < count or item > heap[0]) and piece not in inside[lang]:
                         inside[lang].add(piece)
                         if len(heap) < count:
                             heapq.heappush(heap, item)
@@ -297,8 +297,10 @@ def fit(docs: DataFrame, learn: Column | None = None) -> Model | None:
     counts[found.column("cell").to_numpy(), found.column("k").to_numpy()] = found.column("n").to_numpy()
     if not counts.any():
         return None
+    # about SPARE times the windows that are asked for, however many tasks there are
+    below = {lang: int(min(1.0, SPARE * WINDOWS * WINDOW / max(n, 1)) * (1 << 32)) for lang, n in zip(langs, counts.sum(0).tolist(), strict=True)}
     order = F.row_number().over(Window.partitionBy("lang").orderBy("h", "window"))
-    picked = rows.mapInArrow(_windows(langs, WINDOWS), "lang string, h long, window string").distinct().withColumn("place", order).filter(F.col("place") <= WINDOWS)
+    picked = rows.mapInArrow(_windows(below, WINDOWS), "lang string, h long, window string").distinct().withColumn("place", order).filter(F.col("place") <= WINDOWS)
     windows: dict[str, list[str]] = {}
     for r in picked.orderBy("lang", "place").collect():
         windows.setdefault(r.lang, []).append(r.window)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import sqlite3
 import tempfile
 import uuid
-from functools import reduce
+from contextlib import closing
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +22,7 @@ from clinflow.queries.extracts import STAMP as _STAMP
 from clinflow.queries.parsing import _SRC, SUPPORTED, TEMPLATES
 from clinflow.queries.reports import _NINE, _REJ, _rejects
 from clinflow.registry import query
-from clinflow.sources import readers, sinks
+from clinflow.sources import avro, database, readers, sinks
 from clinflow.sources.synth import headers, messages, table
 from clinflow.streaming import jobs
 
@@ -127,6 +130,41 @@ def hive_tables(spark, d):
     return counts[0].unionByName(counts[1])
 
 
+def _database(spark, name: str, ddl: str):
+    """An SQLite file in the shared folder (a mounted one), with a table; how to connect to it."""
+    path = shared(spark, name)
+    place = path.removeprefix("file://")
+    os.makedirs(place)
+    connect = partial(sqlite3.connect, f"{place}/rows.db", timeout=300)
+    with closing(connect()) as connection:
+        connection.execute(ddl)
+        connection.commit()
+    return path, connect
+
+
+@query("src_jdbc_query", """SELECT c_mktsegment AS segment, count(*) AS n, count(k) AS keys, coalesce(sum(k), 0)::BIGINT AS total, min(name) AS least, 8 AS tasks
+  FROM (SELECT CASE WHEN c_custkey % 10 > 0 THEN c_custkey END AS k, c_name AS name, c_mktsegment FROM customer) GROUP BY 1""")
+def jdbc_query(spark, d):
+    """Customers, a tenth without a key, loaded into a database and read by eight ranges of the key."""
+    rows = table(spark, d, "customer").select(F.when(F.col("c_custkey") % 10 > 0, F.col("c_custkey")).alias("k"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    path, connect = _database(spark, "read", "CREATE TABLE customers (k INTEGER, name TEXT, segment TEXT)")
+    database.load(rows, connect, "customers", f"{path}/staging", f"{path}/failed")
+    found = database.ranges(spark, connect, "SELECT k, name, segment FROM customers", "k long, name string, segment string", "k", per_range=1, most=8)
+    tasks = found.rdd.getNumPartitions()
+    return found.groupBy("segment").agg(F.count(F.lit(1)).alias("n"), F.count("k").alias("keys"), F.coalesce(F.sum("k"), F.lit(0)).cast("long").alias("total"), F.min("name").alias("least"), F.lit(tasks).alias("tasks"))
+
+
+@query("out_jdbc_batch", "SELECT c_custkey AS k, c_name AS name, CASE WHEN c_acctbal < 0 OR c_custkey % 97 = 0 THEN 'KEPT' ELSE 'LANDED' END AS state FROM customer")
+def jdbc_batch(spark, d):
+    """Customers loaded into a table that refuses debts and missing names; what it refuses, and nothing else, is kept."""
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 97 > 0, F.col("c_name")).alias("name"), F.col("c_acctbal").cast("double").alias("balance"))
+    path, connect = _database(spark, "load", "CREATE TABLE customers (k INTEGER PRIMARY KEY, name TEXT NOT NULL, balance REAL CHECK (balance >= 0))")
+    database.load(rows, connect, "customers", f"{path}/staging", f"{path}/failed")
+    landed = database.ranges(spark, connect, "SELECT k, name FROM customers", "k long, name string", "k", per_range=2000)
+    kept = spark.read.parquet(f"{path}/failed").select("k").join(table(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")), "k")
+    return landed.withColumn("state", F.lit("LANDED")).unionByName(kept.withColumn("state", F.lit("KEPT")))
+
+
 @query("src_roster", "SELECT value, count(*) AS n FROM (SELECT trim(unnest(string_split(text, chr(10))), ' ') AS value FROM documents) WHERE value <> '' GROUP BY 1")
 def roster(spark, d):
     path = shared(spark, "roster")
@@ -160,7 +198,17 @@ def avro_rejects(spark, d):
     path = shared(spark, "rejects")
     rows = _rejects(spark, d).drop("msg_id")
     sinks.avro_rejects(rows, path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return spark.read.format(avro.register(spark)).load(path)
+
+
+@query("rej_avro", sql(f"SELECT process_name, count(*) AS n, min(rejected_message_data) AS least, max(msg_create_date_time) AS most FROM (SELECT {_NINE} FROM (SELECT msg_id, {_REJ})) GROUP BY 1"))
+def rejects_by_process(spark, d):
+    """Rejects of two loads, the second appended, read in short ranges of their files."""
+    path, rows = shared(spark, "rejects"), _rejects(spark, d).drop("msg_id")
+    for part in (F.col("msg_create_date_time") < "1995", F.col("msg_create_date_time") >= "1995"):
+        sinks.avro_rejects(rows.filter(part), path, "null")
+    found = spark.read.format(avro.register(spark)).schema(rows.schema).option("rangeBytes", 20_000).load(path)
+    return found.groupBy("process_name").agg(F.count(F.lit(1)).alias("n"), F.min("rejected_message_data").alias("least"), F.max("msg_create_date_time").alias("most"))
 
 
 @query("out_parquet_dynamic", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey END AS o_custkey, o_orderstatus FROM orders")

@@ -62,11 +62,6 @@ def rej_delimited(spark, d):
 _NINE = f"a AS process_name, b AS message_control_id, t7 AS msg_create_date_time, mrn AS patient_mrn, urn AS patient_urn, acct AS patient_account_number, 'blank control id' AS reject_reason, fac AS rejected_message_data, {STAMP} AS etl_firstinsert_datetime"
 
 
-@query("rej_avro", sql(f"SELECT {_NINE} FROM (SELECT msg_id, {_REJ})"))
-def rej_avro(spark, d):
-    return _rejects(spark, d).drop("msg_id")
-
-
 @query("rej_from_raw", sql(f"SELECT msg_id, typ || '-RAW' AS process_name, {_META.split(' AS control_id')[0]} AS message_control_id, 'bad' AS reject_reason FROM m"))
 def rej_from_raw(spark, d):
     return audit.rejects_from_raw(messages(spark, d), "bad", "RAW", as_of()).select("msg_id", "process_name", "message_control_id", "reject_reason")

@@ -121,6 +121,7 @@ def hive_tables(spark: SparkSession, db: str) -> dict[str, DataFrame]:
 
 
 def jdbc_query(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
+    """In one task; ``database.jdbc_ranges`` and ``database.ranges`` read by ranges of a key."""
     return spark.read.format("jdbc").options(url=url, query=query, **options).load()
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import json
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinflow.operators.audit import reject_schema
 from clinflow.operators.routing import keyed_upsert
+from clinflow.sources import avro, database
 from clinflow.sources.readers import positional
 
 ZONE = ["landing_zone", "message_type", "transaction_date"]
@@ -27,40 +27,28 @@ def landing_zone(df: DataFrame, path: str, segments: bool = False, checkpoint: s
     return None
 
 
-def avro_rejects(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Rejects in the nine-field layout of ``reject_schema``, checked field by field; ``fmt`` avro where its jar is there. A field without a value is ''."""
+def avro_rejects(df: DataFrame, path: str, codec: str = "deflate") -> None:
+    """Rejects as Avro container files of the nine-field schema, checked field by field. A field without a value is ''."""
     fields = json.loads(reject_schema())["fields"]
     if [(f["name"], f["type"]) for f in fields] != [(f.name, f.dataType.typeName()) for f in df.schema.fields]:
         raise ValueError(f"rejects need the columns {[f['name'] for f in fields]}, all strings")
-    writer = df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in df.columns]).write.mode("append").format(fmt)
-    (writer.option("avroSchema", reject_schema()) if fmt == "avro" else writer).save(path)
-
-
-def jdbc_batch(df: DataFrame, url: str, name: str, batch: int = 1000, failed: str | None = None, **options: str) -> bool:
-    """Append to a table in batches; True if all rows are there.
-
-    Without ``failed`` an error ends the job. With it, the rows of a load that the database refuses are kept as parquet in
-    that folder, to be sent again by ``send_failed``; the load is one transaction a task, so ``df`` has one task here."""
-    writer = lambda rows: rows.write.format("jdbc").options(url=url, dbtable=name, batchsize=str(batch), **options).mode("append").save()
-    if failed is None:
-        writer(df)
-        return True
-    rows = df.coalesce(1)  # all or nothing
-    try:
-        writer(rows)
-    except Py4JJavaError:
-        rows.write.mode("append").parquet(failed)
-        return False
-    return True
-
-
-def send_failed(spark: SparkSession, failed: str, url: str, name: str, **options: str) -> bool:
-    """Send the kept rows again; the folder is emptied once they are there."""
-    rows = spark.read.parquet(failed)
-    if not jdbc_batch(rows, url, name, failed=f"{failed}-again", **options):
-        return False
-    rows.limit(0).write.mode("overwrite").parquet(failed)
-    return True
+    rows = df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in df.columns])
+    rows.write.format(avro.register(df.sparkSession)).options(avroSchema=reject_schema(), codec=codec).mode("append").save(path)
+
+
+def jdbc_batch(df: DataFrame, url: str, name: str, batch: int = 1000, **options: str) -> None:
+    """Append to a table in batches, all tasks at once, a transaction each; an error ends the job. ``database.load`` keeps refused rows back instead."""
+    df.write.format("jdbc").options(url=url, dbtable=name, batchsize=str(batch), **options).mode("append").save()
+
+
+def send_failed(spark: SparkSession, failed: str, connect: database.Connect, name: str, staging: str) -> int:
+    """Send kept rows again (mended, or because the table takes them now); the folder holds what is refused again; how many these are."""
+    again = f"{failed}-again"
+    rows = spark.read.parquet(failed).drop("refusal")
+    left = database.load(rows, connect, name, staging, again)
+    spark.read.schema(spark.read.parquet(failed).schema).parquet(again).checkpoint().write.mode("overwrite").parquet(failed)
+    spark.read.parquet(failed).limit(0).write.mode("overwrite").parquet(again)
+    return left
 
 
 def parquet_dynamic(df: DataFrame, path: str, parts: list[str]) -> None:

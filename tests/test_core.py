@@ -236,25 +236,11 @@ def test_jdbc_round_trip(spark, tmp_path):
     assert got.count() == rows.count() and got.exceptAll(rows).isEmpty()
 
 
-def test_jdbc_keeps_rows_that_the_database_refuses(spark, tmp_path):
-    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", "org.apache.derby.jdbc.EmbeddedDriver"
-    first = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    failed = f"file://{tmp_path}/failed"
-    assert sinks.jdbc_batch(first, url, "kept", 10, failed=failed, driver=driver, createTableColumnTypes="id INT, v VARCHAR(4)")
-    long = spark.createDataFrame([(3, "c"), (4, "too long for the column")], "id int, v string")
-    assert not sinks.jdbc_batch(long, url, "kept", 10, failed=failed, driver=driver)
-    there = lambda: sorted(r[0] for r in readers.jdbc_query(spark, url, 'SELECT "id" FROM kept', driver=driver).collect())
-    assert there() == [1, 2] and sorted(r.id for r in spark.read.parquet(failed).collect()) == [3, 4]
-    spark.createDataFrame([(3, "c"), (4, "d")], "id int, v string").write.mode("overwrite").parquet(failed)  # mended by hand
-    assert sinks.send_failed(spark, failed, url, "kept", driver=driver)
-    assert there() == [1, 2, 3, 4] and spark.read.parquet(failed).isEmpty()
-
-
 def test_rejects_are_checked_field_by_field(spark, tmp_path):
     fields = [f["name"] for f in json.loads(audit.reject_schema())["fields"]]
     good = spark.createDataFrame([tuple("x" * 8) + (None,)], ", ".join(f"{n} string" for n in fields))
     sinks.avro_rejects(good, f"file://{tmp_path}/r")
-    assert spark.read.parquet(f"{tmp_path}/r").first()[fields[-1]] == ""
+    assert spark.read.format("avro_files").load(f"file://{tmp_path}/r").first()[fields[-1]] == ""
     for bad in (good.drop(fields[0]), good.withColumn(fields[2], F.lit(1)), good.select(*reversed(fields))):
         with pytest.raises(ValueError):
             sinks.avro_rejects(bad, f"file://{tmp_path}/bad")

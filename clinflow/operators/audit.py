@@ -99,13 +99,18 @@ def batch_volume(df: DataFrame, interval: str, ts: str = "ts", topic: str = "top
     return rows.select(F.col("w.start").alias("start"), "topic", "n")
 
 
-def no_data(volume: DataFrame, expected: DataFrame, interval: str, patience: int, tiers: list[int]) -> DataFrame:
+def no_data(volume: DataFrame, expected: DataFrame, interval: str, patience: int, tiers: list[int], since: Column | None = None, until: Column | None = None) -> DataFrame:
     """Alerts for (topic, window) without messages. ``volume`` (start, topic, n); ``expected`` (topic, slow) is config.
-    A slow topic is reported only from its ``patience``-th empty window in a row; the level rises with the run's length."""
+    A slow topic is reported only from its ``patience``-th empty window in a row; the level rises with the run's length.
+    Windows start from ``since`` to ``until`` (constants or aggregates of ``volume``), so that silence before the first and after the last message counts; without
+    them from the first to the last that any topic has (none where there is no message)."""
     from pyspark.sql import Window
 
-    first, last = volume.agg(F.min("start"), F.max("start")).first()
-    grid = expected.select("topic", "slow", F.explode(F.sequence(F.lit(first).cast("timestamp"), F.lit(last).cast("timestamp"), F.expr(f"interval {interval}"))).alias("start"))
+    low, high = (F.min("start") if since is None else since), (F.max("start") if until is None else until)
+    bounds = volume.agg(low.alias("low"), high.alias("high"))
+    steps = F.sequence(F.col("low").cast("timestamp"), F.col("high").cast("timestamp"), F.expr(f"interval {interval}"))
+    one = bounds.select(F.lit(1).alias("one"), F.when(F.col("low") <= F.col("high"), steps).alias("starts"))  # one row
+    grid = expected.withColumn("one", F.lit(1)).join(F.broadcast(one), "one").select("topic", "slow", F.explode("starts").alias("start"))
     rows = grid.join(volume, ["start", "topic"], "left").withColumn("empty", F.col("n").isNull())
     w = Window.partitionBy("topic").orderBy("start")
     rows = rows.withColumn("block", F.sum((~F.col("empty")).cast("int")).over(w))

@@ -24,11 +24,11 @@ from clinflow.queries.reports import _NINE, _REJ, _rejects
 from clinflow.registry import query
 from clinflow.sources import avro, database, readers, sinks
 from clinflow.sources.synth import headers, messages, table
-from clinflow.streaming import jobs
+from clinflow.streaming import log
+from clinflow.streaming.monitor import run_until_idle
 
-RECORD = "key string, value string, topic string"
-#: Files that a stream of messages is made of here, and the rate that its limited reading is given.
-FILES, RATE = 12, 4
+#: Partitions of the log that a stream of messages is made of here, and the rate of records that its limited reading is given.
+PARTITIONS, RATE = 3, 1600
 
 
 def shared(spark, name: str) -> str:
@@ -41,31 +41,30 @@ def shared(spark, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def _topics(spark, d, options):
-    """Messages as records in files, streamed until the input is done: (topic, key, n)."""
+def _topics(spark, d, rate):
+    """Messages as a log of records in PARTITIONS partitions, two loads, streamed until nothing comes: (topic, key, n, batches)."""
     path = shared(spark, "records")
-    records = messages(spark, d).select("key", F.col("raw").alias("value"), F.concat(F.lit("T."), F.split_part("key", F.lit(":"), F.lit(1))).alias("topic"))
-    records.repartition(FILES).write.parquet(f"{path}/in")
-    stream = readers.message_stream(spark, "parquet", options, RECORD, f"{path}/in")
-    run = jobs.run_until_done(stream, f"{path}/out", f"{path}/checkpoint")
-    run.awaitTermination()
-    batches = sum(p["numInputRows"] > 0 for p in run.recentProgress)
-    rows = spark.read.schema(RECORD).parquet(f"{path}/out").groupBy("topic", "key").agg(F.count(F.lit(1)).alias("n"))
-    return rows.withColumn("batches", F.lit(batches).cast("long"))
+    records = messages(spark, d).select("msg_id", "key", F.col("raw").alias("value"), F.concat(F.lit("T."), F.split_part("key", F.lit(":"), F.lit(1))).alias("topic"))
+    for load in (0, 1):
+        log.append(records.filter(F.col("msg_id") % 2 == load), f"{path}/in", load, F.floor(F.col("msg_id") / 2) % PARTITIONS)
+    stream = log.stream(spark, f"{path}/in", f"{path}/checkpoint", rate).select("key", "topic", "offset")
+    batches = run_until_idle(lambda: stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").start())
+    rows = spark.read.schema("key string, topic string, offset long").parquet(f"{path}/out").groupBy("topic", "key")
+    return rows.agg(F.count(F.lit(1)).alias("n")).withColumn("batches", F.lit(batches).cast("long"))
 
 
-def _counts(batches: int) -> str:
-    return sql(f"SELECT 'T.' || typ AS topic, typ || ':RAW:' || t7 || ':' || fac AS key, count(*) AS n, {batches}::BIGINT AS batches FROM m GROUP BY ALL")
+def _counts(batches: str) -> str:
+    return sql(f"SELECT 'T.' || typ AS topic, typ || ':RAW:' || t7 || ':' || fac AS key, count(*) AS n, (SELECT {batches} FROM (SELECT count(*) AS n FROM m GROUP BY msg_id // 2 % {PARTITIONS}))::BIGINT AS batches FROM m GROUP BY ALL")
 
 
-@query("src_message_stream", _counts(1))
+@query("src_message_stream", _counts("max(1)"))
 def message_stream(spark, d):
-    return _topics(spark, d, {})
+    return _topics(spark, d, None)
 
 
-@query("src_rate_limit", _counts(-(-FILES // (RATE + RATE // 8))))
+@query("src_rate_limit", _counts(f"max(ceil(n / {log.limit_of(RATE)}.0))"))
 def rate_limit(spark, d):
-    return _topics(spark, d, readers.rate_limit("parquet", RATE))
+    return _topics(spark, d, RATE)
 
 
 @query("src_sequence_file", sql("SELECT ctrl || '#' || msg_id AS key, mrn || '|' || urn || '|' || acct AS value FROM m"))
@@ -220,13 +219,18 @@ def parquet_dynamic(spark, d):
     return spark.read.schema(rows.schema).parquet(path)
 
 
-@query("mon_idle_stop", "SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS total FROM events GROUP BY 1")
+@query("mon_idle_stop", "SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS total, 2 AS batches FROM events GROUP BY 1")
 def idle_stop(spark, d):
+    """A stream of events that stops by itself after three looks without a row, and one that goes on from there when more has come."""
     path = shared(spark, "bounded")
     rows = table(spark, d, "events").select("event_id", "event_type")
-    rows.write.parquet(f"{path}/in")
-    jobs.run_until_done(spark.readStream.schema(rows.schema).parquet(f"{path}/in"), f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{path}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+    batches = 0
+    for half in (0, 1):
+        rows.filter(F.col("event_id") % 2 == half).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
+        batches += run_until_idle(lambda s=stream: s.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/checkpoint").start())
+    found = spark.read.schema(rows.schema).parquet(f"{path}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("total"))
+    return found.withColumn("batches", F.lit(batches))
 
 
 @query("wh_replace_staging", "SELECT c_custkey::VARCHAR AS c_custkey, upper(c_mktsegment) AS segment FROM customer")

@@ -117,6 +117,20 @@ def mon_no_data(spark, d):
     return audit.no_data(audit.batch_volume(events, "1 hour", topic="event_type"), kinds, "1 hour", 4, [3, 6])
 
 
+@query("mon_no_data_until", """WITH v AS (SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, event_type AS topic, count(*) AS n FROM events GROUP BY ALL),
+  t AS (SELECT DISTINCT event_type AS topic FROM events UNION ALL SELECT 'never'),
+  g AS (SELECT unnest(generate_series(min(start) - INTERVAL 2 DAY, max(start) + INTERVAL 4 DAY, INTERVAL 1 DAY)) AS start FROM v), r AS (SELECT g.start, t.topic, n, count(n) OVER (PARTITION BY t.topic ORDER BY g.start) AS block FROM g, t LEFT JOIN v ON v.start = g.start AND v.topic = t.topic),
+  k AS (SELECT *, count(*) FILTER (n IS NULL) OVER (PARTITION BY topic, block ORDER BY start)::INT AS run FROM r)
+  SELECT start, topic, run, CASE WHEN run >= 4 THEN 2 WHEN run >= 2 THEN 1 ELSE 0 END AS level FROM k WHERE n IS NULL AND (topic <> 'never' OR run >= 3)""")
+def mon_no_data_until(spark, d):
+    """Silence before the first event and after the last counts."""
+    events = table(spark, d, "events")
+    kinds = events.select(F.col("event_type").alias("topic")).distinct().withColumn("slow", F.lit(False)).unionByName(local(spark, [("never", True)], "topic string, slow boolean"))
+    volume = audit.batch_volume(events, "1 day", topic="event_type")
+    low, high = F.min("start") - F.expr("interval 2 days"), F.max("start") + F.expr("interval 4 days")
+    return audit.no_data(volume, kinds, "1 day", 3, [2, 4], low, high)
+
+
 # --- de-identification ------------------------------------------------------------------------------------------------
 
 

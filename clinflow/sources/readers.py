@@ -23,9 +23,11 @@ def message_stream(spark: SparkSession, fmt: str, options: dict[str, str], schem
 
 
 def rate_limit(fmt: str, rate: int, partitions: int = 1) -> dict[str, str]:
-    """Options that hold a stream to ``rate`` and an eighth of it for each partition."""
-    most = (rate + rate // 8) * partitions
-    return {"maxOffsetsPerTrigger": str(most)} if fmt == "kafka" else {"maxFilesPerTrigger": str(max(1, most))}
+    """Options that hold a stream to ``rate`` and an eighth of it for each partition: Kafka counts over all partitions, a record log in each. Files count as whole."""
+    most = rate + rate // 8
+    if fmt == "record_log":
+        return {"limit": str(most)}
+    return {"maxOffsetsPerTrigger": str(most * partitions)} if fmt == "kafka" else {"maxFilesPerTrigger": str(max(1, most * partitions))}
 
 
 def replay_partitions(df: DataFrame, spec: str, col: str, as_of: str) -> DataFrame:

@@ -104,15 +104,6 @@ def keyword_window(text: Column, windows: tuple[tuple[str, int, int], ...] = WIN
     return F.aggregate(rules, text, cut)
 
 
-def facility_names(text: Column, names: list[str], stop: list[str]) -> Column:
-    """Known names and their words of more than three letters; the list is config, longest first in one alternation."""
-    import re
-
-    words = {w for n in names for w in re.findall(r"\w+", n) if len(w) > 3 and w not in stop}
-    pattern = "|".join(re.escape(x) for x in sorted({*names, *words}, key=lambda x: (-len(x), x)))
-    return F.regexp_replace(text, rf"(?<!\w)(?:{pattern})(?!\w)", "")
-
-
 #: What free text loses, and what the leak scan takes for an address.
 ADDRESS, SSN = r"[a-zA-Z0-9.-]+@[a-zA-Z0-9.-]+\.[a-zA-Z0-9.-]+", r"\s[0-9]{3}[-][0-9]{2}[-][0-9]{4}\s"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,6}"

@@ -1,15 +1,17 @@
 """The main job: one stream of messages becomes JSON, segment rows, extracts, audits, acknowledgements, rejects and metrics.
 
 Messages are judged and taken apart once; what comes of that, one row an element, is written to ``staging``, and every
-output is made from those rows (Parquet's columns, so each reads what it needs). The facts of a message's header stand on
+output is made from those rows (Parquet's columns and a folder for each type, so each reads what it needs); messages are counted
+by the pass that writes them. The facts of a message's header stand on
 one of its elements alone; a rejected message is one pseudo element that keeps its text. Nothing stops the batch.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clinflow.functions.filters import Filter
@@ -18,6 +20,7 @@ from clinflow.operators.routing import routing_key
 from clinflow.plans.parse_job import judged
 
 HEAD = ("type", "control_id", "create_time", "mrn", "urn", "account", "facility", "trigger", "reject_reason")
+UNKNOWN = "UNKNOWN"
 OUTPUTS = ("json", "segment", "extract", "audit", "ack", "reject", "metric")
 
 
@@ -63,8 +66,16 @@ def parsed(raw: DataFrame, config: Config) -> DataFrame:
     return named.select("msg_id", "type", "seg_seq", "seg", "field", "rep", "comp", "sub", "value", "name", once("head"), once("held"))
 
 
-def outputs(rows: DataFrame, config: Config, as_of: Column) -> dict[str, DataFrame]:
-    """(msg_id, key, value) of every output of ``rows``, which ``parsed`` made; metrics have no message."""
+def observed(rows: DataFrame, types: list[str]) -> tuple[DataFrame, Observation]:
+    """``rows`` with counts of their messages by type and state, made by the pass that writes them."""
+    counts = Observation(f"messages-{uuid.uuid4().hex}")
+    kind, good = F.coalesce("head.type", F.lit(UNKNOWN)), F.col("head.reject_reason").isNull()
+    each = {(t, state): F.col("head").isNotNull() & (kind == t) & cond for t in [*types, UNKNOWN] for state, cond in (("PROCESSED", good), ("REJECTED", ~good))}
+    return rows.observe(counts, *[F.count_if(c).alias(f"{t}:{state}") for (t, state), c in each.items()]), counts
+
+
+def outputs(rows: DataFrame, config: Config, as_of: Column, counts: dict[str, int]) -> dict[str, DataFrame]:
+    """(msg_id, key, value) of every output of ``rows``, which ``parsed`` made; metrics (``counts``) have no message."""
     heads = rows.filter("head is not null").select("msg_id", "head.*", "held")
     good, bad = heads.filter("reject_reason is null"), heads.filter("reject_reason is not null")
     told = rows.filter("held is null and seg <> 'REJ' and value is not null")
@@ -78,16 +89,15 @@ def outputs(rows: DataFrame, config: Config, as_of: Column) -> dict[str, DataFra
         routed = part if routed is None else routed.unionByName(part)
     line = lambda df: F.array_join(F.array(*[F.col(c) for c in df.columns if c != "msg_id"]), "|", "")
     audits = audit.stage_rows(good, "JSON", None, as_of)
-    acks = audit.ack_rows(good, "AA", config.receiver, config.sender, as_of).unionByName(audit.ack_rows(bad.withColumn("type", F.coalesce("type", F.lit("UNKNOWN"))), "AR", config.receiver, config.sender, as_of))
-    rejected = audit.rejects_delimited(audit.rejects(bad.withColumns({"type": F.coalesce("type", F.lit("UNKNOWN")), "raw": F.regexp_replace("held", "[\r\n]+", "\r")}), "JSON", as_of))
-    status = heads.select(F.coalesce("type", F.lit("UNKNOWN")).alias("type"), F.lit("").alias("segment"), F.when(F.col("reject_reason").isNull(), "PROCESSED").otherwise("REJECTED").alias("state"))
-    counts = audit.state_counts(status, ["type", "segment"], audit.MESSAGE_STATES).filter("n > 0")
+    acks = audit.ack_rows(good, "AA", config.receiver, config.sender, as_of).unionByName(audit.ack_rows(bad.withColumn("type", F.coalesce("type", F.lit(UNKNOWN))), "AR", config.receiver, config.sender, as_of))
+    rejected = audit.rejects_delimited(audit.rejects(bad.withColumns({"type": F.coalesce("type", F.lit(UNKNOWN)), "raw": F.regexp_replace("held", "[\r\n]+", "\r")}), "JSON", as_of))
+    metrics = rows.sparkSession.createDataFrame([(None, key, str(n)) for key, n in sorted(counts.items()) if n], "msg_id long, key string, value string")
     out = {
         "json": naming.to_json(known).join(keys("JSON"), "msg_id").select("msg_id", "key", F.col("json").alias("value")),
         "audit": audits.select("msg_id", F.concat(F.split_part("process_name", F.lit("-"), F.lit(1)), F.lit(":AUDIT")).alias("key"), line(audits).alias("value")),
         "ack": acks.select("msg_id", F.lit("ACK").alias("key"), F.col("row").alias("value")),
         "reject": rejected.select("msg_id", F.lit("REJECT").alias("key"), F.col("row").alias("value")),
-        "metric": counts.select(F.lit(None).cast("long").alias("msg_id"), F.concat_ws(":", "type", "state").alias("key"), F.col("n").cast("string").alias("value")),
+        "metric": metrics,
     }
     out["segment"] = fanned.select("msg_id", F.concat(F.lit("SEGMENTS&"), "hl7_segment", F.lit(":"), F.lpad(F.col("seg_seq").cast("string"), 4, "0")).alias("key"), F.col("row").alias("value"))
     if routed is not None:
@@ -97,6 +107,7 @@ def outputs(rows: DataFrame, config: Config, as_of: Column) -> dict[str, DataFra
 
 def main_job(raw: DataFrame, config: Config, staging: str, as_of: Column) -> dict[str, DataFrame]:
     """All outputs of a batch; its elements are written to ``staging`` first."""
-    rows = parsed(raw, config)
+    types = [r.type for r in config.types.select("type").distinct().orderBy("type").collect()]  # config
+    rows, counts = observed(parsed(raw, config), types)
     rows.write.mode("overwrite").partitionBy("type").parquet(staging)  # an extract reads its type alone
-    return outputs(raw.sparkSession.read.schema(rows.schema).parquet(staging), config, as_of)
+    return outputs(raw.sparkSession.read.schema(rows.schema).parquet(staging), config, as_of, counts.get)

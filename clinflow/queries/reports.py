@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clinflow.functions import scrub
-from clinflow.operators import audit, deid, feeds, parse
+from clinflow.operators import audit, deid, feeds, names, parse
 from clinflow.plans.validation import validation_job
 from clinflow.queries.base import local, own, sql
 from clinflow.queries.parsing import _META, common
@@ -255,10 +255,20 @@ def did_keyword_window(spark, d):
 @query("did_facility_names", "SELECT c_custkey, 'at ' || CASE WHEN c_nationkey < 20 THEN '' ELSE n_name END || ', x' || n_name || ' or ' || c_mktsegment || ' the ' AS note FROM customer JOIN nation ON n_nationkey = c_nationkey")
 def did_facility_names(spark, d):
     nation = table(spark, d, "nation")
-    names = [r[0] for r in nation.filter("n_nationkey < 20").select("n_name").orderBy("n_nationkey").collect()]  # a config list
+    known = nation.filter("n_nationkey < 20").select(F.col("n_name").alias("name")).unionByName(local(spark, [("East Hospital",)], "name string"))
     rows = table(spark, d, "customer").join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
     note = F.concat(F.lit("at "), "n_name", F.lit(", x"), "n_name", F.lit(" or "), "c_mktsegment", F.lit(" the Hospital"))
-    return rows.select("c_custkey", scrub.facility_names(note, [*names, "East Hospital"], ["East"]).alias("note"))
+    return names.remove_names(rows.select("c_custkey", note.alias("note")), "note", known, ["East"])
+
+
+@query("did_known_names", "SELECT o_orderkey, 'seen by ' || CASE WHEN c_custkey % 2 = 0 THEN '' ELSE c_name END || '. ' || c_name || '_ or ' || o_orderpriority AS note FROM orders JOIN customer ON c_custkey = o_custkey")
+def did_known_names(spark, d):
+    """A dictionary that grows with the tables: the names of every second customer."""
+    customer = table(spark, d, "customer")
+    known = customer.filter("c_custkey % 2 = 0").select(F.col("c_name").alias("name"))
+    rows = table(spark, d, "orders").join(customer, F.col("c_custkey") == F.col("o_custkey"))
+    note = F.concat(F.lit("seen by "), "c_name", F.lit(". "), "c_name", F.lit("_ or "), "o_orderpriority")
+    return names.remove_names(rows.select("o_orderkey", note.alias("note")), "note", known, ["Customer"])
 
 
 @query("did_remove_email_ssn", "SELECT doc_id, sha256(regexp_replace(regexp_replace(coalesce(text, ''), '[a-zA-Z0-9.-]+@[a-zA-Z0-9.-]+\\.[a-zA-Z0-9.-]+', '', 'g'), '\\s[0-9]{3}-[0-9]{2}-[0-9]{4}\\s', ' ', 'g')) AS sha FROM documents")

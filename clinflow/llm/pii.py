@@ -7,12 +7,13 @@ threshold is the least score at and above which the held-out sample has the prec
 fixed rules accept, stay in any case. All other candidates, those of the base shapes that the rules refuse too, are added
 if they pass and overlap no base span; of two added ones that overlap, from left to right, the one with the higher score stays.
 
-The trees are fitted on two bounded samples. From the documents: QUOTA distinct matches for each base kind that the rules
-accept (positive) and QUOTA that they refuse (negative), in the order of a hash of the match. And, for the kinds that no rule
-decides: PLANTED sentences, about half with a value of right form after fitting words, the others hard negatives (right form after
-words for order, serial, version and part numbers, or a form that can't be: area codes and issuers that don't exist, wrong
+The trees are fitted once, by ``fit``, and kept as SQL in pii_model.json; ``write_model`` makes that file anew. The fit's sample is bounded and
+needs no corpus: PLANTED sentences, about half with a value of right form after fitting words, the others hard negatives (right form
+after words for order, serial, version and part numbers, or a form that can't be: area codes and issuers that don't exist, wrong
 check digits, spelled addresses without a name at the end); they pass through the same generators. Planted values of the
-base kinds teach what refused ones look like.
+base kinds teach what refused ones look like. Candidates of a corpus can be added, QUOTA matches that the rules accept and QUOTA that
+they refuse of each base kind. Held out are whole context words (every third of each kind), with all sentences that have them; a second
+report is on words that neither the fit's sentences nor the features hold (``UNSEEN``).
 
 Null text is empty and has no spans. Offsets count code points, the end is exclusive. Patterns are possessive, so texts of
 any length are searched whole in linear time. Rows that repeat give a row each; an empty table gives an empty result;
@@ -21,6 +22,9 @@ other columns are not read; redacted hands them on, whatever their names.
 
 from __future__ import annotations
 
+import json
+import os
+from dataclasses import asdict, dataclass
 from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
@@ -31,7 +35,10 @@ from pyspark.sql import functions as F
 from clinflow.llm.common import cut, measured, own_columns, spare, text_or_empty
 
 #: Matches of a base kind and verdict, planted sentences, trees and their depth, and the precision asked of each kind on held-out rows.
-QUOTA, PLANTED, TREES, DEPTH, PRECISION = 400, 6_000, 8, 4, 0.99
+QUOTA, PLANTED, TREES, DEPTH, PRECISION = 400, 12_000, 8, 4, 0.99
+
+#: Where the fitted trees are kept.
+MODEL = os.path.join(os.path.dirname(os.path.abspath(__file__)), "pii_model.json")
 
 #: The base kinds in their order. The patterns match what the kinds' rules say, written so that no character is tried twice.
 BASE = ("email", "ip", "card", "phone")
@@ -164,6 +171,14 @@ _FITTING = {
     "national_id": ("ssn ", "social security number ", "SSN: ", "tax id ", "insured as ", ""),
     "card_other": ("card ", "amex ", "pay with ", "card number: ", "account ", ""),
 }
+#: Context words that no feature and no sentence of the fit holds, for right values and for other numbers.
+UNSEEN = (
+    {
+        "email_spelled": ("ping ", "questions go to "), "phone_local": ("dial ", "ring ", "text me on ", "whatsapp "), "national_id": ("taxpayer no. ", "identity: ", "her nin is "),
+        "card_other": ("mastercard ", "charge it to ", "billed on "), "ip": ("via ",), "phone": ("dial ", "ring "), "card": ("mastercard ",),
+    },
+    ("batch ", "docket ", "asset ", "barcode ", "article ", "seat ", "gate "),
+)
 _OTHER = ("order ", "serial ", "part no. ", "ticket ", "version ", "sku ", "isbn ", "lot ", "invoice ", "tracking ", "imei ", "model ", "build ", "ref ")
 _OPENING = ("Hello, ", "as I said, ", "\n", "(", "Please note: ", "today. ", "we know that ", "une note : ")
 _CLOSING = (".", ", thanks", "", " today", ")", "\n", " und so weiter", "; more")
@@ -229,19 +244,20 @@ def _value(kind: str, right: Column) -> Column:
     return F.concat(name, at, host, dot, end)
 
 
-def planted(spark: SparkSession, n: int = PLANTED) -> DataFrame:
-    """(kind, match, before, after, label): candidates of planted sentences, as the generators find them."""
-    kinds = list(_FITTING)
+def planted(spark: SparkSession, n: int = PLANTED, fitting: dict | None = None, others: tuple = _OTHER) -> DataFrame:
+    """(kind, match, before, after, label, cue): candidates of planted sentences, as the generators find them. ``fitting`` and ``others``: the context words."""
+    fitting = fitting or _FITTING
+    kinds = list(fitting)
     rows = spark.range(n).withColumn("want", _one_of(kinds, "kind")).withColumns({"right": _draw("right", 4) < 3, "fits": _draw("fits", 3) < 2})
     by_kind = lambda of: reduce(lambda c, k: c.when(F.col("want") == k, of(k)), kinds[1:], F.when(F.col("want") == kinds[0], of(kinds[0])))
     # an address is one after any words, and base kinds are what their form says; in front of other numbers the words decide
     fits = F.col("fits") | F.col("want").isin("email_spelled", *BASE)
-    cue = F.when(fits, by_kind(lambda k: _one_of(_FITTING[k], "cue"))).otherwise(_one_of(_OTHER, "cue"))
+    cue = F.when(fits, by_kind(lambda k: _one_of(fitting[k], "cue"))).otherwise(_one_of(others, "cue"))
     rows = cut(rows.withColumn("card", _card(F.col("right"))).coalesce(1))  # n short rows
-    rows = rows.select("want", (F.col("right") & fits).cast("double").alias("label"), by_kind(lambda k: _value(k, F.col("right"))).alias("value"), F.concat(_one_of(_OPENING, "opening"), cue).alias("head"), _one_of(_CLOSING, "closing").alias("tail"))
-    rows = cut(rows.coalesce(1)).withColumn("t", F.concat("head", "value", "tail"))  # n short rows
-    found = F.concat(*[_found(*g) for g in GENERATORS if g[0] in _FITTING])
-    return rows.select("want", "label", "value", F.inline(found)).filter("kind = want and match = value").select("kind", "match", "before", "after", "label")
+    rows = rows.select("want", cue.alias("cue"), (F.col("right") & fits).cast("double").alias("label"), by_kind(lambda k: _value(k, F.col("right"))).alias("value"), _one_of(_OPENING, "opening").alias("opening"), _one_of(_CLOSING, "closing").alias("tail"))
+    rows = cut(rows.coalesce(1)).withColumn("t", F.concat("opening", "cue", "value", "tail"))  # n short rows
+    found = F.concat(*[_found(*g) for g in GENERATORS if g[0] in fitting])
+    return rows.select("want", "label", "value", "cue", F.inline(found)).filter("kind = want and match = value").select("kind", "match", "before", "after", "label", "cue")
 
 
 def _tree(node, names: list[str]) -> str:
@@ -252,35 +268,73 @@ def _tree(node, names: list[str]) -> str:
     return f"CASE WHEN {names[split.featureIndex()]} <= {split.threshold()!r} THEN {_tree(node.leftChild(), names)} ELSE {_tree(node.rightChild(), names)} END"
 
 
-def fit(candidates: DataFrame) -> tuple[Column, dict[str, float], dict[str, dict[str, float]]]:
-    """(score of a candidate with feature columns f_*, threshold by kind, held-out precision and recall by kind)."""
-    seen = candidates.filter(F.col("kind").isin(*BASE)).groupBy("kind", "match").agg(F.min(F.struct("before", "after")).alias("x"))
-    seen = seen.select("kind", "match", "x.before", "x.after").withColumn("label", accepted().cast("double"))
-    seen = cut(seen.select("*", F.xxhash64("match").alias("h")))
-    parts = [seen.filter((F.col("kind") == k) & (F.col("label") == v)).orderBy("h", "match").limit(QUOTA) for k in BASE for v in (0.0, 1.0)]
-    sample = reduce(DataFrame.unionByName, parts).drop("h").unionByName(planted(candidates.sparkSession))
-    own = features()
-    rows = sample.select("kind", "label", (F.pmod(F.xxhash64("match", "kind"), F.lit(4)) == 0).alias("held"), *[v.alias(f"f_{k}") for k, v in own.items()])
-    rows = cut(rows.coalesce(1))  # 8 QUOTA + PLANTED rows at most
-    names = [f"f_{k}" for k in own]
+@dataclass(frozen=True)
+class Model:
+    """``score``: SQL over the columns f_*; ``cuts``: the threshold of each kind; ``held`` and ``unseen``: precision and recall of each kind there."""
+
+    score: str
+    cuts: dict[str, float]
+    held: dict[str, dict[str, float]]
+    unseen: dict[str, dict[str, float]]
+
+
+def _with_features(rows: DataFrame, *keep: str) -> DataFrame:
+    return rows.select("kind", "label", *keep, *[v.alias(f"f_{k}") for k, v in features().items()])
+
+
+def _told(rows: DataFrame, score: str) -> dict[str, list]:
+    """By kind: (score, good, n) from the highest score down; a few scores of a bounded sample."""
+    found = rows.select("kind", "label", F.round(F.expr(score), 4).alias("s")).groupBy("kind", "s").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n")).collect()
+    return {k: sorted(((r.s, r.good, r.n) for r in found if r.kind == k), reverse=True) for k in KINDS}
+
+
+def fit(spark: SparkSession, corpus: DataFrame | None = None) -> Model:
+    """``corpus``: candidates (kind, match, before, after) of documents, whose base matches are added to the sample."""
+    sample = planted(spark)
+    if corpus is not None:
+        seen = corpus.filter(F.col("kind").isin(*BASE)).groupBy("kind", "match").agg(F.min(F.struct("before", "after")).alias("x"))
+        seen = seen.select("kind", "match", "x.before", "x.after").withColumn("label", accepted().cast("double"))
+        seen = cut(seen.select("*", F.xxhash64("match").alias("h")))
+        parts = [seen.filter((F.col("kind") == k) & (F.col("label") == v)).orderBy("h", "match").limit(QUOTA).drop("h") for k in BASE for v in (0.0, 1.0)]
+        sample = reduce(DataFrame.unionByName, [p.withColumn("cue", F.lit("")) for p in parts], sample)
+    words = [c for many in (*_FITTING.values(), _OTHER) for c in many[2::3]]
+    rows = cut(_with_features(sample.withColumn("held", F.col("cue").isin(*words)), "held").coalesce(1))  # 8 QUOTA + PLANTED rows at most
+    names = [f"f_{k}" for k in features()]
     train = VectorAssembler(inputCols=names, outputCol="features").transform(rows.filter("not held")).select("features", "label")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=16, stepSize=0.3, seed=1, cacheNodeIds=False).fit(train)
     trees = [_tree(t._java_obj.rootNode(), names) for t in model.trees]
-    score = F.expr("1 / (1 + exp(-2 * (" + " + ".join(f"{w!r} * ({t})" for w, t in zip(map(float, model.treeWeights), trees, strict=True)) + ")))")
-    held = rows.filter("held").select("kind", "label", F.round(score, 4).alias("s")).groupBy("kind", "s").agg(F.sum("label").alias("good"), F.count(F.lit(1)).alias("n"))
-    held = held.collect()  # a few scores of the held-out rows
+    score = "1 / (1 + exp(-2 * (" + " + ".join(f"{w!r} * ({t})" for w, t in zip(map(float, model.treeWeights), trees, strict=True)) + ")))"
     cuts: dict[str, float] = {}
-    report: dict[str, dict[str, float]] = {}
-    for kind in KINDS:
-        own_rows = sorted((r for r in held if r["kind"] == kind), key=lambda r: -r["s"])
-        total = sum(r["good"] for r in own_rows)
+    for kind, told in _told(rows.filter("held"), score).items():
         good = n = 0
-        for r in own_rows:
-            good, n = good + r["good"], n + r["n"]
+        for s, g, k in told:
+            good, n = good + g, n + k
             if good >= PRECISION * n:
-                cuts[kind] = r["s"]
-                report[kind] = {"precision": good / n, "recall": good / total, "held_out": sum(x["n"] for x in own_rows)}
-    return score, cuts, report
+                cuts[kind] = s
+
+    def report(part: DataFrame) -> dict[str, dict[str, float]]:
+        out = {}
+        for kind, told in _told(part, score).items():
+            passed = [(g, n) for s, g, n in told if s >= cuts.get(kind, 2.0)]
+            good, n, total = sum(g for g, _ in passed), sum(n for _, n in passed), sum(g for _, g, _ in told)
+            if total:
+                out[kind] = {"precision": round(good / n, 4) if n else 1.0, "recall": round(good / total, 4), "rows": sum(n for _, _, n in told)}
+        return out
+
+    return Model(score, cuts, report(rows.filter("held")), report(cut(_with_features(planted(spark, PLANTED // 2, *UNSEEN)))))
+
+
+def write_model(spark: SparkSession, path: str = MODEL) -> Model:
+    """Fit and keep; done by hand when the generators, features or sentences change."""
+    model = fit(spark)
+    with open(path, "w") as out:
+        json.dump(asdict(model), out, indent=1, sort_keys=True)
+    return model
+
+
+def stored(path: str = MODEL) -> Model:
+    with open(path) as kept:
+        return Model(**json.load(kept))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -292,11 +346,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "rid", F.when(any_sign, found).otherwise(F.array().cast(kind)).alias("found"))
 
 
-def pii_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans."""
+def pii_spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans. ``model``: another than the stored one."""
+    model = model or stored()
     rows = cut(candidates(docs))
     single = rows.filter("size(found) > 0").select("doc_id", "rid", F.inline("found"))
-    score, cuts, _ = fit(single)
+    score, cuts = F.expr(model.score), model.cuts
     least = reduce(lambda c, k: c.when(F.col("kind") == k, F.lit(cuts.get(k, 2.0))), KINDS[1:], F.when(F.col("kind") == KINDS[0], F.lit(cuts.get(KINDS[0], 2.0))))
     others = single.filter(~F.coalesce(accepted(), F.lit(False)))
     scored = others.select("*", *[v.alias(f"f_{k}") for k, v in features().items()]).withColumn("score", score)
@@ -342,11 +397,11 @@ def covered_by(text: Column, spans: Column, mark: str) -> Column:
     return F.aggregate(places, begin, add, lambda done: F.concat(F.array_join(done["out"], ""), F.substring(text, done["at"] + 1, F.length(text))))
 
 
-def redacted(docs: DataFrame, mark: str = "<PII>") -> DataFrame:
+def redacted(docs: DataFrame, mark: str = "<PII>", model: Model | None = None) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by ``mark``; same rows and columns, a null text stays null."""
     text = text_or_empty()
     # equal texts have equal spans, so the spans travel by a digest of the text
-    found = pii_spans(docs.select(F.sha2(text, 256).alias("doc_id"), F.col("text"))).filter("spans <> ''")
+    found = pii_spans(docs.select(F.sha2(text, 256).alias("doc_id"), F.col("text")), model).filter("spans <> ''")
     sha, spans = spare(docs, "sha", "spans")
     found = cut(found.groupBy(F.col("doc_id").alias(sha)).agg(F.first("spans").alias(spans)))
     rows = docs.withColumn(sha, F.sha2(text, 256)).join(measured(found), sha, "left")

@@ -3,12 +3,12 @@
 Writing: a page becomes a response record (HTTP header, body in chunked transfer framing); a page whose body another
 page with a smaller id has becomes a revisit of that page. Records longer than SEGMENT bytes are cut into a first
 segment and continuation records. Spark's text writer makes the files (a record a row; the blank lines between records
-are the line separator), so they are in any store that Spark writes.
+are the line separator), so they are in any store that Spark writes. A task's rows are one archive, up to ARCHIVE bytes.
 
-Reading: a file (WRITE_ROWS records of at most about SEGMENT bytes each where this module wrote it) is unpacked in parts,
-whatever the number of its gzip members, records are found by their Content-Length and go on one by one, segments are
-grouped by origin id and put in order, the total length is verified, and the chunked framing is decoded. A body is one
-value of a row, as in the input; nothing is copied more than a few times, however many members or segments there are.
+Reading: Spark's text reader unpacks an archive (of any number of gzip members) as a stream and cuts it before each
+``WARC/1.``, so a task holds records, never an archive, whatever the archive's size. Where a record's block has that text
+itself, its pieces are put together by Content-Length. Segments are grouped by origin id and put in order, the total
+length is verified, and the chunked framing is decoded. A body is one value of a row, as in the input.
 
 Null html is an empty body. Of pages with equal bodies the smallest id is the response, null ids last; of rows equal in
 id and body one is the response. A revisit of a response with a null id refers to null. Bodies of fewer than ``min_revisit_bytes`` bytes are all responses. An empty table
@@ -19,8 +19,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
-import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,7 +32,9 @@ from clinflow.llm.common import by_value, cut, measured, text_or_empty
 
 by_value(__name__)
 
-SEGMENT, CHUNK, WRITE_ROWS = 32_768, 8_192, 256
+SEGMENT, CHUNK, ARCHIVE = 32_768, 8_192, 1 << 30
+#: What stands between two records, and the next one's beginning.
+BETWEEN = b"\r\n\r\nWARC/1."
 RECORD = "page_id long, kind string, refers_to long, digest string, length long, origin string, segment int, total long, block binary"
 
 
@@ -113,61 +115,38 @@ def write_archives(pages: DataFrame, path: str, min_revisit_bytes: int = 0, id_c
     joined = keyed.withColumn("g", F.when(again, key[0])).join(groups, "g", "left")
     revisit = F.coalesce(F.col("rid") != F.col("first_rid"), F.lit(False))
     value = joined.select("id", "url", "body", revisit.alias("revisit"), F.when(revisit, F.col("first")).alias("refers")).mapInArrow(_write, "value string")
-    value.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", WRITE_ROWS).text(path)
+    value.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", ARCHIVE // SEGMENT).text(path)
 
 
 _FIELD = re.compile(rb"([^\r\n:]+): ([^\r\n]*)\r\n")
 _PAGE = re.compile(r"<urn:x-page:(-?\d*):")
 
 
-def unpacked(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
-    """The contents of a gzip file in parts, whatever the number of its members; each byte is fed once."""
-    member, at = zlib.decompressobj(31), 0
-    while at < len(data):
-        fed = data[at : at + step]
-        yield member.decompress(fed)
-        at += len(fed) - len(member.unused_data)
-        if member.eof:
-            member = zlib.decompressobj(31)
-
-
-def parse_records(parts: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of an uncompressed archive that comes in parts, by Content-Length."""
-    parts = iter(parts)
-    data, at = bytearray(), 0
-
-    def more() -> bool:
-        nonlocal data, at
-        part = next(parts, None)
-        if part is None:
-            return False
-        if at > len(data) // 2:  # what was read goes, and each byte moves a few times at most
-            del data[:at]
-            at = 0
-        data += part
-        return True
-
-    while at < len(data) or more():
-        if at == len(data):
-            continue
-        seen = at
-        while (end := data.find(b"\r\n\r\n", seen)) < 0:
-            behind = len(data) - at
-            if not more():
-                raise ValueError("an archive ends inside a record's head")
-            seen = at + max(0, behind - 3)
-        if not data.startswith(b"WARC/1.", at):
+def parse_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of each record of an archive that was cut at BETWEEN; pieces go together until the Content-Length is there."""
+    first = True
+    for piece in pieces:
+        data = bytearray(piece if first else BETWEEN[4:] + piece)
+        if first and not data:
+            return  # an archive without a record
+        first = False
+        if not data.startswith(b"WARC/1."):
             raise ValueError("no record where one should begin")
-        fields = {a.decode(): b.decode() for a, b in _FIELD.findall(data, at, end + 2)}
-        n = int(fields["Content-Length"])
-        head = end - at
-        while len(data) < at + head + 8 + n and more():
-            pass
-        end = at + head
-        if data[end + 4 + n : end + 8 + n] != b"\r\n\r\n":
+        while (end := data.find(b"\r\n\r\n")) < 0:
+            following = next(pieces, None)
+            if following is None:
+                raise ValueError("an archive ends inside a record's head")
+            data += BETWEEN + following
+        fields = {a.decode(): b.decode() for a, b in _FIELD.findall(data, 0, end + 2)}
+        whole = end + 4 + int(fields["Content-Length"])
+        while len(data) < whole:
+            following = next(pieces, None)
+            if following is None:
+                raise ValueError("an archive ends inside a record")
+            data += BETWEEN + following
+        if len(data) > whole and data[whole:] != b"\r\n\r\n":  # the last record's own blank lines
             raise ValueError("a record does not end where it says")
-        yield fields, bytes(data[end + 4 : end + 4 + n])
-        at = end + 8 + n
+        yield fields, bytes(data[end + 4 : whole])
 
 
 def _page(name: str):
@@ -175,29 +154,35 @@ def _page(name: str):
     return int(found) if found else None
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes]]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.column(0)[k].as_py(), batch.column(1)[k].as_py()
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.binary())
     names = ["page_id", "kind", "refers_to", "digest", "length", "origin", "segment", "total", "block"]
-    for batch in batches:
-        for i in range(batch.num_rows):
-            rows = []
-            for f, block in parse_records(unpacked(batch.column(0)[i].as_py())):
-                kind, total = f["WARC-Type"], f.get("WARC-Segment-Total-Length")
-                origin = f.get("WARC-Segment-Origin-ID") or f["WARC-Record-ID"]
-                refers = _page(f["WARC-Refers-To"]) if kind == "revisit" else None
-                length = int(re.search(rb"Content-Length: (\d+)", block)[1]) if kind == "revisit" else None
-                rows.append((_page(origin), kind, refers, f.get("WARC-Payload-Digest", "sha1:")[5:], length, origin, int(f.get("WARC-Segment-Number", 0)), int(total) if total else None, block))
-                if len(rows) == 64:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
-                    rows = []
-            if rows:
+    rows: list[tuple] = []
+    # a task reads its archives one after another, each from its beginning to its end
+    for _, archive in itertools.groupby(_pieces(batches), key=lambda x: x[0]):
+        for f, block in parse_records(x for _, x in archive):
+            kind, total = f["WARC-Type"], f.get("WARC-Segment-Total-Length")
+            origin = f.get("WARC-Segment-Origin-ID") or f["WARC-Record-ID"]
+            refers = _page(f["WARC-Refers-To"]) if kind == "revisit" else None
+            length = int(re.search(rb"Content-Length: (\d+)", block)[1]) if kind == "revisit" else None
+            rows.append((_page(origin), kind, refers, f.get("WARC-Payload-Digest", "sha1:")[5:], length, origin, int(f.get("WARC-Segment-Number", 0)), int(total) if total else None, block))
+            if len(rows) == 64:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                rows = []
+    if rows:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each record or segment, as RECORD says."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    return files.mapInArrow(_read, RECORD)
+    """One row for each record or segment of the gzipped archives under ``path``, as RECORD says. Names end in .gz, so that no archive is split."""
+    lines = spark.read.option("pathGlobFilter", "*.gz").option("lineSep", BETWEEN.decode()).text(path)
+    return lines.select(F.col("_metadata.file_path").alias("archive"), F.col("value").cast("binary").alias("piece")).mapInArrow(_read, RECORD)
 
 
 def _join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -102,14 +102,30 @@ def test_warc(spark, tmp_path):
     assert {(r.page_id, r.record_type) for r in warc.page_records(spark, f"file://{tmp_path}/v").collect() if r.page_id in (3, 4, 6)} == {(3, "response"), (4, "response"), (6, "response")}
 
 
-def test_warc_files_of_many_members():
-    blocks = [b"x" * n for n in (0, 1, 70_000, 5)]
-    records = [b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(b), b) for b in blocks] * 50
-    for data in (gzip.compress(b"".join(records)), b"".join(map(gzip.compress, records))):
-        for step in (7, 1000, 1 << 16):
-            assert [b for _, b in warc.parse_records(warc.unpacked(data, step))] == blocks * 50
-    with pytest.raises(ValueError):
-        list(warc.parse_records(iter([records[1][:-3]])))
+def test_warc_files_of_many_members(spark, tmp_path):
+    """Archives of other writers: one gzip member for each record or for all; blocks that look like records; none at all."""
+    blocks = [b"x" * n for n in (0, 1, 70_000, 5)] + [b"\xff\x00\x80", b"a\r\n\r\nWARC/1.1\r\n\r\nb", b"\r\n\r\nWARC/1.", b"\r\n\r\n", b"WARC/1.0"]
+    records = [b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:%d:>\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (k, len(b), b) for k, b in enumerate(blocks)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.warc.gz").write_bytes(gzip.compress(b"".join(records)))
+    (tmp_path / "a" / "many.warc.gz").write_bytes(b"".join(map(gzip.compress, records)) * 30)
+    (tmp_path / "a" / "none.warc.gz").write_bytes(gzip.compress(b""))
+    got = collections.Counter((r.page_id, bytes(r.block)) for r in warc.read_archives(spark, f"file://{tmp_path}/a").collect())
+    assert got == {(k, b): 31 for k, b in enumerate(blocks)}
+    for bad in (records[1][:-3], records[2][:100], b"x" + records[1], records[3] + b"tail", records[1].replace(b"Length: 1", b"Length: 0")):
+        with pytest.raises(ValueError):
+            list(warc.parse_records(iter(bad.split(warc.BETWEEN))))
+
+
+def test_warc_archive_beyond_a_batch(spark, tmp_path):
+    """An archive of 200 MB is read a record at a time: no row or batch holds more than a part of it."""
+    record = lambda k: b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:%d:>\r\nContent-Length: 100000\r\n\r\n%b\r\n\r\n" % (k, bytes([97 + k % 26]) * 100_000)
+    with open(tmp_path / "large.warc.gz", "wb") as out:
+        for k in range(2000):
+            out.write(gzip.compress(record(k), 1))
+    rows = warc.read_archives(spark, f"file://{tmp_path}").select("page_id", F.length("block").alias("n"), F.substring(F.col("block").cast("string"), 1, 1).alias("c"))
+    found = rows.collect()
+    assert len(found) == 2000 and all(r.n == 100_000 and r.c == chr(97 + r.page_id % 26) for r in found)
 
 
 def test_warc_framing():

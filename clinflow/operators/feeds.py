@@ -19,6 +19,16 @@ def parse_json(df: DataFrame, col: str = "value") -> DataFrame:
     return df.withColumn("m", m).withColumn("malformed", F.col("m").isNull())
 
 
+def parse_variant(df: DataFrame, col: str = "value") -> DataFrame:
+    """``v`` (VARIANT: any JSON in one stable column) and ``malformed``; a JSON null is a value, not malformed."""
+    return df.withColumn("v", F.try_parse_json(F.col(col))).withColumn("malformed", F.col("v").isNull())
+
+
+def at_paths(df: DataFrame, paths: dict[str, tuple[str, str]], v: str = "v") -> DataFrame:
+    """``df`` with a column for each path: name to (path, type); NULL where the document has no such place or another kind of value."""
+    return df.withColumns({name: F.try_variant_get(F.col(v), path, kind) for name, (path, kind) in paths.items()})
+
+
 def required_fields(df: DataFrame, fields: list[str]) -> DataFrame:
     ok = F.forall(F.array(*map(F.lit, fields)), lambda k: F.trim(F.coalesce(F.try_element_at("m", k), F.lit(""))) != "")
     return df.withColumn("ok", F.coalesce(ok, F.lit(False)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clinflow.functions import fields as fld
 from clinflow.functions import filters as flt
 from clinflow.operators import enrich, parse, segments
+from clinflow.operators.membership import in_list
 from clinflow.queries.base import local, sql
 from clinflow.queries.parsing import IDS, common
 from clinflow.registry import query
@@ -322,3 +323,8 @@ def ext_run(spark, d):
     return enrich.extract(named(spark, d), FILTERS, ["id", "class", "flag"], "DELIMITED", "KAFKA", "T.ADHOC", as_of()).drop("dest_system")
 
 
+@query("flt_in_list", "SELECT count(*) AS n, sum(l_orderkey)::BIGINT AS orders, count(DISTINCT l_partkey) AS parts FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size < 20)")
+def flt_in_list(spark, d):
+    """Lines of the parts of a list that grows with the tables."""
+    wanted = table(spark, d, "part").filter("p_size < 20").select(F.col("p_partkey").alias("value"))
+    return in_list(table(spark, d, "lineitem"), "l_partkey", wanted).agg(F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("orders"), F.countDistinct("l_partkey").alias("parts"))

@@ -22,7 +22,7 @@ from clinflow.queries.extracts import STAMP as _STAMP
 from clinflow.queries.parsing import _SRC, SUPPORTED, TEMPLATES
 from clinflow.queries.reports import _NINE, _REJ, _rejects
 from clinflow.registry import query
-from clinflow.sources import avro, database, readers, sinks
+from clinflow.sources import avro, database, readers, sinks, store
 from clinflow.sources.synth import headers, messages, table
 from clinflow.streaming import log
 from clinflow.streaming.monitor import run_until_idle
@@ -210,6 +210,26 @@ def rejects_by_process(spark, d):
     return found.groupBy("process_name").agg(F.count(F.lit(1)).alias("n"), F.min("rejected_message_data").alias("least"), F.max("msg_create_date_time").alias("most"))
 
 
+@query("out_store_upsert", "SELECT o_custkey::VARCHAR AS row_key, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS prio, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) FILTER (o_orderstatus <> 'P') AS status FROM orders GROUP BY 1")
+def store_upsert(spark, d):
+    """Orders by customer in three loads, each over the one before by time; the store doubles its buckets on the way."""
+    rows = table(spark, d, "orders").select("o_custkey", F.col("o_orderpriority").alias("prio"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).otherwise(" ").alias("status"), F.struct("o_orderdate", "o_orderkey").alias("ts"))
+    year = F.year("ts.o_orderdate") % 3  # not in order of time
+    path = shared(spark, "store")
+    kept = store.create(spark, path, rows.filter(year == 0), ["o_custkey"], ["prio", "status"], "ts", 4)
+    kept = store.upsert(kept, rows.filter(year == 1), ["o_custkey"])
+    kept = store.grown(kept, 1 + kept.rows().count() // 8)
+    return store.upsert(kept, rows.filter(year == 2), ["o_custkey"]).rows().select("row_key", "prio", "status")
+
+
+@query("src_store_lookup", "SELECT o_orderkey, c_name AS found_name, c_mktsegment AS found_segment FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_acctbal > 0")
+def store_lookup(spark, d):
+    """Orders looked up in a bucketed store of customers, which is not shuffled."""
+    rows = table(spark, d, "customer").filter("c_acctbal > 0").select("c_custkey", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.lit(1).alias("ts"))
+    kept = store.create(spark, shared(spark, "store"), rows, ["c_custkey"], ["name", "segment"], "ts", 8)
+    return store.lookup(table(spark, d, "orders").select("o_orderkey", "o_custkey"), kept, ["o_custkey"]).drop("o_custkey")
+
+
 @query("out_parquet_dynamic", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_custkey END AS o_custkey, o_orderstatus FROM orders")
 def parquet_dynamic(spark, d):
     path = shared(spark, "dynamic")

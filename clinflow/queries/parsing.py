@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clinflow.operators import naming, parse
+from clinflow.operators import feeds, naming, parse
 from clinflow.queries.base import local, own, sql, types
 from clinflow.registry import query
 from clinflow.sources.synth import messages, table
@@ -259,6 +259,14 @@ def to_json_arrays(spark, d):
     return naming.to_json(_short(spark, d), always_lists=True)
 
 
+@query("msg_variant", sql("SELECT msg_id, cls AS class, qty AS first_value, st AS first_units, NULL::VARCHAR AS other FROM (SELECT msg_id, nullif(cls, '') AS cls FROM m) LEFT JOIN (SELECT msg_id, qty, st FROM x WHERE n = 1) USING (msg_id) WHERE cls IS NOT NULL OR qty IS NOT NULL", "x"))
+def msg_variant(spark, d):
+    """Messages as VARIANT: one stable column whatever segments a message has, asked by path."""
+    rows = feeds.parse_variant(to_json_arrays(spark, d), "json")
+    paths = {"class": ("$.PV1[0].class", "string"), "first_value": ("$.OBX[0].value", "string"), "first_units": ("$.OBX[0].units", "string"), "other": ("$.ZZZ[0].value", "string")}
+    return feeds.at_paths(rows, paths).filter("class is not null or first_value is not null").select("msg_id", *paths)
+
+
 @query("msg_strip_nulls", sql("SELECT seg, count(*) AS n FROM e GROUP BY 1", "e"))
 def strip_nulls(spark, d):
     return naming.strip_nulls(parse.elements(messages(spark, d))).groupBy("seg").agg(F.count(F.lit(1)).alias("n"))

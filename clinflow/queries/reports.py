@@ -344,6 +344,18 @@ def res_parse_json(spark, d):
     return feeds.parse_json(_json(spark, d)).select("event_id", F.try_element_at("m", F.lit("k")).alias("k"), "malformed")
 
 
+@query("res_variant_paths", """SELECT event_id, event_id % 10 = 0 AS malformed, CASE WHEN event_id % 10 > 0 THEN event_type END AS kind, CASE WHEN event_id % 10 > 0 THEN user_id::VARCHAR END AS who,
+  CASE WHEN event_id % 10 > 0 AND event_id % 2 = 0 THEN (event_id + 1)::VARCHAR END AS second, NULL::VARCHAR AS missing FROM events""")
+def res_variant_paths(spark, d):
+    """Documents of changing shape in one column, asked by path."""
+    rows = table(spark, d, "events")
+    ids = F.when(F.expr("event_id % 2 = 0"), F.array("event_id", F.col("event_id") + 1)).otherwise(F.array("event_id"))
+    text = F.to_json(F.struct(F.struct("event_type", F.struct(F.col("user_id").alias("id")).alias("user")).alias("of"), ids.alias("ids")))
+    rows = feeds.parse_variant(rows.select("event_id", F.when(F.expr("event_id % 10 = 0"), F.substring(text, F.lit(1), F.length(text) - 1)).otherwise(text).alias("value")))
+    found = feeds.at_paths(rows, {"kind": ("$.of.event_type", "string"), "who": ("$.of.user.id", "string"), "second": ("$.ids[1]", "string"), "missing": ("$.of.other", "string")})
+    return found.drop("value", "v")
+
+
 @query("res_required_fields", f"SELECT event_id, coalesce({_K} <> '', false) AS ok FROM events")
 def res_required_fields(spark, d):
     return feeds.required_fields(feeds.parse_json(_json(spark, d)), ["k"]).select("event_id", "ok")

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clinflow.operators.audit import reject_schema
-from clinflow.operators.routing import keyed_upsert
-from clinflow.sources import avro, database
+from clinflow.sources import avro, database, store
 from clinflow.sources.readers import positional
 
 ZONE = ["landing_zone", "message_type", "transaction_date"]
@@ -62,19 +61,10 @@ def replace_staging(spark: SparkSession, export: str, target: str, cols: list[st
     positional(spark.read.text(export), cols).write.mode("overwrite").parquet(target)
 
 
-def upsert_stream(stream: DataFrame, path: str, checkpoint: str, keys: list[str], attrs: list[str], ts: str, buckets: int = 16) -> StreamingQuery:
-    """A keyed store as parquet, one writer: each batch rewrites the buckets of keys that it touches."""
+def upsert_stream(stream: DataFrame, kept: store.Store, checkpoint: str, keys: list[str]) -> StreamingQuery:
+    """Each batch goes over a keyed store, in the buckets that it touches; a batch that is run again changes nothing. One writer."""
 
     def put(batch: DataFrame, _: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        key = F.concat(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-        new = batch.select(key.alias("row_key"), *attrs, F.col(ts).alias("ts")).withColumn("bucket", F.pmod(F.xxhash64("row_key"), F.lit(buckets)).cast("int"))
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-            touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # ``buckets`` at most
-            new = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).unionByName(new)
-        latest = keyed_upsert(new, ["row_key"], attrs, "ts").join(new.groupBy("row_key").agg(F.max("ts").alias("ts")), "row_key")
-        latest = latest.withColumn("bucket", F.pmod(F.xxhash64("row_key"), F.lit(buckets)).cast("int")).checkpoint()
-        parquet_dynamic(latest, path, ["bucket"])
+        store.upsert(store.opened(batch.sparkSession, kept), batch, keys)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

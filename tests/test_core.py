@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from clinflow.functions import fields, filters, scrub
 from clinflow.operators import audit, enrich, feeds, naming, parse, routing, segments
-from clinflow.sources import readers, sinks, synth
+from clinflow.sources import readers, sinks, store, synth
 from clinflow.streaming import jobs
 
 SF = "/root/testdata/sf0.001"
@@ -197,13 +197,15 @@ def test_volume_stream(spark, tmp_path):
 
 
 def test_upsert_stream(spark, tmp_path):
-    src, store = f"file://{tmp_path}/in", f"file://{tmp_path}/store"
+    src = f"file://{tmp_path}/in"
     schema = "k string, a string, ts long"
-    for k, rows in enumerate(([("x", "1", 1), ("y", "2", 1)], [("x", " ", 2), ("y", "3", 2)])):
+    kept = store.create(spark, f"file://{tmp_path}/store", spark.createDataFrame([("z", "0", 0)], schema), ["k"], ["a"], "ts")
+    for rows in ([("x", "1", 1), ("y", "2", 1)], [("x", " ", 2), ("y", "3", 2)], [("y", "old", 0)]):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
         stream = spark.readStream.schema(schema).parquet(src)
-        sinks.upsert_stream(stream, store, f"file://{tmp_path}/cp", ["k"], ["a"], "ts").awaitTermination()
-    assert {(r.row_key, r.a) for r in spark.read.parquet(store).collect()} == {("x", "1"), ("y", "3")}
+        sinks.upsert_stream(stream, kept, f"file://{tmp_path}/cp", ["k"]).awaitTermination()
+    assert {(r.row_key, r.a) for r in kept.rows().collect()} == {("x", "1"), ("y", "3"), ("z", "0")}
+    store.drop(kept)
 
 
 def test_observations_and_payload(spark):

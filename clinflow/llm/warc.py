@@ -33,8 +33,8 @@ from clinflow.llm.common import by_value, cut, measured, text_or_empty
 by_value(__name__)
 
 SEGMENT, CHUNK, ARCHIVE = 32_768, 8_192, 1 << 30
-#: What stands between two records, and the next one's beginning.
-BETWEEN = b"\r\n\r\nWARC/1."
+#: How a record begins. No part of it is its own beginning, so that a reader of lines can't miss it at the end of a buffer.
+BEGIN = b"WARC/1."
 RECORD = "page_id long, kind string, refers_to long, digest string, length long, origin string, segment int, total long, block binary"
 
 
@@ -123,28 +123,26 @@ _PAGE = re.compile(r"<urn:x-page:(-?\d*):")
 
 
 def parse_records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of each record of an archive that was cut at BETWEEN; pieces go together until the Content-Length is there."""
-    first = True
+    """(fields, block) of each record of an archive that was cut at BEGIN; pieces go together until the Content-Length is there."""
+    if next(pieces, b""):
+        raise ValueError("no record where one should begin")
     for piece in pieces:
-        data = bytearray(piece if first else BETWEEN[4:] + piece)
-        if first and not data:
-            return  # an archive without a record
-        first = False
-        if not data.startswith(b"WARC/1."):
-            raise ValueError("no record where one should begin")
-        while (end := data.find(b"\r\n\r\n")) < 0:
+        data = bytearray(BEGIN + piece)
+
+        def more(where: str, data: bytearray = data) -> None:
             following = next(pieces, None)
             if following is None:
-                raise ValueError("an archive ends inside a record's head")
-            data += BETWEEN + following
+                raise ValueError(f"an archive ends inside a record{where}")
+            data.extend(BEGIN)
+            data.extend(following)
+
+        while (end := data.find(b"\r\n\r\n")) < 0:
+            more("'s head")
         fields = {a.decode(): b.decode() for a, b in _FIELD.findall(data, 0, end + 2)}
         whole = end + 4 + int(fields["Content-Length"])
-        while len(data) < whole:
-            following = next(pieces, None)
-            if following is None:
-                raise ValueError("an archive ends inside a record")
-            data += BETWEEN + following
-        if len(data) > whole and data[whole:] != b"\r\n\r\n":  # the last record's own blank lines
+        while len(data) < whole + 4:
+            more("")
+        if data[whole:] != b"\r\n\r\n":
             raise ValueError("a record does not end where it says")
         yield fields, bytes(data[end + 4 : whole])
 
@@ -181,7 +179,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row for each record or segment of the gzipped archives under ``path``, as RECORD says. Names end in .gz, so that no archive is split."""
-    lines = spark.read.option("pathGlobFilter", "*.gz").option("lineSep", BETWEEN.decode()).text(path)
+    lines = spark.read.option("pathGlobFilter", "*.gz").option("lineSep", BEGIN.decode()).text(path)
     return lines.select(F.col("_metadata.file_path").alias("archive"), F.col("value").cast("binary").alias("piece")).mapInArrow(_read, RECORD)
 
 

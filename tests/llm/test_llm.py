@@ -110,11 +110,16 @@ def test_warc_files_of_many_members(spark, tmp_path):
     (tmp_path / "a" / "one.warc.gz").write_bytes(gzip.compress(b"".join(records)))
     (tmp_path / "a" / "many.warc.gz").write_bytes(b"".join(map(gzip.compress, records)) * 30)
     (tmp_path / "a" / "none.warc.gz").write_bytes(gzip.compress(b""))
+    r = random.Random(3)  # ends and beginnings of records at every place of a reader's buffer
+    odd = [b"".join(r.choices([b"\r\n", b"\r\n\r\n", b"W", b"WARC/", b"WARC/1.", b"x" * r.randint(1, 4000)], k=r.randint(0, 9))) for _ in range(3000)]
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "odd.warc.gz").write_bytes(gzip.compress(b"".join(b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:x-page:%d:>\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (k, len(b), b) for k, b in enumerate(odd)), 1))
+    assert {r.page_id: bytes(r.block) for r in warc.read_archives(spark, f"file://{tmp_path}/b").collect()} == dict(enumerate(odd))
     got = collections.Counter((r.page_id, bytes(r.block)) for r in warc.read_archives(spark, f"file://{tmp_path}/a").collect())
     assert got == {(k, b): 31 for k, b in enumerate(blocks)}
     for bad in (records[1][:-3], records[2][:100], b"x" + records[1], records[3] + b"tail", records[1].replace(b"Length: 1", b"Length: 0")):
         with pytest.raises(ValueError):
-            list(warc.parse_records(iter(bad.split(warc.BETWEEN))))
+            list(warc.parse_records(iter(bad.split(warc.BEGIN))))
 
 
 def test_warc_archive_beyond_a_batch(spark, tmp_path):

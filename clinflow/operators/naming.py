@@ -49,13 +49,18 @@ def name_elements(elements: DataFrame, templates: DataFrame) -> DataFrame:
     bad = F.contains("name", F.lit(".")) | (F.split_part("name", F.lit("_"), F.lit(-1)) == F.split_part("elem_key", F.lit("."), F.lit(-1)))
     entries = entries.filter("name is not null").withColumn("name", F.when(bad, "unknown").otherwise(F.col("name")))
     said = config_hint(templates)(entries.groupBy("elem_key").agg(F.map_from_entries(F.collect_list(F.struct("tpl", "name"))).alias("said")))
-    keyed = elements.withColumn("elem_key", F.concat("seg", F.lit("."), "field", F.lit("."), "comp")).join(said, "elem_key", "left")
-    lookups = {"realignment": F.concat(F.lit("ALIGN:"), "src"), "facility": F.concat(F.lit("FAC:"), "fac"), "source": F.col("tpl"), "standard": F.lit("STD")}
+    key = F.concat("seg", F.lit("."), "field", F.lit("."), "comp")
+    lookups = {}
+    if "moved" in elements.columns:  # what realignment made sub-components has a name of its own for each
+        key = F.when(F.col("moved"), F.concat(key, F.lit("."), "sub")).otherwise(key)
+        lookups["moved"] = F.when(F.col("moved"), F.concat(F.lit("ALIGN:"), "tpl"))
+    keyed = elements.withColumn("elem_key", key).join(said, "elem_key", "left")
+    lookups |= {"realignment": F.concat(F.lit("ALIGN:"), "src"), "facility": F.concat(F.lit("FAC:"), "fac"), "source": F.col("tpl"), "standard": F.lit("STD")}
     # columns of their own, so that each lookup is made once however often its result is read
     keyed = keyed.withColumns({f"_{k}": F.try_element_at("said", tpl) for k, tpl in lookups.items()})
     keyed = keyed.withColumn("name", F.coalesce(*[F.col(f"_{k}") for k in lookups], F.lit("unknown")))
-    source = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), k) for k in lookups])
-    return keyed.select(*[c for c in elements.columns if c not in SOURCE], "elem_key", "name", F.when(F.col("name") == "unknown", "unknown").otherwise(source).alias("name_source"))
+    source = F.coalesce(*[F.when(F.col(f"_{k}").isNotNull(), "realignment" if k == "moved" else k) for k in lookups])
+    return keyed.select(*[c for c in elements.columns if c not in (*SOURCE, "moved")], "elem_key", "name", F.when(F.col("name") == "unknown", "unknown").otherwise(source).alias("name_source"))
 
 
 def unknown_mapping(named: DataFrame) -> DataFrame:
@@ -69,6 +74,19 @@ def unknown_values(named: DataFrame) -> DataFrame:
     return rows.agg(F.array_join(F.transform(ordered, lambda x: x["value"]), "^").alias("unknown"))
 
 
+def crosswalk(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rules for ``parse.elements``, template lines with the moved parts' names) of crosswalk lines in column ``value``:
+    template_key,version,,key,field,component,,new key,new field,new component,new sub-component,option. Keys are SEG.field.comp[.sub].
+
+    A field's rule is what its lines say: one option and one target component."""
+    at = lambda n: F.trim(F.get(F.split("value", ",", -1), F.lit(n)))
+    rows = lines.filter("trim(value) <> ''").select(at(0).alias("whole"), at(3).alias("key"), at(7).alias("to_key"), F.array(at(8), at(9), at(10)).alias("names"), F.lower(at(11)).alias("option"))
+    rows = rows.withColumn("tpl", F.expr("substring(whole, 1, length(whole) - length(key) - 1)"))
+    part = lambda c, n: F.split_part(c, F.lit("."), F.lit(n))
+    rules = rows.groupBy("tpl", part("key", 1).alias("seg"), part("key", 2).cast("int").alias("field")).agg(F.min("option").alias("option"), F.min(F.when(F.col("option") == "move", part("to_key", 3).cast("int"))).alias("to_comp"))
+    return rules, rows.filter("option = 'move'").select(F.concat(F.lit("ALIGN:"), "tpl").alias("tpl"), F.col("to_key").alias("elem_key"), "names")
+
+
 def realign_move(elements: DataFrame, crosswalk: DataFrame) -> DataFrame:
     """Components of a field become sub-components of component ``to_comp``; ``crosswalk`` (seg, field, to_field, to_comp) is config."""
     rules = config(crosswalk.select("seg", "field", "to_field", "to_comp"))

@@ -135,10 +135,26 @@ def split_repetitions(fields: DataFrame) -> DataFrame:
     return rows.select("msg_id", "seg_seq", "seg", "field", (F.col("pos") + 1).alias("rep"), "text", *_carried(fields))
 
 
-def split_components(reps: DataFrame) -> DataFrame:
-    rows = reps.withColumn("parts", F.when(whole_field(), F.array("text")).otherwise(cut(F.col("text"), "comp", None)))
-    rows = rows.select("msg_id", "seg_seq", "seg", "field", "rep", *_carried(reps), F.size("parts").alias("n_comp"), F.posexplode("parts").alias("pos", "text"))
-    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "n_comp", (F.col("pos") + 1).alias("comp"), "text", *_carried(reps))
+def split_components(reps: DataFrame, realign: DataFrame | None = None) -> DataFrame:
+    """``realign`` (tpl, seg, field, option, to_comp; config): in messages of the template, a field with several components is realigned
+    before it is cut. ``merge``: their texts make one component. ``move``: they become sub-components of component ``to_comp``, and
+    the sub-components that they had stand in their row; such rows are marked in the column ``moved``."""
+    cut_text = cut(F.col("text"), "comp", None)
+    if realign is None:
+        rows = reps.withColumn("parts", F.when(whole_field(), F.array("text")).otherwise(cut_text))
+        n_comp, place, more = F.size("parts"), F.col("pos") + 1, []
+    else:
+        rules = config(realign.select("tpl", "seg", "field", F.col("option").alias("_option"), F.col("to_comp").alias("_to")))
+        rows = reps.join(rules, ["tpl", "seg", "field"], "left")
+        option = F.when(F.contains("text", F.lit(USUAL["comp"])) & ~whole_field(), F.col("_option"))
+        one = lambda mark: F.array(F.replace("text", F.lit(USUAL["comp"]), F.lit(mark)))
+        rows = rows.withColumn("_option", option).withColumn("parts", F.when(F.col("_option") == "merge", one("")).when(F.col("_option") == "move", one(USUAL["sub"])).when(whole_field(), F.array("text")).otherwise(cut_text))
+        moved = F.coalesce(F.col("_option") == "move", F.lit(False))
+        n_comp, place, more = F.size("parts") + moved.cast("int"), F.when(moved, F.col("_to")).otherwise(F.col("pos") + 1), [moved.alias("moved")]
+        rows = rows.withColumn("n_parts", n_comp)
+        n_comp = F.col("n_parts")
+    rows = rows.select("msg_id", "seg_seq", "seg", "field", "rep", *_carried(reps), *more, *(["_option", "_to"] if realign is not None else []), n_comp.alias("n_comp"), F.posexplode("parts").alias("pos", "text"))
+    return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "n_comp", place.alias("comp"), "text", *_carried(reps), *(["moved"] if realign is not None else []))
 
 
 def split_subcomponents(comps: DataFrame) -> DataFrame:
@@ -150,9 +166,10 @@ def split_subcomponents(comps: DataFrame) -> DataFrame:
     return rows.select("msg_id", "seg_seq", "seg", "field", "rep", "comp", (F.col("pos") + 1).alias("sub"), F.when(F.col("text") != "", text).alias("value"), *[c for c in _carried(comps) if c != "own"])
 
 
-def elements(raw: DataFrame, segs: tuple[str, ...] | None = None, keep: tuple[str, ...] = (), deal: bool = True) -> DataFrame:
-    """``segs``: only these segments are taken apart. ``keep``: columns of the message that elements have too. The rows lie by msg_id (``deal``)."""
-    return split_subcomponents(split_components(split_repetitions(split_fields(split_segments(raw, keep, segs, deal)))))
+def elements(raw: DataFrame, segs: tuple[str, ...] | None = None, keep: tuple[str, ...] = (), deal: bool = True, realign: DataFrame | None = None) -> DataFrame:
+    """``segs``: only these segments are taken apart. ``keep``: columns of the message that elements have too. The rows lie by msg_id (``deal``).
+    ``realign``: see ``split_components``; the message has the column tpl then, which is kept."""
+    return split_subcomponents(split_components(split_repetitions(split_fields(split_segments(raw, keep, segs, deal))), realign))
 
 
 def simple_repeats(fields: DataFrame) -> DataFrame:

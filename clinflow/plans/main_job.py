@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from clinflow.functions.filters import Filter
 from clinflow.operators import audit, enrich, naming, parse, segments
-from clinflow.operators.routing import routing_key
+from clinflow.operators.routing import LIMIT, oversize_split, routing_key
 from clinflow.plans.parse_job import judged
 
 HEAD = ("type", "control_id", "create_time", "mrn", "urn", "account", "facility", "trigger", "reject_reason")
 UNKNOWN = "UNKNOWN"
-OUTPUTS = ("json", "segment", "extract", "audit", "ack", "reject", "metric")
+OUTPUTS = ("json", "oversize", "segment", "extract", "audit", "ack", "reject", "metric")
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,10 @@ class Config:
     extracts: tuple[Extract, ...] = ()
     receiver: str = "TO"
     sender: str = "FROM"
+    #: Lines of the crosswalk that realigns fields (column value), the control ids whose account only repeats the record number, and the longest JSON that goes out.
+    crosswalk: DataFrame | None = None
+    override: str | None = None
+    limit: int = LIMIT
 
 
 def parsed(raw: DataFrame, config: Config) -> DataFrame:
@@ -55,12 +59,24 @@ def parsed(raw: DataFrame, config: Config) -> DataFrame:
     rows = judged(raw, config.supported).withColumnRenamed("reject_reason", "malformed").drop("type")
     rows = parse.type_from_key(rows, config.types).withColumnRenamed("type", "by_key")
     rows = parse.meta_fast(parse.type_from_body(rows, config.types))
+    # a generator of one row, so that the facts are read once: every condition below would take the text apart anew
+    facts = ["by_key", "type", "malformed", "reject_reason", *naming.SOURCE, "control_id", "create_time", "mrn", "urn", "account", "facility", "trigger"]
+    rows = rows.select("msg_id", "raw", F.inline(F.array(F.struct(*facts))))
     kind = F.coalesce("by_key", "type")
-    reason = F.coalesce("malformed", F.when(kind.isNull(), F.col("reject_reason")))
+    # what has a control id and a type has to name its facility too
+    blank = F.when(F.col("facility") == parse.NO_CONTROL, "blank sending_facility")
+    reason = F.coalesce("malformed", F.when(kind.isNull(), F.col("reject_reason")), blank)
     rows = rows.withColumns({"type": kind, "reject_reason": reason})
+    if config.override:
+        repeated = F.col("control_id").rlike(config.override) & (F.col("account") == F.col("urn"))
+        rows = rows.withColumn("account", F.when(repeated, parse.NO_CONTROL).otherwise(F.col("account")))
     good = F.col("reject_reason").isNull()
     rows = rows.withColumns({"head": F.struct(*HEAD), "held": F.when(~good, F.col("raw")), "raw": F.when(good, F.col("raw")).otherwise("REJ|rejected")})
-    named = naming.name_elements(parse.elements(rows, keep=("type", "head", "held", *naming.SOURCE)), config.templates)
+    rules, templates = None, config.templates
+    if config.crosswalk is not None:
+        rules, names = naming.crosswalk(config.crosswalk)
+        templates = templates.unionByName(names)
+    named = naming.name_elements(parse.elements(rows, keep=("type", "head", "held", *naming.SOURCE), realign=rules), templates)
     first = F.col("seg").isin("MSH", "REJ") & (F.col("field") == 1)
     once = lambda c: F.when(first, F.col(c)).alias(c)
     return named.select("msg_id", "type", "seg_seq", "seg", "field", "rep", "comp", "sub", "value", "name", once("head"), once("held"))
@@ -92,8 +108,11 @@ def outputs(rows: DataFrame, config: Config, as_of: Column, counts: dict[str, in
     acks = audit.ack_rows(good, "AA", config.receiver, config.sender, as_of).unionByName(audit.ack_rows(bad.withColumn("type", F.coalesce("type", F.lit(UNKNOWN))), "AR", config.receiver, config.sender, as_of))
     rejected = audit.rejects_delimited(audit.rejects(bad.withColumns({"type": F.coalesce("type", F.lit(UNKNOWN)), "raw": F.regexp_replace("held", "[\r\n]+", "\r")}), "JSON", as_of))
     metrics = rows.sparkSession.createDataFrame([(None, key, str(n)) for key, n in sorted(counts.items()) if n], "msg_id long, key string, value string")
+    texts = naming.to_json(known).join(keys("JSON"), "msg_id").select("msg_id", "key", F.col("json").alias("value"))
+    fit, beyond = oversize_split(texts, "value", config.limit)
     out = {
-        "json": naming.to_json(known).join(keys("JSON"), "msg_id").select("msg_id", "key", F.col("json").alias("value")),
+        "json": fit,
+        "oversize": beyond,
         "audit": audits.select("msg_id", F.concat(F.split_part("process_name", F.lit("-"), F.lit(1)), F.lit(":AUDIT")).alias("key"), line(audits).alias("value")),
         "ack": acks.select("msg_id", F.lit("ACK").alias("key"), F.col("row").alias("value")),
         "reject": rejected.select("msg_id", F.lit("REJECT").alias("key"), F.col("row").alias("value")),

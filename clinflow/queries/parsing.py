@@ -173,6 +173,26 @@ def realign_move(spark, d):
     return naming.realign_move(parse.elements(messages(spark, d), ("PID",)), rules).filter("value is not null").groupBy("seg", "field", "rep", "comp", "sub").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: An invented crosswalk: the parts of a name become parts of its second component.
+CROSSWALK = ["EPIC_2.3_PID.5.1,2.3,,PID.5.1,patient,last,,PID.5.2.1,patient,name,family_name,move", "EPIC_2.3_PID.5.2,2.3,,PID.5.2,patient,first,,PID.5.2.2,patient,name,given_name,move", "MT_2.5_PID.5.1,2.5,,PID.5.1,patient,last,,PID.5.1,patient,,,merge"]
+
+
+@query(
+    "msg_realign_names",
+    sql("""SELECT comp, sub, name, count(*) AS n, min(value) AS least, max(value) AS most FROM (SELECT unnest(CASE tpl
+      WHEN 'EPIC_2.3' THEN [{'comp': 2, 'sub': 1, 'name': 'family_name', 'value': n1}, {'comp': 2, 'sub': 2, 'name': 'given_name', 'value': n2}]
+      WHEN 'MT_2.5' THEN [{'comp': 1, 'sub': 1, 'name': 'whole_name', 'value': n1 || n2}]
+      ELSE [{'comp': 1, 'sub': 1, 'name': 'whole_name', 'value': n1}, {'comp': 2, 'sub': 1, 'name': 'unknown', 'value': n2}] END, recursive := true) FROM m JOIN t USING (msg_id)) GROUP BY ALL""", _SRC),
+)
+def realign_names(spark, d):
+    """Fields moved and merged while messages are parsed; moved parts have the crosswalk's names, other templates' messages their own."""
+    rules, names = naming.crosswalk(local(spark, [(x,) for x in CROSSWALK], "value string"))
+    templates = local(spark, [("STD", "PID.5.1", ["whole_name"])], "tpl string, elem_key string, names array<string>").unionByName(names)
+    raw = naming.with_source(messages(spark, d), local(spark, SUPPORTED, "src string, ver string, tpl string"))
+    rows = naming.name_elements(parse.elements(raw, ("PID",), naming.SOURCE, realign=rules), templates).filter("field = 5 and value is not null")
+    return _summary(rows, ["comp", "sub", "name"])
+
+
 @query("msg_realign_merge", sql("SELECT msg_id, 2 AS seg_seq, 'PID' AS seg, 5 AS field, 1 AS rep, n1 || n2 AS value FROM m"))
 def realign_merge(spark, d):
     rules = local(spark, [("PID", 5)], "seg string, field int")

@@ -41,8 +41,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+#: The folders that ``scratch`` has named in this process.
+MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    MADE.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return MADE[-1]
+
+
+def discard(spark: SparkSession, since: int, keep: str) -> None:
+    """Delete what ``scratch`` has named from number ``since`` on, but ``keep``; for a run that has written what it needs of them."""
+    for path in [p for p in MADE[since:] if p != keep]:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        MADE.remove(path)
 
 
 def cut(df: DataFrame) -> DataFrame:

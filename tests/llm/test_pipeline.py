@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from clinflow.llm import bpe, quality
+from clinflow.llm import bpe, common, quality
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile(r"[^\x00-/:-`{-\x7F]+")
@@ -106,3 +106,14 @@ def test_tokens(stages):
     want = collections.Counter((i, tuple(coder.encode_ordinary(t or ""))) for i, t in counted(before).elements())
     assert collections.Counter((r.doc_id, tuple(r.ids)) for r in after.collect()) == want
     assert all(r.n_tokens == len(r.ids) for r in after.collect())
+
+
+def test_folders_of_earlier_stages_go(spark, tmp_path):
+    keep, gone = common.scratch(spark, "keep"), common.scratch(spark, "gone")
+    n = len(common.MADE) - 2
+    for path in (keep, gone):
+        spark.range(3).write.parquet(path)
+    common.discard(spark, n, keep)
+    assert spark.read.parquet(keep).count() == 3 and common.MADE[n:] == [keep]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(gone)

@@ -1,4 +1,8 @@
-"""From documents to training tokens: STAGES in order; each works on all that the one before it kept."""
+"""From documents to training tokens: STAGES in order; each works on all that the one before it kept.
+
+In every stage a null text counts as empty, an empty text is a document like another (without words it has no windows, shingles
+or tokens), texts of any length are read whole, null and repeated ids lose no clean document, columns that are not named in the
+stage are handed on whatever their names, and an empty table gives an empty one."""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clinflow.llm import bpe, contamination, exact_dedup, near_dedup, quality
+from clinflow.llm import bpe, common, contamination, exact_dedup, near_dedup, quality
 from clinflow.llm.common import scratch, table
 
 #: Word shingles of the near-duplicate stage.
@@ -55,13 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each stage's rows are written to the shared folder and read again, and what the stages before it wrote goes."""
+    docs, since = table(spark, sf_dir, "documents"), len(common.MADE)
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
             return out
         path = scratch(spark, f"stage{k}")
         out.write.parquet(path)
+        common.discard(spark, since, path)
         docs = spark.read.parquet(path)
     return docs

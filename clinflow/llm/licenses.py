@@ -159,6 +159,77 @@ def align(text: list[int], template: list[int], diagonal: int, band: int = BAND,
     return best
 
 
+#: Alignments that are made side by side, at most, and at least.
+SIDE, FEW = 256, 6
+_UNIT = 1 << 24  # a point of score, in a number that has the matched words below it
+
+
+def align_all(jobs: list[tuple[np.ndarray, np.ndarray, int, dict[int, int]]], band: int = BAND) -> list[tuple[int, ...]]:
+    """What ``align`` gives for each (text, template, diagonal, must): alignments of like lengths side by side, a row of all their bands at a time."""
+    out: list[tuple[int, ...]] = [()] * len(jobs)
+    order = sorted(range(len(jobs)), key=lambda k: len(jobs[k][1]))
+    b = 0
+    while b < len(order):
+        some = [k for k in order[b : b + SIDE] if len(jobs[k][1]) <= 1.5 * len(jobs[order[b]][1]) + 8]  # no short one waits for a long one
+        b += len(some)
+        if len(some) < FEW:
+            for k in some:
+                text, template, diagonal, must = jobs[k]
+                out[k] = align(text.tolist(), template.tolist(), diagonal, band, must)
+        else:
+            for k, x in zip(some, _side_by_side([jobs[k] for k in some], band), strict=True):
+                out[k] = x
+    return out
+
+
+def _side_by_side(jobs: list, band: int) -> list[tuple[int, ...]]:
+    n, width = len(jobs), 2 * band + 1
+    texts = np.zeros((n, max(len(j[0]) for j in jobs)), np.uint64)
+    templates = np.zeros((n, max(len(j[1]) for j in jobs)), np.uint64)
+    bits_at = np.zeros(templates.shape, np.int64)
+    for k, (text, template, _, must) in enumerate(jobs):
+        texts[k, : len(text)], templates[k, : len(template)] = text, template
+        for place, bit in must.items():
+            if 0 <= place < len(template):
+                bits_at[k, place] = bit
+    size, rows = np.array([len(j[0]) for j in jobs])[:, None], np.array([len(j[1]) for j in jobs])[:, None]
+    diagonal, slot = np.array([j[2] for j in jobs])[:, None], np.arange(width)
+    every = np.arange(n)[:, None]
+    key, first, above, said = (np.zeros((n, width), np.int64) for _ in range(4))  # score and matched in one; places of the beginning; bits
+    best, best_at = np.zeros(n, np.int64), np.zeros((n, 5), np.int64)
+    for j in range(templates.shape[1]):
+        i = j + diagonal - band + slot
+        inside = (i >= 0) & (i < size) & (j < rows)
+        same = inside & (texts[every, np.clip(i, 0, texts.shape[1] - 1)] == templates[:, j : j + 1])
+        # from the cell before both; where there is none, the alignment begins here
+        fresh = key <= 0
+        own = np.where(same, key + 2 * _UNIT + 1, key - _UNIT)
+        i0, j0, bits = np.where(fresh, i, first), np.where(fresh, j, above), np.where(same, said | bits_at[:, j : j + 1], said)
+        # a template word that the text lacks
+        up = np.concatenate([key[:, 1:], np.zeros((n, 1), np.int64)], 1)
+        take = (up > 0) & (up - _UNIT > own)
+        pad = lambda x: np.concatenate([x[:, 1:], x[:, :1]], 1)
+        own, i0, j0, bits = np.where(take, up - _UNIT, own), np.where(take, pad(first), i0), np.where(take, pad(above), j0), np.where(take, pad(said), bits)
+        own = np.where(inside, own, -_UNIT * (1 << 20))
+        # text words that the template lacks: the best of all cells to the left, less a point a word; of equal ones the nearest
+        run = np.maximum.accumulate((own + slot * _UNIT) * 32 + slot, axis=1)
+        source = run & 31
+        key = (run >> 5) - slot * _UNIT
+        flat = every * width + source
+        first, above, said = i0.ravel()[flat], j0.ravel()[flat], bits.ravel()[flat]
+        alive = inside & (key >= _UNIT)
+        key, said = np.where(alive, key, 0), np.where(alive, said, 0)
+        reached = np.where(same, key, 0)
+        at = reached.argmax(1)
+        top = reached[every[:, 0], at]
+        better = np.flatnonzero(top > best)
+        if len(better):
+            c = at[better]
+            best[better] = top[better]
+            best_at[better] = np.stack([first[better, c], i[better, c] + 1, above[better, c], np.full(len(c), j + 1), said[better, c]], 1)
+    return [(int(k) // _UNIT, int(k) % _UNIT, *map(int, x)) for k, x in zip(best, best_at, strict=True)]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str], least: float):
         self.least, self.names, self.words = least, list(templates), Words()
@@ -204,15 +275,30 @@ class Scanner:
     def scan(self, raw: bytes) -> list[tuple[int, int, str, int, int]]:
         """(start, end, template, matched words, words of the template), by place; of overlapping spans the one that matches most stays."""
         words, starts = self.words.placed(raw)
-        return self.judged(raw, words, starts, *self.hits(words))
+        wanted = self.wanted(words, *self.hits(words))
+        return self.judged(raw, words, starts, wanted, align_all([x[3] for x in wanted]))
 
-    def judged(self, raw: bytes, words: np.ndarray, starts: np.ndarray, at: np.ndarray, of: np.ndarray, places: np.ndarray) -> list[tuple[int, int, str, int, int]]:
-        found: list[tuple[int, int, int, int]] = []
+    def wanted(self, words: np.ndarray, at: np.ndarray, of: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int, tuple]]:
+        """(template, first text place, first template place, what to align) of each piece."""
+        out = []
         for t in np.unique(of).tolist():
             own = of == t
             if len(np.unique(places[own])) < max(1, math.ceil(HIT * self.size[t])):
                 continue
-            found += self._chains(words, t, self.pieces(at[own], places[own], t))
+            template = self.templates[t]
+            for diagonal, a, b in self.pieces(at[own], places[own], t):
+                j0, j1 = max(0, a - BESIDE), min(len(template), b + K + BESIDE)
+                i0 = max(0, j0 + diagonal - BAND)
+                i1 = min(len(words), j1 + diagonal + BAND)
+                out.append((t, i0, j0, (words[i0:i1], template[j0:j1], diagonal + j0 - i0, {j - j0: k for j, k in self.must[t].items()})))
+        return out
+
+    def judged(self, raw: bytes, words: np.ndarray, starts: np.ndarray, wanted: list, aligned: list) -> list[tuple[int, int, str, int, int]]:
+        pieces: dict[int, set] = {}
+        for (t, i0, j0, _), (_, matched, x, y, u, v, bits) in zip(wanted, aligned, strict=True):
+            if matched:
+                pieces.setdefault(t, set()).add((i0 + x, i0 + y, j0 + u, j0 + v, matched, bits))
+        found = [x for t, rows in sorted(pieces.items()) for x in self._chains(t, sorted(rows))]
         if not found:
             return []
         kept: list[tuple[int, int, int, int]] = []
@@ -232,18 +318,9 @@ class Scanner:
             out.append((int(points[starts[a]]), int(points[end]), self.names[t], m, len(self.templates[t])))
         return out
 
-    def _chains(self, words: np.ndarray, t: int, pieces: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    def _chains(self, t: int, rows: list[tuple[int, ...]]) -> list[tuple[int, int, int, int]]:
         """(first word, last + 1, template, matched) of what covers enough of a template."""
         template, must = self.templates[t], self.must[t]
-        aligned = set()
-        for diagonal, a, b in pieces:
-            j0, j1 = max(0, a - BESIDE), min(len(template), b + K + BESIDE)
-            i0 = max(0, j0 + diagonal - BAND)
-            i1 = min(len(words), j1 + diagonal + BAND)
-            _, matched, x, y, u, v, bits = align(words[i0:i1].tolist(), template[j0:j1].tolist(), diagonal + j0 - i0, BAND, {j - j0: k for j, k in must.items()})
-            if matched:
-                aligned.add((i0 + x, i0 + y, j0 + u, j0 + v, matched, bits))
-        rows = sorted(aligned)
         best: list[tuple[int, int, int]] = []  # matched and bits of the best chain that ends in a piece, and its piece before
         for k, (x, _, u, _, matched, bits) in enumerate(rows):
             own = (matched, bits, -1)
@@ -288,12 +365,13 @@ class Scanner:
         inside = at + K <= end[text]  # K words of one text
         at, of, places, text = at[inside], of[inside], places[inside], text[inside]
         edges = np.searchsorted(text, np.arange(len(group) + 1))
-        for k, raw in enumerate(group):
+        wanted = []
+        for k in range(len(group)):
             lo, hi = edges[k], edges[k + 1]
-            if lo == hi:
-                yield []
-            else:
-                yield self.judged(raw, words[begin[k] : end[k]], starts[begin[k] : end[k]] - first[k], at[lo:hi] - begin[k], of[lo:hi], places[lo:hi])
+            wanted.append(self.wanted(words[begin[k] : end[k]], at[lo:hi] - begin[k], of[lo:hi], places[lo:hi]) if lo < hi else [])
+        aligned = iter(align_all([x[3] for part in wanted for x in part]))
+        for k, raw in enumerate(group):
+            yield self.judged(raw, words[begin[k] : end[k]], starts[begin[k] : end[k]] - first[k], wanted[k], [next(aligned) for _ in wanted[k]]) if wanted[k] else []
 
 
 def _scan(templates: dict[str, str], least: float):

@@ -323,6 +323,20 @@ def test_alignment_in_the_band_is_the_best_one():
         assert licenses.align(text, template, len(head))[:2] == local_alignment(text, template)
 
 
+def test_alignments_side_by_side_are_those_made_alone():
+    r = random.Random(4)
+    jobs = []
+    for _ in range(400):
+        k, n = r.choice([2, 3, 8, 50]), r.choice([0, 1, r.randint(0, 60), r.randint(100, 300)])
+        template, text = [r.randrange(1, k + 1) for _ in range(n)], [r.randrange(1, k + 1) for _ in range(r.randint(0, 10))]
+        for w in template:
+            u = r.random()
+            text += [] if u < 0.1 else [r.randrange(1, k + 1) for _ in range(r.randint(1, 5))] + [w] if u < 0.25 else [w]
+        jobs.append((np.array(text, np.uint64), np.array(template, np.uint64), r.randint(-6, 12), {r.randrange(n): 1 << q for q in range(3)} if n else {}))
+    want = [licenses.align(x.tolist(), y.tolist(), d, licenses.BAND, m) for x, y, d, m in jobs]
+    assert licenses.align_all(jobs) == want and licenses.align_all(jobs[:3]) == want[:3] and licenses.align_all([]) == []
+
+
 def test_licenses(spark, hard, empty, documents):
     scanner = licenses.Scanner(licenses.TEMPLATES, licenses.LEAST)
     names = lambda text: [x[2] for x in scanner.scan(text.encode())]

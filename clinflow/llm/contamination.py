@@ -2,9 +2,10 @@
 
 The normalised word windows of the test items (``width`` words; an item of fewer is one window) are the broadcast set.
 Before it, a document is looked at only every ``stride`` words: the ``gram`` words from there are hashed and held against
-the hashes of the items' word sequences. A window that occurs in a document has such a place among its first ``stride``
-words, so only windows that start shortly before a place that was found are formed and joined, as whole strings, with
-the set: each hit is verified by equality. Where the items are too many for the hashes to go with the plan (GRAMS), the
+the hashes of the items' word sequences, for each size of windows by itself. A window that occurs in a document has such a
+place among its first ``stride`` words, so only windows that start shortly before a place that was found are formed and
+joined, as whole strings, with the set: each hit is verified by equality. Short items (of one word, say) so add hashes of
+one size and no windows of others. Where the items are too many for the hashes to go with the plan (GRAMS), the
 places' hashes are joined with the items' and what was found is joined back to the texts; where a side is too large for
 a broadcast, the join is a shuffle join. Results are the same.
 
@@ -46,6 +47,11 @@ def item_windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
     return rows.groupBy("w", "size").agg(F.collect_set("item").alias("items"))
 
 
+def _long(value: int) -> str:
+    """A bigint literal; the smallest has none of its own."""
+    return f"{value}L" if value != -(2**63) else "bigint(-9223372036854775808)"
+
+
 def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """One row for each row of ``docs``: doc_id, rid, n_words, spans (start, size of each occurrence), items (sorted strings)."""
     windows = cut(item_windows(items, width))
@@ -54,24 +60,31 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     kind = "array<struct<at:int,size:int,w:string>>"
     formed = F.lit(None).cast(kind)
     if sizes:
-        gram = min(GRAM, sizes[0])
-        stride = sizes[0] - gram + 1
-        parts = F.explode(F.transform(F.sequence(F.lit(0), F.col("size") - gram), lambda i: F.array_join(F.slice(F.split("w", " "), i + 1, gram), " "))).alias("g")
-        hashes = windows.select("size", "w", parts).select(F.xxhash64(F.split("g", " ")).alias("h")).distinct()
-        known = [r["h"] for r in hashes.limit(GRAMS + 1).collect()]  # a row more than GRAMS at most
-        places = f"sequence(0, n_words - {gram}, {stride})"
+        # each size has its own sequences and stride, so that a short item asks for more places of its own size alone
+        grams, strides = {n: min(GRAM, n) for n in sizes}, {n: n - min(GRAM, n) + 1 for n in sizes}
+        gram = F.least(F.col("size"), F.lit(GRAM))
+        parts = F.explode(F.transform(F.sequence(F.lit(0), F.col("size") - gram), lambda i: F.slice(F.split("w", " "), i + 1, gram))).alias("g")
+        hashes = windows.select("size", parts).select("size", F.xxhash64("g").alias("h")).distinct()
+        known = hashes.limit(GRAMS + 1).collect()  # a row more than GRAMS at most
+        each = {n: f"if(n_words >= {n}, sequence(0, n_words - {grams[n]}, {strides[n]}), cast(array() as array<bigint>))" for n in sizes}
         if len(known) > GRAMS:
             # the places go to the hashes: a long for each, ten words apart, and back come those of the places that were found
             rows = rows.withColumn("key", F.sha2(F.array_join("ws", " "), 256))
-            looked = rows.select("key", F.explode(F.expr(f"if(n_words >= {gram}, transform({places}, p -> struct(p, xxhash64(slice(ws, cast(p + 1 as int), {gram})) as h)), null)")).alias("x"))
-            near = looked.select("key", "x.p", "x.h").join(measured(cut(hashes)), "h", "left_semi").groupBy("key").agg(F.collect_set("p").alias("near"))
+            asked = ", ".join(f"transform({each[n]}, p -> struct({n} as size, p, xxhash64(slice(ws, cast(p + 1 as int), {grams[n]})) as h))" for n in sizes)
+            looked = rows.select("key", F.explode(F.expr(f"concat({asked})")).alias("x")).select("key", "x.*")
+            near = looked.join(measured(cut(hashes)), ["size", "h"], "left_semi").groupBy("key").agg(F.collect_set(F.struct("size", "p")).alias("near"))
             rows = rows.join(measured(cut(near)), "key", "left")
-            places = "coalesce(near, cast(array() as array<bigint>))"
+            each = {n: f"transform(filter(coalesce(near, cast(array() as array<struct<size:int,p:bigint>>)), x -> x.size = {n}), x -> x.p)" for n in sizes}
         else:
-            places = f"filter({places}, p -> xxhash64(slice(ws, cast(p + 1 as int), {gram})) in ({', '.join(f'{h}L' if h != -(2**63) else 'bigint(-9223372036854775808)' for h in known)}))"
-        own = [f"if(s + {n} <= n_words, struct(cast(s as int) as at, {n} as size, array_join(slice(ws, cast(s + 1 as int), {n}), ' ') as w), null)" for n in sizes]
-        near = f"flatten(transform({places}, p -> flatten(transform(sequence(greatest(p - {stride - 1}, 0), p), s -> array({', '.join(own)})))))"
-        formed = F.expr(f"if(n_words >= {gram}, filter({near}, x -> x is not null), null)").cast(kind)
+            said = {n: ", ".join(_long(r["h"]) for r in known if r["size"] == n) for n in sizes}
+            each = {n: f"filter({each[n]}, p -> xxhash64(slice(ws, cast(p + 1 as int), {grams[n]})) in ({said[n]}))" for n in sizes}
+        # a place is among the first ``stride`` words of the windows that it may be in
+        own = [
+            f"flatten(transform({each[n]}, p -> transform(sequence(greatest(p - {strides[n] - 1}, 0), least(p, n_words - {n})), "
+            f"s -> struct(cast(s as int) as at, {n} as size, array_join(slice(ws, cast(s + 1 as int), {n}), ' ') as w))))"
+            for n in sizes
+        ]
+        formed = F.expr(f"concat({', '.join(own)})").cast(kind)
     none = F.array(F.lit(None).cast("struct<at:int,size:int,w:string>"))
     rows = rows.select("doc_id", "rid", "n_words", F.explode(F.concat(none, F.coalesce(formed, F.array().cast(kind)))).alias("x")).select("doc_id", "rid", "n_words", "x.at", "x.size", "x.w")
     found = rows.join(measured(windows.select("w", "items"), WINDOWS), "w", "left").filter("w is null or items is not null")

@@ -27,6 +27,10 @@ by_value(__name__)
 
 #: Fingerprints that one owner is to hold, about; there are at least as many owners as shuffle partitions, and no more senders than owners.
 PER_OWNER = 1 << 22
+#: Fingerprints of a message, on average, at least: owners hold more where the messages would grow too many and too short.
+PER_MESSAGE = 1 << 10
+#: What owners hold then, at most (about 1 GB of a worker); beyond it messages grow shorter.
+MOST = 1 << 24
 
 
 def golomb_encode(values: np.ndarray) -> bytes:
@@ -102,11 +106,16 @@ def _suspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["h"])
 
 
+def per_owner(rows: int) -> int:
+    """Fingerprints that one owner is to hold: with rows / n owners and as many senders, a message has n * n / rows of them."""
+    return max(PER_OWNER, min(MOST, math.isqrt(PER_MESSAGE * rows)))
+
+
 def suspect_fingerprints(hashes: DataFrame, rows: int) -> DataFrame:
     """Distinct fingerprints that occur more than once in column ``h``, by the exchange; ``rows``: how many there are, about.
 
     Small partitions are taken together, so that there are owners * owners messages at most, not one for each owner and file part."""
-    owners = max(shuffle_partitions(hashes.sparkSession), math.ceil(rows / PER_OWNER))
+    owners = max(shuffle_partitions(hashes.sparkSession), math.ceil(rows / per_owner(rows)))
     messages = cut(
         hashes.coalesce(owners).select(F.spark_partition_id().cast("long").alias("src"), "h").mapInArrow(_send(owners), "owner long, src long, blob binary, twice binary")
     )

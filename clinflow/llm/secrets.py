@@ -200,22 +200,33 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lo = hi
 
 
+def _found(rules: tuple[Rule, ...]):
+    """A function from the texts of a block to their spans (start, rule, end) in order: the index leaves candidates, the rules decide."""
+    finds = [re.compile(r.pattern).finditer for r in rules]
+    queries = [trigram_query(r.pattern) for r in rules]
+    index = Postings(set().union(*map(_leaves, queries)))
+
+    def of(texts: list[str]) -> list[list[tuple[int, int, int]]]:
+        index.build(texts)
+        found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+        for k, (rule, find, query) in enumerate(zip(rules, finds, queries, strict=True)):
+            for i in index.matching(query).tolist():
+                found[i] += [(a, k, b) for a, b in spans_of(texts[i], rule, find)]
+        for own in found:
+            own.sort()
+        return found
+
+    return of
+
+
 def _scan(rules: tuple[Rule, ...], base: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finds = [re.compile(r.pattern).finditer for r in rules]
-        queries = [trigram_query(r.pattern) for r in rules]
-        index = Postings(set().union(*map(_leaves, queries)))
+        spans_in = _found(rules)
         for batch in _blocks(batches):
-            texts = batch.column(1).to_pylist()
-            index.build(texts)
-            found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-            for k, (rule, find, query) in enumerate(zip(rules, finds, queries, strict=True)):
-                for i in index.matching(query).tolist():
-                    found[i] += [(a, k, b) for a, b in spans_of(texts[i], rule, find)]
+            found = spans_in(batch.column(1).to_pylist())
             counts: list[list[int]] = [[] for _ in range(base)]
             shas, spans = [], []
             for own in found:
-                own.sort()
                 for k in range(base):
                     counts[k].append(sum(x[1] == k for x in own))
                 said = [f"{rules[k].kind}:{a}:{b}" for a, k, b in own]
@@ -237,21 +248,25 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = l
 
 
 def redacted(docs: DataFrame, mark: str = "<SECRET>", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with every span replaced by ``mark``; a null text stays null."""
+    """``docs`` with every span replaced by ``mark``; a null text stays null. Candidates come from the index, as in ``secret_spans``."""
+
+    def without(text: str, own: list[tuple[int, int, int]]) -> str:
+        out, at = [], 0
+        for a, _, b in own:
+            if b > at:
+                out += [text[at : max(a, at)], mark] if a >= at else []
+                at = max(at, b)
+        return "".join(out) + text[at:]
+
     @F.pandas_udf("string")
-    def clean(texts: pd.Series) -> pd.Series:
-        finds = [(r, re.compile(r.pattern).finditer) for r in rules]
-
-        def one(text):
-            if text is None:
-                return None
-            out, at = [], 0
-            for a, b in sorted(x for r, f in finds for x in spans_of(text, r, f)):
-                if b > at:
-                    out += [text[at : max(a, at)], mark] if a >= at else []
-                    at = max(at, b)
-            return "".join(out) + text[at:]
-
-        return texts.map(one)
-
-    return docs.withColumn("text", clean("text"))
+    def clean(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        spans_in = _found(rules)
+        for texts in parts:
+            batch = pa.record_batch([pa.array(texts.notna()), pa.array(texts.fillna(""), pa.string())], names=["there", "text"])
+            done: list[str | None] = []
+            for block in _blocks(iter([batch])):
+                there, own = (c.to_pylist() for c in block.columns)
+                done += [without(x, f) if t else None for t, x, f in zip(there, own, spans_in(own), strict=True)]
+            yield pd.Series(done, texts.index, object)
+
+    return lean(docs).withColumn("text", clean("text"))

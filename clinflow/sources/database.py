@@ -1,9 +1,9 @@
 """Databases: reading a query by ranges of a key, and loading rows so that the refused ones alone are kept back.
 
 ``jdbc_ranges`` reads through Spark's JDBC source. Where a driver of Python's own database interface (DB-API) is at hand,
-``ranges`` reads the same way through a Spark data source, and ``load`` writes: a task sends batches, each in a transaction;
-a batch that the database refuses is halved until the refused rows stand alone, so k bad rows of n cost about k log2 n
-transactions. ``connect`` makes a connection inside a task; it goes to the workers with the job.
+``ranges`` reads the same way through a Spark data source, and ``load`` writes: a task sends batches, each in one transaction;
+a batch that the database refuses is halved behind savepoints until the refused rows stand alone, so k bad rows of n cost about
+k log2 n statements, but no transaction more. ``connect`` makes a connection inside a task; it goes to the workers with the job.
 """
 
 from __future__ import annotations
@@ -119,26 +119,45 @@ def ranges(spark: SparkSession, connect: Connect, query: str, schema: str, key:
 def _send(connection, statement: str, rows: list[tuple], mark: str, entry: tuple) -> list[tuple[tuple, str]]:
     """Rows that the database refuses, with its words; the others are there when this returns.
 
-    ``entry`` (load, part, batch) goes with the rows in one transaction: where it is there, an attempt before this one has sent them."""
+    ``entry`` (load, part, batch) and one like it for each refused row (its place after the batch) go with the rows in one transaction.
+    Where the entry is there, an attempt before this one has sent them, and only the refused rows are tried again, for the database's words.
+    What is refused is found by halves, each behind a savepoint."""
     cursor = connection.cursor()
-    place = f"load_id = {mark} AND part = {mark} AND batch = {mark}"
-    cursor.execute(f"SELECT COUNT(*) FROM {LEDGER} WHERE {place}", entry)
-    if cursor.fetchone()[0]:
-        return []
+    load, part, batch = entry
+    place = f"load_id = {mark} AND part = {mark} AND batch"
+    note = f"INSERT INTO {LEDGER} VALUES ({mark}, {mark}, {mark})"
+    bad: list[tuple[tuple, str]] = []
+
+    def put(low: int, high: int) -> None:
+        cursor.execute("SAVEPOINT part_of_batch")
+        try:
+            cursor.executemany(statement, rows[low:high])
+        except Exception as error:
+            if not refused(error):
+                raise  # the database is not there: the task is tried again
+            cursor.execute("ROLLBACK TO SAVEPOINT part_of_batch")
+            if high - low > 1:
+                put(low, (low + high) // 2)
+                put((low + high) // 2, high)
+            else:
+                bad.append((rows[low], str(error)))
+                cursor.execute(note, (load, part, f"{batch}!{low}"))
+
     try:
-        cursor.executemany(statement, rows)
-        cursor.execute(f"INSERT INTO {LEDGER} VALUES ({mark}, {mark}, {mark})", entry)
+        cursor.execute(f"SELECT COUNT(*) FROM {LEDGER} WHERE {place} = {mark}", entry)
+        if cursor.fetchone()[0]:
+            cursor.execute(f"SELECT batch FROM {LEDGER} WHERE {place} LIKE {mark}", (load, part, f"{batch}!%"))
+            for k in sorted(int(name.rpartition("!")[2]) for (name,) in cursor.fetchall()):
+                cursor.execute(f"DELETE FROM {LEDGER} WHERE {place} = {mark}", (load, part, f"{batch}!{k}"))
+                put(k, k + 1)
+        else:
+            cursor.execute(note, entry)  # opens the transaction that the savepoints stand in
+            put(0, len(rows))
         connection.commit()
-    except Exception as error:
+    except Exception:
         connection.rollback()
-        if not refused(error):
-            raise  # the database is not there: the task is tried again
-        if len(rows) == 1:
-            return [(rows[0], str(error))]
-        half = len(rows) // 2
-        load, part, batch = entry
-        return _send(connection, statement, rows[:half], mark, (load, part, f"{batch}.0")) + _send(connection, statement, rows[half:], mark, (load, part, f"{batch}.1"))
-    return []
+        raise
+    return bad
 
 
 def refused(error: Exception) -> bool:

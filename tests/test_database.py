@@ -80,6 +80,24 @@ def test_a_repeated_task_sends_nothing_twice(tmp_path):
             D._send(c, "INSERT INTO missing (id) VALUES (?)", [(1,)], "?", ("x", "1", "0"))
 
 
+def test_a_batch_is_one_transaction_however_many_rows_are_refused(tmp_path):
+    class Counted(sqlite3.Connection):
+        commits = 0
+
+        def commit(self):
+            Counted.commits += 1
+            super().commit()
+
+    with closing(sqlite3.connect(f"{tmp_path}/rows.db", factory=Counted)) as c:
+        c.execute("CREATE TABLE t (id INTEGER CHECK (id % 10 <> 5))")
+        c.execute(f"CREATE TABLE {D.LEDGER} (load_id TEXT, part TEXT, batch TEXT, PRIMARY KEY (load_id, part, batch))")
+        for attempt in (1, 2):  # a repeated task tells of the same rows
+            bad = D._send(c, "INSERT INTO t (id) VALUES (?)", [(i,) for i in range(1000)], "?", ("x", "0", "0"))
+            assert [row for row, _ in bad] == [(i,) for i in range(5, 1000, 10)] and all(said for _, said in bad)
+            assert Counted.commits == attempt
+            assert Counter(r[0] for r in c.execute("SELECT id FROM t")) == {i: 1 for i in range(1000) if i % 10 != 5}
+
+
 def test_reading_a_database_by_ranges(spark, tmp_path):
     connect = made(tmp_path, "CREATE TABLE t (id INTEGER, day TEXT)")
     with closing(connect()) as c:

@@ -274,3 +274,22 @@ def test_own_delimiters_from_text_to_elements(spark, own):
     assert feeds.event_type_in(both, ["A01"]).count() == 3
     segs = feeds.remove_field(parse.lines(F.col("raw")), "GT1", 12, parse.separators(F.col("raw")))
     assert all("secret" not in "".join(r.x) for r in both.select(segs.alias("x")).collect())
+
+
+def test_fields_and_filled_parts_alone_are_the_elements_that_a_filter_leaves(spark):
+    text = "MSH|^~\\&|A||B\r\nPID|1||x^^y~z^&w||n^\r\nOBX|1|NM|p^q||5|u"
+    rows = spark.createDataFrame([(1, text), (2, text.translate(str.maketrans("|^~&", "$*!@")))], "msg_id long, raw string")
+    every = parse.elements(rows)
+    asked = {"PID": (3, 5), "OBX": (4, 5)}
+    some = every.filter("(seg = 'PID' and field in (3, 5)) or (seg = 'OBX' and field in (4, 5))")
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(parse.elements(rows, filled=True), every.filter("value is not null"))
+    assert same(parse.elements(rows, fields=asked), some)
+    assert same(parse.elements(rows, fields=asked, filled=True), some.filter("value is not null"))
+
+
+def test_few_groups_of_texts_are_not_sorted(spark):
+    from clinflow.queries.parsing import _summary
+
+    plan = _summary(spark.range(9).selectExpr("id % 3 AS k", "cast(id as string) AS value"), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan

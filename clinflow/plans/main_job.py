@@ -76,7 +76,7 @@ def parsed(raw: DataFrame, config: Config) -> DataFrame:
     if config.crosswalk is not None:
         rules, names = naming.crosswalk(config.crosswalk)
         templates = templates.unionByName(names)
-    named = naming.name_elements(parse.elements(rows, keep=("type", "head", "held", *naming.SOURCE), realign=rules), templates)
+    named = naming.name_elements(parse.elements(rows, keep=("type", "head", "held", *naming.SOURCE), realign=rules, filled=True), templates)
     first = F.col("seg").isin("MSH", "REJ") & (F.col("field") == 1)
     once = lambda c: F.when(first, F.col(c)).alias(c)
     return named.select("msg_id", "type", "seg_seq", "seg", "field", "rep", "comp", "sub", "value", "name", once("head"), once("held"))

@@ -27,13 +27,19 @@ def elements(spark, d, segs):
     return parse.elements(messages(spark, d), segs)
 
 
+def modelled(spark, d, segs):
+    """Elements of the fields that the models of these segments ask for; the others go before they are cut."""
+    fields = {seg: tuple(sorted({int(path.split("|")[0]) for _, s, _, path in MODELS if s == seg})) for seg in segs}
+    return parse.elements(messages(spark, d), fields=fields)
+
+
 def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
 
 @query("seg_project", sql("SELECT msg_id, (4 + n)::INT AS seg_seq, part AS f_3_1, flag AS f_3_2, qty AS f_5, st AS f_6 FROM x JOIN m USING (msg_id)", "x"))
 def seg_project(spark, d):
-    return segments.project(elements(spark, d, ("OBX",)), models(spark), "OBX", OBX)
+    return segments.project(modelled(spark, d, ("OBX",)), models(spark), "OBX", OBX)
 
 
 @query("seg_join_repeats", sql("SELECT msg_id, string_agg(flag, '^' ORDER BY n) AS joined, string_agg(CASE WHEN flag = 'N' THEN '' ELSE flag END, '^' ORDER BY n) FILTER (n >= first) AS with_blanks FROM (SELECT *, min(n) FILTER (flag <> 'N') OVER (PARTITION BY msg_id) AS first FROM x) JOIN m USING (msg_id) GROUP BY 1", "x"))
@@ -51,7 +57,7 @@ def seg_parent_fallback(spark, d):
 
 @query("seg_common_columns", sql(f"SELECT msg_id, {STAMP} AS etl_firstinsert_datetime, '0003' AS field_seq_num, {IDS}, cls AS f_2 FROM m WHERE cls <> ''"))
 def seg_common_columns(spark, d):
-    rows = segments.project(elements(spark, d, ("PV1",)), models(spark), "PV1", ["2"])
+    rows = segments.project(modelled(spark, d, ("PV1",)), models(spark), "PV1", ["2"])
     return segments.common_columns(rows, common(spark, d), as_of())
 
 
@@ -83,7 +89,7 @@ def seg_type_gate(spark, d):
 
 @query("seg_dedupe_rows", sql("SELECT DISTINCT msg_id, flag AS f_3_2, st AS f_6 FROM x JOIN m USING (msg_id)", "x"))
 def seg_dedupe_rows(spark, d):
-    return segments.dedupe_rows(segments.project(elements(spark, d, ("OBX",)), models(spark), "OBX", ["3|2", "6"])).drop("seg_seq")
+    return segments.dedupe_rows(segments.project(modelled(spark, d, ("OBX",)), models(spark), "OBX", ["3|2", "6"])).drop("seg_seq")
 
 
 _ROWS = "SELECT 'OBX' AS hl7_segment, msg_id, (4 + n)::INT AS seg_seq, part || '|' || flag || '|' || qty || '|' || st AS row FROM x JOIN m USING (msg_id)"
@@ -91,20 +97,20 @@ _ROWS = "SELECT 'OBX' AS hl7_segment, msg_id, (4 + n)::INT AS seg_seq, part || '
 
 @query("seg_fan_out", sql(f"{_ROWS} UNION ALL SELECT 'PID', msg_id, 2, mrn || '^^^' || ssn || '^^' || '|' || 'MRN^SS|' || fac || '^' FROM m UNION ALL SELECT 'PV1', msg_id, 3, cls FROM m WHERE cls <> ''", "x"))
 def seg_fan_out(spark, d):
-    return segments.fan_out(elements(spark, d, ("OBX", "PID", "PV1")), models(spark))
+    return segments.fan_out(modelled(spark, d, ("OBX", "PID", "PV1")), models(spark))
 
 
 @query("seg_row_delimited", sql("SELECT msg_id, (4 + n)::INT AS seg_seq, part || '|' || flag || '|' || qty || '|' || st AS row FROM x JOIN m USING (msg_id)", "x"))
 def seg_row_delimited(spark, d):
     from clinflow.operators.routing import delimited_row
 
-    rows = segments.project(elements(spark, d, ("OBX",)), models(spark), "OBX", OBX)
+    rows = segments.project(modelled(spark, d, ("OBX",)), models(spark), "OBX", OBX)
     return rows.select("msg_id", "seg_seq", delimited_row([f"f_{p.replace('|', '_')}" for p in OBX]).alias("row"))
 
 
 @query("seg_view", sql(f"SELECT * EXCLUDE (hl7_segment) FROM ({_ROWS})", "x"))
 def seg_view(spark, d):
-    segments.segment_view(segments.fan_out(elements(spark, d, ("OBX",)), models(spark)), "OBX", "v_obx")
+    segments.segment_view(segments.fan_out(modelled(spark, d, ("OBX",)), models(spark)), "OBX", "v_obx")
     return spark.sql("SELECT msg_id, seg_seq, row FROM v_obx")
 
 

@@ -42,3 +42,18 @@ def test_a_hundred_thousand_names(spark):
     assert got[2] == "nothing here " * 50_000
     assert got[1] == " ".join(f"seen at , then Clinic{i}x" for i in range(0, 60_000, 3))
     assert time.time() - began < 60
+
+
+def test_a_large_dictionary_stays_a_table(spark, monkeypatch):
+    """Beyond PART no worker gets the patterns: only a filter of ten bits for each, whose false candidates a join drops."""
+    monkeypatch.setattr(N, "_found", None)
+    monkeypatch.setattr(N, "CHUNK", 5)
+    known = spark.range(2000).selectExpr("concat('Ann', id, '#', id) AS name").unionByName(spark.createDataFrame([("two words",)], "name string"))
+    texts = ["Ann1#1 and two words, Ann1#2 or Ann1#1_", "Ann1999#1999.Ann1999#1999", None, "", "nothing"]
+    df = spark.createDataFrame([(i % 3, t) for i, t in enumerate(texts * 2)], "id int, note string")  # equal rows stay apart
+    for held in (0.0, 1.0):  # the filter as it is, and one that lets everything through
+        if held:
+            monkeypatch.setattr(N, "within", lambda held, h, bits: h == h)
+        got = N.remove_names(df, "note", known, [], part=100)
+        want = {"Ann1#1 and two words, Ann1#2 or Ann1#1_": " and , #2 or #Ann1#1_".replace("#Ann1#1_", "#1_"), "Ann1999#1999.Ann1999#1999": "."}
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.replace(want, subset=["note"]).collect()))

@@ -38,11 +38,13 @@ def ack_rows(meta: DataFrame, state: str, to: str, sender: str, as_of: Column) -
     return meta.select("msg_id", F.array_join(F.array(*cols), "|", "").alias("row"))
 
 
-def parsed_meta(named: DataFrame, ids: DataFrame) -> DataFrame:
-    """Metadata of parsed messages: the common ids with time and trigger event of the header."""
-    head = named.filter("seg = 'MSH' and ((field = 7 and comp = 1) or (field = 9 and comp = 2))").groupBy("msg_id")
-    head = head.agg(F.max(F.when(F.col("field") == 7, F.col("value"))).alias("create_time"), F.max(F.when(F.col("field") == 9, F.col("value"))).alias("trigger"))
-    return ids.join(head, "msg_id", "left").select("msg_id", F.struct(F.col("message_control_id").alias("control_id"), "create_time", F.col("medical_record_num").alias("mrn"), F.col("medical_record_urn").alias("urn"), F.col("patient_account_num").alias("account"), F.col("sending_facility").alias("facility"), "trigger").alias("meta"))
+#: What metadata asks of the header beside the common ids, as rules of ``naming.path_lookup``.
+HEADER = [("create_time", 1, "MSH", 7, 1, None, None), ("trigger", 1, "MSH", 9, 2, None, None)]
+
+
+def parsed_meta(ids: DataFrame) -> DataFrame:
+    """Metadata of parsed messages: the common ids with time and trigger event of the header, from one look at each message (``HEADER`` among its rules)."""
+    return ids.select("msg_id", F.struct(F.col("message_control_id").alias("control_id"), "create_time", F.col("medical_record_num").alias("mrn"), F.col("medical_record_urn").alias("urn"), F.col("patient_account_num").alias("account"), F.col("sending_facility").alias("facility"), "trigger").alias("meta"))
 
 
 REJECT = ["process_name", "message_control_id", "msg_create_date_time", "patient_mrn", "patient_urn", "patient_account_number", "reject_reason", "rejected_message_data", "etl_firstinsert_datetime"]

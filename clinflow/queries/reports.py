@@ -38,7 +38,7 @@ def aud_ack_rows(spark, d):
 
 @query("aud_meta", sql("SELECT msg_id, nullif(ctrl, '') AS control_id, t7 AS create_time, mrn, urn, acct AS account, fac AS facility, trig AS trigger FROM m"))
 def aud_meta(spark, d):
-    return audit.parsed_meta(parse.elements(messages(spark, d), ("MSH",)), common(spark, d)).select("msg_id", "meta.*")
+    return audit.parsed_meta(common(spark, d, audit.HEADER)).select("msg_id", "meta.*")
 
 
 def _rejects(spark, d):

@@ -293,3 +293,23 @@ def test_few_groups_of_texts_are_not_sorted(spark):
 
     plan = _summary(spark.range(9).selectExpr("id % 3 AS k", "cast(id as string) AS value"), ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_json_of_any_text(spark):
+    """Plain texts are quoted as they are; others, lists and nulls as a JSON writer writes them."""
+    texts = ["plain", "", " a/b ", 'q"', "b\\", "tab\t", "\x01", "\x7f", "é\u2028", "😀", None, "line\nend"]
+    rows = [(i, 1, "OBX", 5, 1, 1, 1, "v", t) for i, t in enumerate(texts)] + [(99, 1, "OBX", 5, r, 1, 1, "v", t) for r, t in enumerate(texts)]
+    named = spark.createDataFrame(rows, "msg_id long, seg_seq int, seg string, field int, rep int, comp int, sub int, name string, value string")
+    found = naming.to_json(named)
+    got = {r.msg_id: json.loads(r.json)["OBX"]["v"] for r in found.collect()}
+    assert got == {**dict(enumerate(texts)), 99: texts}
+    assert "RLIKE" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_common_elements_are_lookups_of_each_target(spark):
+    raw_rows = raw(spark, "MSH|^~\\&|A|F|C|D|t1||ADT^A01|c1|P|2.3\nPID|1||x^^^^SS~m^^^^MRN~n^^^^MRN|u|n\nPID|2||k^^^^MRN||n|" + "|" * 12 + "a^b")
+    rules = spark.createDataFrame([("id", 1, "PID", 3, 1, 5, "MRN"), ("urn", 1, "PID", 4, 1, None, None), ("acct", 1, "PID", 18, 2, None, None), ("acct", 2, "PID", 18, 1, None, None), ("time", 1, "MSH", 7, 1, None, None), ("none", 1, "PID", 40, 1, None, None)], "target string, rule int, seg string, field int, want_comp int, code_comp int, code string")
+    elements = parse.elements(raw_rows)
+    row = naming.common_elements(elements, rules, ["id", "urn", "acct", "time", "none"]).collect()
+    assert [r.asDict() for r in row] == [{"msg_id": row[0].msg_id, "id": "m", "urn": "u", "acct": "b", "time": "t1", "none": None}]
+    assert {r.target: r.value for r in naming.path_lookup(elements, rules).collect()} == {"id": "m", "urn": "u", "acct": "b", "time": "t1"}

@@ -10,6 +10,7 @@ from clinflow.plans.parse_job import parse_job
 from clinflow.queries.base import local
 from clinflow.queries.extracts import MODELS
 from clinflow.queries.parsing import SUPPORTED, TEMPLATES
+from clinflow.queries.reports import aud_meta
 from clinflow.sources.synth import messages
 
 SF = "/root/testdata/sf0.01"
@@ -60,3 +61,14 @@ def test_every_parse_stage_has_as_many_tasks_as_cores(spark):
         tasks = df.filter("value is not null").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
         rows = [r["count"] for r in tasks]
         assert len(rows) >= cores and max(rows) < 3 * sum(rows) / len(rows)
+
+
+def test_metadata_takes_each_message_apart_once(spark):
+    plan = aud_meta(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode(lines") == 1 and "Join LeftOuter, (msg_id" in plan and plan.count("Join LeftOuter, (msg_id") == 1
+
+
+def test_texts_without_separators_are_not_cut(spark):
+    """A pattern looks only through texts that have the separator."""
+    plan = parse.elements(messages(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN Contains(text" in plan

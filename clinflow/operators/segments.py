@@ -45,9 +45,10 @@ def project(elements: DataFrame, models: DataFrame, seg: str, paths: list[str])
     """A row for each occurrence of a segment, with a column for each path; elements that no model asks for go before the grouping."""
     rows = parent_fallback(elements.filter(F.col("seg") == seg), models.filter(F.col("seg") == seg))
     rows = rows.filter(F.col("path").isin(paths))
-    ordered = lambda p: F.array_sort(F.collect_list(F.when(F.col("path") == p, F.struct("field", "rep", "comp", "sub", F.coalesce("value", F.lit("")).alias("value")))))
-    out = rows.groupBy("msg_id", "seg_seq").agg(*[join_repeats(F.transform(ordered(p), lambda x: x["value"])).alias(f"f_{p.replace('|', '_')}") for p in paths])
-    return out
+    # one list an occurrence, whatever the number of paths: Spark writes out and reads each list of a group when it sorts
+    values = F.array_sort(F.collect_list(F.struct("field", "rep", "comp", "sub", "path", F.coalesce("value", F.lit("")).alias("value"))))
+    cell = lambda p: join_repeats(F.transform(F.filter("v", lambda x: x["path"] == p), lambda x: x["value"]))
+    return rows.groupBy("msg_id", "seg_seq").agg(values.alias("v")).select("msg_id", "seg_seq", *[cell(p).alias(f"f_{p.replace('|', '_')}") for p in paths])
 
 
 def etl_timestamp(as_of: Column) -> Column:

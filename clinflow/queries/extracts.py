@@ -33,6 +33,10 @@ def modelled(spark, d, segs):
     return parse.elements(messages(spark, d), fields=fields)
 
 
+def occurrences(spark, d, *segs):
+    return parse.occurrences(messages(spark, d), segs)
+
+
 def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
@@ -110,7 +114,7 @@ def seg_row_delimited(spark, d):
 
 @query("seg_view", sql(f"SELECT * EXCLUDE (hl7_segment) FROM ({_ROWS})", "x"))
 def seg_view(spark, d):
-    segments.segment_view(segments.fan_out(modelled(spark, d, ("OBX",)), models(spark)), "OBX", "v_obx")
+    segments.segment_view(segments.fan_out(occurrences(spark, d, "OBX"), models(spark)), "OBX", "v_obx")
     return spark.sql("SELECT msg_id, seg_seq, row FROM v_obx")
 
 

@@ -142,11 +142,13 @@ def etl_timestamp(as_of: Column) -> Column:
     return F.concat(F.date_format(as_of, "yyyyMMddHHmmss"), F.lpad(F.date_format(as_of, "SSS"), 7, "0"))
 
 
-def common_columns(rows: DataFrame, ids: DataFrame, as_of: Column) -> DataFrame:
-    """Load time, segment number and the common ids before a segment's columns."""
-    own = [c for c in rows.columns if c not in ("msg_id", "seg_seq")]
-    names = [c for c in ids.columns if c != "msg_id"]
-    return rows.join(ids, "msg_id").select("msg_id", etl_timestamp(as_of).alias(ETL), F.lpad(F.col("seg_seq").cast("string"), 4, "0").alias(SEQ), *names, *own)
+def common_columns(rows: DataFrame, ids: DataFrame | list[str], as_of: Column) -> DataFrame:
+    """Load time, segment number and the common ids before a segment's columns. ``ids``: a table by message, or the names of the
+    columns where the rows have them already. A segment whose message has no ids stays."""
+    names = ids if isinstance(ids, list) else [c for c in ids.columns if c != "msg_id"]
+    own = [c for c in rows.columns if c not in ("msg_id", "seg_seq", *names)]
+    joined = rows if isinstance(ids, list) else rows.join(ids, "msg_id", "left")
+    return joined.select("msg_id", etl_timestamp(as_of).alias(ETL), F.lpad(F.col("seg_seq").cast("string"), 4, "0").alias(SEQ), *names, *own)
 
 
 def skipped(segments: DataFrame, rows: DataFrame) -> DataFrame:

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from clinflow.functions import fields as fld
 from clinflow.functions import filters as flt
-from clinflow.operators import enrich, parse, segments
+from clinflow.operators import enrich, naming, parse, segments
 from clinflow.operators.membership import in_list
 from clinflow.queries.base import local, sql
-from clinflow.queries.parsing import IDS, common
+from clinflow.queries.parsing import IDS, RULES, TARGETS, common
 from clinflow.registry import query
 from clinflow.sources.synth import headers, messages, table
 
@@ -61,8 +61,9 @@ def seg_parent_fallback(spark, d):
 
 @query("seg_common_columns", sql(f"SELECT msg_id, {STAMP} AS etl_firstinsert_datetime, '0003' AS field_seq_num, {IDS}, cls AS f_2 FROM m WHERE cls <> ''"))
 def seg_common_columns(spark, d):
-    rows = segments.project(modelled(spark, d, ("PV1",)), models(spark), "PV1", ["2"])
-    return segments.common_columns(rows, common(spark, d), as_of())
+    raw = naming.with_common_ids(messages(spark, d), RULES, TARGETS)
+    rows = segments.project(parse.occurrences(raw, ("PV1",), tuple(TARGETS)), models(spark), "PV1", ["2"])
+    return segments.common_columns(rows, TARGETS, as_of())
 
 
 @query("seg_etl_timestamp", "SELECT event_id, strftime(ts, '%Y%m%d%H%M%S') || lpad(strftime(ts, '%g'), 7, '0') AS etl FROM events")

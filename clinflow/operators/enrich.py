@@ -71,14 +71,14 @@ def extract_project(named: DataFrame, names: list[str]) -> DataFrame:
     return rows.groupBy("msg_id").agg(*[join_repeats(F.transform(ordered(n), lambda x: x["value"])).alias(n) for n in names])
 
 
-def _payloads(cols: list[str], fmt: str, as_of: Column, raw: str) -> Column:
+def _payloads(cols: list[str | Column], fmt: str, as_of: Column, raw: str) -> Column:
     """The payloads of a row, one or two, in one of four formats; the first two end with the load time."""
     stamp = etl_timestamp(as_of)
     json = F.to_json(F.struct(*cols, stamp.alias("etl_firstinsert_datetime")), {"ignoreNullFields": "false"})
     if fmt == "JSON":
         return F.array(json)
     if fmt == "DELIMITED":
-        return F.array(F.array_join(F.array(*[F.col(c).cast("string") for c in cols], stamp), "|", ""))
+        return F.array(F.array_join(F.array(*[(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols], stamp), "|", ""))
     if fmt == "RAWDATA":
         return F.array(F.col(raw))
     if fmt == "RAWDATA_JSON":
@@ -106,15 +106,32 @@ def extract_rows(named: DataFrame, filters: list[flt.Filter], names: list[str])
     tested = lambda s, p: (F.col("seg") == s) & (F.col("name") == p) & F.col("value").isNotNull()
     aggs += [F.array_sort(F.collect_list(F.when(tested(s, p), F.struct("seg_seq", F.struct("rep", "comp", "sub").alias("at"), "value")))).alias(f"v{k}") for k, (s, p) in enumerate(wanted)]
     rows = named.groupBy("msg_id").agg(*aggs)
+    passed = _passed(filters, {at: F.col(f"v{k}") for k, at in enumerate(wanted)})
+    return rows.select("msg_id", passed.alias("passed"), *[join_repeats(F.transform(f"p{k}", lambda x: x["value"])).alias(n) for k, n in enumerate(names)])
+
+
+def _passed(filters: list[flt.Filter], values: dict[tuple[str, str], Column]) -> Column:
+    """``values``: by segment and name, the values in order as (seg_seq, at, value)."""
 
     def found(f: flt.Filter) -> Column:
         """Of each segment the last repetition counts; any segment that fits is enough."""
-        values = F.col(f"v{wanted.index((f.segment, f.path))}")
-        last = F.filter(values, lambda x, i: F.coalesce(F.get(values, i + 1)["seg_seq"] != x["seg_seq"], F.lit(True)))
+        of = values[f.segment, f.path]
+        last = F.filter(of, lambda x, i: F.coalesce(F.get(of, i + 1)["seg_seq"] != x["seg_seq"], F.lit(True)))
         return F.exists(last, lambda x: flt.condition(f, x["value"]))
 
-    passed = flt.expression(filters, [found(f) for f in filters])
-    return rows.select("msg_id", passed.alias("passed"), *[join_repeats(F.transform(f"p{k}", lambda x: x["value"])).alias(n) for k, n in enumerate(names)])
+    return flt.expression(filters, [found(f) for f in filters])
+
+
+def extract_payloads(values: Column, spec_filters: list[flt.Filter], names: list[str], fmt: str, destination: str, as_of: Column) -> Column:
+    """array<(route, payload)> of a message's named values, a list in order of (seg_seq, seg, name, field, rep, comp, sub, value): what
+    ``extract`` makes of rows."""
+    of = lambda seg, name: F.filter(values, lambda x: (x["seg"] == seg) & (x["name"] == name))
+    tested = {at: F.array_sort(F.transform(of(*at), lambda x: F.struct(x["seg_seq"], F.struct(x["rep"], x["comp"], x["sub"]).alias("at"), x["value"]))) for at in {(f.segment, f.path) for f in spec_filters}}
+    joined = lambda n: join_repeats(F.transform(F.filter(values, lambda x: x["name"] == n), lambda x: x["value"]))
+    cols = [joined(n).alias(n) for n in names]
+    sent = F.transform(_payloads(cols, fmt, as_of, "raw"), lambda p: F.struct(F.lit(destination).alias("route"), p.alias("payload")))
+    kept = F.array(F.struct(F.lit("FILTERED").alias("route"), F.lit("").alias("payload")))
+    return F.when(_passed(spec_filters, tested), sent).otherwise(kept)
 
 
 def extract(named: DataFrame, spec_filters: list[flt.Filter], names: list[str], fmt: str, system: str, destination: str, as_of: Column, raw: str = "raw") -> DataFrame:

@@ -126,7 +126,7 @@ def extract_payloads(values: Column, spec_filters: list[flt.Filter], names: list
     """array<(route, payload)> of a message's named values, a list in order of (seg_seq, seg, name, field, rep, comp, sub, value): what
     ``extract`` makes of rows."""
     of = lambda seg, name: F.filter(values, lambda x: (x["seg"] == seg) & (x["name"] == name))
-    tested = {at: F.array_sort(F.transform(of(*at), lambda x: F.struct(x["seg_seq"], F.struct(x["rep"], x["comp"], x["sub"]).alias("at"), x["value"]))) for at in {(f.segment, f.path) for f in spec_filters}}
+    tested = {at: F.sort_array(F.transform(of(*at), lambda x: F.struct(x["seg_seq"], F.struct(x["rep"], x["comp"], x["sub"]).alias("at"), x["value"]))) for at in {(f.segment, f.path) for f in spec_filters}}
     joined = lambda n: join_repeats(F.transform(F.filter(values, lambda x: x["name"] == n), lambda x: x["value"]))
     cols = [joined(n).alias(n) for n in names]
     sent = F.transform(_payloads(cols, fmt, as_of, "raw"), lambda p: F.struct(F.lit(destination).alias("route"), p.alias("payload")))

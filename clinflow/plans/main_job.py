@@ -76,15 +76,11 @@ def parsed(raw: DataFrame, config: Config, as_of: Column) -> DataFrame:
     if config.crosswalk is not None:
         rules, names = naming.crosswalk(config.crosswalk)
         templates = templates.unionByName(names)
-    asked = inrow.Asked(templates, config.models, rules)
-    # each step is read by several that follow, so it is a column that Spark makes once (a generator of one row)
-    once = lambda *more: F.inline(F.array(F.struct(*more)))
-    keep = ["msg_id", "type", *naming.SOURCE, "head", "held"]
-    rows = rows.withColumns({"head": F.struct(*HEAD), "held": F.when(~good, F.col("raw"))})
-    segs = inrow.cells(F.when(good, F.col("raw")), F.col("own"), F.col("tpl"), asked)
-    rows = rows.select(*keep, once(segs.alias("segs")))
-    rows = rows.select("msg_id", "type", "head", "held", once(inrow.known(F.col("segs"), asked).alias("known"), inrow.segment_rows(F.col("segs"), F.col("type"), asked).alias("rows")))
-    rows = rows.select("msg_id", "type", "head", "held", "rows", once(inrow.json_text(F.col("known")).alias("json"), inrow.values_of(F.col("known")).alias("values")))
+    told: dict[str, set[str]] = {}
+    for x in config.extracts:
+        told.setdefault(x.type, set()).update(x.names, (f.path for f in x.filters))
+    rows = rows.withColumns({"head": F.struct(*HEAD), "held": F.when(~good, F.col("raw")), "raw": F.when(good, F.col("raw"))})
+    rows = inrow.made(rows, inrow.Asked(templates, config.models, rules, told), ["msg_id", "type", "head", "held"])
     none = F.array().cast("array<struct<key: string, value: string>>")
 
     def extracted(x: Extract) -> Column:
